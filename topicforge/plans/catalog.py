@@ -18,6 +18,9 @@ from topicforge.functions import text as tx
 from topicforge.operators import tfidf as tf
 from topicforge.operators.common import keep_where
 from topicforge.operators import topics as tp
+from topicforge.operators import vectors as vx
+from topicforge.operators import silhouette as sil
+from topicforge.operators import dbscan as db
 from topicforge.sources.tables import table
 
 R = 6  # decimals kept in compared doubles
@@ -145,3 +148,86 @@ def q_topic_terms(spark, sf_dir):
 def q_topic_weights(spark, sf_dir):
     """A3: top 30 keyword weights per source and weight relative to the top."""
     return source_topic_terms(spark, sf_dir, 30)
+
+
+# --------------------------------------------------------------------------
+# Vectors: fixed centroids, silhouette, DBSCAN (embeddings table)
+# --------------------------------------------------------------------------
+
+DBSCAN_EPS = 1.15      # FIXTURES: eps 0.5 leaves every 64-dim embedding as noise
+DBSCAN_MIN_SAMPLES = 5
+
+
+def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", vx.as_double(F.col("embedding")).alias("vec"),
+                    F.col("label").alias("cluster"))
+
+
+def label_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding assigned to the nearest label centroid."""
+    pts = embedding_points(spark, sf_dir)
+    keys, centers = vx.collect_centers(vx.group_means(pts, "cluster", "vec"), "cluster")
+    out = vx.assign_nearest(pts.drop("cluster"), "vec", centers, "pos", "dist2")
+    key_arr = F.array(*[F.lit(int(k)) for k in keys])
+    return out.withColumn("cluster", F.element_at(key_arr, F.col("pos") + 1).cast("int"))
+
+
+@query("nearest_centroid")
+def q_nearest_centroid(spark, sf_dir):
+    """Nearest label centroid of every embedding."""
+    return label_assignment(spark, sf_dir).select("vec_id", "cluster")
+
+
+@query("cluster_sizes")
+def q_cluster_sizes(spark, sf_dir):
+    """Size of each nearest-centroid cluster."""
+    return (label_assignment(spark, sf_dir).groupBy("cluster")
+            .agg(F.count(F.lit(1)).alias("n_points")))
+
+
+@query("inertia")
+def q_inertia(spark, sf_dir):
+    """A4 (one K): inertia of the nearest-centroid assignment."""
+    out = vx.inertia(label_assignment(spark, sf_dir), "dist2")
+    return out.select("n_points", _rnd(F.col("inertia")).alias("inertia"))
+
+
+@query("silhouette_exact")
+def q_silhouette_exact(spark, sf_dir):
+    """A5: exact Euclidean silhouette of the label clustering."""
+    out = sil.silhouette_score(embedding_points(spark, sf_dir), id_col="vec_id")
+    return out.select("n_points", _rnd(F.col("silhouette")).alias("silhouette"))
+
+
+@query("silhouette_by_cluster")
+def q_silhouette_by_cluster(spark, sf_dir):
+    """A5: mean silhouette per label cluster."""
+    ss = sil.silhouette_samples(embedding_points(spark, sf_dir), id_col="vec_id")
+    return sil.per_cluster(ss).select("cluster", F.col("n").alias("n_points"),
+                                      _rnd(F.col("silhouette")).alias("silhouette"))
+
+
+@query("silhouette_sampled")
+def q_silhouette_sampled(spark, sf_dir):
+    """A5s: silhouette of a deterministic 2000-point sample."""
+    pts = sil.sample_points(embedding_points(spark, sf_dir), "vec_id", 2000)
+    out = sil.silhouette_score(pts, id_col="vec_id")
+    return out.select("n_points", _rnd(F.col("silhouette")).alias("silhouette"))
+
+
+def _dbscan(spark, sf_dir):
+    pts = embedding_points(spark, sf_dir).drop("cluster")
+    return db.dbscan(pts, DBSCAN_EPS, DBSCAN_MIN_SAMPLES, id_col="vec_id", vec_col="vec")
+
+
+@query("dbscan_labels")
+def q_dbscan_labels(spark, sf_dir):
+    """DBSCAN labels (-1 = noise)."""
+    return _dbscan(spark, sf_dir).select("vec_id", "cluster")
+
+
+@query("dbscan_summary")
+def q_dbscan_summary(spark, sf_dir):
+    """Clusters, noise and total."""
+    return db.dbscan_summary(_dbscan(spark, sf_dir))

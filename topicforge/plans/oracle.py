@@ -141,4 +141,82 @@ FROM weights
 """
     q["topic_terms"] = _topic_sql(15, False)
     q["topic_weights"] = _topic_sql(30, True)
+    q.update(vector_oracles())
+    return q
+
+
+_EMB = """
+e AS (SELECT vec_id, label AS cluster, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+ex AS (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),
+cent AS (
+  SELECT cluster, list(m ORDER BY i) AS c
+  FROM (SELECT cluster, i, avg(x) AS m FROM ex GROUP BY cluster, i) GROUP BY cluster
+),
+dist AS (
+  SELECT e.vec_id, cent.cluster, list_distance(e.v, cent.c) AS d FROM e, cent
+),
+assign AS (
+  SELECT vec_id, cluster, d * d AS dist2 FROM (
+    SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) AS rn FROM dist
+  ) WHERE rn = 1
+)"""
+
+_SIL = """
+e AS (SELECT vec_id, label AS cluster, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+sz AS (SELECT cluster, count(*) AS n FROM e GROUP BY cluster),
+pd AS (
+  SELECT a.vec_id, a.cluster AS own, b.cluster AS other, sum(list_distance(a.v, b.v)) AS s
+  FROM e a, e b WHERE a.vec_id <> b.vec_id GROUP BY a.vec_id, a.cluster, b.cluster
+),
+pp AS (
+  SELECT vec_id, own AS cluster,
+         max(CASE WHEN other = own THEN s / (n - 1) END) AS a,
+         min(CASE WHEN other <> own THEN s / n END) AS b,
+         max(CASE WHEN other = own THEN n END) AS n_own
+  FROM pd JOIN sz ON sz.cluster = pd.other GROUP BY vec_id, own
+),
+ss AS (
+  SELECT vec_id, cluster,
+         CASE WHEN n_own > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0.0 END AS s
+  FROM pp
+)"""
+
+
+def _dbscan_sql(eps: float, min_samples: int) -> str:
+    return f"""
+WITH RECURSIVE
+e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+nb AS (SELECT a.id AS i, b.id AS j FROM e a, e b WHERE list_distance(a.v, b.v) <= {eps}),
+core AS (SELECT i AS id FROM nb GROUP BY i HAVING count(*) >= {min_samples}),
+ce AS (SELECT nb.i, nb.j FROM nb JOIN core c1 ON nb.i = c1.id JOIN core c2 ON nb.j = c2.id),
+r(i, j) AS (SELECT i, j FROM ce UNION SELECT r.i, ce.j FROM r JOIN ce ON r.j = ce.i),
+comp AS (SELECT i AS id, min(j) AS root FROM r GROUP BY i),
+num AS (
+  SELECT root, CAST(row_number() OVER (ORDER BY root) - 1 AS INTEGER) AS cluster
+  FROM (SELECT DISTINCT root FROM comp)
+),
+corelab AS (SELECT comp.id, num.cluster FROM comp JOIN num USING (root)),
+border AS (
+  SELECT nb.i AS id, min(cl.cluster) AS cluster FROM nb JOIN corelab cl ON nb.j = cl.id
+  WHERE nb.i NOT IN (SELECT id FROM core) GROUP BY nb.i
+),
+labels AS (
+  SELECT e.id AS vec_id, CAST(coalesce(corelab.cluster, border.cluster, -1) AS INTEGER) AS cluster
+  FROM e LEFT JOIN corelab USING (id) LEFT JOIN border USING (id)
+)"""
+
+
+def vector_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["nearest_centroid"] = f"WITH {_EMB}\nSELECT vec_id, CAST(cluster AS INTEGER) AS cluster FROM assign"
+    q["cluster_sizes"] = f"WITH {_EMB}\nSELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n_points FROM assign GROUP BY cluster"
+    q["inertia"] = f"WITH {_EMB}\nSELECT count(*) AS n_points, round(sum(dist2), {R}) AS inertia FROM assign"
+    q["silhouette_exact"] = f"WITH {_SIL}\nSELECT count(*) AS n_points, round(avg(s), {R}) AS silhouette FROM ss"
+    q["silhouette_by_cluster"] = (f"WITH {_SIL}\nSELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n_points, "
+                                  f"round(avg(s), {R}) AS silhouette FROM ss GROUP BY cluster")
+    db = _dbscan_sql(1.15, 5)
+    q["dbscan_labels"] = f"{db}\nSELECT vec_id, cluster FROM labels"
+    q["dbscan_summary"] = (f"{db}\nSELECT count(DISTINCT CASE WHEN cluster >= 0 THEN cluster END) AS n_clusters, "
+                           "CAST(sum(CASE WHEN cluster = -1 THEN 1 ELSE 0 END) AS BIGINT) AS n_noise, "
+                           "count(*) AS n_points FROM labels")
     return q
