@@ -21,7 +21,13 @@ from topicforge.operators import topics as tp
 from topicforge.operators import vectors as vx
 from topicforge.operators import silhouette as sil
 from topicforge.operators import dbscan as db
+from topicforge.operators import lsa
+from topicforge.operators import kmeans as km
+from topicforge.operators import evaluate as ev
+from topicforge.operators import ingest as ig
+from topicforge.sources import sites
 from topicforge.sources.tables import table
+from topicforge.session import checkpoint_dir
 
 R = 6  # decimals kept in compared doubles
 
@@ -231,3 +237,177 @@ def q_dbscan_labels(spark, sf_dir):
 def q_dbscan_summary(spark, sf_dir):
     """Clusters, noise and total."""
     return db.dbscan_summary(_dbscan(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# LSA, K-Means on LSA features, LSA topics, K sweep
+# --------------------------------------------------------------------------
+
+K_TOPICS = 34          # the reference's K for the LSA K-Means model
+N_COMPONENTS = 300     # LSA dimensions
+_FITTED: dict = {}     # fitted driver-side models per corpus (bounded: k x dims)
+
+
+def lsa_stage(spark: SparkSession, sf_dir: str):
+    """documents -> tokens -> TF-IDF -> LSA model (memoised per corpus)."""
+    toks, model, weights = corpus_tfidf(spark, sf_dir)
+    key = ("lsa", sf_dir)
+    if key not in _FITTED:
+        n_terms = model.vocabulary.count()
+        _FITTED[key] = lsa.fit_lsa(weights, n_terms, model.n_docs, N_COMPONENTS, seed=42)
+    return toks, model, weights, _FITTED[key]
+
+
+def lsa_features(spark: SparkSession, sf_dir: str):
+    """LSA vectors, written once to the checkpoint folder: K-Means iterates
+    over them and every later query reads them (the reference stores the
+    LSA matrix for the same reason)."""
+    toks, model, weights, lm = lsa_stage(spark, sf_dir)
+    key = ("features", sf_dir)
+    if key not in _FITTED:
+        checkpoint_dir(spark)
+        _FITTED[key] = lsa.project(weights, toks.select("doc_id"), lm).checkpoint()
+    return toks, model, weights, lm, _FITTED[key]
+
+
+def kmeans_stage(spark: SparkSession, sf_dir: str):
+    toks, model, weights, lm, feats = lsa_features(spark, sf_dir)
+    key = ("kmeans", sf_dir, K_TOPICS)
+    if key not in _FITTED:
+        _FITTED[key] = km.fit_kmeans(feats, min(K_TOPICS, model.n_docs), "features", seed=42)
+    return toks, model, lm, feats, _FITTED[key]
+
+
+@query("lsa_spectrum")
+def q_lsa_spectrum(spark, sf_dir):
+    """singular values and explained variance ratio per component."""
+    toks, _, weights, lm = lsa_stage(spark, sf_dir)
+    ev = lsa.explained_variance(weights, toks.select("doc_id"), lm)
+    return ev.select("component", _rnd(F.col("singular_value")).alias("singular_value"),
+                     _rnd(F.col("explained_variance_ratio")).alias("explained_variance_ratio"))
+
+
+@query("lsa_vectors")
+def q_lsa_vectors(spark, sf_dir):
+    """unit-length LSA vector of every processed document."""
+    return lsa_features(spark, sf_dir)[4]
+
+
+@query("kmeans_labels")
+def q_kmeans_labels(spark, sf_dir):
+    """K-Means (k=34) labels of the LSA vectors."""
+    toks, _, _, feats, m = kmeans_stage(spark, sf_dir)
+    return km.predict(m, feats, "features").select("doc_id", "cluster")
+
+
+@query("kmeans_sizes")
+def q_kmeans_sizes(spark, sf_dir):
+    """Documents per K-Means cluster."""
+    return km.cluster_sizes(q_kmeans_labels(spark, sf_dir))
+
+
+@query("model_summary")
+def q_model_summary(spark, sf_dir):
+    """Centroids and dimensions of the fitted K-Means model."""
+    _, _, _, feats, m = kmeans_stage(spark, sf_dir)
+    s = km.model_summary(m)
+    return feats.limit(1).select(F.lit(s["n_centroids"]).alias("n_centroids"),
+                                 F.lit(s["dims"]).alias("dims"))
+
+
+@query("topic_terms_lsa")
+def q_topic_terms_lsa(spark, sf_dir):
+    """A1/A2: top 15 terms of each K-Means centroid mapped back through the
+    LSA components."""
+    _, model, lm, _, m = kmeans_stage(spark, sf_dir)
+    comps = lsa.components_table(spark, lm)
+    cents = tp.back_project(comps, m.clusterCenters(), model.vocabulary)
+    top = tp.top_terms(cents.withColumn("weight", F.round("weight", 10)), 15, "cluster")
+    return top.select("cluster", "rank", "term", _rnd(F.col("weight")).alias("weight"))
+
+
+@query("k_sweep")
+def q_k_sweep(spark, sf_dir):
+    """A4/A5: inertia (best of 3 seeds) and exact silhouette for K = 5..50."""
+    key = ("sweep", sf_dir)
+    if key not in _FITTED:
+        pts = embedding_points(spark, sf_dir)
+        sw = ev.k_sweep(pts, 5, 50, 1, n_init=3, seed=42, id_col="vec_id", vec_col="vec",
+                        block_rows=4096)
+        _FITTED[key] = sw.cache()
+    sw = _FITTED[key]
+    return sw.select("k", _rnd(F.col("inertia")).alias("inertia"),
+                     _rnd(F.col("silhouette")).alias("silhouette"))
+
+
+@query("best_k")
+def q_best_k(spark, sf_dir):
+    """The K with the highest silhouette (smallest K on ties)."""
+    return ev.best_k(q_k_sweep(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Page ingest (pages table, example.* site configuration)
+# --------------------------------------------------------------------------
+
+def routed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", spread_key="page_id")
+    return ig.route(pages, sites.EXAMPLE_SITES)
+
+
+def page_links_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ig.extract_links(routed_pages(spark, sf_dir), sites.EXAMPLE_SITES)
+
+
+@query("page_site")
+def q_page_site(spark, sf_dir):
+    """Site key (first key contained in the host) and category."""
+    return routed_pages(spark, sf_dir).select("page_id", "site_key", "category")
+
+
+@query("page_links")
+def q_page_links(spark, sf_dir):
+    """Every article link of every page, resolved against the page URL."""
+    return page_links_df(spark, sf_dir).select("page_id", "selector_ix", "pos", "href", "link")
+
+
+@query("page_links_distinct")
+def q_page_links_distinct(spark, sf_dir):
+    """Each link once per page, at its first position."""
+    return ig.first_links(page_links_df(spark, sf_dir)).select("page_id", "link", "selector_ix", "pos")
+
+
+def _stored_pages(spark, sf_dir):
+    """The fetched pages themselves as the stored article table."""
+    return routed_pages(spark, sf_dir).select("site_key", "category", "url")
+
+
+@query("new_links")
+def q_new_links(spark, sf_dir):
+    """Links not yet stored for their (site, category)."""
+    links = ig.first_links(page_links_df(spark, sf_dir))
+    return ig.exclude_known(links, _stored_pages(spark, sf_dir)).select("page_id", "link")
+
+
+@query("capped_links")
+def q_capped_links(spark, sf_dir):
+    """First 50 new links per category page, in link order."""
+    links = ig.exclude_known(ig.first_links(page_links_df(spark, sf_dir)), _stored_pages(spark, sf_dir))
+    return ig.cap_links(links, 50).select("page_id", "link", F.col("rank").cast("int").alias("rank"))
+
+
+def _articles(spark, sf_dir):
+    return ig.extract_articles(routed_pages(spark, sf_dir), sites.EXAMPLE_SITES)
+
+
+@query("page_titles")
+def q_page_titles(spark, sf_dir):
+    """Article title of every page."""
+    return _articles(spark, sf_dir).select("page_id", "title")
+
+
+@query("page_articles")
+def q_page_articles(spark, sf_dir):
+    """Title, description and content of every page with content."""
+    return _articles(spark, sf_dir).select("page_id", "url", "site_key", "category", "title",
+                                           "description", "content")

@@ -142,6 +142,7 @@ FROM weights
     q["topic_terms"] = _topic_sql(15, False)
     q["topic_weights"] = _topic_sql(30, True)
     q.update(vector_oracles())
+    q.update(page_oracles())
     return q
 
 
@@ -220,3 +221,64 @@ def vector_oracles() -> dict[str, str]:
                            "CAST(sum(CASE WHEN cluster = -1 THEN 1 ELSE 0 END) AS BIGINT) AS n_noise, "
                            "count(*) AS n_points FROM labels")
     return q
+
+
+def _route_sql() -> str:
+    from topicforge.sources.sites import EXAMPLE_SITES
+    from topicforge.functions.urls import RE_NETLOC, RE_PATH, FRONT_PAGE
+    case = " ".join(f"WHEN contains(host, {_q(k)}) THEN {_q(k)}" for k, *_ in EXAMPLE_SITES)
+    return f"""
+p0 AS (
+  SELECT page_id, url, html, regexp_extract(url, {_q(RE_NETLOC)}, 1) AS host,
+         regexp_replace(regexp_extract(url, {_q(RE_PATH)}, 1), ';[^/]*$', '') AS path
+  FROM pages
+),
+p1 AS (
+  SELECT *, CASE {case} END AS site_key,
+         regexp_replace(regexp_replace(path, '^/+|/+$', '', 'g'), '/', '_', 'g') AS c0
+  FROM p0
+),
+routed AS (
+  SELECT page_id, url, html, site_key,
+         CASE WHEN c1 LIKE '%.htm' OR c1 LIKE '%.html' THEN split_part(c1, '.', 1) ELSE c1 END AS category
+  FROM (SELECT *, CASE WHEN c0 = '' THEN {_q(FRONT_PAGE)} ELSE c0 END AS c1 FROM p1)
+  WHERE site_key IS NOT NULL
+),
+links AS (
+  SELECT page_id, site_key, category, 0 AS selector_ix,
+         CAST(generate_subscripts(hrefs, 1) - 1 AS INTEGER) AS pos, unnest(hrefs) AS href,
+         regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS origin
+  FROM (SELECT *, regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1),
+                                     '<a href="([^"]*)"', 1) AS hrefs FROM routed)
+),
+rlinks AS (SELECT *, origin || href AS link FROM links),
+firsts AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY page_id, link ORDER BY selector_ix, pos) AS r FROM rlinks
+  ) WHERE r = 1
+),
+fresh AS (
+  SELECT f.* FROM firsts f
+  WHERE NOT EXISTS (SELECT 1 FROM routed s WHERE s.site_key = f.site_key
+                    AND s.category = f.category AND s.url = f.link)
+)"""
+
+
+def page_oracles() -> dict[str, str]:
+    r = _route_sql()
+    q: dict[str, str] = {}
+    q["page_site"] = f"WITH {r}\nSELECT page_id, site_key, category FROM routed"
+    q["page_links"] = f"WITH {r}\nSELECT page_id, CAST(selector_ix AS INTEGER) AS selector_ix, pos, href, link FROM rlinks"
+    q["page_links_distinct"] = (f"WITH {r}\nSELECT page_id, link, CAST(selector_ix AS INTEGER) AS selector_ix, pos "
+                                "FROM firsts")
+    q["new_links"] = f"WITH {r}\nSELECT page_id, link FROM fresh"
+    q["capped_links"] = (f"WITH {r}\nSELECT page_id, link, rank FROM (SELECT page_id, link, CAST(row_number() OVER "
+                         "(PARTITION BY page_id ORDER BY selector_ix, pos) AS INTEGER) AS rank FROM fresh) "
+                         "WHERE rank <= 50")
+    unesc = "regexp_extract(html, '<article><h1>(.*?)</h1>', 1)"
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        unesc = f"replace({unesc}, {_q(a)}, {_q(b)})"
+    ws = tx.WS
+    q["page_titles"] = (f"WITH {r}\nSELECT page_id, regexp_replace({unesc}, {_q('^[' + ws + ']+|[' + ws + ']+$')}, '', 'g') "
+                        "AS title FROM routed")
+    return q
