@@ -25,6 +25,8 @@ from topicforge.operators import lsa
 from topicforge.operators import kmeans as km
 from topicforge.operators import evaluate as ev
 from topicforge.operators import ingest as ig
+from topicforge.operators import profile as pf
+from topicforge.operators import phrases as phr
 from topicforge.sources import sites
 from topicforge.sources.tables import table
 from topicforge.session import checkpoint_dir
@@ -411,3 +413,68 @@ def q_page_articles(spark, sf_dir):
     """Title, description and content of every page with content."""
     return _articles(spark, sf_dir).select("page_id", "url", "site_key", "category", "title",
                                            "description", "content")
+
+
+# --------------------------------------------------------------------------
+# Profiling, stopwords, phrases
+# --------------------------------------------------------------------------
+
+@query("null_profile")
+def q_null_profile(spark, sf_dir):
+    """Null counts of documents left-joined to their labels."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    joined = docs.join(labels, "doc_id", "left")
+    return pf.null_counts(joined, ["text", "lang", "source", "n_chars", "quality", "toxic"])
+
+
+@query("blank_filter_stats")
+def q_blank_filter_stats(spark, sf_dir):
+    """Documents before and after dropping blank processed text."""
+    docs = table(spark, sf_dir, "documents")
+    return pf.filter_stats(docs, q_clean_text(spark, sf_dir))
+
+
+@query("alignment_check")
+def q_alignment_check(spark, sf_dir):
+    """P5: processed documents without a label row, and label rows without a
+    processed document."""
+    proc = q_clean_text(spark, sf_dir).select("doc_id")
+    return pf.alignment(proc, table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("preview")
+def q_preview(spark, sf_dir):
+    """First 5 processed documents."""
+    return pf.preview(q_clean_text(spark, sf_dir), "doc_id", 5)
+
+
+def top_stopwords(spark, sf_dir, n: int = 20) -> list[str]:
+    """The ``n`` most frequent tokens (ties by term): a stand-in stopword
+    list derived from the corpus (the reference's list is not shipped)."""
+    stats = tf.term_stats(tf.term_counts(corpus_tokens(spark, sf_dir, ())))
+    return [r.term for r in stats.orderBy(F.desc("tf"), F.asc("term")).limit(n).collect()]
+
+
+@query("stopword_tokens")
+def q_stopword_tokens(spark, sf_dir):
+    """Processed content without the stopwords; blank results dropped."""
+    sw = top_stopwords(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents", spread_key="doc_id")
+    toks = tf.document_tokens(docs, "doc_id", "text", stopwords=sw)
+    return toks.select("doc_id", F.array_join("tokens", " ").alias("processed_content"))
+
+
+@query("phrase_scores")
+def q_phrase_scores(spark, sf_dir):
+    """Collocations kept as phrases with their scores."""
+    ph = phr.score_phrases(corpus_tokens(spark, sf_dir, ()))
+    return ph.select("a", "b", "n_ab", _rnd(F.col("score")).alias("score"))
+
+
+@query("phrase_apply")
+def q_phrase_apply(spark, sf_dir):
+    """Processed content with learned phrases joined by '_'."""
+    toks = corpus_tokens(spark, sf_dir, ())
+    joined = phr.apply_phrases(toks, phr.score_phrases(toks))
+    return joined.select("doc_id", F.array_join("tokens", " ").alias("processed_content"))

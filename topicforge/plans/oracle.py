@@ -143,6 +143,7 @@ FROM weights
     q["topic_weights"] = _topic_sql(30, True)
     q.update(vector_oracles())
     q.update(page_oracles())
+    q.update(misc_oracles())
     return q
 
 
@@ -282,3 +283,68 @@ def page_oracles() -> dict[str, str]:
     q["page_titles"] = (f"WITH {r}\nSELECT page_id, regexp_replace({unesc}, {_q('^[' + ws + ']+|[' + ws + ']+$')}, '', 'g') "
                         "AS title FROM routed")
     return q
+
+
+_PHRASES = """
+uni AS (SELECT term AS t, sum(tf) AS n FROM counts GROUP BY term),
+nterms AS (SELECT count(*) AS n FROM uni),
+pos_toks AS (
+  SELECT doc_id, CAST(generate_subscripts(tokens, 1) - 1 AS BIGINT) AS pos, unnest(tokens) AS tok
+  FROM toks_kept
+),
+adj AS (
+  SELECT doc_id, pos, tok AS a, lead(tok) OVER (PARTITION BY doc_id ORDER BY pos) AS b FROM pos_toks
+),
+pc AS (SELECT a, b, count(*) AS n_ab FROM adj WHERE b IS NOT NULL GROUP BY a, b HAVING count(*) >= 5),
+phr AS (
+  SELECT pc.a, pc.b, pc.n_ab, (pc.n_ab - 5) * CAST(nterms.n AS DOUBLE) / (ua.n * ub.n) AS score
+  FROM pc JOIN uni ua ON ua.t = pc.a JOIN uni ub ON ub.t = pc.b, nterms
+  WHERE (pc.n_ab - 5) * CAST(nterms.n AS DOUBLE) / (ua.n * ub.n) > 10.0
+)"""
+
+
+def misc_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    cols = ["text", "lang", "source", "n_chars", "quality", "toxic"]
+    nulls = ", ".join(f"CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_{c}" for c in cols)
+    q["null_profile"] = f"SELECT count(*) AS n_rows, {nulls} FROM documents LEFT JOIN labels USING (doc_id)"
+    proc = f"""
+proc AS (
+  SELECT doc_id, processed_content FROM (
+    SELECT doc_id, array_to_string({tokens_sql('text')}, ' ') AS processed_content FROM documents
+  ) WHERE length(regexp_replace(processed_content, {_q(tx.RE_SPACES)}, '', 'g')) > 0
+)"""
+    q["blank_filter_stats"] = (f"WITH {proc}\nSELECT (SELECT count(*) FROM documents) AS n_before, "
+                               "count(*) AS n_after, (SELECT count(*) FROM documents) - count(*) AS n_removed FROM proc")
+    q["alignment_check"] = f"""WITH {proc},
+lk AS (SELECT DISTINCT doc_id FROM proc), rk AS (SELECT DISTINCT doc_id FROM labels)
+SELECT (SELECT count(*) FROM lk WHERE doc_id NOT IN (SELECT doc_id FROM rk)) AS left_only,
+       (SELECT count(*) FROM rk WHERE doc_id NOT IN (SELECT doc_id FROM lk)) AS right_only
+"""
+    q["preview"] = f"WITH {proc}\nSELECT doc_id, processed_content FROM proc ORDER BY doc_id LIMIT 5"
+    q["stopword_tokens"] = f"""WITH {_corpus(extra='')},
+sw AS (SELECT list(term) AS l FROM (
+  SELECT term FROM (SELECT term, sum(tf) AS tf FROM counts GROUP BY term) ORDER BY tf DESC, term LIMIT 20)),
+st AS (SELECT doc_id, list_filter(tokens, lambda x: NOT list_contains(sw.l, x)) AS t FROM toks, sw)
+SELECT doc_id, array_to_string(t, ' ') AS processed_content FROM st WHERE len(t) > 0
+"""
+    q["phrase_scores"] = f"WITH {_corpus(extra='')},{_PHRASES}\nSELECT a, b, n_ab, round(score, {R}) AS score FROM phr"
+    q["phrase_apply"] = f"""WITH {_corpus(extra='')},{_PHRASES},
+starts AS (SELECT adj.doc_id, adj.pos FROM adj JOIN phr ON adj.a = phr.a AND adj.b = phr.b),
+runs AS (SELECT doc_id, pos, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS grp FROM starts),
+chosen AS (
+  SELECT doc_id, pos FROM (
+    SELECT doc_id, pos, min(pos) OVER (PARTITION BY doc_id, grp) AS run0 FROM runs
+  ) WHERE (pos - run0) % 2 = 0
+),
+marked AS (
+  SELECT a.doc_id, a.pos,
+         CASE WHEN c.pos IS NOT NULL THEN a.a || '_' || a.b ELSE a.a END AS tok,
+         p.pos IS NOT NULL AS cont
+  FROM adj a LEFT JOIN chosen c ON c.doc_id = a.doc_id AND c.pos = a.pos
+             LEFT JOIN chosen p ON p.doc_id = a.doc_id AND p.pos + 1 = a.pos
+)
+SELECT doc_id, string_agg(tok, ' ' ORDER BY pos) AS processed_content
+FROM marked WHERE NOT cont GROUP BY doc_id
+"""
+    return q
