@@ -56,14 +56,15 @@ def _header(spark: SparkSession, path: str) -> list[str] | None:
     return [c.lstrip("\ufeff").strip() for c in cols]
 
 
-def valid_article_files(spark: SparkSession, folder: str) -> list[str]:
-    """Files whose header has url, title and content.  Header reads touch
-    only the first line of each file (schema inference is off)."""
-    keep = []
+def valid_article_files(spark: SparkSession, folder: str) -> dict[str, tuple[str, ...]]:
+    """``{path: header}`` of the files whose header has url, title and
+    content.  Header reads touch only the first record of each file (no
+    schema inference)."""
+    keep = {}
     for p in _list_csv(spark, folder):
         cols = _header(spark, p)
         if cols is not None and all(c in cols for c in REQUIRED):
-            keep.append(p)
+            keep[p] = tuple(cols)
     return keep
 
 
@@ -71,20 +72,26 @@ def read_articles(spark: SparkSession, folder: str, with_source: bool = True) ->
     """Bag union of every valid article CSV in ``folder`` as
     ``url, title, content`` (+ ``source_file``).  Fails when no file is valid.
 
-    One multi-path read: Spark splits the files over tasks; no per-file
-    DataFrame union chain.  Files whose header lacks ``description`` still
-    line up because columns are matched by header name (``enforceSchema``
-    off), and a file without a column yields nulls for it.
+    Files are grouped by header and each group is one multi-path read with a
+    string schema in that header's column order (usually a single group), so
+    files with or without ``description`` line up; no per-file union chain.
     """
-    paths = valid_article_files(spark, folder)
-    if not paths:
+    files = valid_article_files(spark, folder)
+    if not files:
         raise FileNotFoundError(f"no readable article CSV with {REQUIRED} in {folder!r}")
-    df = (_csv_reader(spark).option("enforceSchema", "false")
-          .schema(RAW_SCHEMA).csv(paths))
-    cols = [F.col(c) for c in REQUIRED]
-    if with_source:
-        cols.append(F.input_file_name().alias("source_file"))
-    return df.select(*cols)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p, cols in files.items():
+        groups.setdefault(cols, []).append(p)
+    out = None
+    for cols, paths in sorted(groups.items()):
+        schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(cols))])
+        df = _csv_reader(spark).schema(schema).csv(paths)
+        sel = [F.col(f"_c{cols.index(c)}").alias(c) for c in REQUIRED]
+        if with_source:
+            sel.append(F.input_file_name().alias("source_file"))
+        df = df.select(*sel)
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 def source_counts(articles: DataFrame, source_col: str = "source_file") -> DataFrame:
@@ -102,8 +109,10 @@ def read_stopwords(spark: SparkSession, path: str | None) -> list[str]:
     p = jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         return []
+    from topicforge.functions.text import WS
+    strip = F.regexp_replace(F.col("value"), f"^[{WS}]+|[{WS}]+$", "")
     words = (spark.read.text(path)
-             .select(F.trim(F.col("value")).alias("term"))
+             .select(strip.alias("term"))
              .where(F.col("term") != "").distinct())
     n = words.count()
     if n > 1_000_000:
