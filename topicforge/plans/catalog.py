@@ -468,13 +468,13 @@ def q_stopword_tokens(spark, sf_dir):
 @query("phrase_scores")
 def q_phrase_scores(spark, sf_dir):
     """Collocations kept as phrases with their scores."""
-    ph = phr.score_phrases(corpus_tokens(spark, sf_dir, ()))
+    ph = phr.score_phrases(corpus_tokens(spark, sf_dir, ()).persist())
     return ph.select("a", "b", "n_ab", _rnd(F.col("score")).alias("score"))
 
 
 @query("phrase_apply")
 def q_phrase_apply(spark, sf_dir):
     """Processed content with learned phrases joined by '_'."""
-    toks = corpus_tokens(spark, sf_dir, ())
-    joined = phr.apply_phrases(toks, phr.score_phrases(toks))
+    toks = corpus_tokens(spark, sf_dir, ()).persist()
+    joined = phr.apply_phrases(toks, phr.score_phrases(toks).persist())
     return joined.select("doc_id", F.array_join("tokens", " ").alias("processed_content"))
