@@ -90,3 +90,33 @@ def test_lsa_matches_exact_svd(spark):
     assert np.allclose(feats[7], 0.0)
     norms = [np.linalg.norm(v) for i, v in feats.items() if i != 7]
     assert norms == pytest.approx([1.0] * (n_docs - 1))
+
+
+def test_lsa_save_load_and_processed_reread(spark, tmp_path):
+    from topicforge.sources.tables import read_processed, write_table
+    rng = np.random.default_rng(1)
+    a = rng.random((12, 6))
+    rows = [(int(i), int(j), float(a[i, j])) for i, j in zip(*np.nonzero(a))]
+    w = spark.createDataFrame(rows, "doc_id long, idx int, weight double")
+    m = lsa.fit_lsa(w, 6, 12, 3)
+    lsa.save_lsa(spark, m, str(tmp_path / "lsa"))
+    back = lsa.load_lsa(spark, str(tmp_path / "lsa"))
+    assert np.allclose(back.components, m.components) and np.allclose(back.singular_values, m.singular_values)
+    proc = spark.createDataFrame([(1, "a b"), (2, "  "), (3, None)], "doc_id long, processed_content string")
+    write_table(proc, str(tmp_path / "proc"))
+    assert [r.doc_id for r in read_processed(spark, str(tmp_path / "proc")).collect()] == [1]
+
+
+def test_kmeans_load_or_train(spark, tmp_path):
+    from topicforge.operators import kmeans as km
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.random(3)]) for i in range(30)],
+                               "doc_id long, features array<double>")
+    m1, loaded1 = km.load_or_train(df, 3, str(tmp_path))
+    m2, loaded2 = km.load_or_train(df, 3, str(tmp_path))
+    assert (loaded1, loaded2) == (False, True)
+    assert np.allclose(np.array(m1.clusterCenters()), np.array(m2.clusterCenters()))
+    other = df.withColumn("features", F.transform("features", lambda x: x * 2))
+    _, loaded3 = km.load_or_train(other, 3, str(tmp_path))
+    assert loaded3 is False          # features changed: the stored model is not reused
+    assert km.model_summary(m1) == {"n_centroids": 3, "dims": 3}

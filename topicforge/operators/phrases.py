@@ -61,30 +61,31 @@ def apply_phrases(tokens: DataFrame, phrases: DataFrame, p: PhraseParams = Phras
                   joiner: str = "_") -> DataFrame:
     """``(doc_id, tokens)`` with phrase pairs joined by ``joiner``.
 
-    The phrase table is broadcast only when its counted size is within
-    ``p.broadcast_rows``; otherwise the pair join shuffles (AQE splits a hot
-    pair such as a very common bigram).
+    One row per token position; the phrase test is a join on (token, next
+    token) against the phrase table, broadcast when its counted size is
+    within ``p.broadcast_rows`` (a broadcast join keeps the rows where they
+    are).  Everything else is windows over ``doc_id``, so with documents
+    already partitioned by id no further shuffle happens.  A larger phrase
+    table is shuffle-joined (AQE splits a hot pair).
     """
     n_phr = phrases.count()
-    phr = bounded_broadcast(phrases.select("a", "b", F.lit(True).alias("_m")),
+    phr = bounded_broadcast(phrases.select(F.col("a").alias("tok"), F.col("b").alias("nxt"),
+                                           F.lit(True).alias("cand")),
                             n_phr if n_phr <= p.broadcast_rows else None)
-    starts = (adjacent_pairs(tokens).join(phr, ["a", "b"]).select("doc_id", "pos"))
-    w = Window.partitionBy("doc_id").orderBy("pos")
-    runs = starts.withColumn("grp", F.col("pos") - F.row_number().over(w))
-    runs = runs.withColumn("run0", F.min("pos").over(Window.partitionBy("doc_id", "grp")))
-    chosen = runs.where((F.col("pos") - F.col("run0")) % 2 == 0).select("doc_id", "pos")
+    by_doc = Window.partitionBy("doc_id").orderBy("pos")
     toks = (tokens.select("doc_id", F.posexplode_outer("tokens").alias("pos", "tok"))
-            .where(F.col("tok").isNotNull()))
-    nxt = F.lead("tok").over(Window.partitionBy("doc_id").orderBy("pos"))
-    toks = toks.withColumn("nxt", nxt)
-    c_here = chosen.withColumn("_start", F.lit(True))
-    c_prev = chosen.select("doc_id", (F.col("pos") + 1).alias("pos"), F.lit(True).alias("_cont"))
-    marked = (toks.join(c_here, ["doc_id", "pos"], "left").join(c_prev, ["doc_id", "pos"], "left"))
-    out = (marked.where(F.col("_cont").isNull())
-           .select("doc_id", "pos",
-                   F.when(F.col("_start"), F.concat_ws(joiner, "tok", "nxt")).otherwise(F.col("tok"))
-                   .alias("tok")))
-    merged = (out.groupBy("doc_id")
-              .agg(F.array_sort(F.collect_list(F.struct("pos", "tok"))).alias("_s"))
-              .select("doc_id", F.transform("_s", lambda s: s["tok"]).alias("tokens")))
-    return merged
+            .where(F.col("tok").isNotNull())
+            .withColumn("nxt", F.lead("tok").over(by_doc)))
+    marked = toks.join(phr, ["tok", "nxt"], "left").withColumn("cand", F.coalesce("cand", F.lit(False)))
+    # runs of consecutive candidate starts: s, s+1, ... -> keep s, s+2, ...
+    rn = F.row_number().over(Window.partitionBy("doc_id", "cand").orderBy("pos"))
+    marked = marked.withColumn("grp", F.col("pos") - rn)
+    run0 = F.min("pos").over(Window.partitionBy("doc_id", "cand", "grp"))
+    marked = marked.withColumn("start", F.col("cand") & (((F.col("pos") - run0) % 2) == 0))
+    marked = marked.withColumn("cont", F.coalesce(F.lag("start").over(by_doc), F.lit(False)))
+    out = marked.where(~F.col("cont")).select(
+        "doc_id", "pos",
+        F.when(F.col("start"), F.concat_ws(joiner, "tok", "nxt")).otherwise(F.col("tok")).alias("tok"))
+    return (out.groupBy("doc_id")
+            .agg(F.array_sort(F.collect_list(F.struct("pos", "tok"))).alias("_s"))
+            .select("doc_id", F.transform("_s", lambda s: s["tok"]).alias("tokens")))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -52,3 +53,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Re-read a stored table."""
     return spark.read.format(fmt).load(path)
+
+
+def read_processed(spark: SparkSession, path: str, text_col: str = "processed_content",
+                   fmt: str = "parquet") -> DataFrame:
+    """Re-read a stored processed table and re-apply the blank filter
+    (P3), as every modelling step of the reference does on load."""
+    from topicforge.functions.text import not_blank
+    return read_table(spark, path, fmt).where(not_blank(F.col(text_col)))
