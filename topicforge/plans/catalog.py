@@ -250,10 +250,15 @@ N_COMPONENTS = 300     # LSA dimensions
 _FITTED: dict = {}     # fitted driver-side models per corpus (bounded: k x dims)
 
 
+def _key(spark: SparkSession, *parts):
+    """Memo key: one Spark application and one corpus."""
+    return (spark.sparkContext.applicationId,) + parts
+
+
 def lsa_stage(spark: SparkSession, sf_dir: str):
     """documents -> tokens -> TF-IDF -> LSA model (memoised per corpus)."""
     toks, model, weights = corpus_tfidf(spark, sf_dir)
-    key = ("lsa", sf_dir)
+    key = _key(spark, "lsa", sf_dir)
     if key not in _FITTED:
         n_terms = model.vocabulary.count()
         _FITTED[key] = lsa.fit_lsa(weights, n_terms, model.n_docs, N_COMPONENTS, seed=42)
@@ -265,7 +270,7 @@ def lsa_features(spark: SparkSession, sf_dir: str):
     over them and every later query reads them (the reference stores the
     LSA matrix for the same reason)."""
     toks, model, weights, lm = lsa_stage(spark, sf_dir)
-    key = ("features", sf_dir)
+    key = _key(spark, "features", sf_dir)
     if key not in _FITTED:
         checkpoint_dir(spark)
         _FITTED[key] = lsa.project(weights, toks.select("doc_id"), lm).checkpoint()
@@ -274,7 +279,7 @@ def lsa_features(spark: SparkSession, sf_dir: str):
 
 def kmeans_stage(spark: SparkSession, sf_dir: str):
     toks, model, weights, lm, feats = lsa_features(spark, sf_dir)
-    key = ("kmeans", sf_dir, K_TOPICS)
+    key = _key(spark, "kmeans", sf_dir, K_TOPICS)
     if key not in _FITTED:
         _FITTED[key] = km.fit_kmeans(feats, min(K_TOPICS, model.n_docs), "features", seed=42)
     return toks, model, lm, feats, _FITTED[key]
@@ -331,7 +336,7 @@ def q_topic_terms_lsa(spark, sf_dir):
 @query("k_sweep")
 def q_k_sweep(spark, sf_dir):
     """A4/A5: inertia (best of 3 seeds) and exact silhouette for K = 5..50."""
-    key = ("sweep", sf_dir)
+    key = _key(spark, "sweep", sf_dir)
     if key not in _FITTED:
         pts = embedding_points(spark, sf_dir)
         sw = ev.k_sweep(pts, 5, 50, 1, n_init=3, seed=42, id_col="vec_id", vec_col="vec",
