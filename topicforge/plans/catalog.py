@@ -339,8 +339,7 @@ def q_k_sweep(spark, sf_dir):
     key = _key(spark, "sweep", sf_dir)
     if key not in _FITTED:
         pts = embedding_points(spark, sf_dir)
-        sw = ev.k_sweep(pts, 5, 50, 1, n_init=3, seed=42, id_col="vec_id", vec_col="vec",
-                        block_rows=4096)
+        sw = ev.k_sweep(pts, 5, 50, 1, n_init=3, seed=42, id_col="vec_id", vec_col="vec")
         _FITTED[key] = sw.cache()
     sw = _FITTED[key]
     return sw.select("k", _rnd(F.col("inertia")).alias("inertia"),
