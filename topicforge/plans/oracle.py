@@ -55,7 +55,7 @@ nd AS (SELECT count(*) AS n FROM toks_kept)"""
 
 _VOCAB = """
 stats AS (
-  SELECT term, count(*) AS df, sum(tf) AS tf FROM counts GROUP BY term
+  SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM counts GROUP BY term
 ),
 eligible AS (
   SELECT s.* FROM stats s, nd WHERE s.df >= 5 AND s.df <= 0.8 * nd.n
@@ -108,7 +108,7 @@ SELECT doc_id, processed_content FROM (
 """
     q["term_stats"] = f"""
 WITH {_corpus(extra='')}
-SELECT term, count(*) AS df, sum(tf) AS tf FROM counts GROUP BY term
+SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM counts GROUP BY term
 """
     q["vocabulary"] = f"""
 WITH {_corpus()},{_VOCAB}
@@ -286,7 +286,7 @@ def page_oracles() -> dict[str, str]:
 
 
 _PHRASES = """
-uni AS (SELECT term AS t, sum(tf) AS n FROM counts GROUP BY term),
+uni AS (SELECT term AS t, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY term),
 nterms AS (SELECT count(*) AS n FROM uni),
 pos_toks AS (
   SELECT doc_id, CAST(generate_subscripts(tokens, 1) - 1 AS BIGINT) AS pos, unnest(tokens) AS tok
@@ -324,7 +324,7 @@ SELECT (SELECT count(*) FROM lk WHERE doc_id NOT IN (SELECT doc_id FROM rk)) AS
     q["preview"] = f"WITH {proc}\nSELECT doc_id, processed_content FROM proc ORDER BY doc_id LIMIT 5"
     q["stopword_tokens"] = f"""WITH {_corpus(extra='')},
 sw AS (SELECT list(term) AS l FROM (
-  SELECT term FROM (SELECT term, sum(tf) AS tf FROM counts GROUP BY term) ORDER BY tf DESC, term LIMIT 20)),
+  SELECT term FROM (SELECT term, CAST(sum(tf) AS BIGINT) AS tf FROM counts GROUP BY term) ORDER BY tf DESC, term LIMIT 20)),
 st AS (SELECT doc_id, list_filter(tokens, lambda x: NOT list_contains(sw.l, x)) AS t FROM toks, sw)
 SELECT doc_id, array_to_string(t, ' ') AS processed_content FROM st WHERE len(t) > 0
 """
