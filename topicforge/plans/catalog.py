@@ -118,7 +118,9 @@ def q_vocabulary(spark, sf_dir):
 def q_vocab_head(spark, sf_dir):
     """First 50 vocabulary terms."""
     _, model, _ = corpus_tfidf(spark, sf_dir)
-    return tp.vocabulary_head(model.vocabulary, 50).select("rank", "term")
+    size = model.vocabulary.count()          # bounded by max_features; one number
+    return tp.vocabulary_head(model.vocabulary, 50).select(
+        "rank", "term", F.lit(size).cast("long").alias("vocab_size"))
 
 
 @query("tfidf_weights")
@@ -235,6 +237,13 @@ def q_dbscan_labels(spark, sf_dir):
     return _dbscan(spark, sf_dir).select("vec_id", "cluster")
 
 
+@query("dbscan_sizes")
+def q_dbscan_sizes(spark, sf_dir):
+    """C5 (DBSCAN form): points per cluster, noise as -1."""
+    return (_dbscan(spark, sf_dir).groupBy("cluster")
+            .agg(F.count(F.lit(1)).alias("n_points")))
+
+
 @query("dbscan_summary")
 def q_dbscan_summary(spark, sf_dir):
     """Clusters, noise and total."""
@@ -307,6 +316,16 @@ def q_kmeans_labels(spark, sf_dir):
     return km.predict(m, feats, "features").select("doc_id", "cluster")
 
 
+@query("labelled_docs")
+def q_labelled_docs(spark, sf_dir):
+    """The processed table with each document's K-Means cluster,
+    attached by key (the reference attaches by row position)."""
+    toks, _, _, feats, m = kmeans_stage(spark, sf_dir)
+    labels = km.predict(m, feats, "features").select("doc_id", "cluster")
+    proc = q_clean_text(spark, sf_dir)
+    return proc.join(labels, "doc_id", "left").select("doc_id", "processed_content", "cluster")
+
+
 @query("kmeans_sizes")
 def q_kmeans_sizes(spark, sf_dir):
     """Documents per K-Means cluster."""

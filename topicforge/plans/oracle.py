@@ -116,7 +116,8 @@ SELECT term, idx, df, tf, round(idf, {R}) AS idf FROM vocab
 """
     q["vocab_head"] = f"""
 WITH {_corpus()},{_VOCAB}
-SELECT CAST(row_number() OVER (ORDER BY term) AS INTEGER) AS rank, term
+SELECT CAST(row_number() OVER (ORDER BY term) AS INTEGER) AS rank, term,
+       (SELECT count(*) FROM vocab) AS vocab_size
 FROM (SELECT term FROM vocab ORDER BY term LIMIT 50)
 """
     q["tfidf_weights"] = f"""
@@ -218,6 +219,7 @@ def vector_oracles() -> dict[str, str]:
                                   f"round(avg(s), {R}) AS silhouette FROM ss GROUP BY cluster")
     db = _dbscan_sql(1.15, 5)
     q["dbscan_labels"] = f"{db}\nSELECT vec_id, cluster FROM labels"
+    q["dbscan_sizes"] = f"{db}\nSELECT cluster, count(*) AS n_points FROM labels GROUP BY cluster"
     q["dbscan_summary"] = (f"{db}\nSELECT count(DISTINCT CASE WHEN cluster >= 0 THEN cluster END) AS n_clusters, "
                            "CAST(sum(CASE WHEN cluster = -1 THEN 1 ELSE 0 END) AS BIGINT) AS n_noise, "
                            "count(*) AS n_points FROM labels")
