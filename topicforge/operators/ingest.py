@@ -70,11 +70,31 @@ def first_links(links: DataFrame) -> DataFrame:
     return links.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
-def exclude_known(links: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Drop links already stored for the same (site, category)."""
+def stored_for(stored: DataFrame, keys: DataFrame, max_literal: int = 10_000) -> DataFrame:
+    """The stored rows of the (site_key, category) pairs named in ``keys``
+    only.  Up to ``max_literal`` pairs (counted first) become one hash-set
+    ``IN`` on the store's partition columns, which Spark evaluates against
+    the folder names: other (site, category) folders are never opened.  A
+    larger pair list falls back to a semi-join."""
+    pairs = keys.select("site_key", "category").distinct()
+    got = pairs.limit(max_literal + 1).collect()
+    if len(got) > max_literal:
+        return stored.join(pairs, ["site_key", "category"], "left_semi")
+    sep = "\u0001"
+    wanted = sorted({f"{r.site_key}{sep}{r.category}" for r in got})
+    return stored.where(F.concat_ws(sep, "site_key", "category").isin(wanted))
+
+
+def exclude_known(links: DataFrame, stored: DataFrame | None,
+                  keys: DataFrame | None = None) -> DataFrame:
+    """Drop links already stored for the same (site, category).  Only the
+    partitions of the categories being crawled are read from the store;
+    ``keys`` (e.g. the routed category pages) names them without running the
+    link extraction a second time."""
     if stored is None:
         return links
-    known = stored.select("site_key", "category", F.col("url").alias("link"))
+    known = stored_for(stored, links if keys is None else keys)
+    known = known.select("site_key", "category", F.col("url").alias("link"))
     return links.join(known, ["site_key", "category", "link"], "left_anti")
 
 
@@ -122,8 +142,8 @@ def ingest(category_pages: DataFrame, fetched: DataFrame, stored: DataFrame | No
     article is routed to the (site, category) of the category page that
     linked it.
     """
-    links = cap_links(exclude_known(first_links(extract_links(route(category_pages, sites), sites)),
-                                    stored), limit)
+    routed = route(category_pages, sites)
+    links = cap_links(exclude_known(first_links(extract_links(routed, sites)), stored, routed), limit)
     todo = links.select("link", "site_key", "category").distinct()
     pages = (fetched.select("page_id", F.col("url").alias("link"), "html")
              .join(todo, "link").withColumnRenamed("link", "url"))

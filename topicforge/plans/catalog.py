@@ -410,14 +410,17 @@ def _stored_pages(spark, sf_dir):
 @query("new_links")
 def q_new_links(spark, sf_dir):
     """Links not yet stored for their (site, category)."""
-    links = ig.first_links(page_links_df(spark, sf_dir))
-    return ig.exclude_known(links, _stored_pages(spark, sf_dir)).select("page_id", "link")
+    routed = routed_pages(spark, sf_dir)
+    links = ig.first_links(ig.extract_links(routed, sites.EXAMPLE_SITES))
+    return ig.exclude_known(links, _stored_pages(spark, sf_dir), routed).select("page_id", "link")
 
 
 @query("capped_links")
 def q_capped_links(spark, sf_dir):
     """First 50 new links per category page, in link order."""
-    links = ig.exclude_known(ig.first_links(page_links_df(spark, sf_dir)), _stored_pages(spark, sf_dir))
+    routed = routed_pages(spark, sf_dir)
+    links = ig.exclude_known(ig.first_links(ig.extract_links(routed, sites.EXAMPLE_SITES)),
+                             _stored_pages(spark, sf_dir), routed)
     return ig.cap_links(links, 50).select("page_id", "link", F.col("rank").cast("int").alias("rank"))
 
 

@@ -32,11 +32,13 @@ OUT_COLS = ["url", "title", "description", "content", "page_id", "site_key", "ca
 
 def new_articles(batch: DataFrame, stored: DataFrame | None, sites=NEWS_SITES) -> DataFrame:
     """Articles of one batch of fetched pages that are not stored yet."""
-    arts = ig.extract_articles(ig.route(batch, sites), sites)
+    routed = ig.route(batch, sites)
+    arts = ig.extract_articles(routed, sites)
     first = Window.partitionBy("site_key", "category", "url").orderBy("page_id")
     arts = arts.withColumn("_r", F.row_number().over(first)).where("_r = 1").drop("_r")
     if stored is not None:
-        known = stored.select("site_key", "category", "url")
+        # only the stored partitions of this batch's (site, category) pairs
+        known = ig.stored_for(stored, routed).select("site_key", "category", "url")
         arts = arts.join(known, ["site_key", "category", "url"], "left_anti")
     return arts.select(*OUT_COLS)
 
