@@ -337,8 +337,8 @@ def q_model_summary(spark, sf_dir):
     """Centroids and dimensions of the fitted K-Means model."""
     _, _, _, feats, m = kmeans_stage(spark, sf_dir)
     s = km.model_summary(m)
-    return feats.limit(1).select(F.lit(s["n_centroids"]).alias("n_centroids"),
-                                 F.lit(s["dims"]).alias("dims"))
+    return feats.limit(1).select(F.lit(s["n_centroids"]).cast("int").alias("n_centroids"),
+                                 F.lit(s["dims"]).cast("int").alias("dims"))
 
 
 @query("topic_terms_lsa")

@@ -134,6 +134,11 @@ braw AS (
 SELECT doc_id AS item_id, idx, term,
        round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), {R}) AS weight
 FROM braw
+"""
+    q["model_summary"] = f"""
+WITH {_corpus()},{_VOCAB}
+SELECT CAST(least(34, (SELECT n FROM nd)) AS INTEGER) AS n_centroids,
+       CAST(least(300, (SELECT n FROM nd) - 1, (SELECT count(*) FROM vocab) - 1) AS INTEGER) AS dims
 """
     q["matrix_shape"] = f"""
 WITH {_corpus()},{_VOCAB},{_WEIGHTS}
