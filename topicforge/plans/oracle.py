@@ -283,15 +283,48 @@ def page_oracles() -> dict[str, str]:
     q["capped_links"] = (f"WITH {r}\nSELECT page_id, link, rank FROM (SELECT page_id, link, CAST(row_number() OVER "
                          "(PARTITION BY page_id ORDER BY selector_ix, pos) AS INTEGER) AS rank FROM fresh) "
                          "WHERE rank <= 50")
-    unesc = "regexp_extract(html, '<article><h1>(.*?)</h1>', 1)"
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        unesc = f"replace({unesc}, {_q(a)}, {_q(b)})"
+    unesc = _unescape("regexp_extract(html, '<article><h1>(.*?)</h1>', 1)")
     ws = tx.WS
     q["page_titles"] = (f"WITH {r}\nSELECT page_id, regexp_replace({unesc}, {_q('^[' + ws + ']+|[' + ws + ']+$')}, '', 'g') "
                         "AS title FROM routed")
+    # Element text = its text nodes, each stripped, glued together.
+    # On these pages that is: drop tags with the whitespace around them, trim.
+    def text_of(e):
+        e = f"regexp_replace({e}, {_q('[' + ws + ']*<[^>]*>[' + ws + ']*')}, '', 'g')"
+        e = f"regexp_replace({e}, {_q('^[' + ws + ']+|[' + ws + ']+$')}, '', 'g')"
+        return _unescape(e)
+    para = text_of(f"regexp_replace(piece, {_q('(?s)</p>.*$')}, '')")
+    desc = text_of("regexp_extract(html, '(?s)<div class=\"ad\">(.*?)</div>', 1)")
+    title = text_of("regexp_extract(html, '(?s)<article><h1>(.*?)</h1>', 1)")
+    q["page_articles"] = f"""WITH {r},
+arts AS (
+  SELECT page_id, url, site_key, category, {title} AS title,
+         CASE WHEN site_key = 'example.com' THEN '' ELSE {desc} END AS description,
+         regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS body
+  FROM routed
+),
+pieces AS (
+  SELECT page_id, generate_subscripts(parts, 1) AS i, unnest(parts) AS piece
+  FROM (SELECT page_id, string_split(body, '<p>') AS parts FROM arts)
+),
+paras AS (SELECT page_id, i, {para} AS txt FROM pieces WHERE i > 1),
+content AS (SELECT page_id, string_agg(txt, chr(10) ORDER BY i) AS content FROM paras GROUP BY page_id)
+SELECT a.page_id, a.url, a.site_key, a.category, a.title, a.description, c.content
+FROM arts a JOIN content c USING (page_id) WHERE c.content <> ''
+"""
     return q
 
 
+def _unescape(e: str) -> str:
+    """Single-pass HTML unescaping of the entities these pages use; the
+    legacy names are also recognised without the closing ';', as HTML
+    parsers do (``&amp`` -> ``&``).  ``&amp`` goes last so ``&amp;lt;``
+    stays ``&lt;``."""
+    for a, b in (("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;", "'"), ("&amp;?", "&")):
+        e = f"regexp_replace({e}, {_q(a)}, {_q(b)}, 'g')"
+    return e
+
+
 _PHRASES = """
 uni AS (SELECT term AS t, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY term),
 nterms AS (SELECT count(*) AS n FROM uni),
