@@ -218,6 +218,16 @@ def q_silhouette_by_cluster(spark, sf_dir):
                                       _rnd(F.col("silhouette")).alias("silhouette"))
 
 
+@query("silhouette_sq_euclidean")
+def q_silhouette_sq_euclidean(spark, sf_dir):
+    """A5 (scalable variant): squared-Euclidean silhouette of the label
+    clustering from Spark ML's evaluator (O(n k), no pairs)."""
+    pts = embedding_points(spark, sf_dir)
+    score = sil.silhouette_sq_euclidean(pts, "vec", "cluster")
+    return pts.agg(F.count(F.lit(1)).alias("n_points")).select(
+        "n_points", F.round(F.lit(score), R).alias("silhouette"))
+
+
 @query("silhouette_sampled")
 def q_silhouette_sampled(spark, sf_dir):
     """A5s: silhouette of a deterministic 2000-point sample."""
@@ -294,6 +304,15 @@ def kmeans_stage(spark: SparkSession, sf_dir: str):
     return toks, model, lm, feats, _FITTED[key]
 
 
+@query("dbscan_lsa_summary")
+def q_dbscan_lsa_summary(spark, sf_dir):
+    """C6/C7 on the reference's own path: DBSCAN (eps 0.5, min 5) over the
+    unit-length LSA vectors of the documents."""
+    feats = lsa_features(spark, sf_dir)[4]
+    labels = db.dbscan(feats, 0.5, 5, id_col="doc_id", vec_col="features")
+    return db.dbscan_summary(labels)
+
+
 @query("lsa_spectrum")
 def q_lsa_spectrum(spark, sf_dir):
     """singular values and explained variance ratio per component."""

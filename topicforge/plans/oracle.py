@@ -222,6 +222,24 @@ def vector_oracles() -> dict[str, str]:
     q["silhouette_exact"] = f"WITH {_SIL}\nSELECT count(*) AS n_points, round(avg(s), {R}) AS silhouette FROM ss"
     q["silhouette_by_cluster"] = (f"WITH {_SIL}\nSELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n_points, "
                                   f"round(avg(s), {R}) AS silhouette FROM ss GROUP BY cluster")
+    q["silhouette_sq_euclidean"] = f"""
+WITH e AS (SELECT vec_id, label AS cluster, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+sz AS (SELECT cluster, count(*) AS n FROM e GROUP BY cluster),
+pd AS (
+  SELECT a.vec_id, a.cluster AS own, b.cluster AS other,
+         sum(list_distance(a.v, b.v) * list_distance(a.v, b.v)) AS s
+  FROM e a, e b WHERE a.vec_id <> b.vec_id GROUP BY a.vec_id, a.cluster, b.cluster
+),
+pp AS (
+  SELECT vec_id, max(CASE WHEN other = own THEN s / (n - 1) END) AS a,
+         min(CASE WHEN other <> own THEN s / n END) AS b, max(CASE WHEN other = own THEN n END) AS n_own
+  FROM pd JOIN sz ON sz.cluster = pd.other GROUP BY vec_id
+)
+SELECT count(*) AS n_points,
+       round(avg(CASE WHEN n_own > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0.0 END), {R})
+       AS silhouette
+FROM pp
+"""
     db = _dbscan_sql(1.15, 5)
     q["dbscan_labels"] = f"{db}\nSELECT vec_id, cluster FROM labels"
     q["dbscan_sizes"] = f"{db}\nSELECT cluster, count(*) AS n_points FROM labels GROUP BY cluster"
