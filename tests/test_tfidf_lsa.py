@@ -120,3 +120,15 @@ def test_kmeans_load_or_train(spark, tmp_path):
     _, loaded3 = km.load_or_train(other, 3, str(tmp_path))
     assert loaded3 is False          # features changed: the stored model is not reused
     assert km.model_summary(m1) == {"n_centroids": 3, "dims": 3}
+
+
+def test_model_tables_without_arrow(spark):
+    """Driver-side model tables must build in sessions with Arrow off."""
+    m = lsa.LsaModel(np.arange(6, dtype=float).reshape(3, 2), np.array([2.0, 1.0]), 3)
+    old = spark.conf.get("spark.sql.execution.arrow.pyspark.enabled")
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
+    try:
+        rows = lsa.components_table(spark, m).orderBy("idx").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", old)
+    assert [r.loading for r in rows] == [[0.0, 1.0], [2.0, 3.0], [4.0, 5.0]]
