@@ -44,3 +44,11 @@ def test_category_and_site(spark):
     out = df.select(ux.category(F.col("url")).alias("c"), ux.site_key(F.col("url"), keys).alias("k")).collect()
     assert [r.c for r in out] == ["trang-chu", "a_b", "a", "a.b_c", "x", "x"]
     assert [r.k for r in out] == ["vnexpress", "vnexpress", "tuoitre", None, None, "vnexpress"]
+
+
+def test_site_dimension(spark):
+    from topicforge.sources.sites import NEWS_SITES, site_table
+    rows = site_table(spark).orderBy("ord").collect()
+    assert [r.site_key for r in rows] == [s[0] for s in NEWS_SITES] and len(rows) == 7
+    assert rows[0].base_url is None and rows[1].base_url == "https://znews.vn"
+    assert rows[6].article_selectors.content.count(",") == 2

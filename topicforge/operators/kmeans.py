@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -76,7 +75,3 @@ def model_summary(model: KMeansModel) -> dict:
     """Number of centroids and their dimension."""
     centers = model.clusterCenters()
     return {"n_centroids": len(centers), "dims": int(len(centers[0])) if centers else 0}
-
-
-def cached(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

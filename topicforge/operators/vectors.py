@@ -24,12 +24,6 @@ def sq_dist(a: Column, b: Column) -> Column:
                        F.lit(0.0), lambda acc, x: acc + x)
 
 
-def l2_normalise(c: Column) -> Column:
-    """Scale to unit L2 norm; a zero vector stays zero."""
-    n = F.sqrt(F.aggregate(F.transform(c, lambda x: x * x), F.lit(0.0), lambda acc, x: acc + x))
-    return F.when(n > 0, F.transform(c, lambda x: x / n)).otherwise(c)
-
-
 def centers_literal(centers) -> Column:
     arr = np.asarray(centers, dtype=np.float64)
     return F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in arr])
