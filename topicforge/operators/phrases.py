@@ -49,8 +49,10 @@ def score_phrases(tokens: DataFrame, p: PhraseParams = PhraseParams()) -> DataFr
     n_terms = uni.count()
     pairs = adjacent_pairs(tokens).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_ab"))
     pairs = pairs.where(F.col("n_ab") >= p.min_count)
-    ua = uni.select(F.col("t").alias("a"), F.col("n").alias("n_a"))
-    ub = uni.select(F.col("t").alias("b"), F.col("n").alias("n_b"))
+    # the unigram table grows with the vocabulary: never broadcast it (a
+    # sort-merge join; AQE splits a hot token such as a very common word)
+    ua = uni.select(F.col("t").alias("a"), F.col("n").alias("n_a")).hint("merge")
+    ub = uni.select(F.col("t").alias("b"), F.col("n").alias("n_b")).hint("merge")
     scored = (pairs.join(ua, "a").join(ub, "b")
               .withColumn("score", (F.col("n_ab") - p.min_count) * F.lit(float(n_terms))
                           / (F.col("n_a") * F.col("n_b"))))
