@@ -21,8 +21,22 @@ def as_vectors(df: DataFrame, vec_col: str = "features") -> DataFrame:
     return df.withColumn("_fv", array_to_vector(F.col(vec_col)))
 
 
+def center_tolerance(data: DataFrame, features_col: str = "_fv", rel_tol: float = 1e-4) -> float:
+    """The reference's K-Means tolerance is *relative*: iterations stop when
+    the squared centre shift summed over centres is at most ``rel_tol`` times
+    the mean per-feature (population) variance of the data.  Spark's ``tol``
+    bounds each centre's shift, so we pass the square root of that amount.
+    One summary pass (JVM ``Summarizer``)."""
+    from pyspark.ml.stat import Summarizer
+    r = data.select(Summarizer.metrics("variance", "count").summary(F.col(features_col)).alias("s")).first()
+    n = r["s"]["count"]
+    var = r["s"]["variance"].toArray()
+    pop = float(var.mean()) * (n - 1) / n if n > 1 else 0.0
+    return max(pop * rel_tol, 0.0) ** 0.5 or 1e-12
+
+
 def fit_kmeans(df: DataFrame, k: int, vec_col: str = "features", seed: int = 42,
-               max_iter: int = 300, tol: float = 1e-4) -> KMeansModel:
+               max_iter: int = 300, rel_tol: float = 1e-4) -> KMeansModel:
     """Fit on ``vec_col`` (array<double>).  Raises for k < 1 or k > n."""
     data = as_vectors(df.select(vec_col), vec_col).select("_fv")
     if k < 1:
@@ -30,8 +44,8 @@ def fit_kmeans(df: DataFrame, k: int, vec_col: str = "features", seed: int = 42,
     n = data.count()
     if k > n:
         raise ValueError(f"k={k} exceeds the number of points ({n})")
-    km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="_fv",
-                predictionCol="_cluster")
+    km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=center_tolerance(data, "_fv", rel_tol),
+                featuresCol="_fv", predictionCol="_cluster")
     return km.fit(data)
 
 
