@@ -56,3 +56,14 @@ def test_ingest_chain(spark, tmp_path):
         "page_id", "url", "'<html></html>' AS html"), SITES), SITES)
     assert none.count() == 0
     assert MISSING_TITLE == "Không tìm thấy"
+
+
+def test_first_links_in_task_equals_window(spark):
+    cats = spark.createDataFrame([(1, "https://www.news.vn/a/", _category_page(7)),
+                                  (2, "https://www.news.vn/b/", _category_page(3))],
+                                 "page_id long, url string, html string")
+    routed = ig.route(cats, SITES)
+    by_window = ig.first_links(ig.extract_links(routed, SITES))
+    in_task = ig.extract_links(routed, SITES, first_only=True)
+    cols = ["page_id", "link", "selector_ix", "pos"]
+    assert sorted(by_window.select(cols).collect()) == sorted(in_task.select(cols).collect())

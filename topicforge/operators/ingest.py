@@ -45,8 +45,14 @@ def route(pages: DataFrame, sites=NEWS_SITES, url_col: str = "url") -> DataFrame
             .withColumn("category", ux.category(F.col(url_col))))
 
 
-def extract_links(routed: DataFrame, sites=NEWS_SITES) -> DataFrame:
-    """Every article link of every routed category page."""
+def extract_links(routed: DataFrame, sites=NEWS_SITES, first_only: bool = False) -> DataFrame:
+    """Every article link of every routed category page.
+
+    With ``first_only`` each link is kept once per page, at its first
+    (selector, position) (W3) inside the task that parsed the page: all of a
+    page's links come from one call, so this needs no shuffle (the window
+    form, ``first_links``, needs one because Spark cannot know the Python
+    stage's output is still grouped by page)."""
     link_sel, _ = _site_maps(sites)
 
     def part(batches):
@@ -55,7 +61,12 @@ def extract_links(routed: DataFrame, sites=NEWS_SITES) -> DataFrame:
             for pid, url, html, key, cat in zip(pdf["page_id"], pdf["url"], pdf["html"],
                                                 pdf["site_key"], pdf["category"]):
                 root = hx.parse(html)
+                seen = set()
                 for si, pos, href, link in hx.article_links(root, url, link_sel.get(key, [])):
+                    if first_only:
+                        if link in seen:
+                            continue
+                        seen.add(link)
                     rows.append((pid, key, cat, si, pos, href, link))
             yield pd.DataFrame(rows, columns=["page_id", "site_key", "category", "selector_ix",
                                               "pos", "href", "link"])
@@ -143,7 +154,7 @@ def ingest(category_pages: DataFrame, fetched: DataFrame, stored: DataFrame | No
     linked it.
     """
     routed = route(category_pages, sites)
-    links = cap_links(exclude_known(first_links(extract_links(routed, sites)), stored, routed), limit)
+    links = cap_links(exclude_known(extract_links(routed, sites, first_only=True), stored, routed), limit)
     todo = links.select("link", "site_key", "category").distinct()
     pages = (fetched.select("page_id", F.col("url").alias("link"), "html")
              .join(todo, "link").withColumnRenamed("link", "url"))

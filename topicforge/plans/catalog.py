@@ -430,7 +430,7 @@ def _stored_pages(spark, sf_dir):
 def q_new_links(spark, sf_dir):
     """Links not yet stored for their (site, category)."""
     routed = routed_pages(spark, sf_dir)
-    links = ig.first_links(ig.extract_links(routed, sites.EXAMPLE_SITES))
+    links = ig.extract_links(routed, sites.EXAMPLE_SITES, first_only=True)
     return ig.exclude_known(links, _stored_pages(spark, sf_dir), routed).select("page_id", "link")
 
 
@@ -438,7 +438,7 @@ def q_new_links(spark, sf_dir):
 def q_capped_links(spark, sf_dir):
     """First 50 new links per category page, in link order."""
     routed = routed_pages(spark, sf_dir)
-    links = ig.exclude_known(ig.first_links(ig.extract_links(routed, sites.EXAMPLE_SITES)),
+    links = ig.exclude_known(ig.extract_links(routed, sites.EXAMPLE_SITES, first_only=True),
                              _stored_pages(spark, sf_dir), routed)
     return ig.cap_links(links, 50).select("page_id", "link", F.col("rank").cast("int").alias("rank"))
 
