@@ -61,3 +61,10 @@ def test_stopwords(spark, tmp_path):
     p.write_text("  và \nthì\n\n và\n", encoding="utf-8")
     assert ar.read_stopwords(spark, str(p)) == ["thì", "và"]
     assert ar.read_stopwords(spark, str(tmp_path / "missing.txt")) == []
+
+
+def test_stopwords_after_phrases(spark):
+    assert phr.phrase_stopwords(["bởi vì", " và ", ""]) == ["bởi_vì", "và"]
+    toks = spark.createDataFrame([(1, ["bởi_vì", "trời", "và", "mưa", "x"])], "doc_id long, tokens array<string>")
+    out = phr.drop_stopwords(toks, ["bởi vì", "và"]).first()
+    assert out.tokens == ["trời", "mưa"]

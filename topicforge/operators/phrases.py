@@ -91,3 +91,18 @@ def apply_phrases(tokens: DataFrame, phrases: DataFrame, p: PhraseParams = Phras
     return (out.groupBy("doc_id")
             .agg(F.array_sort(F.collect_list(F.struct("pos", "tok"))).alias("_s"))
             .select("doc_id", F.transform("_s", lambda s: s["tok"]).alias("tokens")))
+
+
+def phrase_stopwords(words: list[str], joiner: str = "_") -> list[str]:
+    """Stopword entries written with spaces (multi-word entries) in the form
+    joined tokens take once phrases are applied (``a b`` -> ``a_b``);
+    otherwise such an entry could never match a token."""
+    return sorted({joiner.join(w.split()) for w in words if w.strip()})
+
+
+def drop_stopwords(tokens: DataFrame, stopwords: list[str], joiner: str = "_") -> DataFrame:
+    """T11 after T9b: remove stopwords (normalised with ``phrase_stopwords``)
+    and tokens shorter than 2 characters from phrase-joined token arrays."""
+    from topicforge.functions.text import filter_tokens
+    sw = phrase_stopwords(stopwords, joiner)
+    return tokens.select("doc_id", filter_tokens(F.col("tokens"), sw).alias("tokens"))
