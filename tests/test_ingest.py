@@ -67,3 +67,12 @@ def test_first_links_in_task_equals_window(spark):
     in_task = ig.extract_links(routed, SITES, first_only=True)
     cols = ["page_id", "link", "selector_ix", "pos"]
     assert sorted(by_window.select(cols).collect()) == sorted(in_task.select(cols).collect())
+
+
+def test_bad_page_yields_no_links(spark):
+    bad = '<h3 class="title"><a href="http://[bad-ipv6/x">x</a></h3>'
+    cats = spark.createDataFrame([(1, "https://www.news.vn/a/", bad),
+                                  (2, "https://www.news.vn/b/", _category_page(2))],
+                                 "page_id long, url string, html string")
+    links = ig.extract_links(ig.route(cats, SITES), SITES).collect()
+    assert {r.page_id for r in links} == {2} and len(links) == 3

@@ -60,9 +60,12 @@ def extract_links(routed: DataFrame, sites=NEWS_SITES, first_only: bool = False)
             rows = []
             for pid, url, html, key, cat in zip(pdf["page_id"], pdf["url"], pdf["html"],
                                                 pdf["site_key"], pdf["category"]):
-                root = hx.parse(html)
+                try:
+                    found = hx.article_links(hx.parse(html), url, link_sel.get(key, []))
+                except Exception:  # a page that fails to parse yields no links
+                    continue
                 seen = set()
-                for si, pos, href, link in hx.article_links(root, url, link_sel.get(key, [])):
+                for si, pos, href, link in found:
                     if first_only:
                         if link in seen:
                             continue
