@@ -146,3 +146,18 @@ def test_k_sweep_against_brute_force(spark):
     best_k = ev.best_k(spark.createDataFrame([(r.k, r.inertia, r.silhouette) for r in sweep],
                                              "k int, inertia double, silhouette double")).first()
     assert best_k.silhouette == max(r.silhouette for r in sweep)
+
+
+def test_sampled_silhouette_paths(spark):
+    from topicforge.operators import evaluate as ev
+    x = _blobs(6)
+    lab = np.array([0] * 30 + [1] * 30 + [2] * 40)
+    pts = _points(spark, x, lab)
+    sample = sil.sample_points(pts, "vec_id", 40, seed=42)
+    ids = sorted(r.vec_id for r in sample.collect())
+    assert len(ids) == 40 and ids == sorted(r.vec_id for r in sil.sample_points(pts, "vec_id", 40).collect())
+    got = sil.silhouette_score(sample).first().silhouette
+    assert got == pytest.approx(brute_silhouette(x[ids], lab[ids]), abs=1e-9)
+    sw = ev.k_sweep(pts.drop("cluster"), 3, 3, 1, n_init=1, id_col="vec_id", vec_col="vec",
+                    silhouette_sample=40).first()
+    assert -1.0 <= sw.silhouette <= 1.0 and sw.k == 3
