@@ -132,3 +132,19 @@ def test_model_tables_without_arrow(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", old)
     assert [r.loading for r in rows] == [[0.0, 1.0], [2.0, 3.0], [4.0, 5.0]]
+
+
+def test_explained_variance_matches_projection(spark):
+    rng = np.random.default_rng(3)
+    n_docs, n_terms = 40, 12
+    a = rng.random((n_docs, n_terms)) * (rng.random((n_docs, n_terms)) < 0.5)
+    a[5] = 0.0
+    rows = [(int(i), int(j), float(a[i, j])) for i, j in zip(*np.nonzero(a))]
+    w = spark.createDataFrame(rows, "doc_id long, idx int, weight double")
+    docs = spark.range(n_docs).select(F.col("id").alias("doc_id"))
+    m = lsa.fit_lsa(w, n_terms, n_docs, 4, n_iter=8)
+    got = lsa.explained_variance(w, docs, m).orderBy("component").collect()
+    proj = a @ m.components
+    want = proj.var(axis=0)
+    assert [r.explained_variance for r in got] == pytest.approx(want, rel=1e-9, abs=1e-12)
+    assert [r.explained_variance_ratio for r in got] == pytest.approx(want / a.var(axis=0).sum(), rel=1e-9)
