@@ -6,10 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.llm import sharding
+from topicforge.llm import licenses, sharding, url_rules
 from topicforge.llm.common import read
 
 
+def op2_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(read(spark, sf_dir, "documents"))
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(read(spark, sf_dir, "pages"))
+
+
 def op9_shard_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records: id, size, checksum and a hash of the text, which puts equal
     texts next to each other."""
@@ -22,9 +30,63 @@ def op9_shard_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+#: Known sentences as they stand after normalising, written out by hand for
+#: the notices that the documents carry.
+_OP2_SQL = r"""
+WITH known(norm, code, license) AS (VALUES
+    ('licensed under the apache license version 2 0', 'a01', 'Apache-2.0'),
+    ('licensed under cc by nc 4 0', 'c01', 'CC-BY-NC-4.0'),
+    ('this work is licensed under the gnu general public license version 3', 'g01', 'GPL-3.0-only'),
+    ('released under the mit license', 'm01', 'MIT')),
+pieces AS (
+    SELECT doc_id, unnest(p) AS piece, unnest(range(len(p))) AS place
+    FROM (SELECT doc_id, list_filter(
+              string_split_regex(regexp_replace(text, '([.!?;:])[ \t\r\n]+', '\1' || chr(10), 'g'), '[\r\n]+'),
+              lambda x: regexp_matches(x, '[A-Za-z0-9]')) AS p
+          FROM documents))
+SELECT doc_id, license, place::INT AS first_sentence, place::INT AS last_sentence, code AS sentence_codes
+FROM pieces JOIN known ON norm = trim(lower(regexp_replace(piece, '[^A-Za-z0-9]+', ' ', 'g')))
+"""
+
+_OP3_SQL = r"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+parts AS (
+    SELECT page_id, rest,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut),
+rules(rule, rule_host, rule_path, verdict) AS (VALUES
+    ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+    ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'),
+    ('com/de/', 'com', '/de/', 'block')),
+patterns(pattern, expression) AS (VALUES
+    ('||ads-track.', '^([^/?#]*[.])?ads-track[.]'), ('||adult-x.', '^([^/?#]*[.])?adult-x[.]'),
+    ('||casino-win.', '^([^/?#]*[.])?casino-win[.]'), ('||cheap-pills.', '^([^/?#]*[.])?cheap-pills[.]'),
+    ('||free-bets.', '^([^/?#]*[.])?free-bets[.]'), ('||spam-farm.', '^([^/?#]*[.])?spam-farm[.]'),
+    ('||doubleclick.net/', '^([^/?#]*[.])?doubleclick[.]net/'), ('/wp-login.php', '/wp-login[.]php'),
+    ('/cgi-bin/', '/cgi-bin/'), ('?sessionid=', '[?]sessionid='), ('/affiliate/*/click', '(?s)/affiliate/.*/click')),
+by_rule AS (
+    SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS rule_verdict
+    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY page_id),
+by_pattern AS (
+    SELECT page_id, max_by(pattern, (length(pattern), pattern)) AS pattern
+    FROM parts JOIN patterns ON regexp_matches(host || translate(substr(rest, length(host) + 1),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), expression)
+    GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+       pattern
+FROM parts LEFT JOIN by_rule USING (page_id) LEFT JOIN by_pattern USING (page_id)
+"""
+
+
 def registry() -> dict:
-    return {"op9_shard_ranges": op9_shard_ranges}
+    return {"op2_license_sentences": op2_license_sentences,
+            "op3_url_rules": op3_url_rules,
+            "op9_shard_ranges": op9_shard_ranges}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op2_license_sentences": _OP2_SQL, "op3_url_rules": _OP3_SQL}
