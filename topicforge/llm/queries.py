@@ -3,13 +3,24 @@ production parameters, to its whole table and derives the digest columns."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.llm import licenses, sharding, url_rules
+from topicforge.llm import byte_bpe, licenses, packing, sharding, url_rules
 from topicforge.llm.common import read
 
 
+def op1_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_digests(read(spark, sf_dir, "documents"))
+
+
+def packed_digests(docs: DataFrame) -> DataFrame:
+    pieces = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 def op2_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(read(spark, sf_dir, "documents"))
 
@@ -18,6 +29,13 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(read(spark, sf_dir, "pages"))
 
 
+def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    coded = byte_bpe.encode_documents(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_shard_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records: id, size, checksum and a hash of the text, which puts equal
     texts next to each other."""
@@ -83,8 +101,10 @@ FROM parts LEFT JOIN by_rule USING (page_id) LEFT JOIN by_pattern USING (page_id
 
 
 def registry() -> dict:
-    return {"op2_license_sentences": op2_license_sentences,
+    return {"op1_cost_packing": op1_cost_packing,
+            "op2_license_sentences": op2_license_sentences,
             "op3_url_rules": op3_url_rules,
+            "op7_bpe_replay": op7_bpe_replay,
             "op9_shard_ranges": op9_shard_ranges}
 
 
