@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.llm import byte_bpe, licenses, packing, sharding, url_rules
-from topicforge.llm.common import read
+from topicforge.llm import byte_bpe, cover_tree, langid, licenses, packing, sharding, toxicity, url_rules
+from topicforge.llm.common import crc_mod, read
 
 
 def op1_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,17 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(read(spark, sf_dir, "pages"))
 
 
+def op5_subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = langid.train(docs, langid.learnable())
+    return langid.predict(docs, model).select(
+        "doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op6_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.link_near(read(spark, sf_dir, "embeddings"))
+
+
 def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     coded = byte_bpe.encode_documents(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -36,6 +47,14 @@ def op7_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_fair_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), toxicity.learnable())
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_shard_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records: id, size, checksum and a hash of the text, which puts equal
     texts next to each other."""
@@ -104,7 +123,10 @@ def registry() -> dict:
     return {"op1_cost_packing": op1_cost_packing,
             "op2_license_sentences": op2_license_sentences,
             "op3_url_rules": op3_url_rules,
+            "op5_subword_language": op5_subword_language,
+            "op6_cover_tree": op6_cover_tree,
             "op7_bpe_replay": op7_bpe_replay,
+            "op8_fair_toxicity": op8_fair_toxicity,
             "op9_shard_ranges": op9_shard_ranges}
 
 
