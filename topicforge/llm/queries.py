@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.llm import byte_bpe, cover_tree, langid, licenses, packing, sharding, toxicity, url_rules
+from topicforge.llm import byte_bpe, cover_tree, kmeans_tree, langid, licenses, packing, sharding, toxicity, url_rules
 from topicforge.llm.common import crc_mod, read
 
 
@@ -29,6 +29,10 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(read(spark, sf_dir, "pages"))
 
 
+def op4_best_bin_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = langid.train(docs, langid.learnable())
@@ -123,6 +127,7 @@ def registry() -> dict:
     return {"op1_cost_packing": op1_cost_packing,
             "op2_license_sentences": op2_license_sentences,
             "op3_url_rules": op3_url_rules,
+            "op4_best_bin_first": op4_best_bin_first,
             "op5_subword_language": op5_subword_language,
             "op6_cover_tree": op6_cover_tree,
             "op7_bpe_replay": op7_bpe_replay,
