@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.llm import byte_bpe, cover_tree, kmeans_tree, langid, licenses, packing, sharding, toxicity, url_rules
+from topicforge.llm import byte_bpe, cover_tree, kmeans_tree, langid, licenses, order_minhash, packing, sharding, toxicity, url_rules
 from topicforge.llm.common import crc_mod, read
 
 
@@ -71,6 +71,10 @@ def op9_shard_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_groups(read(spark, sf_dir, "documents"))
+
+
 #: Known sentences as they stand after normalising, written out by hand for
 #: the notices that the documents carry.
 _OP2_SQL = r"""
@@ -132,7 +136,8 @@ def registry() -> dict:
             "op6_cover_tree": op6_cover_tree,
             "op7_bpe_replay": op7_bpe_replay,
             "op8_fair_toxicity": op8_fair_toxicity,
-            "op9_shard_ranges": op9_shard_ranges}
+            "op9_shard_ranges": op9_shard_ranges,
+            "op10_order_minhash": op10_order_minhash}
 
 
 def oracles() -> dict[str, str]:
