@@ -21,7 +21,7 @@ def library():
 
 
 def test_chunked_ids_match_library():
-    texts = ["", "Hello  world's\tÉté\n\nÉTÉ  x\u0085y z\x1cw", "don't STOP!!! 123 45", "<|endoftext|> a", "　全角 ＡＢ",
+    texts = ["", "Hello  world's\tÉté\n\nÉTÉ  x\u0085y z\x1cw", "don't STOP!!! 123 45", "<|endoftext|> a", "　全角 ＡＢ", "Été, ÀÉÎß! Ñandú... don.t i'm", "x" * 300 + ". Ab"
              "İstanbul ΣΑΣ ſ ﬁ", " lead", "trail ", "a b ́c"]
     want = library()
     got = packing.Tokeniser(open(PATH).read(), 2).encode(texts + [None])

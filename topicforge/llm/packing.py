@@ -15,10 +15,10 @@ A block is what a Spark task reads in one go, so packing needs no shuffle and
 its memory is bounded; a document longer than a block is a block by itself.
 A task that is run again reads the same split and packs it the same way.
 
-Tokenising looks words up: white space never stands inside a token of this
-vocabulary, so a text's ids are those of its white-space-separated chunks, and
-each chunk that a task hasn't met yet goes through the tokenizer once.
-Strings of special tokens in a text are ordinary text.
+Tokenising looks words up: a text of plain Latin letters is lowered and cut
+as the tokenizer would, and the tokenizer's model sees each word that a task
+hasn't met yet; any other text goes through the tokenizer as a whole.  Strings
+of special tokens in a text are ordinary text.
 
 Defined results: null texts count as empty, i.e. one piece with the end id;
 ties in length are taken in reading order; repeated rows are packed each on
@@ -29,6 +29,9 @@ gives no piece.
 from __future__ import annotations
 
 import heapq
+import json
+import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +44,23 @@ from topicforge.llm.common import slices
 CAPACITY = 4096
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
-REMEMBERED = 250_000
+#: Words that a task remembers, and their length.
+REMEMBERED, LONG = 400_000, 64
+#: Fixed value: how this vocabulary's tokenizer cuts a text that it has lowered.
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Texts of these characters only are lowered letter by letter and cut so.
+_SIMPLE = re.compile(r"[\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Each character up to U+00FF as the letters that stand for its UTF-8
+    bytes in a byte-level vocabulary: printable bytes stand for themselves,
+    the others for the letters from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    letter = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(256)}
 
 
 class Tokeniser:
@@ -51,23 +70,37 @@ class Tokeniser:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.by_word = _cuts_as_known(json.loads(vocabulary))
         self.end = np.asarray([end_id], "<u4").tobytes()
         self.known: dict[str, bytes] = {}
+        self.letters = _byte_letters()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        cut = [_PIECES.findall(t.lower()) if self.by_word and _SIMPLE.fullmatch(t) else None
+               for t in (t or "" for t in texts)]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set().union(*cut) - self.known.keys())
-        for chunk, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[chunk] = np.asarray(e.ids, "<u4").tobytes()
-        out = [b"".join(map(self.known.__getitem__, chunks)) + self.end for chunks in cut]
-        for chunk in new:
-            if len(chunk) > 64:
-                del self.known[chunk]
+            self.known = {}
+        new = set().union(*filter(None, cut)) - self.known.keys()
+        for word in new:
+            ids = [t.id for t in self.model.tokenize(word.translate(self.letters))]
+            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        out = [(np.asarray(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if words is None
+                else b"".join(map(self.known.__getitem__, words))) + self.end for t, words in zip(texts, cut)]
+        for word in new:
+            if len(word) > LONG:
+                del self.known[word]
         return out
 
 
+def _cuts_as_known(vocabulary: dict) -> bool:
+    """Whether the tokenizer lowers and cuts texts as ``_PIECES`` does."""
+    steps = [n["type"] for n in vocabulary["normalizer"].get("normalizers", [])] if vocabulary["normalizer"] else []
+    cuts = vocabulary["pre_tokenizer"].get("pretokenizers", []) if vocabulary["pre_tokenizer"] else []
+    return (steps == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+            and cuts[0]["pattern"].get("Regex") == CUT and cuts[0]["invert"] and not cuts[1]["add_prefix_space"])
+
+
 def sequence_sizes(tokens: int, capacity: int) -> list[int]:
     """Full sequences, then the powers of two that make up the rest."""
     rest = tokens % capacity
