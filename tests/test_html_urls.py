@@ -25,7 +25,24 @@ def test_article_fields_edge_cases():
     title, desc, content = hx.article_fields(root, "h1.none", "p.description", "div.body p", MISSING_TITLE)
     assert title == MISSING_TITLE
     assert desc == "desc"
-    assert content == "onetwothree\n\nfourfive"
+    assert content == "onetwothreefourfive\n\nfourfive"   # an open <p> holds the next ones
+
+
+def test_text_nodes_run_to_the_next_tag():
+    def text(page):
+        return hx.select_one(hx.parse(page), "p").text()
+    assert text("<p>giá < 5 triệu</p>") == "giá < 5 triệu"
+    assert text("<p>a &amp; b &lt; c</p>") == "a & b < c"
+    assert text("<p>a <!-- note --> b</p>") == "ab"
+    assert text("<p>a </b> b") == "ab"               # a stray end tag ends a text node too
+    assert text("<p>tail") == "tail"
+
+
+def test_very_deep_pages():
+    deep = "<div>" * 5000 + "<p>x</p>" + "<b>" * 50000 + "y"
+    root = hx.parse(deep)
+    assert [n.text() for n in hx.select(root, "p")] == ["x"]
+    assert root.text() == "xy"
 
 
 def test_selector_grammar():

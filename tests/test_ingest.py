@@ -76,3 +76,53 @@ def test_bad_page_yields_no_links(spark):
                                  "page_id long, url string, html string")
     links = ig.extract_links(ig.route(cats, SITES), SITES).collect()
     assert {r.page_id for r in links} == {2} and len(links) == 3
+
+
+def _page(links):
+    return "".join(f'<h3 class="title"><a href="{x}">x</a></h3>' for x in links)
+
+
+def test_cap_counts_after_what_earlier_pages_took(spark):
+    cats = spark.createDataFrame(
+        [(1, "https://www.news.vn/a/", _page(["/1", "/2", "/3", "/4"])),
+         (2, "https://www.news.vn/a", _page(["/2", "/4", "/5", "/6", "/7"])),
+         (3, "https://www.news.vn/b/", _page(["/1", "/2"]))], "page_id long, url string, html string")
+    links = ig.extract_links(ig.route(cats, SITES), SITES, first_only=True)
+    got = sorted((r.page_id, r["rank"], r.link[-2:]) for r in ig.cap_links(links, 3).collect())
+    assert got == [(1, 1, "/1"), (1, 2, "/2"), (1, 3, "/3"), (2, 1, "/4"), (2, 2, "/5"), (2, 3, "/6"),
+                   (3, 1, "/1"), (3, 2, "/2")]
+
+
+def test_stored_categories_stay_text(spark, tmp_path):
+    root = str(tmp_path / "store")
+    cats = spark.createDataFrame([(1, "https://www.news.vn/007/", _page(["/a1.html"])),
+                                  (2, "https://www.news.vn/.html", _page(["/a2.html"]))],
+                                 "page_id long, url string, html string")
+    fetched = spark.createDataFrame([(9, "https://www.news.vn/a1.html", _article(1)),
+                                     (10, "https://www.news.vn/a1.html", _article(1)),
+                                     (11, "https://www.news.vn/a2.html", _article(2))],
+                                    "page_id long, url string, html string")
+    # a first run without articles leaves a store that can be read again
+    write_articles(ig.ingest(cats, fetched.limit(0), None, SITES), root)
+    assert read_stored_articles(spark, root) is None or read_stored_articles(spark, root).count() == 0
+    new = ig.ingest(cats, fetched, read_stored_articles(spark, root), SITES)
+    assert sorted((r.category, r.url[-7:]) for r in new.collect()) == [("", "a2.html"), ("007", "a1.html")]
+    write_articles(new, root)
+    stored = read_stored_articles(spark, root)
+    assert sorted(r.category for r in stored.collect()) == ["", "007"]
+    assert ig.ingest(cats, fetched, stored, SITES).count() == 0
+    routed = ig.route(cats, SITES)
+    links = ig.extract_links(routed, SITES)
+    assert ig.exclude_known(links, stored, routed).count() == 0
+    for most in (0, 10):                              # either way of reading the store
+        assert ig.stored_for(stored, routed, max_literal=most).count() == 2
+
+
+def test_rejects_are_counted(spark):
+    pages = spark.createDataFrame([(1, "https://www.news.vn/a", _article(1)), (2, "https://www.news.vn/b", ""),
+                                   (3, "https://www.news.vn/c", None)], "page_id long, url string, html string")
+    routed = ig.route(pages, SITES)
+    assert [tuple(r) for r in ig.article_rejects(routed, SITES).collect()] == [("no_content", 2)]
+    bad = spark.createDataFrame([(1, "https://www.news.vn/a", '<h3 class="title"><a href="http://[x/">x</a></h3>')],
+                                "page_id long, url string, html string")
+    assert [tuple(r) for r in ig.link_rejects(ig.route(bad, SITES), SITES).collect()] == [("parse_error", 1)]

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from topicforge.functions import text as tx
 from topicforge.operators import tfidf as tf
+from topicforge.operators.common import dense_index
+from topicforge.operators.phrases import PhraseParams, apply_phrases
 from topicforge.sources.tables import spread
 
 
@@ -26,15 +28,40 @@ def test_cleaning_chain_evaluated_once(spark):
     assert not re.search(r"Filter[^\n]*https\?://", plan)
 
 
-def test_per_document_steps_reuse_the_spread(spark):
-    toks = tf.document_tokens(_docs(spark))
-    counts = tf.term_counts(toks)
+def test_per_document_steps_need_no_shuffle(spark):
+    rows = [(i, f"Tin {i} bài số {i} về thể thao") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)   # more splits than cores
+    toks = tf.document_tokens(docs)
     vocab = spark.createDataFrame([("tin", 0, 1.0), ("thao", 1, 2.0)], "term string, idx int, idf double")
-    plan = _plan(tf.tfidf_weights(counts, vocab))
-    hashed = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    # one shuffle only: the spread on doc_id; the (doc_id, term) counts and the
-    # per-document norm window reuse it, and the vocabulary is broadcast
-    assert len(hashed) == 1 and hashed[0].startswith("doc_id"), hashed
+    for packed in (False, True):
+        assert "hashpartitioning" not in _plan(tf.weigh(tf.count_terms(toks), vocab, packed))
+    phrases = spark.createDataFrame([("tin", "bài")], "a string, b string")
+    assert "hashpartitioning" not in _plan(apply_phrases(toks, phrases))
+
+
+def test_small_and_large_tables_give_the_same(spark, monkeypatch):
+    toks = tf.document_tokens(_docs(spark))
+    model, counted = tf.fit_counted(toks, tf.VocabParams(min_df=1, max_df=1.0))
+    by_key = lambda df: sorted((r.doc_id, r.idx, r.term, round(r.weight, 9)) for r in df.collect())
+    packed = lambda df: sorted((r.doc_id, sorted(zip(r.idxs, [round(v, 9) for v in r.vals]))) for r in df.collect())
+    sent = by_key(tf.weigh(counted, model.vocabulary)), packed(tf.weigh(counted, model.vocabulary, True))
+    monkeypatch.setattr(tf, "BROADCAST_ROW_LIMIT", 1)
+    assert sent == (by_key(tf.weigh(counted, model.vocabulary)), packed(tf.weigh(counted, model.vocabulary, True)))
+    phrases = spark.createDataFrame([("tin", "bài"), ("bài", "số"), ("thể", "thao")], "a string, b string")
+    joined = lambda n: sorted((r.doc_id, r.tokens) for r in
+                              apply_phrases(toks, phrases, PhraseParams(broadcast_rows=n)).collect())
+    assert joined(100) == joined(0)
+
+
+def test_dense_index_numbers_every_row(spark):
+    n = 1_200_000
+    rows = spark.range(n).select((F.col("id") * 7919 % n).alias("k"))
+    got = dense_index(rows, [F.asc("k")], "i").agg(F.count("*"), F.sum((F.col("i") == F.col("k")).cast("int")),
+                                                   F.countDistinct("i")).first()
+    assert tuple(got) == (n, n, n)
+    few = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"))
+    assert sorted(map(tuple, dense_index(few, [F.asc("k")], "i").collect())) == \
+        sorted(map(tuple, dense_index(few, [F.asc("k")], "i", bound=1000).collect())) == [(i, i) for i in range(1000)]
 
 
 def test_nearest_centroid_is_one_projection(spark):

@@ -6,23 +6,23 @@ small selector grammar the site configuration uses: ``tag``, ``.class``,
 ``#id``, compounds such as ``tag.class``, descendant combinators (space) and
 comma lists.
 
-Parsing choices: ``<script>``/``<style>`` text and comments are not text; an
-open ``<p>`` is closed by the next block-level start tag (as browsers do), so
-unclosed paragraphs do not nest; stray end tags are ignored.  Text of an
-element is its text nodes, each stripped, empty ones dropped, concatenated
-with ``separator`` (default: nothing, which glues words across inline tags).
+Parsing choices (the reference parser's): ``<script>``/``<style>`` text and
+comments are not text; no tag is closed implicitly, so an unclosed ``<p>`` or
+``<li>`` holds what follows; stray end tags are ignored.  A text node runs up
+to the next tag or comment.  Text of an element is its text nodes, each
+stripped, empty ones dropped, concatenated with ``separator`` (default:
+nothing, which glues words across inline tags).  Trees of any depth are walked
+without recursion.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_CLOSES_P = frozenset(("address article aside blockquote details div dl fieldset figcaption figure "
-                       "footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section "
-                       "table ul").split())
 _SKIP_TEXT = frozenset(("script", "style", "template"))
 
 
@@ -38,18 +38,21 @@ class Node:
 
     def iter(self):
         """Elements below this one, document order."""
-        for c in self.children:
+        todo = self.children[::-1]
+        while todo:
+            c = todo.pop()
             if isinstance(c, Node):
                 yield c
-                yield from c.iter()
+                todo.extend(reversed(c.children))
 
     def strings(self):
-        for c in self.children:
-            if isinstance(c, Node):
-                if c.tag not in _SKIP_TEXT:
-                    yield from c.strings()
-            else:
+        todo = self.children[::-1]
+        while todo:
+            c = todo.pop()
+            if not isinstance(c, Node):
                 yield c
+            elif c.tag not in _SKIP_TEXT:
+                todo.extend(reversed(c.children))
 
     def text(self, separator: str = "", strip: bool = True) -> str:
         parts = (s.strip() for s in self.strings()) if strip else self.strings()
@@ -61,41 +64,46 @@ class _TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("[document]", {}, None)
         self.stack = [self.root]
+        self.open_tags = Counter()
+        self.text_parts = []
 
-    def _open(self, tag):
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                return i
-            if self.stack[i].tag in ("table", "td", "th", "html"):
-                return None
-        return None
+    def _end_text(self, *_):
+        if self.text_parts:
+            self.stack[-1].children.append("".join(self.text_parts))
+            self.text_parts = []
 
-    def handle_starttag(self, tag, attrs):
-        if tag in _CLOSES_P:
-            i = self._open("p")
-            if i is not None:
-                del self.stack[i:]
-        if tag == "li":
-            i = self._open("li")
-            if i is not None:
-                del self.stack[i:]
+    handle_comment = handle_decl = handle_pi = unknown_decl = _end_text
+
+    def _add(self, tag, attrs):
+        self._end_text()
         node = Node(tag, {k: ("" if v is None else v) for k, v in attrs}, self.stack[-1])
         self.stack[-1].children.append(node)
+        return node
+
+    def handle_starttag(self, tag, attrs):
+        node = self._add(tag, attrs)
         if tag not in _VOID:
             self.stack.append(node)
+            self.open_tags[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
-        node = Node(tag, {k: ("" if v is None else v) for k, v in attrs}, self.stack[-1])
-        self.stack[-1].children.append(node)
+        self._add(tag, attrs)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                del self.stack[i:]
-                return
+        self._end_text()
+        if self.open_tags[tag]:
+            while True:
+                closed = self.stack.pop().tag
+                self.open_tags[closed] -= 1
+                if closed == tag:
+                    return
 
     def handle_data(self, data):
-        self.stack[-1].children.append(data)
+        self.text_parts.append(data)
+
+    def close(self):
+        super().close()
+        self._end_text()
 
 
 def parse(html: str | None) -> Node:

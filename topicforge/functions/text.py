@@ -40,9 +40,11 @@ _TLD_ALT = "|".join(TLDS)
 RE_HTTP = rf"https?://[^{WS}]+"
 RE_WWW = rf"www\.[^{WS}]+"
 # Java has look-arounds; the RE2 form used by the SQL oracle is in plans/oracle.py.
-RE_DOMAIN = rf"(?<![{WORD}])[^{WS}]+\.(?:{_TLD_ALT})(?![{WORD}])"
-RE_EMAIL = rf"[^{WS}]+@[^{WS}]+"
-RE_NOT_KEPT = rf"[^a-z{VIET_LETTERS}{WS}]"
+# Both patterns can only match from the start of a run of non-spaces; saying
+# so keeps them linear on very long runs.
+RE_DOMAIN = rf"(?<![^{WS}])[^{WS}]+\.(?:{_TLD_ALT})(?![{WORD}])"
+RE_EMAIL = rf"(?<![^{WS}])[^{WS}]+@[^{WS}]+"
+RE_NOT_KEPT = rf"[^a-z{VIET_LETTERS}]+"
 RE_SPACES = rf"[{WS}]+"
 
 
@@ -56,12 +58,9 @@ def strip_links(c: Column) -> Column:
 
 
 def normalise(c: Column) -> Column:
-    """Lower-case, replace every other character with a space,
-    collapse whitespace runs to one space and trim."""
-    c = F.lower(c)
-    c = F.regexp_replace(c, RE_NOT_KEPT, " ")
-    c = F.regexp_replace(c, RE_SPACES, " ")
-    return F.trim(c)
+    """Lower-case, turn each run of characters that are not kept
+    letters (whitespace included) into one space, and trim."""
+    return F.trim(F.regexp_replace(F.lower(c), RE_NOT_KEPT, " "))
 
 
 def clean_text(c: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicforge.session import checkpoint_dir
+
 # Largest side we broadcast on a *static* bound (rows).  Beyond it we leave
 # the join to Catalyst/AQE, which broadcasts only after measuring the side.
 BROADCAST_ROW_LIMIT = 200_000
@@ -24,14 +26,17 @@ def dense_index(df: DataFrame, order_cols: list, index_col: str = "idx",
     """Number rows 0..n-1 in ``order_cols`` order.
 
     With a small proven ``bound`` a single-partition window is fine.  Without
-    one, rows are range-partitioned, counted per partition (one row per
-    partition reaches the driver) and offset, so no task holds everything.
+    one, rows are range-partitioned and written out with the number of their
+    range (a second evaluation could draw other range bounds); the ranges are
+    counted (one row per range reaches the driver) and offset, so no task
+    holds everything.
     """
     if bound is not None and bound <= BROADCAST_ROW_LIMIT:
         w = Window.orderBy(*order_cols)
         return df.withColumn(index_col, (F.row_number().over(w) - 1).cast("int"))
-    ranged = df.repartitionByRange(*order_cols).withColumn("_pid", F.spark_partition_id())
-    ranged = ranged.sortWithinPartitions(*order_cols)
+    checkpoint_dir(df.sparkSession)
+    ranged = (df.repartitionByRange(*order_cols).withColumn("_pid", F.spark_partition_id())
+              .checkpoint())
     counts = sorted((r["_pid"], r["n"]) for r in
                     ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, acc = {}, 0

@@ -6,8 +6,12 @@ the fetch is a Spark job:
 
   route (W4 site, W5 category) -> links (W1 + W2, Python parser per task)
   -> first occurrence per page (W3) -> drop known links (W6, anti-join)
-  -> first 50 per category page (W7) -> join fetched article pages by URL
-  -> fields (W8) -> drop empty content (W9) -> append per (site, category) (W10/S6)
+  -> first 50 per category page that no earlier page of the category takes (W7)
+  -> join fetched article pages by URL -> fields (W8)
+  -> drop empty content (W9) -> append per (site, category) (W10/S6)
+
+Pages that can't be parsed and articles without content are counted by reason
+(``link_rejects``, ``article_rejects``).
 
 Catalyst will not move filters across ``mapInPandas``, so the cheap steps
 (anti-join, cap) are ordered before article extraction by hand.
@@ -28,6 +32,8 @@ LINK_SCHEMA = ("page_id long, site_key string, category string, selector_ix int,
                "href string, link string")
 ARTICLE_SCHEMA = ("page_id long, url string, site_key string, category string, title string, "
                   "description string, content string")
+#: Reasons for which a page yields nothing.
+PARSE_ERROR, NO_CONTENT = "parse_error", "no_content"
 
 
 def _site_maps(sites):
@@ -53,6 +59,16 @@ def extract_links(routed: DataFrame, sites=NEWS_SITES, first_only: bool = False)
     page's links come from one call, so this needs no shuffle (the window
     form, ``first_links``, needs one because Spark cannot know the Python
     stage's output is still grouped by page)."""
+    return _links(routed, sites, first_only).where("error is null").drop("error")
+
+
+def link_rejects(routed: DataFrame, sites=NEWS_SITES) -> DataFrame:
+    """Category pages that yield no links, counted by reason."""
+    return (_links(routed, sites, True).where("error is not null")
+            .groupBy(F.col("error").alias("reason")).agg(F.count(F.lit(1)).alias("n_pages")))
+
+
+def _links(routed: DataFrame, sites, first_only: bool) -> DataFrame:
     link_sel, _ = _site_maps(sites)
 
     def part(batches):
@@ -62,7 +78,8 @@ def extract_links(routed: DataFrame, sites=NEWS_SITES, first_only: bool = False)
                                                 pdf["site_key"], pdf["category"]):
                 try:
                     found = hx.article_links(hx.parse(html), url, link_sel.get(key, []))
-                except Exception:  # a page that fails to parse yields no links
+                except (ValueError, AssertionError):  # a bad URL or markup declaration
+                    rows.append((pid, key, cat, -1, -1, None, None, PARSE_ERROR))
                     continue
                 seen = set()
                 for si, pos, href, link in found:
@@ -70,12 +87,12 @@ def extract_links(routed: DataFrame, sites=NEWS_SITES, first_only: bool = False)
                         if link in seen:
                             continue
                         seen.add(link)
-                    rows.append((pid, key, cat, si, pos, href, link))
+                    rows.append((pid, key, cat, si, pos, href, link, None))
             yield pd.DataFrame(rows, columns=["page_id", "site_key", "category", "selector_ix",
-                                              "pos", "href", "link"])
+                                              "pos", "href", "link", "error"])
 
     return (routed.select("page_id", "url", "html", "site_key", "category")
-            .mapInPandas(part, LINK_SCHEMA))
+            .mapInPandas(part, LINK_SCHEMA + ", error string"))
 
 
 def first_links(links: DataFrame) -> DataFrame:
@@ -113,17 +130,52 @@ def exclude_known(links: DataFrame, stored: DataFrame | None,
 
 
 def cap_links(links: DataFrame, limit: int = 50) -> DataFrame:
-    """The first ``limit`` new links of each category page, in link
-    order.  The cap is the reference's per-run crawl budget, applied after
-    the exclusion."""
-    w = Window.partitionBy("page_id").orderBy("selector_ix", "pos")
-    return (links.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit))
+    """For each category page the first ``limit`` links, in link order,
+    that no earlier page (by ``page_id``) of the same (site, category) took:
+    a run stores each page's articles before it turns to the next.  The cap is
+    the reference's per-run crawl budget, applied after the exclusion.
+
+    Whether a page takes a link depends on the pages before it, so each
+    category's links are streamed in order through one task, which remembers
+    the links taken (at most ``limit`` a page)."""
+    def part(batches):
+        category, page, taken, rank = None, None, set(), 0
+        for pdf in batches:
+            keep, ranks = [], []
+            for at, (key, cat, pid, link) in enumerate(zip(pdf["site_key"], pdf["category"],
+                                                           pdf["page_id"], pdf["link"])):
+                if (key, cat) != category:
+                    category, page, taken = (key, cat), None, set()
+                if pid != page:
+                    page, rank = pid, 0
+                if rank < limit and link not in taken:
+                    rank += 1
+                    taken.add(link)
+                    keep.append(at)
+                    ranks.append(rank)
+            yield pdf.iloc[keep].assign(rank=ranks)
+
+    schema = ", ".join(f"`{n}` {t}" for n, t in links.dtypes) + ", rank int"
+    return (links.repartition("site_key", "category")
+            .sortWithinPartitions("site_key", "category", "page_id", "selector_ix", "pos")
+            .mapInPandas(part, schema))
 
 
 def extract_articles(article_pages: DataFrame, sites=NEWS_SITES,
                      missing_title: str = MISSING_TITLE, separator: str = "") -> DataFrame:
     """Title, description and content of routed article pages; pages
     whose content is empty (or cannot be parsed) yield no row."""
+    return (_articles(article_pages, sites, missing_title, separator)
+            .where("error is null").drop("error"))
+
+
+def article_rejects(article_pages: DataFrame, sites=NEWS_SITES) -> DataFrame:
+    """Article pages that yield no row, counted by reason."""
+    return (_articles(article_pages, sites, MISSING_TITLE, "").where("error is not null")
+            .groupBy(F.col("error").alias("reason")).agg(F.count(F.lit(1)).alias("n_pages")))
+
+
+def _articles(article_pages: DataFrame, sites, missing_title: str, separator: str) -> DataFrame:
     _, art_sel = _site_maps(sites)
 
     def part(batches):
@@ -135,15 +187,15 @@ def extract_articles(article_pages: DataFrame, sites=NEWS_SITES,
                 try:
                     title, desc, content = hx.article_fields(hx.parse(html), t_sel, d_sel, c_sel,
                                                              missing_title, separator)
-                except Exception:  # a page that fails to parse yields no row
+                except (ValueError, AssertionError):  # a bad markup declaration
+                    rows.append((pid, url, key, cat, None, None, None, PARSE_ERROR))
                     continue
-                rows.append((pid, url, key, cat, title, desc, content))
+                rows.append((pid, url, key, cat, title, desc, content, None if content else NO_CONTENT))
             yield pd.DataFrame(rows, columns=["page_id", "url", "site_key", "category", "title",
-                                              "description", "content"])
+                                              "description", "content", "error"])
 
-    out = (article_pages.select("page_id", "url", "html", "site_key", "category")
-           .mapInPandas(part, ARTICLE_SCHEMA))
-    return out.where(F.col("content") != "")
+    return (article_pages.select("page_id", "url", "html", "site_key", "category")
+            .mapInPandas(part, ARTICLE_SCHEMA + ", error string"))
 
 
 def ingest(category_pages: DataFrame, fetched: DataFrame, stored: DataFrame | None,
@@ -152,14 +204,16 @@ def ingest(category_pages: DataFrame, fetched: DataFrame, stored: DataFrame | No
     site_key, category)`` ready for the append sink (``write_articles``).
 
     ``fetched`` is the table of fetched article pages ``(page_id, url,
-    html)``; the capped links are equi-joined to it on the URL.  Each
-    article is routed to the (site, category) of the category page that
-    linked it.
+    html)``; the capped links are equi-joined to it on the URL, of which the
+    fetch with the smallest ``page_id`` counts.  Each article is routed to the
+    (site, category) of the category page that linked it, once.
     """
     routed = route(category_pages, sites)
     links = cap_links(exclude_known(extract_links(routed, sites, first_only=True), stored, routed), limit)
     todo = links.select("link", "site_key", "category").distinct()
+    first = Window.partitionBy("site_key", "category", "url").orderBy("page_id")
     pages = (fetched.select("page_id", F.col("url").alias("link"), "html")
-             .join(todo, "link").withColumnRenamed("link", "url"))
+             .join(todo, "link").withColumnRenamed("link", "url")
+             .withColumn("_r", F.row_number().over(first)).where("_r = 1").drop("_r"))
     arts = extract_articles(pages, sites)
     return arts.select("url", "title", "description", "content", "site_key", "category")

@@ -16,6 +16,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topicforge.sources.tables import path_exists
+
 
 def as_vectors(df: DataFrame, vec_col: str = "features") -> DataFrame:
     return df.withColumn("_fv", array_to_vector(F.col(vec_col)))
@@ -71,12 +73,10 @@ def load_or_train(df: DataFrame, k: int, store_dir: str, id_col: str = "doc_id",
     and silently reuses a stale model; we also key by a feature fingerprint."""
     fp = fingerprint(df, id_col, vec_col)
     path = os.path.join(store_dir, f"kmeans_k{k}_{fp}")
-    try:
+    if path_exists(df.sparkSession, path):  # an unreadable store is an error
         return KMeansModel.load(path), True
-    except Exception:  # not stored yet (or unreadable): train
-        pass
     model = fit_kmeans(df, k, vec_col, seed)
-    model.write().overwrite().save(path)
+    model.save(path)
     return model, False
 
 

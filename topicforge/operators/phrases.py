@@ -10,19 +10,17 @@ T9a  score(a, b) = (n_ab - min_count) * n_terms / (n_a * n_b); adjacent pairs
 T9b  greedy, left to right, non-overlapping: a pair starting at position p is
      joined as ``a_b`` unless position p-1 was the start of a joined pair.
      Over the sorted match positions of a document, a run of consecutive
-     starts s, s+1, s+2, ... is resolved as s, s+2, s+4, ...: a window
-     computation, no per-row loop.
+     starts s, s+1, s+2, ... is resolved as s, s+2, s+4, ...
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicforge.operators.common import bounded_broadcast
-
 
 @dataclass(frozen=True)
 class PhraseParams:
@@ -59,21 +57,43 @@ def score_phrases(tokens: DataFrame, p: PhraseParams = PhraseParams()) -> DataFr
     return scored.where(F.col("score") > p.threshold).select("a", "b", "n_ab", "n_a", "n_b", "score")
 
 
+def _apply_in_rows(tokens: DataFrame, phrases: set[tuple[str, str]], joiner: str) -> DataFrame:
+    sent = tokens.sparkSession.sparkContext.broadcast(phrases)
+
+    def joined(toks: list[str]) -> list[str]:
+        known, out, at = sent.value, [], 0
+        while at < len(toks):
+            if at + 1 < len(toks) and (toks[at], toks[at + 1]) in known:
+                out.append(toks[at] + joiner + toks[at + 1])
+                at += 2
+            else:
+                out.append(toks[at])
+                at += 1
+        return out
+
+    def part(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([joined(t) for t in batch.column(1).to_pylist()], pa.list_(pa.string()))],
+                ["doc_id", "tokens"])
+
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+    return tokens.select("doc_id", "tokens").mapInArrow(part, f"doc_id {kind}, tokens array<string>")
+
+
 def apply_phrases(tokens: DataFrame, phrases: DataFrame, p: PhraseParams = PhraseParams(),
                   joiner: str = "_") -> DataFrame:
     """``(doc_id, tokens)`` with phrase pairs joined by ``joiner``.
 
-    One row per token position; the phrase test is a join on (token, next
-    token) against the phrase table, broadcast when its counted size is
-    within ``p.broadcast_rows`` (a broadcast join keeps the rows where they
-    are).  Everything else is windows over ``doc_id``, so with documents
-    already partitioned by id no further shuffle happens.  A larger phrase
-    table is shuffle-joined (AQE splits a hot pair).
+    A phrase table within ``p.broadcast_rows`` is sent to the tasks, which
+    join the pairs inside each document: no token leaves its row.  A larger
+    one is joined by (token, next token) over one row per position, and
+    windows over ``doc_id`` resolve the runs; both give the same tokens.
     """
-    n_phr = phrases.count()
-    phr = bounded_broadcast(phrases.select(F.col("a").alias("tok"), F.col("b").alias("nxt"),
-                                           F.lit(True).alias("cand")),
-                            n_phr if n_phr <= p.broadcast_rows else None)
+    rows = phrases.select("a", "b").limit(p.broadcast_rows + 1).collect()
+    if len(rows) <= p.broadcast_rows:
+        return _apply_in_rows(tokens, {(r["a"], r["b"]) for r in rows}, joiner)
+    phr = phrases.select(F.col("a").alias("tok"), F.col("b").alias("nxt"), F.lit(True).alias("cand"))
     by_doc = Window.partitionBy("doc_id").orderBy("pos")
     toks = (tokens.select("doc_id", F.posexplode_outer("tokens").alias("pos", "tok"))
             .where(F.col("tok").isNotNull())

@@ -5,7 +5,7 @@ All single-pass aggregates: one scan, conditional sums, no driver loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,12 +16,11 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
                   *[F.sum(F.col(c).isNull().cast("long")).alias(f"null_{c}") for c in cols])
 
 
-def filter_stats(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows before and after a filter and rows removed."""
-    nb = before.count()
-    na = after.count()
-    return after.sparkSession.createDataFrame(
-        [(nb, na, nb - na)], "n_before long, n_after long, n_removed long")
+def filter_stats(df: DataFrame, kept: Column) -> DataFrame:
+    """Rows before and after a filter on ``kept``, and rows removed."""
+    return df.select(F.coalesce(kept, F.lit(False)).alias("_kept")).agg(
+        F.count(F.lit(1)).alias("n_before"), F.count_if("_kept").alias("n_after"),
+        F.count_if(~F.col("_kept")).alias("n_removed"))
 
 
 def alignment(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -71,8 +71,8 @@ def silhouette_samples(points: DataFrame, id_col: str = "vec_id", vec_col: str =
         F.min(F.when(F.col("other") != F.col("cluster"),
                      F.col("dsum") / F.col("n_c"))).alias("b"))
     a = F.when(F.col("n_own") > 1, F.col("own_sum") / (F.col("n_own") - 1))
-    s = F.when(F.col("n_own") > 1,
-               (F.col("b") - a) / F.greatest(a, F.col("b"))).otherwise(F.lit(0.0))
+    top = F.greatest(a, F.col("b"))  # 0 where a point equals all it is compared with
+    s = F.when((F.col("n_own") > 1) & (top > 0), (F.col("b") - a) / top).otherwise(F.lit(0.0))
     return per_point.select(F.col("pid").alias(id_col), "cluster",
                             a.alias("a"), "b", F.coalesce(s, F.lit(0.0)).alias("s"))
 
@@ -86,9 +86,9 @@ def silhouette_score(points: DataFrame, **kw) -> DataFrame:
 def sample_points(points: DataFrame, id_col: str, sample_size: int = 2000,
                   seed: int = 42) -> DataFrame:
     """A5s: a deterministic sample of ``sample_size`` points (order of a
-    seeded hash of the id).  The limit *is* the operator here: the reference
+    seeded md5 of the id).  The limit *is* the operator here: the reference
     suggests scoring a 2000-point sample when the exact score is too slow."""
-    key = F.xxhash64(F.col(id_col), F.lit(seed))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
     return points.orderBy(key, F.col(id_col)).limit(sample_size)
 
 

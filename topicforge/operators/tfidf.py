@@ -10,22 +10,25 @@ Semantics kept from the reference's vectorizer call:
   then each document is scaled to unit L2 norm (a document with no vocabulary
   term keeps no row: its vector is zero).
 
-Plan shape (see README "Scale notes"): one shuffle on ``(doc_id, term)`` for the
-counts (partial aggregation map-side), one small shuffle on ``term`` for the
-document frequencies (at most one row per term per map task), the vocabulary
-capped at ``max_features`` rows and broadcast, and one shuffle on ``doc_id``
-of vocabulary-restricted rows for the norm.
+Plan shape (see README "Scale notes"): a document is one row, so its terms are
+counted, weighed and scaled inside that row; only the document frequencies are
+shuffled (a partial sum per term and task), and the vocabulary, capped at
+``max_features`` rows, is broadcast.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicforge.functions import text as tx
-from topicforge.operators.common import bounded_broadcast, dense_index, keep_where
+from topicforge.operators.common import BROADCAST_ROW_LIMIT, dense_index, keep_where
+from topicforge.session import checkpoint_dir
 
 
 def document_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -38,16 +41,30 @@ def document_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return keep_where(out, F.size("tokens") > 0)
 
 
-def term_counts(tokens: DataFrame) -> DataFrame:
-    """raw count of each term in each document ``(doc_id, term, tf)``.
+def count_terms(tokens: DataFrame) -> DataFrame:
+    """F2 inside each document: ``(doc_id, terms, tfs)`` with its distinct
+    terms in first-occurrence order and their counts.  A document is one row,
+    so nothing is shuffled."""
+    def part(batches):
+        for batch in batches:
+            counts = [Counter(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([list(c) for c in counts], pa.list_(pa.string())),
+                 pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))], ["doc_id", "terms", "tfs"])
+
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+    return tokens.select("doc_id", "tokens").mapInArrow(part, f"doc_id {kind}, terms array<string>, tfs array<bigint>")
 
-    ``explode_outer`` + a null test instead of ``explode``: for a plain
-    explode Catalyst infers ``size(tokens) > 0`` and pushes it below the
-    projection, which would evaluate the cleaning chain a second time.
-    """
-    return (tokens.select("doc_id", F.explode_outer("tokens").alias("term"))
-            .where(F.col("term").isNotNull())
-            .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+
+def term_rows(counted: DataFrame) -> DataFrame:
+    """``(doc_id, term, tf)`` rows of counted documents."""
+    return (counted.select("doc_id", F.explode(F.arrays_zip("terms", "tfs")).alias("_t"))
+            .select("doc_id", F.col("_t.terms").alias("term"), F.col("_t.tfs").alias("tf")))
+
+
+def term_counts(tokens: DataFrame) -> DataFrame:
+    """raw count of each term in each document ``(doc_id, term, tf)``."""
+    return term_rows(count_terms(tokens))
 
 
 def term_stats(counts: DataFrame) -> DataFrame:
@@ -81,14 +98,53 @@ def fit_vocabulary(counts: DataFrame, n_docs: int, p: VocabParams = VocabParams(
         (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
 
 
-def tfidf_weights(counts: DataFrame, vocab: DataFrame,
-                  vocab_bound: int | None = 5000) -> DataFrame:
+def weigh(counted: DataFrame, vocab: DataFrame, packed: bool = False) -> DataFrame:
     """F6-F7 (and F8 for unseen documents): unit-L2 TF-IDF rows
-    ``(doc_id, idx, term, weight)`` for the vocabulary terms of each document."""
-    v = bounded_broadcast(vocab.select("term", "idx", "idf"), vocab_bound)
-    raw = counts.join(v, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
-    return raw.select("doc_id", "idx", "term", (F.col("w") / norm).alias("weight"))
+    ``(doc_id, idx, term, weight)`` for the vocabulary terms of each document,
+    or with ``packed`` one row ``(doc_id, idxs, vals)`` for each document.
+
+    A vocabulary within the broadcast limit is sent to the tasks, which weigh
+    and scale each document where it is; a larger one (no ``max_features``) is
+    joined by term and the norms summed by document."""
+    known = vocab.select("term", "idx", "idf")
+    rows = known.limit(BROADCAST_ROW_LIMIT + 1).collect()
+    kind = counted.schema["doc_id"].dataType.simpleString()
+    if len(rows) > BROADCAST_ROW_LIMIT:
+        raw = term_rows(counted).join(known, "term").withColumn("w", F.col("tf") * F.col("idf"))
+        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
+        long = raw.select("doc_id", "idx", "term", (F.col("w") / norm).alias("weight"))
+        return _pack(counted, long) if packed else long
+    sent = counted.sparkSession.sparkContext.broadcast({r["term"]: (r["idx"], r["idf"]) for r in rows})
+
+    def part(batches):
+        index = sent.value
+        for batch in batches:
+            idxs, names, weights = [], [], []
+            for terms, tfs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                hits = [(index[t], t, n) for t, n in zip(terms, tfs) if t in index]
+                w = [n * idf for (_, idf), _, n in hits]
+                norm = math.sqrt(math.fsum(x * x for x in w))
+                idxs.append([i for (i, _), _, _ in hits])
+                names.append([t for _, t, _ in hits])
+                weights.append([x / norm for x in w])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(idxs, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string())),
+                 pa.array(weights, pa.list_(pa.float64()))], ["doc_id", "idx", "term", "weight"])
+
+    rows = counted.select("doc_id", "terms", "tfs").mapInArrow(
+        part, f"doc_id {kind}, idx array<int>, term array<string>, weight array<double>")
+    if packed:
+        return rows.select("doc_id", F.col("idx").alias("idxs"), F.col("weight").alias("vals"))
+    return (rows.select("doc_id", F.explode(F.arrays_zip("idx", "term", "weight")).alias("_t"))
+            .select("doc_id", "_t.idx", "_t.term", "_t.weight"))
+
+
+def _pack(counted: DataFrame, long: DataFrame) -> DataFrame:
+    sparse = long.groupBy("doc_id").agg(F.collect_list(F.struct("idx", "weight")).alias("e")).select(
+        "doc_id", F.col("e.idx").alias("idxs"), F.col("e.weight").alias("vals"))
+    none = lambda c, t: F.coalesce(c, F.array().cast(t)).alias(c)
+    return counted.select("doc_id").join(sparse, "doc_id", "left").select(
+        "doc_id", none("idxs", "array<int>"), none("vals", "array<double>"))
 
 
 def matrix_shape(weights: DataFrame, n_docs: int) -> DataFrame:
@@ -107,18 +163,41 @@ class TfidfModel:
 
     def transform(self, tokens: DataFrame) -> DataFrame:
         """F8: weights of (possibly unseen) documents with the stored vocabulary."""
-        return tfidf_weights(term_counts(tokens), self.vocabulary, self.params.max_features)
+        return weigh(count_terms(tokens), self.vocabulary)
+
+    def save(self, path: str) -> None:
+        """Store the vocabulary and the fit's parameters as two tables."""
+        spark = self.vocabulary.sparkSession
+        self.vocabulary.write.parquet(f"{path}/vocabulary")
+        p = self.params
+        spark.createDataFrame([(self.n_docs, float(p.min_df), isinstance(p.min_df, float), float(p.max_df),
+                                isinstance(p.max_df, float), p.max_features)],
+                              "n_docs long, min_df double, min_share boolean, max_df double, max_share boolean, "
+                              "max_features long").write.parquet(f"{path}/parameters")
+
+    @staticmethod
+    def load(spark, path: str) -> "TfidfModel":
+        r = spark.read.parquet(f"{path}/parameters").first()
+        share = lambda v, is_share: v if is_share else int(v)
+        return TfidfModel(spark.read.parquet(f"{path}/vocabulary"), r["n_docs"],
+                          VocabParams(share(r["min_df"], r["min_share"]), share(r["max_df"], r["max_share"]),
+                                      r["max_features"]))
+
+
+def fit_counted(tokens: DataFrame, p: VocabParams = VocabParams()) -> tuple[TfidfModel, DataFrame]:
+    """Fit the vocabulary on ``tokens`` and return (model, counted documents).
+    The counted documents are written to the checkpoint folder once and read
+    by all that follows, so the cleaning runs once and nothing stays cached."""
+    checkpoint_dir(tokens.sparkSession)
+    counted = count_terms(tokens).checkpoint()
+    n_docs = counted.count()
+    vocab = fit_vocabulary(term_rows(counted), n_docs, p)
+    if p.max_features is not None:
+        vocab = vocab.checkpoint()
+    return TfidfModel(vocab, n_docs, p), counted
 
 
 def fit_tfidf(tokens: DataFrame, p: VocabParams = VocabParams()) -> tuple[TfidfModel, DataFrame]:
-    """Fit the vocabulary on ``tokens`` and return (model, weights).  The
-    counts are computed once and reused by both branches."""
-    from pyspark import StorageLevel
-    tokens = tokens.persist(StorageLevel.MEMORY_AND_DISK)
-    counts = term_counts(tokens)
-    n_docs = tokens.count()
-    vocab = fit_vocabulary(counts, n_docs, p)
-    if p.max_features is not None:
-        vocab = vocab.cache()
-    model = TfidfModel(vocab, n_docs, p)
-    return model, tfidf_weights(counts, vocab, p.max_features)
+    """Fit the vocabulary on ``tokens`` and return (model, weights)."""
+    model, counted = fit_counted(tokens, p)
+    return model, weigh(counted, model.vocabulary)

@@ -34,7 +34,8 @@ def top_terms(centroids: DataFrame, n: int = 15, group_col: str = "cluster") ->
     """A2/A3: the ``n`` heaviest terms per group with their rank (1-based)
     and the weight relative to the group's largest weight.
 
-    Ties are broken by term (the reference leaves them arbitrary).  The
+    A group whose weights are all 0 has null relative weights.  Ties are
+    broken by term (the reference leaves them arbitrary).  The
     window partitions by group; a group holds at most one row per vocabulary
     term, so the per-group sort is bounded by the vocabulary size.
     """
@@ -42,7 +43,7 @@ def top_terms(centroids: DataFrame, n: int = 15, group_col: str = "cluster") ->
     ranked = centroids.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
     top = F.max("weight").over(Window.partitionBy(group_col))
     return ranked.select(group_col, F.col("rank").cast("int").alias("rank"), "term",
-                         "weight", (F.col("weight") / top).alias("rel_weight"))
+                         "weight", (F.col("weight") / F.nullif(top, F.lit(0.0))).alias("rel_weight"))
 
 
 def keyword_lists(top: DataFrame, group_col: str = "cluster") -> DataFrame:

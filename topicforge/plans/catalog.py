@@ -9,8 +9,11 @@ cut at the same row.
 
 from __future__ import annotations
 
+import uuid
+import warnings
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +31,8 @@ from topicforge.operators import ingest as ig
 from topicforge.operators import profile as pf
 from topicforge.operators import phrases as phr
 from topicforge.sources import sites
-from topicforge.sources.tables import table
+from topicforge.sources.articles import read_articles, read_stopwords, read_stored_articles, write_articles
+from topicforge.sources.tables import read_processed, read_table, table, write_table
 from topicforge.session import checkpoint_dir
 
 R = 6  # decimals kept in compared doubles
@@ -48,6 +52,11 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder in the cluster's shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def _rnd(c, d: int = R):
     return F.round(c, d)
 
@@ -61,6 +70,13 @@ def corpus_tokens(spark: SparkSession, sf_dir: str, keep=("source",)) -> DataFra
     return tf.document_tokens(docs, "doc_id", "text", keep=list(keep))
 
 
+def stored_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus' tokens, written once: phrase scoring reads them twice and
+    the joining once more."""
+    checkpoint_dir(spark)
+    return corpus_tokens(spark, sf_dir, ()).checkpoint()
+
+
 def corpus_tfidf(spark: SparkSession, sf_dir: str):
     toks = corpus_tokens(spark, sf_dir)
     model, weights = tf.fit_tfidf(toks)
@@ -132,11 +148,13 @@ def q_tfidf_weights(spark, sf_dir):
 
 @query("tfidf_transform")
 def q_tfidf_transform(spark, sf_dir):
-    """F8: weigh unseen texts (``benchmark``) with the vocabulary fitted on
-    ``documents``."""
-    _, model, _ = corpus_tfidf(spark, sf_dir)
+    """Weigh unseen texts (``benchmark``) with the vocabulary fitted on
+    ``documents``, stored and loaded."""
+    model, _ = tf.fit_counted(corpus_tokens(spark, sf_dir))
+    path = scratch(spark, "tfidf")
+    model.save(path)
     bench = tf.document_tokens(table(spark, sf_dir, "benchmark"), "item_id", "text")
-    w = model.transform(bench)
+    w = tf.TfidfModel.load(spark, path).transform(bench)
     return w.select(F.col("doc_id").alias("item_id"), "idx", "term",
                     _rnd(F.col("weight")).alias("weight"))
 
@@ -230,12 +248,61 @@ def q_silhouette_sq_euclidean(spark, sf_dir):
 
 @query("silhouette_sampled")
 def q_silhouette_sampled(spark, sf_dir):
-    """A5s: silhouette of a deterministic 2000-point sample."""
-    pts = sil.sample_points(embedding_points(spark, sf_dir), "vec_id", 2000)
+    """A5s: silhouette of a deterministic 300-point sample."""
+    pts = sil.sample_points(embedding_points(spark, sf_dir), "vec_id", 300)
     out = sil.silhouette_score(pts, id_col="vec_id")
     return out.select("n_points", _rnd(F.col("silhouette")).alias("silhouette"))
 
 
+def first_points(points: DataFrame, k: int):
+    """The ``k`` first vectors by md5 of the id: given initial centroids."""
+    key = F.md5(F.col("vec_id").cast("string"))
+    return np.array([r["vec"] for r in points.orderBy(key, "vec_id").limit(k).collect()])
+
+
+GIVEN_K, GIVEN_STEPS = 5, 3
+
+
+@query("kmeans_given")
+def q_kmeans_given(spark, sf_dir):
+    """Labels after a fixed number of Lloyd steps from given points."""
+    pts = embedding_points(spark, sf_dir).select(F.col("vec_id").alias("pid"), "vec", "vec_id")
+    (centers, _), = ev.lloyd(pts, [first_points(pts, GIVEN_K)], GIVEN_STEPS, tol=-1.0)
+    return ev.label_all(pts, [centers]).select(F.col("pid").alias("vec_id"), F.col("labels")[0].alias("cluster"))
+
+
+@query("k_sweep_given")
+def q_k_sweep_given(spark, sf_dir):
+    """A4/A5: inertia and silhouette for K = 2..5 from given points, a fixed
+    number of Lloyd steps."""
+    pts = embedding_points(spark, sf_dir)
+    starts = {k: [first_points(pts, k)] for k in range(2, GIVEN_K + 1)}
+    sw = ev.k_sweep(pts, 2, GIVEN_K, 1, id_col="vec_id", vec_col="vec", starts=starts, max_iter=GIVEN_STEPS)
+    return sw.select("k", _rnd(F.col("inertia")).alias("inertia"), _rnd(F.col("silhouette")).alias("silhouette"))
+
+
+@query("best_k_given")
+def q_best_k_given(spark, sf_dir):
+    """The K with the highest silhouette of that sweep."""
+    return ev.best_k(q_k_sweep_given(spark, sf_dir))
+
+
+@query("load_or_train")
+def q_load_or_train(spark, sf_dir):
+    """The first call trains and stores, the second loads the same model;
+    other features train anew."""
+    pts = embedding_points(spark, sf_dir).select("vec_id", F.col("vec").alias("features"))
+    store = scratch(spark, "kmeans")
+    first, loaded1 = km.load_or_train(pts, GIVEN_K, store, id_col="vec_id")
+    again, loaded2 = km.load_or_train(pts, GIVEN_K, store, id_col="vec_id")
+    _, loaded3 = km.load_or_train(pts.where("vec_id % 2 = 0"), GIVEN_K, store, id_col="vec_id")
+    same = np.array_equal(first.clusterCenters(), again.clusterCenters())
+    return pts.agg(F.count(F.lit(1)).alias("n_points")).select(
+        "n_points", F.lit(loaded1).alias("first_loaded"), F.lit(loaded2).alias("second_loaded"),
+        F.lit(loaded3).alias("other_loaded"), F.lit(bool(same)).alias("same_centers"),
+        F.lit(km.model_summary(again)["n_centroids"]).alias("n_centroids"))
+
+
 def _dbscan(spark, sf_dir):
     pts = embedding_points(spark, sf_dir).drop("cluster")
     return db.dbscan(pts, DBSCAN_EPS, DBSCAN_MIN_SAMPLES, id_col="vec_id", vec_col="vec")
@@ -276,23 +343,26 @@ def _key(spark: SparkSession, *parts):
 
 def lsa_stage(spark: SparkSession, sf_dir: str):
     """documents -> tokens -> TF-IDF -> LSA model (memoised per corpus)."""
-    toks, model, weights = corpus_tfidf(spark, sf_dir)
     key = _key(spark, "lsa", sf_dir)
     if key not in _FITTED:
+        toks = corpus_tokens(spark, sf_dir)
+        model, counted = tf.fit_counted(toks)
+        packed = tf.weigh(counted, model.vocabulary, packed=True)
         n_terms = model.vocabulary.count()
-        _FITTED[key] = lsa.fit_lsa(weights, n_terms, model.n_docs, N_COMPONENTS, seed=42)
-    return toks, model, weights, _FITTED[key]
+        _FITTED[key] = (toks, model, packed, lsa.fit_lsa(packed, n_terms, model.n_docs, N_COMPONENTS, seed=42))
+    return _FITTED[key]
 
 
 def lsa_features(spark: SparkSession, sf_dir: str):
-    """LSA vectors, written once to the checkpoint folder: K-Means iterates
-    over them and every later query reads them (the reference stores the
-    LSA matrix for the same reason)."""
+    """LSA vectors, written once as a table (S9): K-Means iterates over them
+    and every later query reads them (the reference stores the LSA matrix for
+    the same reason)."""
     toks, model, weights, lm = lsa_stage(spark, sf_dir)
     key = _key(spark, "features", sf_dir)
     if key not in _FITTED:
-        checkpoint_dir(spark)
-        _FITTED[key] = lsa.project(weights, toks.select("doc_id"), lm).checkpoint()
+        path = scratch(spark, "lsa-matrix")
+        write_table(lsa.project(weights, None, lm), path)
+        _FITTED[key] = read_table(spark, path)
     return toks, model, weights, lm, _FITTED[key]
 
 
@@ -300,6 +370,8 @@ def kmeans_stage(spark: SparkSession, sf_dir: str):
     toks, model, weights, lm, feats = lsa_features(spark, sf_dir)
     key = _key(spark, "kmeans", sf_dir, K_TOPICS)
     if key not in _FITTED:
+        if model.n_docs < K_TOPICS:
+            warnings.warn(f"K={K_TOPICS} reduced to the number of documents ({model.n_docs})", stacklevel=2)
         _FITTED[key] = km.fit_kmeans(feats, min(K_TOPICS, model.n_docs), "features", seed=42)
     return toks, model, lm, feats, _FITTED[key]
 
@@ -313,12 +385,36 @@ def q_dbscan_lsa_summary(spark, sf_dir):
     return db.dbscan_summary(labels)
 
 
+@query("dbscan_lsa_labels")
+def q_dbscan_lsa_labels(spark, sf_dir):
+    """C6 on the reference's own path: DBSCAN labels of the LSA vectors."""
+    feats = lsa_features(spark, sf_dir)[4]
+    return db.dbscan(feats, 0.5, 5, id_col="doc_id", vec_col="features").select("doc_id", "cluster")
+
+
+@query("k_sweep_lsa")
+def q_k_sweep_lsa(spark, sf_dir):
+    """A4/A5 on the reference's own path: the sweep over the LSA vectors."""
+    key = _key(spark, "sweep-lsa", sf_dir)
+    if key not in _FITTED:
+        feats = lsa_features(spark, sf_dir)[4]
+        _FITTED[key] = ev.k_sweep(feats, 5, 50, 1, n_init=3, seed=42).checkpoint()
+    return _FITTED[key].select("k", _rnd(F.col("inertia")).alias("inertia"),
+                               _rnd(F.col("silhouette")).alias("silhouette"))
+
+
+@query("best_k_lsa")
+def q_best_k_lsa(spark, sf_dir):
+    """The K of the LSA sweep with the highest silhouette."""
+    return ev.best_k(q_k_sweep_lsa(spark, sf_dir))
+
+
 @query("lsa_spectrum")
 def q_lsa_spectrum(spark, sf_dir):
     """singular values and explained variance ratio per component."""
     toks, _, weights, lm = lsa_stage(spark, sf_dir)
-    ev = lsa.explained_variance(weights, toks.select("doc_id"), lm)
-    return ev.select("component", _rnd(F.col("singular_value")).alias("singular_value"),
+    spectrum = lsa.explained_variance(weights, toks.select("doc_id"), lm)
+    return spectrum.select("component", _rnd(F.col("singular_value")).alias("singular_value"),
                      _rnd(F.col("explained_variance_ratio")).alias("explained_variance_ratio"))
 
 
@@ -342,7 +438,9 @@ def q_labelled_docs(spark, sf_dir):
     toks, _, _, feats, m = kmeans_stage(spark, sf_dir)
     labels = km.predict(m, feats, "features").select("doc_id", "cluster")
     proc = q_clean_text(spark, sf_dir)
-    return proc.join(labels, "doc_id", "left").select("doc_id", "processed_content", "cluster")
+    path = scratch(spark, "labelled")
+    write_table(proc.join(labels, "doc_id", "left").select("doc_id", "processed_content", "cluster"), path)
+    return read_table(spark, path)
 
 
 @query("kmeans_sizes")
@@ -378,7 +476,7 @@ def q_k_sweep(spark, sf_dir):
     if key not in _FITTED:
         pts = embedding_points(spark, sf_dir)
         sw = ev.k_sweep(pts, 5, 50, 1, n_init=3, seed=42, id_col="vec_id", vec_col="vec")
-        _FITTED[key] = sw.cache()
+        _FITTED[key] = sw.checkpoint()
     sw = _FITTED[key]
     return sw.select("k", _rnd(F.col("inertia")).alias("inertia"),
                      _rnd(F.col("silhouette")).alias("silhouette"))
@@ -421,30 +519,73 @@ def q_page_links_distinct(spark, sf_dir):
     return ig.first_links(page_links_df(spark, sf_dir)).select("page_id", "link", "selector_ix", "pos")
 
 
-def _stored_pages(spark, sf_dir):
-    """The fetched pages themselves as the stored article table."""
-    return routed_pages(spark, sf_dir).select("site_key", "category", "url")
+def by_language(routed: DataFrame) -> DataFrame:
+    """Pages of one language of a site as pages of one category."""
+    return routed.withColumn("category", F.split("category", "_")[0])
+
+
+def new_links(spark, sf_dir) -> DataFrame:
+    """Links that are not stored, where those of even length are stored."""
+    routed = by_language(routed_pages(spark, sf_dir))
+    links = ig.extract_links(routed, sites.EXAMPLE_SITES, first_only=True)
+    stored = links.where(F.length("link") % 2 == 0).select("site_key", "category", F.col("link").alias("url"))
+    return ig.exclude_known(links, stored, routed)
 
 
 @query("new_links")
 def q_new_links(spark, sf_dir):
     """Links not yet stored for their (site, category)."""
-    routed = routed_pages(spark, sf_dir)
-    links = ig.extract_links(routed, sites.EXAMPLE_SITES, first_only=True)
-    return ig.exclude_known(links, _stored_pages(spark, sf_dir), routed).select("page_id", "link")
+    return new_links(spark, sf_dir).select("page_id", "link")
+
+
+CAP = 3
 
 
 @query("capped_links")
 def q_capped_links(spark, sf_dir):
-    """First 50 new links per category page, in link order."""
-    routed = routed_pages(spark, sf_dir)
-    links = ig.exclude_known(ig.extract_links(routed, sites.EXAMPLE_SITES, first_only=True),
-                             _stored_pages(spark, sf_dir), routed)
-    return ig.cap_links(links, 50).select("page_id", "link", F.col("rank").cast("int").alias("rank"))
+    """The first 3 new links of each category page that no earlier page of
+    the category took, in link order."""
+    return ig.cap_links(new_links(spark, sf_dir), CAP).select("page_id", "link", "rank")
+
+
+def some_blank(pages: DataFrame) -> DataFrame:
+    """Every fifth page without content."""
+    return pages.withColumn("html", F.when(F.col("page_id") % 5 == 0, "").otherwise(F.col("html")))
 
 
 def _articles(spark, sf_dir):
-    return ig.extract_articles(routed_pages(spark, sf_dir), sites.EXAMPLE_SITES)
+    return ig.extract_articles(some_blank(routed_pages(spark, sf_dir)), sites.EXAMPLE_SITES)
+
+
+@query("page_rejects")
+def q_page_rejects(spark, sf_dir):
+    """Pages that yield no article, by reason."""
+    return ig.article_rejects(some_blank(routed_pages(spark, sf_dir)), sites.EXAMPLE_SITES)
+
+
+@query("stored_articles")
+def q_stored_articles(spark, sf_dir):
+    """Pages as category pages; each linked article is fetched
+    with the body of the first page that links it; two runs append to a
+    partitioned store, the second one what the cap left; then re-read."""
+    pages = table(spark, sf_dir, "pages", spread_key="page_id")
+    routed = routed_pages(spark, sf_dir)
+    links = ig.extract_links(routed, sites.EXAMPLE_SITES, first_only=True)
+    first = links.groupBy("link").agg(F.min("page_id").alias("page_id"))
+    fetched = (some_blank(pages).select("page_id", "html").join(first, "page_id")
+               .select("page_id", F.col("link").alias("url"), "html"))
+    root = scratch(spark, "articles")
+    for _ in range(2):
+        write_articles(ig.ingest(pages, fetched, read_stored_articles(spark, root), sites.EXAMPLE_SITES, CAP), root)
+    return read_stored_articles(spark, root).select("url", "site_key", "category")
+
+
+@query("site_pages")
+def q_site_pages(spark, sf_dir):
+    """Pages per row of the site dimension."""
+    n = routed_pages(spark, sf_dir).groupBy("site_key").agg(F.count(F.lit(1)).alias("n"))
+    return (sites.site_table(spark, sites.EXAMPLE_SITES).join(n, "site_key", "left")
+            .select("site_key", "ord", "name", F.coalesce("n", F.lit(0)).alias("n_pages")))
 
 
 @query("page_titles")
@@ -475,9 +616,55 @@ def q_null_profile(spark, sf_dir):
 
 @query("blank_filter_stats")
 def q_blank_filter_stats(spark, sf_dir):
-    """Documents before and after dropping blank processed text."""
-    docs = table(spark, sf_dir, "documents")
-    return pf.filter_stats(docs, q_clean_text(spark, sf_dir))
+    """Documents before and after dropping blank processed text, where
+    a document without a label row has none."""
+    docs = labelled_text(spark, sf_dir).select(tx.processed_content(F.col("text")).alias("processed_content"))
+    return pf.filter_stats(docs, tx.not_blank(F.col("processed_content")))
+
+
+def labelled_text(spark, sf_dir) -> DataFrame:
+    """Documents whose text is null unless they have a label row."""
+    docs = table(spark, sf_dir, "documents", spread_key="doc_id").select("doc_id", "text")
+    known = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("known")).distinct()
+    return docs.join(known, "doc_id", "left").select("doc_id", F.when(F.col("known"), F.col("text")).alias("text"))
+
+
+@query("processed_table")
+def q_processed_table(spark, sf_dir):
+    """The processed table written with its blank rows, re-read with
+    the blank filter."""
+    path = scratch(spark, "processed")
+    write_table(labelled_text(spark, sf_dir).select(
+        "doc_id", tx.processed_content(F.col("text")).alias("processed_content")), path)
+    return read_processed(spark, path)
+
+
+@query("article_csv")
+def q_article_csv(spark, sf_dir):
+    """Documents written as article CSV files of two column orders,
+    beside a file without content; read back as one union."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("https://example.org/"), "doc_id").alias("url"), F.col("source").alias("title"),
+        F.col("lang").alias("description"), F.col("text").alias("content"), "doc_id")
+    folder = scratch(spark, "csv")
+
+    def write(df):
+        (df.write.mode("append").option("header", True).option("quote", '"').option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder))
+
+    write(docs.where("doc_id % 2 = 0").select("url", "title", "description", "content"))
+    write(docs.where("doc_id % 2 <> 0").select("content", "title", "url"))
+    write(docs.select("url", "title"))
+    return read_articles(spark, folder, with_source=False).select("url", "title", "content")
+
+
+@query("stopword_file")
+def q_stopword_file(spark, sf_dir):
+    """A stopword file with blank lines, spaces and repeats, read back."""
+    words = top_stopwords(spark, sf_dir)
+    path = scratch(spark, "stopwords")
+    spark.createDataFrame([(x,) for w in words for x in (f"  {w}\t", w, " ")], "value string").write.text(path)
+    return spark.createDataFrame([(w,) for w in read_stopwords(spark, path)], "term string")
 
 
 @query("alignment_check")
@@ -513,13 +700,13 @@ def q_stopword_tokens(spark, sf_dir):
 @query("phrase_scores")
 def q_phrase_scores(spark, sf_dir):
     """Collocations kept as phrases with their scores."""
-    ph = phr.score_phrases(corpus_tokens(spark, sf_dir, ()).persist())
+    ph = phr.score_phrases(stored_tokens(spark, sf_dir))
     return ph.select("a", "b", "n_ab", _rnd(F.col("score")).alias("score"))
 
 
 @query("phrase_apply")
 def q_phrase_apply(spark, sf_dir):
     """Processed content with learned phrases joined by '_'."""
-    toks = corpus_tokens(spark, sf_dir, ()).persist()
-    joined = phr.apply_phrases(toks, phr.score_phrases(toks).persist())
+    toks = stored_tokens(spark, sf_dir)
+    joined = phr.apply_phrases(toks, phr.score_phrases(toks))
     return joined.select("doc_id", F.array_join("tokens", " ").alias("processed_content"))

@@ -9,28 +9,40 @@ start, so the look-behind is implied.
 
 from __future__ import annotations
 
-from topicforge.functions import text as tx
-
 R = 6
 
+# ---------------------------------------------------------------------------
+# Fixed values, written out here so that a wrong constant in the checked code
+# shows: whitespace and word characters, top-level domains, kept letters.
+WS = r"\t-\r\x1c-\x1f\x85\p{Z}"
+WORD = r"\p{L}\p{N}_"
+TLDS = ("com vn net org edu gov info biz asia mobi name pro tel xxx xyz me tv "
+        "cc ws io ai gl us uk ca au de fr jp cn ru br in eu").split()
+LETTERS = ("àáạảãâầấậẩẫăằắặẳẵèéẹẻẽêềếệểễìíịỉĩòóọỏõôồốộổỗơờớợởỡ"
+           "ùúụủũưừứựửữỳýỵỷỹđ")
+NETLOC = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
+PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
+EXAMPLE_KEYS = ("blog", "example.com", "example.net", "example.org")
+# ---------------------------------------------------------------------------
+
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_DOMAIN_RE2 = rf"[^{tx.WS}]+\.(?:{'|'.join(tx.TLDS)})([^{tx.WORD}]|$)"
+_DOMAIN_RE2 = rf"[^{WS}]+\.(?:{'|'.join(TLDS)})([^{WORD}]|$)"
 
 
 def clean_sql(col: str) -> str:
     """T1-T8 as a DuckDB expression."""
     e = f"coalesce(CAST({col} AS VARCHAR), '')"
-    e = f"regexp_replace({e}, {_q(tx.RE_HTTP)}, '', 'g')"
-    e = f"regexp_replace({e}, {_q(tx.RE_WWW)}, '', 'g')"
+    e = f"regexp_replace({e}, {_q(f'https?://[^{WS}]+')}, '', 'g')"
+    e = f"regexp_replace({e}, {_q(rf'www[.][^{WS}]+')}, '', 'g')"
     e = f"regexp_replace({e}, {_q(_DOMAIN_RE2)}, '\\1', 'g')"
-    e = f"regexp_replace({e}, {_q(tx.RE_EMAIL)}, '', 'g')"
+    e = f"regexp_replace({e}, {_q(f'[^{WS}]+@[^{WS}]+')}, '', 'g')"
     e = f"lower({e})"
-    e = f"regexp_replace({e}, {_q(tx.RE_NOT_KEPT)}, ' ', 'g')"
-    e = f"regexp_replace({e}, {_q(tx.RE_SPACES)}, ' ', 'g')"
+    e = f"regexp_replace({e}, {_q(f'[^a-z{LETTERS}{WS}]')}, ' ', 'g')"
+    e = f"regexp_replace({e}, {_q(f'[{WS}]+')}, ' ', 'g')"
     return f"trim({e})"
 
 
@@ -104,7 +116,7 @@ def oracles() -> dict[str, str]:
     q["clean_text"] = f"""
 SELECT doc_id, processed_content FROM (
   SELECT doc_id, array_to_string({tokens_sql('text')}, ' ') AS processed_content FROM documents
-) WHERE length(regexp_replace(processed_content, {_q(tx.RE_SPACES)}, '', 'g')) > 0
+) WHERE length(regexp_replace(processed_content, {_q(f'[{WS}]+')}, '', 'g')) > 0
 """
     q["term_stats"] = f"""
 WITH {_corpus(extra='')}
@@ -190,6 +202,33 @@ ss AS (
 )"""
 
 
+#: Silhouette CTEs over ``label3(vec_id, cluster, v)``.
+_SIL_OF = _SIL.replace("e AS (SELECT vec_id, label AS cluster, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)",
+                       "e AS (SELECT vec_id, cluster, v FROM label3)")
+
+
+def _lloyd_sql(k: int, steps: int) -> str:
+    """CTEs ``label0`` .. ``label<steps>`` (vec_id, cluster, v, d): Lloyd steps
+    from the first ``k`` points by md5 of the id; a centroid that loses all
+    its points stays where it is."""
+    out = f"""
+p AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+cent0 AS (SELECT row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) - 1 AS cluster, v AS c FROM p
+          QUALIFY cluster < {k})"""
+    for i in range(steps + 1):
+        out += f""",
+label{i} AS (SELECT vec_id, cluster, v, d FROM (
+  SELECT vec_id, cluster, v, list_distance(v, c) AS d,
+         row_number() OVER (PARTITION BY vec_id ORDER BY list_distance(v, c), cluster) AS rn FROM p, cent{i}) WHERE rn = 1)"""
+        if i < steps:
+            out += f""",
+mean{i} AS (SELECT cluster, list(m ORDER BY i) AS c FROM (
+  SELECT cluster, i, avg(x) AS m FROM (
+    SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM label{i}) GROUP BY cluster, i) GROUP BY cluster),
+cent{i + 1} AS (SELECT cluster, coalesce(mean{i}.c, cent{i}.c) AS c FROM cent{i} LEFT JOIN mean{i} USING (cluster))"""
+    return out
+
+
 def _dbscan_sql(eps: float, min_samples: int) -> str:
     return f"""
 WITH RECURSIVE
@@ -250,13 +289,11 @@ FROM pp
 
 
 def _route_sql() -> str:
-    from topicforge.sources.sites import EXAMPLE_SITES
-    from topicforge.functions.urls import RE_NETLOC, RE_PATH, FRONT_PAGE
-    case = " ".join(f"WHEN contains(host, {_q(k)}) THEN {_q(k)}" for k, *_ in EXAMPLE_SITES)
+    case = " ".join(f"WHEN contains(host, {_q(k)}) THEN {_q(k)}" for k in EXAMPLE_KEYS)
     return f"""
 p0 AS (
-  SELECT page_id, url, html, regexp_extract(url, {_q(RE_NETLOC)}, 1) AS host,
-         regexp_replace(regexp_extract(url, {_q(RE_PATH)}, 1), ';[^/]*$', '') AS path
+  SELECT page_id, url, html, regexp_extract(url, {_q(NETLOC)}, 1) AS host,
+         regexp_replace(regexp_extract(url, {_q(PATH)}, 1), ';[^/]*$', '') AS path
   FROM pages
 ),
 p1 AS (
@@ -267,7 +304,7 @@ p1 AS (
 routed AS (
   SELECT page_id, url, html, site_key,
          CASE WHEN c1 LIKE '%.htm' OR c1 LIKE '%.html' THEN split_part(c1, '.', 1) ELSE c1 END AS category
-  FROM (SELECT *, CASE WHEN c0 = '' THEN {_q(FRONT_PAGE)} ELSE c0 END AS c1 FROM p1)
+  FROM (SELECT *, CASE WHEN c0 = '' THEN 'trang-chu' ELSE c0 END AS c1 FROM p1)
   WHERE site_key IS NOT NULL
 ),
 links AS (
@@ -283,10 +320,30 @@ firsts AS (
     SELECT *, row_number() OVER (PARTITION BY page_id, link ORDER BY selector_ix, pos) AS r FROM rlinks
   ) WHERE r = 1
 ),
+langs AS (SELECT *, split_part(category, '_', 1) AS language FROM firsts),
 fresh AS (
-  SELECT f.* FROM firsts f
-  WHERE NOT EXISTS (SELECT 1 FROM routed s WHERE s.site_key = f.site_key
-                    AND s.category = f.category AND s.url = f.link)
+  SELECT f.* FROM langs f
+  WHERE NOT EXISTS (SELECT 1 FROM langs s WHERE s.site_key = f.site_key AND s.language = f.language
+                    AND s.link = f.link AND length(s.link) % 2 = 0)
+)"""
+
+
+def _taken(name: str, links: str, cap: int) -> str:
+    """CTE ``name(page_id, picks)``: what each page takes, page after page of
+    a (site, language), skipping what the pages before it took."""
+    return f"""
+{name}_pages AS (
+  SELECT site_key, language, page_id, list(link ORDER BY selector_ix, pos) AS all_links,
+         row_number() OVER (PARTITION BY site_key, language ORDER BY page_id) AS n
+  FROM {links} GROUP BY site_key, language, page_id
+),
+{name}(site_key, language, n, page_id, picks, taken) AS (
+  SELECT site_key, language, n, page_id, all_links[1:{cap}], all_links[1:{cap}] FROM {name}_pages WHERE n = 1
+  UNION ALL
+  SELECT site_key, language, n, page_id, picks, list_concat(taken, picks) FROM (
+    SELECT p.site_key, p.language, p.n, p.page_id, r.taken,
+           list_filter(p.all_links, lambda x: NOT list_contains(r.taken, x))[1:{cap}] AS picks
+    FROM {name} r JOIN {name}_pages p ON p.site_key = r.site_key AND p.language = r.language AND p.n = r.n + 1)
 )"""
 
 
@@ -298,20 +355,40 @@ def page_oracles() -> dict[str, str]:
     q["page_links_distinct"] = (f"WITH {r}\nSELECT page_id, link, CAST(selector_ix AS INTEGER) AS selector_ix, pos "
                                 "FROM firsts")
     q["new_links"] = f"WITH {r}\nSELECT page_id, link FROM fresh"
-    q["capped_links"] = (f"WITH {r}\nSELECT page_id, link, rank FROM (SELECT page_id, link, CAST(row_number() OVER "
-                         "(PARTITION BY page_id ORDER BY selector_ix, pos) AS INTEGER) AS rank FROM fresh) "
-                         "WHERE rank <= 50")
+    q["capped_links"] = f"""WITH RECURSIVE {r},{_taken('cap1', 'fresh', 3)}
+SELECT page_id, unnest(picks) AS link, CAST(generate_subscripts(picks, 1) AS INTEGER) AS rank FROM cap1
+"""
+    q["page_rejects"] = f"WITH {r}\nSELECT 'no_content' AS reason, count(*) AS n_pages FROM routed WHERE page_id % 5 = 0"
+    q["site_pages"] = f"""WITH {r}, d(site_key, ord, name) AS (VALUES ('blog', 0, 'Blog pages'),
+  ('example.com', 1, 'Example COM'), ('example.net', 2, 'Example NET'), ('example.org', 3, 'Example ORG'))
+SELECT site_key, ord, name, (SELECT count(*) FROM routed s WHERE s.site_key = d.site_key) AS n_pages FROM d
+"""
+    # an article has content unless the first page that links it is a fifth one
+    q["stored_articles"] = f"""WITH RECURSIVE {r},
+source AS (SELECT link, min(page_id) AS src FROM firsts GROUP BY link),
+links1 AS (SELECT page_id, site_key, category AS language, selector_ix, pos, link FROM firsts),{_taken('run1', 'links1', 3)},
+store1 AS (SELECT DISTINCT site_key, language, link FROM (SELECT site_key, language, unnest(picks) AS link FROM run1)
+           JOIN source USING (link) WHERE src % 5 <> 0),
+links2 AS (SELECT * FROM links1 WHERE (site_key, language, link) NOT IN (SELECT site_key, language, link FROM store1)),
+{_taken('run2', 'links2', 3)},
+store2 AS (SELECT DISTINCT site_key, language, link FROM (SELECT site_key, language, unnest(picks) AS link FROM run2)
+           JOIN source USING (link) WHERE src % 5 <> 0)
+SELECT link AS url, site_key, language AS category FROM (SELECT * FROM store1 UNION ALL SELECT * FROM store2)
+"""
     unesc = _unescape("regexp_extract(html, '<article><h1>(.*?)</h1>', 1)")
-    ws = tx.WS
+    ws = WS
     q["page_titles"] = (f"WITH {r}\nSELECT page_id, regexp_replace({unesc}, {_q('^[' + ws + ']+|[' + ws + ']+$')}, '', 'g') "
-                        "AS title FROM routed")
+                        "AS title FROM routed WHERE page_id % 5 <> 0")
     # Element text = its text nodes, each stripped, glued together.
     # On these pages that is: drop tags with the whitespace around them, trim.
     def text_of(e):
         e = f"regexp_replace({e}, {_q('[' + ws + ']*<[^>]*>[' + ws + ']*')}, '', 'g')"
         e = f"regexp_replace({e}, {_q('^[' + ws + ']+|[' + ws + ']+$')}, '', 'g')"
         return _unescape(e)
-    para = text_of(f"regexp_replace(piece, {_q('(?s)</p>.*$')}, '')")
+    # a <p> that isn't closed stays open to the end of the article and holds
+    # all that follows, as no tag is closed implicitly
+    para = ("CASE WHEN contains(piece, '</p>') THEN " + text_of(f"regexp_replace(piece, {_q('(?s)</p>.*$')}, '')")
+            + " ELSE " + text_of("rest") + " END")
     desc = text_of("regexp_extract(html, '(?s)<div class=\"ad\">(.*?)</div>', 1)")
     title = text_of("regexp_extract(html, '(?s)<article><h1>(.*?)</h1>', 1)")
     q["page_articles"] = f"""WITH {r},
@@ -319,11 +396,12 @@ arts AS (
   SELECT page_id, url, site_key, category, {title} AS title,
          CASE WHEN site_key = 'example.com' THEN '' ELSE {desc} END AS description,
          regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS body
-  FROM routed
+  FROM routed WHERE page_id % 5 <> 0
 ),
 pieces AS (
-  SELECT page_id, generate_subscripts(parts, 1) AS i, unnest(parts) AS piece
-  FROM (SELECT page_id, string_split(body, '<p>') AS parts FROM arts)
+  SELECT page_id, i, parts[i] AS piece, array_to_string(parts[i:], '<p>') AS rest
+  FROM (SELECT page_id, parts, unnest(range(1, len(parts) + 1)) AS i
+        FROM (SELECT page_id, string_split(body, '<p>') AS parts FROM arts))
 ),
 paras AS (SELECT page_id, i, {para} AS txt FROM pieces WHERE i > 1),
 content AS (SELECT page_id, string_agg(txt, chr(10) ORDER BY i) AS content FROM paras GROUP BY page_id)
@@ -370,10 +448,30 @@ def misc_oracles() -> dict[str, str]:
 proc AS (
   SELECT doc_id, processed_content FROM (
     SELECT doc_id, array_to_string({tokens_sql('text')}, ' ') AS processed_content FROM documents
-  ) WHERE length(regexp_replace(processed_content, {_q(tx.RE_SPACES)}, '', 'g')) > 0
+  ) WHERE length(regexp_replace(processed_content, {_q(f'[{WS}]+')}, '', 'g')) > 0
 )"""
+    known = "WHERE doc_id IN (SELECT doc_id FROM labels)"
     q["blank_filter_stats"] = (f"WITH {proc}\nSELECT (SELECT count(*) FROM documents) AS n_before, "
-                               "count(*) AS n_after, (SELECT count(*) FROM documents) - count(*) AS n_removed FROM proc")
+                               f"count(*) AS n_after, (SELECT count(*) FROM documents) - count(*) AS n_removed FROM proc {known}")
+    q["processed_table"] = f"WITH {proc}\nSELECT doc_id, processed_content FROM proc {known}"
+    q["article_csv"] = "SELECT 'https://example.org/' || doc_id AS url, source AS title, text AS content FROM documents"
+    q["stopword_file"] = f"""WITH {_corpus(extra='')}
+SELECT term FROM (SELECT term, CAST(sum(tf) AS BIGINT) AS tf FROM counts GROUP BY term) ORDER BY tf DESC, term LIMIT 20
+"""
+    q["load_or_train"] = ("SELECT count(*) AS n_points, false AS first_loaded, true AS second_loaded, "
+                          "false AS other_loaded, true AS same_centers, 5 AS n_centroids FROM embeddings")
+    for k in range(2, 6):
+        steps = _lloyd_sql(k, 3)
+        if k == 5:
+            q["kmeans_given"] = f"WITH {steps}\nSELECT vec_id, CAST(cluster AS INTEGER) AS cluster FROM label3"
+    sweep = "\nUNION ALL\n".join(
+        f"SELECT * FROM (WITH {_lloyd_sql(k, 3)},{_SIL_OF}\nSELECT {k} AS k, round((SELECT sum(d * d) FROM label3), {R}) AS inertia, "
+        f"round(avg(s), {R}) AS silhouette FROM ss)" for k in range(2, 6))
+    q["k_sweep_given"] = sweep
+    q["best_k_given"] = f"SELECT * FROM ({sweep}) ORDER BY silhouette DESC, k LIMIT 1"
+    q["silhouette_sampled"] = (
+        "WITH " + _SIL.strip().replace("FROM embeddings)", "FROM embeddings ORDER BY md5('42:' || vec_id), vec_id LIMIT 300)", 1)
+        + f"\nSELECT count(*) AS n_points, round(avg(s), {R}) AS silhouette FROM ss")
     q["alignment_check"] = f"""WITH {proc},
 lk AS (SELECT DISTINCT doc_id FROM proc), rk AS (SELECT DISTINCT doc_id FROM labels)
 SELECT (SELECT count(*) FROM lk WHERE doc_id NOT IN (SELECT doc_id FROM rk)) AS left_only,

@@ -6,10 +6,15 @@ fields, doubled quotes as the escape, and a UTF-8 byte-order mark.
 
 from __future__ import annotations
 
+import csv
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topicforge.sources.tables import path_exists
+
 REQUIRED = ("url", "title", "content")
 
 RAW_SCHEMA = T.StructType([
@@ -19,6 +24,9 @@ RAW_SCHEMA = T.StructType([
     T.StructField("content", T.StringType(), True),
 ])
 
+#: A header line is at most this long.
+HEADER_BYTES = 65_536
+
 _CSV_OPTS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
              "encoding": "UTF-8", "mode": "PERMISSIVE"}
 
@@ -47,25 +55,27 @@ def _list_csv(spark: SparkSession, folder: str) -> list[str]:
     return sorted(out)
 
 
-def _header(spark: SparkSession, path: str) -> list[str] | None:
-    """Column names of one CSV file (BOM stripped), or None if unreadable."""
-    try:
-        cols = _csv_reader(spark).csv(path).columns
-    except Exception:  # unreadable file: skipped like the reference does
-        return None
-    return [c.lstrip("\ufeff").strip() for c in cols]
-
-
 def valid_article_files(spark: SparkSession, folder: str) -> dict[str, tuple[str, ...]]:
     """``{path: header}`` of the files whose header has url, title and
-    content.  Header reads touch only the first record of each file (no
-    schema inference)."""
-    keep = {}
-    for p in _list_csv(spark, folder):
-        cols = _header(spark, p)
-        if cols is not None and all(c in cols for c in REQUIRED):
-            keep[p] = tuple(cols)
-    return keep
+    content.  One job reads the first line of every file; files that can't be
+    decoded or are empty are skipped, as the reference does."""
+    files = _list_csv(spark, folder)
+    if not files:
+        return {}
+
+    def headers(batches):
+        for pdf in batches:
+            rows = []
+            for path, head in zip(pdf["path"], pdf["head"]):
+                line = bytes(head).decode("utf-8-sig", errors="replace").splitlines()[:1]
+                cols = next(csv.reader(line), [])
+                rows.append((path, [c.strip() for c in cols]))
+            yield pd.DataFrame(rows, columns=["path", "cols"])
+
+    found = (spark.read.format("binaryFile").load(files)
+             .select("path", F.substring("content", 1, HEADER_BYTES).alias("head"))
+             .mapInPandas(headers, "path string, cols array<string>").collect())
+    return {r["path"]: tuple(r["cols"]) for r in sorted(found) if all(c in r["cols"] for c in REQUIRED)}
 
 
 def read_articles(spark: SparkSession, folder: str, with_source: bool = True) -> DataFrame:
@@ -103,11 +113,7 @@ def read_stopwords(spark: SparkSession, path: str | None) -> list[str]:
     """Strip each line, drop blanks, distinct.  A missing file gives an
     empty list.  Stopword lists are small dimension data (a few thousand
     words); the size is checked before the list is taken to the driver."""
-    if not path:
-        return []
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    if not path or not path_exists(spark, path):
         return []
     from topicforge.functions.text import WS
     strip = F.regexp_replace(F.col("value"), f"^[{WS}]+|[{WS}]+$", "")
@@ -120,16 +126,25 @@ def read_stopwords(spark: SparkSession, path: str | None) -> list[str]:
     return sorted(r.term for r in words.collect())
 
 
+#: Folder name of the empty category, which a partition folder can't have; no
+#: category holds a slash.
+EMPTY_CATEGORY = "/"
+STORED_SCHEMA = ("url string, title string, description string, content string, page_id long, "
+                 "site_key string, category string")
+
+
 def write_articles(df: DataFrame, root: str) -> None:
     """Append-or-create sink per (site_key, category).  Appending to a
     partitioned Parquet table creates the folder on first write."""
-    (df.write.mode("append").partitionBy("site_key", "category").parquet(root))
+    (df.withColumn("category", F.when(F.col("category") == "", EMPTY_CATEGORY).otherwise(F.col("category")))
+     .write.mode("append").partitionBy("site_key", "category").parquet(root))
 
 
 def read_stored_articles(spark: SparkSession, root: str) -> DataFrame | None:
-    """Stored article table for incremental loads, or None when absent."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    """Stored article table for incremental loads, or None when absent.  The
+    schema is given, so categories stay text (``007``) and a store that no
+    run has added an article to is an empty table."""
+    if not path_exists(spark, root):
         return None
-    return spark.read.parquet(root)
+    return spark.read.schema(STORED_SCHEMA).parquet(root).withColumn(
+        "category", F.when(F.col("category") == EMPTY_CATEGORY, "").otherwise(F.col("category")))

@@ -40,6 +40,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever file system it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Write a derived table.  ``partition_by`` routes rows to

@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from topicforge.operators import ingest as ig
 from topicforge.session import checkpoint_dir
-from topicforge.sources.articles import read_stored_articles
+from topicforge.sources.articles import read_stored_articles, write_articles
 from topicforge.sources.sites import NEWS_SITES
 
 PAGE_SCHEMA = "page_id long, url string, html string"
@@ -58,8 +58,7 @@ def start(spark: SparkSession, pages_dir: str, out_root: str, sites=NEWS_SITES,
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         stored = read_stored_articles(batch.sparkSession, out_root)
-        (new_articles(batch, stored, sites).write.mode("append")
-         .partitionBy("site_key", "category").parquet(out_root))
+        write_articles(new_articles(batch, stored, sites), out_root)
 
     w = pages.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
     if available_now:
