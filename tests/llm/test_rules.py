@@ -1,0 +1,93 @@
+"""Licence sentences and URL rules: SQL, brute force and edge rows."""
+
+import random
+import re
+
+import pytest
+
+import __spark_entry__ as E
+from tests.oracle_compare import compare, duck
+from topicforge.llm import licenses, url_rules
+
+
+@pytest.mark.parametrize("name", ["op2_license_sentences", "op3_url_rules"])
+def test_queries_match_sql(spark, small, name):
+    res = compare(spark, duck(small), name, E.queries()[name], E.oracle_sql()[name], small)
+    assert res["cols_match"] and res["values_match"], res
+
+
+APACHE = ('Licensed under the Apache License, Version 2.0 (the "License");\n you may not use this file except in '
+          'compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n')
+
+
+def found(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, license int")
+    return sorted((r.doc_id, r.first_sentence, r.last_sentence, r.license) for r in licenses.find_licenses(frame).collect())
+
+
+def test_ordered_rules(spark):
+    got = found(spark, [
+        (1, "Hello. " + APACHE + "int main;", 0),
+        (2, APACHE.replace("You may obtain", "One may obtain"), 0),                  # the longer rule breaks
+        (3, "See the License for the specific language governing permissions and", 0),  # known, but in no rule
+        (4, "released under the MIT license! Copyright (c) 2001 2002 Foo Bar. All rights reserved.", 0),
+        (5, "Released under the MIT License. x y. Released under the MIT License", 0)])
+    assert got == [(1, 1, 4, "Apache-2.0"), (2, 0, 1, "Apache-2.0"), (2, 3, 3, "UNKNOWN"), (3, 0, 0, "UNKNOWN"),
+                   (4, 0, 0, "MIT"), (4, 1, 2, "all-rights-reserved"), (5, 0, 0, "MIT"), (5, 2, 2, "MIT")]
+
+
+def test_license_edge_rows(spark):
+    mit = "Released under the MIT License."
+    assert found(spark, [(1, None, 1), (2, "", 1), (3, "...\n\n!!", 1), (4, mit, 1), (4, mit, 1),
+                         (5, "word " * 100000 + "\n" + mit, 1)]) == [
+        (4, 0, 0, "MIT"), (4, 0, 0, "MIT"), (5, 1, 1, "MIT")]
+    frame = spark.createDataFrame([(None, mit)], "doc_id bigint, text string")
+    assert [r.doc_id for r in licenses.find_licenses(frame).collect()] == [None]
+    assert licenses.find_licenses(frame.limit(0)).count() == 0
+
+
+def judged(url, rules, default="allow"):
+    """Every rule tried, none looked up."""
+    host, path, tail = url_rules.split_url(url)
+    lower = (host + path + tail).translate(url_rules._UPPER)
+    best = {True: None, False: None}
+    for r in rules:
+        seen = host + path if r.host_rule else lower
+        if re.compile(r.regex, re.S).match(seen) and (best[r.host_rule] is None or
+                                                      (len(r.text), r.text) > (len(best[r.host_rule].text), best[r.host_rule].text)):
+            best[r.host_rule] = r
+    winner = best[True] or best[False]
+    return (host, path, best[True] and best[True].text, best[False] and best[False].text,
+            winner.verdict if winner else default)
+
+
+def test_index_finds_what_all_rules_find():
+    r = random.Random(4)
+    names = ["org", "com", "net", "example", "ads", "ads-track", "x1", "en", "es", "fr", "q"]
+    word = lambda: r.choice(names)
+    rules = url_rules.default_rules()
+    for _ in range(150):
+        rules.append(url_rules.host_rule(r.choice(["allow", "block"]), ".".join(word() for _ in range(r.randrange(1, 3)))
+                                         + "/" + r.choice(["", word() + "/", word()])))
+        rules.append(url_rules.pattern_rule("block", r.choice(["||", "", "/"]) + word() + r.choice([".", "*", "/", "-", ""]) + word()
+                                            + r.choice(["", "/", "*"])))
+    counts = {t: r.randrange(100) for rule in rules for t in rule.tokens}
+    index = url_rules.Index(rules, counts)
+    for _ in range(4000):
+        url = "https://" + ".".join(word() for _ in range(r.randrange(1, 4))) + r.choice(["", "/"]) + \
+            "/".join(word() for _ in range(r.randrange(4))) + r.choice(["", "?", "#"]) + word()
+        url = url.upper() if r.random() < 0.1 else url
+        assert index.judge(url, "allow") == judged(url, rules)
+
+
+def test_url_edge_rows(spark):
+    rows = [(1, None, 0), (2, "no scheme", 0), (None, "http://EXAMPLE.org/es/1", 0), (3, "http://example.org", 0),
+            (3, "http://example.org", 0), (4, "x://a.B.org/q?r#s", 0), (5, "http://xorg/", 0), (6, "http://a.com/de/x", 0),
+            (7, "http://spam-farm.x/", 0), (8, "http://spam-farm.org/a", 0), (9, "http://h/" + "a/" * 50000, 0)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, rule int")
+    got = {(r.page_id, r.host, r.path[:9], r.rule, r.verdict) for r in url_rules.judge_urls(frame).collect()}
+    assert got == {(1, "", "", None, "allow"), (2, "", "", None, "allow"), (None, "example.org", "/es/1", "example.org/es/", "block"),
+                   (3, "example.org", "", None, "allow"), (4, "a.b.org", "/q", "org/", "allow"), (5, "xorg", "/", None, "allow"),
+                   (6, "a.com", "/de/x", "com/de/", "block"), (7, "spam-farm.x", "/", None, "block"),
+                   (8, "spam-farm.org", "/a", "org/", "allow"), (9, "h", "/a/a/a/a/", None, "allow")}
+    assert url_rules.judge_urls(frame.limit(0)).count() == 0

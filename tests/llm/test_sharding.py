@@ -1,0 +1,67 @@
+"""Sharding against the exact order of the keys."""
+
+import zlib
+from collections import Counter
+
+import pytest
+
+from topicforge.llm import queries, sharding
+
+
+def placed(rows, n_shards):
+    """Shard and slot of (key, size) rows in key order."""
+    total, before, out, slots = sum(s for _, s in rows), 0, [], Counter()
+    for key, size in sorted(rows):
+        shard = min(n_shards - 1, int((before + size / 2) * n_shards / max(total, 1)))
+        out.append((key, shard, slots[shard]))
+        slots[shard] += 1
+        before += size
+    return out
+
+
+@pytest.mark.parametrize("sample,overfull,rounds", [(8192, 3.0, 8), (20, 1.01, 8), (64, 3.0, 0)])
+def test_any_splitters_give_the_same_shards(spark, monkeypatch, sample, overfull, rounds):
+    monkeypatch.setattr(sharding, "ROUNDS", rounds)
+    rows = [(i % 7 if i % 3 else 5, i, 1 + (i * 37) % 101) for i in range(900)]   # one key holds a third
+    frame = spark.createDataFrame(rows, "k bigint, id bigint, size bigint").repartition(5)
+    got = sharding.shard_records(frame, ["k", "id"], "size", 4, 8, sample, overfull).collect()
+    want = placed([((k, i), s) for k, i, s in rows], 4)
+    assert sorted(((r.k, r.id), r.shard, r.slot) for r in got) == sorted(want)
+    assert {r.law for r in got} == {"bytes"} and {r.grown_shard for r in got} == {None}
+    share = Counter()
+    for r in got:
+        share[r.shard] += r["size"]
+    assert max(share.values()) - min(share.values()) <= 2 * 101
+
+
+def test_edge_rows(spark):
+    rows = [(None, 1, 5, "a"), ("x", 2, None, "b"), ("x", 2, None, "b"), ("", None, 7, None), ("y", 3, 0, "c")]
+    frame = spark.createDataFrame(rows, "k string, id bigint, size bigint, shard string")
+    got = sharding.shard_records(frame, ["k", "id"], "size", 2).collect()
+    assert len(got) == 5 and got[0].__fields__ == ["k", "id", "size", "law", "shard", "slot", "grown_shard"]
+    for shard in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+    assert sharding.shard_records(frame.limit(0), ["k", "id"], "size").count() == 0
+    zero = spark.createDataFrame([("a", 1, 0), ("b", 2, 0)], "k string, id bigint, size bigint")
+    assert sharding.shard_records(zero, ["k", "id"], "size", 2).count() == 2
+
+
+def test_written_shards(spark, tmp_path):
+    frame = spark.createDataFrame([(i, 1) for i in range(50)], "id bigint, size bigint")
+    sharded = sharding.shard_records(frame, ["id"], "size", 5)
+    sharding.write_shards(sharded, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.id for r in back.where("shard = 2").collect()) == list(range(20, 30))
+
+
+def test_query(spark, small):
+    docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    got = queries.op9_shard_ranges(spark, small).collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in got} == {i: (len(t) + 1, zlib.crc32(t)) for i, t in docs.items()}
+    share, slots = Counter(), Counter()
+    for r in got:
+        share[r.shard] += r.size
+        slots[r.shard] += 1
+    assert set(share) <= set(range(16))
+    assert max(share.values()) - min(share.values()) <= 2 * max(r.size for r in got)
+    assert sorted((r.shard, r.slot) for r in got) == [(s, i) for s in sorted(slots) for i in range(slots[s])]

@@ -101,6 +101,7 @@ RULES = [
     ("MPL-2.0", "p01"),
     ("MPL-2.0", "p02"),
     ("all-rights-reserved", "r01 r02"),
+    ("all-rights-reserved", "r02"),
     ("copyright-notice", "r01"),
 ]
 UNKNOWN = "UNKNOWN"
@@ -130,8 +131,9 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = docs.sparkSession
     # every row is scanned by itself, whatever its id; outer, else the whole
     # cutting would run a second time to filter out empty arrays
-    cut = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"),
-                      F.posexplode_outer(sentences(F.col(text_col))).alias("_at", "_sentence"))
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"),
+                       F.col(text_col).alias("_text"))
+    cut = rows.select("_row", "_id", F.posexplode_outer(sentences(F.col("_text"))).alias("_at", "_sentence"))
     hits = (cut.select("_row", "_id", "_at", normalised(F.col("_sentence")).alias("norm"))
             .join(F.broadcast(known_sentences(spark, table)), "norm").drop("norm"))
     run = F.col("_at") - F.row_number().over(Window.partitionBy("_row").orderBy("_at"))
@@ -140,7 +142,7 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                  F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_at", "code"))),
                                           lambda x: x["code"]), " ").alias("_codes")))
     width = len(next(iter(table))) + 1
-    any_rule = "|".join([*(codes for _, codes in rules), rf"\S{{{width - 1}}}"])
+    any_rule = "|".join([*(codes for _, codes in rules), f"[^ ]{{{width - 1}}}"])
     names = spark.createDataFrame(rules, "license string, sentence_codes string").dropDuplicates(["sentence_codes"])
     found = runs.select("_row", "_run", "_id", "_from", F.posexplode(
         F.expr(f"regexp_extract_all(_codes, '({any_rule})', 1)")).alias("_n", "sentence_codes"))

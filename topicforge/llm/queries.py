@@ -82,7 +82,8 @@ WITH known(norm, code, license) AS (VALUES
     ('licensed under the apache license version 2 0', 'a01', 'Apache-2.0'),
     ('licensed under cc by nc 4 0', 'c01', 'CC-BY-NC-4.0'),
     ('this work is licensed under the gnu general public license version 3', 'g01', 'GPL-3.0-only'),
-    ('released under the mit license', 'm01', 'MIT')),
+    ('released under the mit license', 'm01', 'MIT'),
+    ('all rights reserved', 'r02', 'all-rights-reserved')),
 pieces AS (
     SELECT doc_id, unnest(p) AS piece, unnest(range(len(p))) AS place
     FROM (SELECT doc_id, list_filter(
