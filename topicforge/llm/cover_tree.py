@@ -9,12 +9,13 @@ Cosine >= t on unit vectors is Euclidean distance <= r = sqrt(2 - 2 t).
    ``BLOCK`` points by a hash of the id.  Pairs of cells farther apart than
    their covering radii and r are dropped; the points of the other pairs of
    blocks meet in one task a pair, at most two blocks of points each.
-3. A task builds a cover tree for each block: nested nets whose radius is
-   halved from level to level, each node with its exact covering radius.  The
-   two trees are traversed together.  A pair of nodes is dropped if their
+3. Each block gets a cover tree: nested nets whose radius is halved from level
+   to level, each node with its exact covering radius; it is built once and
+   travels as each point's path.  The two trees of a pair of blocks are
+   traversed together.  A pair of nodes is dropped if their
    centres are farther apart than both radii and r; if centres, radii and all
    lie within r, every pair below is a link and is counted without being
-   listed; else the wider node is opened.  Pairs of points are decided by
+   listed; else the nodes are opened.  Pairs of points are decided by
    their cosine in double precision.
 4. What leaves a task is one row for each linked point: its number of links
    there and the smallest member of its local component.  Sums of the numbers
@@ -29,7 +30,6 @@ repeat an id are vectors of their own with that id.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +42,8 @@ BLOCK = 4096
 MOST_PIVOTS = 1024
 SAMPLE = 8192
 SLACK = 1e-9
+#: What single precision may be off by.
+ROOM = 1e-4
 
 
 def net(x: np.ndarray, points: np.ndarray, radius: float) -> list[np.ndarray]:
@@ -49,57 +51,83 @@ def net(x: np.ndarray, points: np.ndarray, radius: float) -> list[np.ndarray]:
     members are farther apart than that."""
     groups, limit = [], radius * radius
     while len(points):
-        some = points[:64]
-        apart = np.maximum(2 - 2 * (x[some] @ x[points].T), 0)
-        chosen = []
-        for i in range(len(some)):
-            if not chosen or apart[chosen, i].min() > limit:
-                chosen.append(i)
-        near = apart[chosen] <= limit
-        near[np.arange(len(chosen)), chosen] = True  # rounding may part a point from itself
+        some = points[:256]
+        near = 2 - 2 * (x[some] @ x[points].T) <= limit
+        near[np.arange(len(some)), np.arange(len(some))] = True  # rounding may part a point from itself
+        among = near[:, :len(some)]
+        chosen = np.arange(len(some))
+        if np.triu(among, 1).any():
+            kept: list[int] = []
+            for i in range(len(some)):
+                if not among[kept, i].any():
+                    kept.append(i)
+            chosen = np.asarray(kept)
+        near = near[chosen]
         taken = near.any(0)
-        first = near.argmax(0)
-        for k, i in enumerate(chosen):
-            members = points[taken & (first == k)]
-            if len(members):
-                groups.append(np.concatenate([[some[i]], members[members != some[i]]]) if some[i] in members else members)
+        first = near[:, taken].argmax(0)
+        first[np.searchsorted(np.flatnonzero(taken), chosen)] = np.arange(len(chosen))
+        members = points[taken]
+        order = np.lexsort((members != some[chosen][first], first))  # the centre comes first in its group
+        groups += np.split(members[order], np.cumsum(np.bincount(first, minlength=len(chosen)))[:-1])
         points = points[~taken]
     return groups
 
 
+def nested_nets(x: np.ndarray) -> list[list[int]]:
+    """The cover tree over the rows of ``x`` as each row's path: the number
+    of its child node on each level, down to a node of its own.  A node's
+    centre is the row whose path goes on with zeros."""
+    paths: list[list[int]] = [[] for _ in range(len(x))]
+    todo = [(np.arange(len(x)), 2.0)]
+    while todo:
+        points, radius = todo.pop()
+        if len(points) < 2:
+            continue
+        far = np.sqrt(max(0.0, 2 - 2 * float((x[points] @ x[points[0]]).min())))
+        radius = min(radius, far)  # halved from what the node covers
+        while True:
+            radius /= 2
+            groups = net(x, points, radius) if radius > SLACK else np.split(points, len(points))
+            if len(groups) > 1:
+                break
+        for i, group in enumerate(groups):
+            for p in group.tolist():
+                paths[p].append(i)
+            todo.append((group, radius))
+    return paths
+
+
 class Tree:
-    """Nodes in arrays: centre, covering radius, range of points, children."""
-
-    def __init__(self, x: np.ndarray, weight: np.ndarray):
-        self.x, self.weight = x, weight
-        order, self.centre, self.radius, self.start, self.stop, self.children = [], [], [], [], [], []
-
-        def add(points: np.ndarray, radius: float) -> int:
-            node = len(self.centre)
-            far = float(np.sqrt(max(0.0, 2 - 2 * float((x[points] @ x[points[0]]).min())))) + SLACK if len(points) > 1 else 0.0
-            self.centre.append(points[0])
-            self.radius.append(far)
-            self.start.append(len(order))
-            self.stop.append(0)
+    """Nodes in arrays: covering radius, range of points, children.  The rows
+    are kept in path order, so a node's centre is the first of its range."""
+
+    def __init__(self, x: np.ndarray, weight: np.ndarray, paths: list[list[int]]):
+        self.order = np.asarray(sorted(range(len(x)), key=paths.__getitem__), np.int64)
+        self.x = x = x[self.order]
+        self.x32 = x.astype(np.float32)
+        self.weight = weight[self.order]
+        self.total = np.concatenate([[0], np.cumsum(self.weight)])
+        paths = [paths[i] for i in self.order]
+        start, stop, radius, self.children = [], [], [], []
+
+        def add(at: int, to: int, depth: int) -> int:
+            node = len(start)
+            start.append(at)
+            stop.append(to)
             self.children.append([])
-            if len(points) == 1:
-                order.append(points[0])
-            else:
-                radius = min(radius, far)
-                while True:
-                    radius /= 2
-                    groups = net(x, points, radius) if radius > SLACK else [points[i:i + 1] for i in range(len(points))]
-                    if len(groups) > 1:
-                        break
-                self.children[node] = [add(g, radius) for g in groups]
-            self.stop[node] = len(order)
+            radius.append(0.0 if to - at == 1 else
+                          float(np.sqrt(max(0.0, 2 - 2 * float((x[at:to] @ x[at]).min())))) + SLACK)
+            if to - at > 1:
+                children, from_ = [], at
+                for i in range(at + 1, to + 1):
+                    if i == to or paths[i][depth] != paths[from_][depth]:
+                        children.append(add(from_, i, depth + 1))
+                        from_ = i
+                self.children[node] = children
             return node
 
-        add(np.arange(len(x)), 2.0)
-        self.order = np.asarray(order)
-        self.centre, self.radius = np.asarray(self.centre), np.asarray(self.radius)
-        self.start, self.stop = np.asarray(self.start), np.asarray(self.stop)
-        self.total = np.concatenate([[0], np.cumsum(weight[self.order])])
+        add(0, len(x), 0)
+        self.start, self.stop, self.radius = np.asarray(start), np.asarray(stop), np.asarray(radius)
 
 
 class Links:
@@ -121,29 +149,46 @@ class Links:
             self.parent[max(i, j)] = min(i, j)
 
 
+def _near(a: Tree, us: np.ndarray, b: Tree, vs: np.ndarray, r: float):
+    """Pairs of nodes that the covering-radius bound doesn't part: by single
+    precision with some room, then in double precision with the distance of
+    the centres."""
+    ra, rb = a.radius[us], b.radius[vs]
+    dots = a.x32[a.start[us]] @ b.x32[b.start[vs]].T
+    keep = dots >= 1 - (r + SLACK) ** 2 / 2 - ROOM
+    wide_a, wide_b = np.flatnonzero(ra), np.flatnonzero(rb)
+    bound = lambda wide: 1 - (wide + r + SLACK) ** 2 / 2 - ROOM
+    keep[wide_a] = dots[wide_a] >= bound(ra[wide_a, None] + rb[None, :])
+    keep[:, wide_b] = dots[:, wide_b] >= bound(ra[:, None] + rb[None, wide_b])
+    i, j = np.nonzero(keep)
+    x, y = a.x[a.start[us[i]]], b.x[b.start[vs[j]]]
+    apart = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", x, y), 0))
+    near = apart - ra[i] - rb[j] <= r + SLACK
+    return i[near], j[near], apart[near]
+
+
 def traverse(a: Tree, b: Tree | None, r: float, cosine) -> tuple[np.ndarray, list[int]]:
     """Links between the points of two trees, or of one with itself: for each
-    point (the second tree's after the first's) the weight linked to it, and
-    the first point of its local component.  ``cosine(i, j)`` decides pairs
-    of points near the threshold."""
+    point in path order (the second tree's after the first's) the weight
+    linked to it, and the first point of its local component.  ``cosine(i,
+    j)`` decides pairs of points near the threshold."""
     same = b is None
     b = a if same else b
     shift = 0 if same else len(a.x)
     links = Links(shift + len(b.x))
 
     def all_linked(u: int, v: int) -> None:
-        """Every point below u with every point below v; tree order."""
+        """Every point below u with every point below v."""
         us, ue, vs, ve = a.start[u], a.stop[u], b.start[v] + shift, b.stop[v] + shift
+        above, below = a.total[ue] - a.total[us], b.total[ve - shift] - b.total[vs - shift]
+        links.step[us] += below
+        links.step[ue] -= below
         if same and u == v:
-            links.step[us] += a.total[ue] - a.total[us]
-            links.step[ue] -= a.total[ue] - a.total[us]
             links.own[us] += 1
             links.own[ue] -= 1
         else:
-            links.step[us] += b.total[ve - shift] - b.total[vs - shift]
-            links.step[ue] -= b.total[ve - shift] - b.total[vs - shift]
-            links.step[vs] += a.total[ue] - a.total[us]
-            links.step[ve] -= a.total[ue] - a.total[us]
+            links.step[vs] += above
+            links.step[ve] -= above
         for i in range(us, ue):
             links.join(i, vs)
         for j in range(vs, ve):
@@ -151,62 +196,78 @@ def traverse(a: Tree, b: Tree | None, r: float, cosine) -> tuple[np.ndarray, lis
 
     stack = [([0], [0], same)]
     while stack:
-        us, vs, itself = stack.pop()  # itself: one list of nodes with itself
-        us, vs = np.asarray(us), np.asarray(vs)
-        reach = b.radius[vs]
-        for at in range(0, len(us), 512):
-            u = us[at:at + 512]
-            apart = np.sqrt(np.maximum(2 - 2 * (a.x[a.centre[u]] @ b.x[b.centre[vs]].T), 0))
-            wide = a.radius[u][:, None] + reach[None, :]
-            for i, j in zip(*np.nonzero(apart - wide <= r + SLACK)):
-                p, q = int(u[i]), int(vs[j])
-                if itself and p > q:
-                    continue  # each pair once
-                if itself and p == q:
-                    if 2 * a.radius[p] <= r - SLACK:
-                        all_linked(p, q)
-                    else:
-                        stack.append((a.children[p], a.children[p], True))
-                    continue
-                if apart[i, j] + wide[i, j] <= r - SLACK:
+        some, others, itself = stack.pop()  # itself: one list of nodes with itself, each pair once
+        others = np.asarray(others)
+        for at in range(0, len(some), 1024):
+            us = np.asarray(some[at:at + 1024])
+            vs = others[at:] if itself else others
+            for i, j, apart in zip(*_near(a, us, b, vs, r)):
+                p, q = int(us[i]), int(vs[j])
+                if itself and p >= q:
+                    if p == q and a.children[p]:
+                        if 2 * a.radius[p] <= r - SLACK:
+                            all_linked(p, q)
+                        else:
+                            stack.append((a.children[p], a.children[p], True))
+                elif apart + a.radius[p] + b.radius[q] <= r - SLACK:
                     all_linked(p, q)
                 elif not a.children[p] and not b.children[q]:
-                    if cosine(a.centre[p], b.centre[q]):
+                    if cosine(a.start[p], b.start[q]):
                         all_linked(p, q)
-                elif not b.children[q] or a.children[p] and a.radius[p] >= b.radius[q]:
-                    stack.append((a.children[p], [q], False))
                 else:
-                    stack.append(([p], b.children[q], False))
-    linked = np.cumsum(links.step)[:-1]
-    weight = np.concatenate([a.weight[a.order], b.weight[b.order]]) if shift else a.weight[a.order]
-    linked = linked - np.cumsum(links.own)[:-1] * weight
+                    stack.append((a.children[p] or [p], b.children[q] or [q], False))
+    weight = np.concatenate([a.weight, b.weight]) if shift else a.weight
+    linked = np.cumsum(links.step)[:-1] - np.cumsum(links.own)[:-1] * weight
     return linked, [links.find(i) for i in range(len(links.parent))]
 
 
+def _column(table: pa.Table, name: str) -> pa.Array:
+    column = table.column(name).combine_chunks()
+    return column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+
+
+def _unit(v: np.ndarray) -> np.ndarray:
+    return v / np.linalg.norm(v, axis=1)[:, None]
+
+
+def _build_task(table: pa.Table) -> pa.Table:
+    """Paths of a block's points."""
+    table = table.sort_by("rep")
+    paths = nested_nets(_unit(matrix(_column(table, "_v"))))
+    return table.append_column("path", pa.array(paths, pa.list_(pa.int32())))
+
+
 def _pair_task(threshold: float):
     r = float(np.sqrt(2 - 2 * threshold))
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("rep", kind="stable")
-        sides = [g for _, g in group.groupby("side")]
-        given = [np.stack(g["_v"].to_numpy()) for g in sides]
-        unit = [v / np.linalg.norm(v, axis=1)[:, None] for v in given]
-        trees = [Tree(u, g["n"].to_numpy(np.int64)) for u, g in zip(unit, sides)]
-        if len(trees) == 1 and group["_a"].iloc[0] != group["_b"].iloc[0]:
-            return pd.DataFrame({"rep": [], "links": [], "root": []})
-        first, second = given[0], given[-1]
+    def run(table: pa.Table) -> pa.Table:
+        side = _column(table, "side").to_numpy()
+        rep, n = _column(table, "rep").to_numpy(zero_copy_only=False), _column(table, "n").to_numpy()
+        v, paths = matrix(_column(table, "_v")), _column(table, "path").to_pylist()
+        trees, given, reps = [], [], []
+        for s in np.unique(side):
+            rows = np.flatnonzero(side == s)
+            trees.append(Tree(_unit(v[rows]), n[rows], [paths[i] for i in rows]))
+            given.append(v[rows][trees[-1].order])
+            reps.append(rep[rows][trees[-1].order])
+        alone = table.column("_a")[0] == table.column("_b")[0]
 
         def cosine(i: int, j: int) -> bool:
-            x, y = first[i], second[j]
+            x, y = given[0][i], given[-1][j]
             return x @ y / (np.sqrt(x @ x) * np.sqrt(y @ y)) >= threshold
 
-        linked, root = traverse(trees[0], trees[1] if len(trees) > 1 else None, r, cosine)
-        reps = np.concatenate([g["rep"].to_numpy()[t.order] for g, t in zip(sides, trees)])
-        smallest: dict[int, int] = {}
-        for rep, top in zip(reps.tolist(), root):
-            smallest[top] = min(rep, smallest.get(top, rep))
-        some = np.flatnonzero(linked)
-        return pd.DataFrame({"rep": reps[some], "links": linked[some], "root": [smallest[root[i]] for i in some]})
+        some, roots, linked = np.zeros(0, int), [], np.zeros(0, np.int64)
+        if alone or len(trees) == 2:
+            linked, top = traverse(trees[0], None if alone else trees[1], r, cosine)
+            every = np.concatenate(reps).tolist()
+            smallest: dict[int, int] = {}
+            for id_, t in zip(every, top):
+                smallest[t] = min(id_, smallest.get(t, id_))
+            some = np.flatnonzero(linked)
+            roots = [smallest[top[i]] for i in some]
+        kind = table.schema.field("rep").type
+        return pa.table({"rep": pa.array(np.concatenate(reps)[some], kind), "links": pa.array(linked[some], pa.int64()),
+                         "root": pa.array(roots, kind)})
 
     return run
 
@@ -257,13 +318,18 @@ def link_near(frame: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         r = float(np.sqrt(2 - 2 * threshold))
         apart = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))
         parts = {c: -(-x["n"] // BLOCK) for c, x in cells.items()}
+        sizes = spark.createDataFrame(list(parts.items()), "cell int, parts int")
+        block = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("_block")
+        built = scratch_table(
+            dealt.join(F.broadcast(sizes), "cell").select("cell", block, "rep", "n", "_v")
+            .groupBy("cell", "_block").applyInArrow(
+                _build_task, f"cell int, _block int, rep {kind}, n bigint, _v array<double>, path array<int>"), "trees")
         meet = [(c, d) for c in cells for d in cells
                 if c <= d and apart[c, d] <= cells[c]["far"] + cells[d]["far"] + r + SLACK]
         sides = ([(c, d, 0, c == d, parts[c], parts[d]) for c, d in meet]
                  + [(d, c, 1, False, parts[d], parts[c]) for c, d in meet if c != d])
         near = spark.createDataFrame(sides, "cell int, other int, side int, itself boolean, parts int, others int")
-        block = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-        met = (dealt.join(F.broadcast(near), "cell").withColumn("_block", block)
+        met = (built.join(F.broadcast(near), "cell")
                .withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("others") - 1))))
         mine, theirs = F.struct("cell", F.col("_block").alias("b")), F.struct(F.col("other").alias("cell"), F.col("_o").alias("b"))
         # within a cell, the lower block is side 0; a block with itself comes once
@@ -273,8 +339,8 @@ def link_near(frame: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
                .withColumn("_b", F.when(F.col("side") == 0, theirs).otherwise(mine)))
         found = scratch_table(
             met.select(F.concat_ws(":", "_a.cell", "_a.b").alias("_a"), F.concat_ws(":", "_b.cell", "_b.b").alias("_b"),
-                       "side", "rep", "n", "_v")
-            .groupBy("_a", "_b").applyInPandas(_pair_task(threshold), f"rep {kind}, links bigint, root {kind}"), "links")
+                       "side", "rep", "n", "_v", "path")
+            .groupBy("_a", "_b").applyInArrow(_pair_task(threshold), f"rep {kind}, links bigint, root {kind}"), "links")
     else:
         found = spark.createDataFrame([], f"rep {kind}, links bigint, root {kind}")
     number = found.groupBy("rep").agg(F.sum("links").alias("links"))
