@@ -2,12 +2,14 @@
 
 Vectors are ``array<double>`` columns.  Assigning points to a fixed set of
 centroids keeps the centroids (k x dims, bounded by the model) as one
-literal array inside the expression, so assignment is a map-only, codegen'd
-projection: no join, no shuffle, no Python worker.
+constant inside the expression, so assignment is a map-only projection of
+(interpreted) higher-order functions: no join, no shuffle, no Python worker.
 """
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +27,9 @@ def sq_dist(a: Column, b: Column) -> Column:
 
 
 def centers_literal(centers) -> Column:
-    arr = np.asarray(centers, dtype=np.float64)
-    return F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in arr])
+    """A k x dims matrix as one constant (folded by the optimiser), not k x
+    dims expressions."""
+    return F.from_json(F.lit(json.dumps(np.asarray(centers, dtype=np.float64).tolist())), "array<array<double>>")
 
 
 def assign_nearest(df: DataFrame, vec_col: str, centers, cluster_col: str = "cluster",
