@@ -77,3 +77,18 @@ def test_output_alphabet_closed(spark):
     for out in _run(spark, texts):
         assert set(out) <= allowed
         assert "  " not in out and out == out.strip()
+
+
+def test_unbroken_runs_take_linear_time(spark):
+    import time
+
+    run = "a-" * 100_000
+    rows = [(1, run), (2, run + ".com"), (3, run + "@x y"), (4, "x.com" + run), (5, "a@b.com c.vn/d e")]
+    df = spark.createDataFrame(rows, "id long, text string").select("id", tx.clean_text(F.col("text")).alias("c"))
+    t0 = time.time()
+    got = {r.id: r.c for r in df.collect()}
+    assert time.time() - t0 < 20
+    spread_out = " ".join(["a"] * 100_000)
+    assert got[1] == spread_out
+    assert (got[2], got[3]) == ("", "y")
+    assert got[4].endswith("a a a")
