@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from bisect import bisect_right
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,8 @@ from topicforge.llm.common import slices
 
 #: Words whose ids a task remembers between blocks.
 REMEMBERED = 250_000
+#: Rows of a block.
+BLOCK_ROWS = 1024
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -39,96 +41,113 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
+#: The rank of a pair that doesn't merge.
+NEVER = np.iinfo(np.int32).max
+
+
 class Replay:
     """Merge replay with one vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.byte = [ranks[bytes([b])] for b in range(256)]
-        self.pairs: dict[tuple[int, int], int | None] = {}
-
-    def _merged(self, left: int, right: int) -> int | None:
-        pair = (left, right)
-        try:
-            return self.pairs[pair]
-        except KeyError:
+        self.byte = np.asarray([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.bytes_merged = np.asarray([[ranks.get(bytes([a, b]), NEVER) for b in range(256)] for a in range(256)], np.int32)
+        self.pairs: dict[int, int] = {}
+
+    def _merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of what each pair merges into."""
+        pairs = left.astype(np.int64) << 32 | right
+        if len(pairs) < 64:
+            return np.fromiter(map(self._rank, pairs.tolist()), np.int64, len(pairs))
+        pairs, of = np.unique(pairs, return_inverse=True)
+        return np.fromiter(map(self._rank, pairs.tolist()), np.int64, len(pairs))[of]
+
+    def _rank(self, pair: int) -> int:
+        rank = self.pairs.get(pair)
+        if rank is None:
             if len(self.pairs) > 1_000_000:
                 self.pairs.clear()
-            rank = self.pairs[pair] = self.ranks.get(self.token[left] + self.token[right])
-            return rank
+            rank = self.ranks.get(self.token[pair >> 32] + self.token[pair & 0xFFFFFFFF], NEVER)
+            self.pairs[pair] = rank
+        return rank
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word."""
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word, as little-endian unsigned 32-bit integers."""
         whole = [self.ranks.get(w) for w in words]
-        starts, symbols, nxt = [], [], []
-        for word, rank in zip(words, whole):
-            starts.append(len(symbols))
-            if rank is None and word:
-                symbols.extend(self.byte[b] for b in word)
-                nxt.extend(range(starts[-1] + 1, len(symbols)))
-                nxt.append(-1)
-        prv = [-1] * len(symbols)
-        merged = self._merged
-        index: dict[int, list[int]] = {}
-        for at, after in enumerate(nxt):
-            if after >= 0:
-                prv[after] = at
-                rank = merged(symbols[at], symbols[after])
-                if rank is not None:
-                    index.setdefault(rank, []).append(at)
-        heap = list(index)
-        heapq.heapify(heap)
-
-        def enter(rank: int, at: int) -> None:
-            where = index.get(rank)
-            if where is None:
-                index[rank] = [at]
-                heapq.heappush(heap, rank)
-            else:
-                where.append(at)
-
+        row = [w for w, rank in zip(words, whole) if rank is None and w]
+        data = np.frombuffer(b"".join(row), np.uint8)
+        n = len(data)
+        ends = np.cumsum(np.fromiter(map(len, row), np.int64, len(row)))
+        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        # one place more stands for what is outside of a word
+        symbol = np.append(self.byte[data], -1).astype(np.int64)
+        nxt, prv = np.arange(1, n + 2), np.arange(-1, n)
+        nxt[n], prv[n] = n, n
+        nxt[ends - 1], prv[starts] = n, n
+        index: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def enter(ranks: np.ndarray, places: np.ndarray) -> None:
+            can = ranks != NEVER
+            ranks, places = ranks[can], places[can]
+            if not len(ranks):
+                return
+            order = np.argsort(ranks, kind="stable")
+            ranks, places = ranks[order], places[order]
+            cut = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(ranks)]
+            for rank, from_, to in zip(ranks[cut[:-1]].tolist(), cut, cut[1:]):
+                if rank in index:
+                    index[rank].append(places[from_:to])
+                else:
+                    index[rank] = [places[from_:to]]
+                    heapq.heappush(heap, rank)
+
+        inside = np.flatnonzero(nxt[:n] < n)
+        enter(self.bytes_merged[data[inside], data[inside + 1]].astype(np.int64) if n else np.zeros(0, np.int64), inside)
         while heap:
             rank = heapq.heappop(heap)
-            places = sorted(set(index.pop(rank)))
-            waits_to = -1
-            for at in places:
-                after = nxt[at]
-                if after < 0 or symbols[at] < 0 or merged(symbols[at], symbols[after]) != rank:
-                    continue
-                if at < waits_to:
-                    enter(rank, at)
-                    continue
-                beyond = nxt[after]
-                symbols[at], symbols[after] = rank, -1
-                nxt[at], nxt[after] = beyond, -1
-                before = prv[at]
-                lower = False
-                if before >= 0:
-                    new = merged(symbols[before], rank)
-                    if new is not None:
-                        enter(new, before)
-                        lower = new < rank
-                if beyond >= 0:
-                    prv[beyond] = at
-                    new = merged(rank, symbols[beyond])
-                    if new is not None:
-                        enter(new, at)
-                        lower = lower or new < rank
-                if lower:
-                    word = bisect_right(starts, at)
-                    waits_to = starts[word] if word < len(starts) else len(symbols)
-        out = []
-        for start, word, rank in zip(starts, words, whole):
-            if rank is not None or not word:
-                out.append([] if rank is None else [rank])
+            at = np.unique(np.concatenate(index.pop(rank)))
+            at = at[(symbol[at] >= 0) & (nxt[at] < n)]
+            at = at[self._merged(symbol[at], symbol[nxt[at]]) == rank]
+            if not len(at):
                 continue
-            ids, at = [], start
-            while at >= 0:
-                ids.append(symbols[at])
-                at = nxt[at]
-            out.append(ids)
-        return out
+            # of pairs that overlap in a run, every second one counts from its left
+            goes_on = np.append(False, at[1:] == nxt[at[:-1]])
+            run = np.maximum.accumulate(np.where(goes_on, 0, np.arange(len(at))))
+            at = at[(np.arange(len(at)) - run) % 2 == 0]
+            after = nxt[at]
+            beyond = nxt[after]
+            # the neighbours at the moment of each merge, taken from left to right
+            touches = np.append(False, prv[at[1:]] == after[:-1])
+            left = np.where(touches, rank, symbol[prv[at]])
+            lower = np.zeros(len(at), bool)
+            has = left >= 0
+            lower[has] = self._merged(left[has], np.full(has.sum(), rank)) < rank
+            has = beyond < n
+            lower[has] |= self._merged(np.full(has.sum(), rank), symbol[beyond[has]]) < rank
+            if lower.any():  # what follows in the word waits for the lower rank
+                word = np.searchsorted(starts, at, side="right")
+                first = np.full(len(starts) + 1, n)
+                np.minimum.at(first, word[lower], at[lower])
+                now = at <= first[word]
+                if not now.all():
+                    enter(np.full((~now).sum(), rank), at[~now])
+                    at, after, beyond = at[now], after[now], beyond[now]
+            symbol[at], symbol[after] = rank, -1
+            nxt[at], prv[beyond] = beyond, at
+            nxt[n], prv[n] = n, n
+            before, beyond = prv[at], nxt[at]
+            has, goes = before < n, beyond < n
+            enter(np.concatenate([self._merged(symbol[before[has]], symbol[at[has]]),
+                                  self._merged(symbol[at[goes]], symbol[beyond[goes]])]),
+                  np.concatenate([before[has], at[goes]]))
+        kept = symbol[:n] >= 0
+        ids = symbol[:n][kept].astype("<u4").tobytes()
+        upto = np.concatenate([[0], np.cumsum(kept)])[ends] * 4 if n else ends
+        pieces = iter([ids[i:j] for i, j in zip([0, *upto[:-1].tolist()], upto.tolist())])
+        return [b"" if not w else next(pieces) if rank is None else struct.pack("<I", rank)
+                for w, rank in zip(words, whole)]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.token.__getitem__, ids.tolist()))
@@ -147,8 +166,7 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = list(set().union(*cut) - self.known.keys())
-        for word, ids in zip(new, self.replay.encode_words([w.encode() for w in new])):
-            self.known[word] = np.asarray(ids, "<u4").tobytes()
+        self.known.update(zip(new, self.replay.encode_words([w.encode() for w in new])))
         out = [b"".join(map(self.known.__getitem__, words)) for words in cut]
         for word in new:  # long junk isn't worth remembering
             if len(word) > 64:
@@ -164,7 +182,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str,
 
     def encode(batches):
         encoder = Encoder(*sent.value)
-        for part in slices(batches):
+        for part in slices(batches, BLOCK_ROWS):
             ids = encoder.encode(part.column(1).to_pylist())
             decoded = [encoder.replay.decode(np.frombuffer(x, "<u4")) for x in ids]
             yield pa.RecordBatch.from_arrays(
