@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from topicforge.llm import order_minhash, queries
@@ -50,6 +51,20 @@ def test_edit_distance_in_band():
             assert min(order_minhash.edit_distance(a, b, most), most + 1) == min(true, most + 1), (a, b, most)
 
 
+def test_counts_bound_the_distance():
+    r = random.Random(9)
+    code = lambda words: np.array([hash(w) % (1 << 61) for w in words], np.uint64)
+    for _ in range(500):
+        a = [r.choice("abcdefgh") for _ in range(r.randrange(1, 30))]
+        b = list(a) if r.random() < 0.7 else [r.choice("abcdefgh") for _ in range(r.randrange(1, 30))]
+        for _ in range(r.randrange(5)):
+            at = r.randrange(len(b) + 1)
+            b[at:at + r.randrange(2)] = r.choices("abxy", k=r.randrange(2))
+        if b:
+            counts = [order_minhash.counts_of(code(x)).astype(np.int16) for x in (a, b)]
+            assert order_minhash.least_distance(counts[0], counts[1][None])[0] <= distance(a, b)
+
+
 def made(seed):
     r = random.Random(seed)
     word = lambda: "w%d" % r.randrange(3000)

@@ -15,10 +15,11 @@ No bucket of equal sketches is turned into all its pairs:
   it shares most buckets with; round 2: with the other smallest ones, if they
   are not in one component by then;
 * round 3 completes the work: in each bucket that still holds several
-  components, the classes of different ones are compared by length and by a
-  hashed word count, both of which bound the edit distance from below, and
-  the pairs that remain are aligned.  Large buckets are cut into parts that
-  meet pairwise.
+  components, the classes of different ones are compared by length and by
+  hashed counts of words and of pairs of neighbours, which bound the edit
+  distance from below.  Large buckets are cut into parts that meet pairwise.
+  Of the pairs that remain, each class is first aligned with the one of each
+  other component that looks most alike, then with all that are still apart.
 
 Components are recomputed from all links after each round, so no pair of
 candidates stays undecided unless a link path already joins it.
@@ -43,7 +44,7 @@ from topicforge.llm.common import WordCache, scratch_table, slices
 from topicforge.llm.components import connected
 
 SHINGLE, SKETCHES, KEPT = 5, 24, 2
-COUNTS = 64
+COUNTS = 256
 PART = 1024
 #: K-mers that are hashed for all sketches at a time.
 STRETCH = 1 << 15
@@ -93,6 +94,25 @@ def sketches(codes: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def counts_of(codes: np.ndarray) -> np.ndarray:
+    """Hashed counts of the words, then of the pairs of neighbours; counts
+    above 255 stay there, which can only lower the bounds taken from them."""
+    pairs = _mixed(codes[:-1] * np.uint64(0x100000001B3) + codes[1:]) >> np.uint64(32)
+    place = lambda h: (h & np.uint64(COUNTS - 1)).astype(np.int64)
+    both = np.concatenate([np.bincount(place(codes), minlength=COUNTS), np.bincount(place(pairs), minlength=COUNTS)])
+    return np.minimum(both, 255).astype(np.uint8)
+
+
+def least_distance(counts: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """What the edit distance is at least: an edit adds or takes one word at
+    most, and adds or takes two pairs of neighbours at most."""
+    less = others - counts
+    more = lambda x: np.maximum(x, 0).sum(1, dtype=np.int32)
+    words = np.maximum(more(less[:, :COUNTS]), more(-less[:, :COUNTS]))
+    pairs = np.maximum(more(less[:, COUNTS:]), more(-less[:, COUNTS:]))
+    return np.maximum(words, (pairs + 1) // 2)
+
+
 def edit_distance(a: list, b: list, most: int) -> int:
     """Edit distance if it is at most ``most``, else ``most + 1``.
 
@@ -168,8 +188,7 @@ def _sketch(kind: pa.DataType):
                     continue
                 codes = np.fromiter(map(code.__getitem__, words), np.uint64, len(words))
                 digest = hashlib.blake2b("\x00".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                count = np.bincount((codes & np.uint64(COUNTS - 1)).astype(np.int64), minlength=COUNTS)
-                rows.append((row, digest, len(words), sketches(codes), np.minimum(count, 65535).astype("<u2").tobytes()))
+                rows.append((row, digest, len(words), sketches(codes), counts_of(codes).tobytes()))
             types = [kind, pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)],
                                              ["id", "digest", "size", "sketches", "counts"])
@@ -204,7 +223,7 @@ def _groups(batches, names: list[str]):
 
 
 def _undecided(threshold: float):
-    """Pairs of different components in a bucket that lengths and word counts
+    """Pairs of different components in a bucket that lengths and counts
     allow."""
     def run(batches):
         for g in _groups(batches, ["bucket", "lo", "hi"]):
@@ -214,8 +233,8 @@ def _undecided(threshold: float):
             size, side = column("size").to_numpy(), column("side").to_numpy()
             ids, component = column("u").to_numpy(zero_copy_only=False), column("component").to_numpy(zero_copy_only=False)
             both = column("lo")[0].as_py() != column("hi")[0].as_py()
-            counts = np.frombuffer(b"".join(column("counts").to_pylist()), "<u2").reshape(-1, COUNTS).astype(np.int64)
-            first, second = [], []
+            counts = np.frombuffer(b"".join(column("counts").to_pylist()), np.uint8).reshape(-1, 2 * COUNTS).astype(np.int16)
+            first, second, least = [], [], []
             for i in range(1, len(size)):  # in ascending size
                 most = int((1 - threshold) * size[i] + 1e-9)
                 start = int(np.searchsorted(size[:i], size[i] - most))
@@ -224,14 +243,16 @@ def _undecided(threshold: float):
                 if both:
                     other = other[side[other] != side[i]]
                 if len(other):
-                    less = counts[other] - counts[i]
-                    bound = np.maximum(np.maximum(less, 0).sum(1), np.maximum(-less, 0).sum(1))
-                    for j in other[bound <= most]:
-                        first.append(min(ids[i], ids[j]))
-                        second.append(max(ids[i], ids[j]))
-            if first:
-                yield pa.RecordBatch.from_arrays([pa.array(first, column("u").type), pa.array(second, column("u").type)],
-                                                 ["u", "v"])
+                    bound = least_distance(counts[i], counts[other])
+                    other, bound = other[bound <= most], bound[bound <= most]
+                    first.append(np.minimum(ids[other], ids[i]))
+                    second.append(np.maximum(ids[other], ids[i]))
+                    least.append(bound)
+                if first and (i % 256 == 0 or i + 1 == len(size)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(first), column("u").type), pa.array(np.concatenate(second), column("u").type),
+                         pa.array(np.concatenate(least).astype(np.int32))], ["u", "v", "bound"])
+                    first, second, least = [], [], []
     return run
 
 
@@ -289,9 +310,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .withColumn("side", (F.col("part") == F.col("lo")).cast("int"))
              .repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "size", "u")
              .select("bucket", "lo", "hi", "side", "u", "component", "size", "counts"))
-    rest = (open_.mapInArrow(_undecided(threshold), f"u {name}, v {name}").distinct()
-            .join(stars.select(F.col("v").alias("u"), F.col("u").alias("v")), ["u", "v"], "left_anti"))
-    links = links.union(aligned(rest))
+    rest = scratch_table(open_.mapInArrow(_undecided(threshold), f"u {name}, v {name}, bound int").distinct()
+                         .join(stars.select(F.col("v").alias("u"), F.col("u").alias("v")), ["u", "v"], "left_anti"), "rest")
+    # of a class and a component, first the pair that looks most alike
+    alike = Window.partitionBy("u", "c").orderBy("bound", "v")
+    ranked = scratch_table(
+        rest.join(component.withColumnRenamed("node", "v"), "v", "left").withColumn("c", F.coalesce("component", "v"))
+        .withColumn("_n", F.row_number().over(alike)).select("u", "v", "_n"), "ranked")
+    links = scratch_table(links.union(aligned(ranked.where("_n = 1"))), "links")
+    links = links.union(aligned(apart(ranked.where("_n > 1"), connected(links))))
     component = connected(links).withColumnRenamed("node", "u")
     by_digest = classes.join(component, "u", "left").select("digest", F.coalesce("component", "u").alias("class_id"))
     return (sketched.select("id", "digest").join(by_digest, "digest", "left")
