@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 
 import pytest
 
@@ -46,6 +47,59 @@ def test_license_edge_rows(spark):
     assert licenses.find_licenses(frame.limit(0)).count() == 0
 
 
+NOTICES = [
+    ("MPL-2.0", 0, 1, "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+     "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("GPL-3.0-or-later", 0, 1, "This program is free software: you can redistribute it and/or modify it under the terms of the "
+     "GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+     "option) any later version."),
+    ("GPL-2.0-or-later", 0, 1, "This program is free software; you can redistribute it and/or modify it under the terms of the "
+     "GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+     "option) any later version."),
+    ("MIT", 0, 0, 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated '
+     'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+     'rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit '
+     'persons to whom the Software is furnished to do so, subject to the following conditions:'),
+    ("BSD-2-Clause", 0, 4, "Redistribution and use in source and binary forms, with or without modification, are permitted "
+     "provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+     "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above "
+     "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+     "provided with the distribution.")]
+NOTICES.append(("BSD-3-Clause", 0, 6, NOTICES[-1][3] + " 3. Neither the name of the copyright holder nor the names of its "
+                "contributors may be used to endorse or promote products derived from this software without specific prior "
+                "written permission."))
+
+
+@pytest.mark.parametrize("lead", ["", " * ", "# "])
+def test_real_notices_in_two_wrappings(spark, lead):
+    notices = [(n[0], n[3]) for n in NOTICES] + [
+        (name, " ".join("Copyright (c) 2020 Foo Bar" if c == "r01" else licenses.SENTENCES[c] + "\n" * (c == "r01")
+                        for c in codes.split())) for name, codes in licenses.RULES]
+    rows = []
+    for i, (_, text) in enumerate(notices):
+        text = text.replace("Foo Bar All", "Foo Bar. All")
+        for k, width in enumerate([60, 97]):
+            lines = [text] if "Foo Bar" in text else textwrap.wrap(text, width, break_on_hyphens=False)
+            rows.append((2 * i + k, "\r\n".join(lead + x for x in ["int a", "", *lines, "", "int b"]), 0))
+    got = {}
+    for doc, _, _, name in found(spark, rows):
+        got.setdefault(doc, []).append(name)
+    assert got == {2 * i + k: [name] for i, (name, _) in enumerate(notices) for k in (0, 1)}
+
+
+def test_places_and_unfinished_sentences(spark):
+    for name, first, last, text in NOTICES[:1] + NOTICES[3:]:
+        assert found(spark, [(1, text, 0)]) == [(1, first, last, name)]
+    mit = "SPDX-License-Identifier: MIT"
+    assert found(spark, [(1, mit + " OR Zlib", 0), (2, "x " + mit, 0), (3, "a. b\n" + mit + "\nc", 0),
+                         (4, "Released under\n\nthe MIT License.", 0), (5, "We say released under the MIT License.", 0),
+                         (6, "Licensed under the Apache License, Version 2.0\n(the \"License\") x", 0),
+                         (7, (licenses.SENTENCES["a05"] + " ") * 20000, 0),
+                         (8, "All rights reserved. " * 3, 0)]) == [
+        (3, 2, 3, "MIT"), (6, 0, 0, "Apache-2.0"), *[(7, 0, 0, "UNKNOWN")] * 20000,
+        *[(8, i, i, "all-rights-reserved") for i in range(3)]]
+
+
 def judged(url, rules, default="allow"):
     """Every rule tried, none looked up."""
     host, path, tail = url_rules.split_url(url)
