@@ -63,3 +63,11 @@ def test_edge_rows(spark):
     got = [tuple(r) for r in kmeans_tree.search(frame, F.col("vec_id") % 100 == 0).orderBy("rank").collect()]
     assert got == [(0, 1, 2, 0.0), (0, 2, 1, 2 ** 0.5)]
     assert kmeans_tree.search(frame.limit(0), F.col("vec_id") % 100 == 0).collect() == []
+
+
+def test_queries_take_the_dimension_of_the_table(spark):
+    r = np.random.default_rng(5)
+    table = [(i, r.normal(size=4).tolist()) for i in range(1, 301)]              # queries 100, 200, 300
+    other = [(100 * i, r.normal(size=3).tolist()) for i in range(4, 12)]         # most rows of the queries' ids
+    frame = spark.createDataFrame(table + other, "vec_id bigint, embedding array<double>")
+    check(kmeans_tree.search(frame, F.col("vec_id") % 100 == 0).collect(), table, 1.0)

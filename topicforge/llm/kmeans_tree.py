@@ -194,7 +194,7 @@ def search(frame: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_i
     smallest = rows.withColumn("_n", F.dense_rank().over(Window.partitionBy("_v").orderBy("_id"))).where(F.col("_n") <= k + 1)
     classes = scratch_table(smallest.groupBy("_v").agg(F.array_sort(F.collect_set("_id")).alias("ids"))
                             .withColumn("rep", F.element_at("ids", 1)), "classes")
-    queries = scratch_table(usable(frame.where(is_query), id_col, vector_col).distinct()
+    queries = scratch_table(rows.withColumnRenamed("_id", id_col).where(is_query).withColumnRenamed(id_col, "_id").distinct()
                             .join(classes.select("_v", "rep"), "_v")
                             .select(F.col("_id").alias("query_id"), F.col("rep").alias("asks"), "_v"), "queries")
     asked = queries.select("asks", "_v").distinct()
