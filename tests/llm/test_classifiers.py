@@ -22,6 +22,19 @@ def test_language_query(spark, small):
     assert sum(r.rejected for r in got) <= 0.01 * len(got)
 
 
+def test_every_label_is_learned(spark):
+    r = random.Random(3)
+    rows = [(1000 + i, " ".join(r.choice(["alpha", "beta", "gamma"]) for _ in range(8)), "common") for i in range(500)]
+    rows += [(5000 + i, f"{chr(0x4e00 + i) * 6}", f"l{i:03}") for i in range(260)]
+    rows += [(9000, "123 456", "numbers")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.train(frame, F.lit(True))
+    assert model.languages == sorted({lang for _, _, lang in rows} - {"numbers"})
+    # more labels than rows wanted: still one row each
+    few = langid.train(frame, F.lit(True), per_language=1)
+    assert few.languages == model.languages
+
+
 def test_language_edges(spark):
     r = random.Random(1)
     a = lambda: " ".join(r.choice(["thon", "edin", "wher", "ing"]) for _ in range(20))

@@ -8,12 +8,12 @@ labelled rows; one part of the sample is held back to fit the temperature of
 the softmax and the rejection threshold: a text is rejected if its confidence
 is below what all but ``reject_share`` of the rightly labelled ones reach.
 
-Bounds: the sample has about ``per_language`` rows for each of the
-``MOST_LANGUAGES`` most frequent labels and ``MOST_ROWS`` in all, drawn by a
-hash of the id; a row sends at most one count for each hash bucket to the
-driver.  Prediction reads whole texts where they are scanned, with no shuffle;
-as the model is linear, each distinct word is folded once into a vector of
-language scores.
+Bounds: the sample has about ``per_language`` rows for each label and
+``MOST_ROWS`` in all, drawn by a hash of the id, but at least one row for each
+label, which is fitted; a row sends at most one count for each hash bucket to
+the driver.  Prediction reads whole texts where they are scanned, with no
+shuffle; as the model is linear, each distinct word is folded once into one
+vector, whose length doesn't depend on the number of languages.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0 and rejected; so is every text when nothing can be learned.  Rows with a
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from topicforge.llm.common import LETTERS, crc_mod, slices
 
-MOST_LANGUAGES, MOST_ROWS = 200, 20_000
+MOST_ROWS = 20_000
 UNKNOWN = "und"
 BUCKETS, DIMENSIONS, LONGEST_GRAM = 1 << 15, 16, 5
 REMEMBERED = 200_000
@@ -70,13 +70,14 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Model:
     languages: list[str]
-    scores: np.ndarray        # hash bucket -> score of each language
+    embedding: np.ndarray     # hash bucket -> dimensions
+    weight: np.ndarray        # dimensions -> score of each language
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
 
     def logits(self, buckets: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        return weights @ self.scores[buckets] + self.bias
+        return (weights @ self.embedding[buckets]) @ self.weight + self.bias
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -85,16 +86,18 @@ def softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 4, rate: float = 0.5,
-        seed: int = 7) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, scores of each hash bucket, and bias, by stochastic gradient
-    descent over rows of (language, buckets, share of each bucket)."""
+        seed: int = 7) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Languages, embeddings, weights and bias, by stochastic gradient descent
+    over rows of (language, buckets, share of each bucket)."""
     languages = sorted({lang for lang, _, _ in rows})
     number = {lang: i for i, lang in enumerate(languages)}
     rng = np.random.default_rng(seed)
     embedding = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     weight, bias = np.zeros((DIMENSIONS, len(languages))), np.zeros(len(languages))
     # rare languages are shown as often as frequent ones
-    members = {k: [i for i, r in enumerate(rows) if r[0] == k] for k in languages}
+    members = {k: [] for k in languages}
+    for i, r in enumerate(rows):
+        members[r[0]].append(i)
     most = max(map(len, members.values()))
     steps = epochs * most * len(languages)
     done = 0
@@ -111,7 +114,7 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 4, rate: f
             bias -= 0.1 * step * error
             embedding[buckets] -= (step * len(buckets) ** 0.5) * np.outer(share, back)
             done += 1
-    return languages, embedding @ weight, bias
+    return languages, embedding, weight, bias
 
 
 def calibrate(model: Model, rows: list[tuple[str, np.ndarray, np.ndarray]], reject_share: float) -> None:
@@ -120,7 +123,8 @@ def calibrate(model: Model, rows: list[tuple[str, np.ndarray, np.ndarray]], reje
     if not rows:
         return
     logits = np.stack([model.logits(b, s) for _, b, s in rows])
-    truth = np.array([model.languages.index(lang) if lang in model.languages else -1 for lang, _, _ in rows])
+    number = {lang: i for i, lang in enumerate(model.languages)}
+    truth = np.array([number.get(lang, -1) for lang, _, _ in rows])
     logits, truth = logits[truth >= 0], truth[truth >= 0]
     if not len(truth):
         return
@@ -135,14 +139,13 @@ def calibrate(model: Model, rows: list[tuple[str, np.ndarray, np.ndarray]], reje
 class Predictor:
     def __init__(self, model: Model | None):
         self.model = model
-        width = len(model.languages) + 1 if model else 1
-        self.table, self.known = np.zeros((1024, width)), {}
+        self.table, self.known = np.zeros((1024, DIMENSIONS + 1)), {}
 
     def _learn(self, words: list[str]) -> None:
-        """Fold each word's subwords into scores, and their number."""
+        """Fold each word's subwords into one embedding, and their number."""
         bucket, who = subwords(words)
         first = np.searchsorted(who, np.arange(len(words)))
-        folded = np.add.reduceat(np.column_stack([self.model.scores[bucket], np.ones(len(bucket))]), first)
+        folded = np.add.reduceat(np.column_stack([self.model.embedding[bucket], np.ones(len(bucket))]), first)
         at = len(self.known)
         while at + len(words) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
@@ -165,7 +168,7 @@ class Predictor:
                 out.append((UNKNOWN, 0.0, True))
                 continue
             total = self.table[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))].sum(0)
-            p = softmax((total[:-1] / total[-1] + self.model.bias) / self.model.temperature)
+            p = softmax((total[:-1] / total[-1] @ self.model.weight + self.model.bias) / self.model.temperature)
             best = int(p.argmax())
             out.append((self.model.languages[best], float(min(p[best], 1.0)), bool(p[best] < self.model.threshold)))
         return out
@@ -188,28 +191,32 @@ def train(docs: DataFrame, learnable: Column, text_col: str = "text", lang_col:
           id_col: str = "doc_id", per_language: int = 600, reject_share: float = 0.001) -> Model | None:
     """Fit and calibrate on a bounded sample of the rows where ``learnable``
     holds; None if there is nothing to learn from."""
-    labelled = docs.where(learnable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = (labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect())
+    labelled = docs.where(learnable & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"[\p{L}\p{Nl}\p{No}]"))
+    place = lambda word: F.pmod(F.xxhash64(id_col, F.lit(word)), F.lit(1 << 30)) / float(1 << 30)
+    counts = (labelled.groupBy(F.col(lang_col).alias("lang"))
+              .agg(F.count("*").alias("n"), F.min(place("sample")).alias("first")).collect())
     if not counts:
         return None
-    each = min(per_language, MOST_ROWS // len(counts))
-    rates = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, each / r["n"])) for r in counts],
-                                              "_lang string, _rate double")
-    place = lambda word: F.pmod(F.xxhash64(id_col, F.lit(word)), F.lit(1 << 30)) / float(1 << 30)
+    each = min(per_language, max(1, MOST_ROWS // len(counts)))
+    rates = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, each / r["n"]), r["first"]) for r in counts],
+                                              "_lang string, _rate double, _first double")
     sample = (labelled.join(F.broadcast(rates), F.col(lang_col) == F.col("_lang"))
-              .where(place("sample") < F.col("_rate"))
+              .where((place("sample") < F.col("_rate")) | (place("sample") == F.col("_first")))
               .select(F.col(lang_col).alias("lang"), (place("back") < 0.25).alias("back"), F.col(text_col).alias("text"))
               .mapInArrow(_sampled_counts, "lang string, back boolean, buckets binary, shares binary").collect())
     # by content, so that the order of the tasks' answers doesn't matter
     sample.sort(key=lambda r: (r["lang"], bytes(r["buckets"]), bytes(r["shares"])))
     rows = [(r["lang"], np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["shares"], np.float32).astype(float),
              r["back"]) for r in sample]
-    fitted = [r[:3] for r in rows if not r[3]] or [r[:3] for r in rows]
-    if not fitted:
+    if not rows:
         return None
+    # a label with held-back rows only is fitted on its first one
+    fitted, learned, back = [], {r[0] for r in rows if not r[3]}, []
+    for r in rows:
+        (back if r[3] and r[0] in learned else fitted).append(r[:3])
+        learned.add(r[0])
     model = Model(*fit(fitted))
-    calibrate(model, [r[:3] for r in rows if r[3]], reject_share)
+    calibrate(model, back, reject_share)
     return model
 
 
