@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.llm import byte_bpe, cover_tree, kmeans_tree, langid, licenses, order_minhash, packing, sharding, toxicity, url_rules
+from topicforge.llm import byte_bpe, cover_tree, exact_dedup, kmeans_tree, langid, licenses, order_minhash, packing, sharding, toxicity, url_rules
 from topicforge.llm.common import crc_mod, read
 
 
@@ -75,6 +75,10 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_groups(read(spark, sf_dir, "documents"))
 
 
+def op11_content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
+
+
 #: Known sentences as they stand after normalising, written out by hand for
 #: the notices that the documents carry.
 _OP2_SQL = r"""
@@ -128,6 +132,16 @@ FROM parts LEFT JOIN by_rule USING (page_id) LEFT JOIN by_pattern USING (page_id
 """
 
 
+_OP11_SQL = r"""
+WITH rows AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
+groups AS (
+    SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM rows GROUP BY norm)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
+FROM rows JOIN groups USING (norm)
+"""
+
+
 def registry() -> dict:
     return {"op1_cost_packing": op1_cost_packing,
             "op2_license_sentences": op2_license_sentences,
@@ -138,8 +152,9 @@ def registry() -> dict:
             "op7_bpe_replay": op7_bpe_replay,
             "op8_fair_toxicity": op8_fair_toxicity,
             "op9_shard_ranges": op9_shard_ranges,
-            "op10_order_minhash": op10_order_minhash}
+            "op10_order_minhash": op10_order_minhash,
+            "op11_content_hash": op11_content_hash}
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_license_sentences": _OP2_SQL, "op3_url_rules": _OP3_SQL}
+    return {"op2_license_sentences": _OP2_SQL, "op3_url_rules": _OP3_SQL, "op11_content_hash": _OP11_SQL}
