@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.llm import byte_bpe, cover_tree, exact_dedup, kmeans_tree, langid, licenses, order_minhash, packing, sharding, toxicity, url_rules
-from topicforge.llm.common import crc_mod, read
+from topicforge.llm import byte_bpe, cover_tree, exact_dedup, kmeans_tree, langid, licenses, order_minhash, packing, sharding, token_align, toxicity, url_rules
+from topicforge.llm.common import crc_mod, read, scratch_table
 
 
 def op1_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +79,16 @@ def op11_content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op12_pointer_jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_align.align_documents(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"))
+    written = scratch_table(aligned.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "n_a", "n_b", "n_groups", "n_links",
+        F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"), "pairs", "times"), "aligned")
+    return token_align.link_statistics(written).drop("row")
+
+
 #: Known sentences as they stand after normalising, written out by hand for
 #: the notices that the documents carry.
 _OP2_SQL = r"""
@@ -153,7 +163,8 @@ def registry() -> dict:
             "op8_fair_toxicity": op8_fair_toxicity,
             "op9_shard_ranges": op9_shard_ranges,
             "op10_order_minhash": op10_order_minhash,
-            "op11_content_hash": op11_content_hash}
+            "op11_content_hash": op11_content_hash,
+            "op12_pointer_jumping": op12_pointer_jumping}
 
 
 def oracles() -> dict[str, str]:
