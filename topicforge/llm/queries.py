@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.llm import byte_bpe, cover_tree, exact_dedup, kmeans_tree, langid, licenses, order_minhash, packing, sharding, token_align, toxicity, url_rules
+from topicforge.llm import byte_bpe, cover_tree, exact_dedup, kmeans_tree, langid, licenses, order_minhash, packing, sharding, token_align, toxicity, url_rules, whitening
 from topicforge.llm.common import crc_mod, read, scratch_table
 
 
@@ -89,6 +89,10 @@ def op12_pointer_jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.link_statistics(written).drop("row")
 
 
+def op13_contour_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 #: Known sentences as they stand after normalising, written out by hand for
 #: the notices that the documents carry.
 _OP2_SQL = r"""
@@ -164,7 +168,8 @@ def registry() -> dict:
             "op9_shard_ranges": op9_shard_ranges,
             "op10_order_minhash": op10_order_minhash,
             "op11_content_hash": op11_content_hash,
-            "op12_pointer_jumping": op12_pointer_jumping}
+            "op12_pointer_jumping": op12_pointer_jumping,
+            "op13_contour_whitening": op13_contour_whitening}
 
 
 def oracles() -> dict[str, str]:
