@@ -34,6 +34,24 @@ def scratch_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def named_rows(docs: DataFrame, keys: list[Column], names: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``keys`` (columns over ``docs``) are a row of
+    ``names``, with all their columns, whatever these are called.  Of rows that
+    share a key, one is taken, or all where ``names`` has as many."""
+    at = [f"_{n}" for n in range(len(keys))]
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.struct(*[k.alias(a) for k, a in zip(keys, at)]).alias("key"))
+    wanted = names.toDF(*at).groupBy(F.struct(*at).alias("name")).agg(F.count("*").alias("times"))
+    there = marked.groupBy("key").agg(F.count("*").alias("found"))
+    several = there.where("found > 1").join(wanted, F.col("key").eqNullSafe(F.col("name"))).where("found > times").select(
+        F.col("name").alias("again"))
+    plain = wanted.join(several, F.col("name").eqNullSafe(F.col("again")), "left_anti")
+    once = marked.join(plain, F.col("key").eqNullSafe(F.col("name")), "left_semi").select("row.*")
+    first = (marked.join(several, F.col("key").eqNullSafe(F.col("again")), "left_semi").groupBy("key")
+             .agg(F.first("row").alias("row")).select("row.*"))
+    return once.union(first)
+
+
 def crc_mod(col: str, modulus: int) -> Column:
     """crc32 of the id's text modulo ``modulus``; null for a null id."""
     return F.crc32(F.col(col).cast("string")) % modulus

@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicforge.llm.common import scratch_table
+from topicforge.llm.common import named_rows, scratch_table
 
 #: Hashes of groups with copies that may be broadcast (16 bytes each).
 BROADCAST_HASHES = 1 << 20
@@ -48,7 +48,7 @@ def _smallest(id_col: str) -> Column:
 def _decided(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(groups, keys).select(
         "_id", F.col("_first.id").alias("keep_id"), F.col("_n").alias("group_size"),
-        (F.col("_row") == F.col("_first.row")).alias("kept"), "_sha", "_hash")
+        (F.col("_row") == F.col("_first.row")).alias("kept"), "_sha")
 
 
 def _groups(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -67,10 +67,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
     """``(<id>, keep_id, group_size, kept, text_sha256)``, one row for each
     row; ``text_sha256`` is of the normalised text."""
-    return _exact(docs, id_col, text_col, hash_of, broadcast_hashes).drop("_hash")
-
-
-def _exact(docs, id_col, text_col, hash_of, broadcast_hashes) -> DataFrame:
     whole = (docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_text"))
              .withColumn("_hash", hash_of(F.col("_text"))))
     rows = scratch_table(
@@ -90,21 +86,10 @@ def _exact(docs, id_col, text_col, hash_of, broadcast_hashes) -> DataFrame:
         out = (_decided(rows.join(differ, "_hash", "left_anti"), groups, ["_hash"])
                .union(_decided(clash, _groups(clash, keys), keys)))
     return out.select(F.col("_id").alias(id_col), "keep_id", "group_size", "kept",
-                      F.col("_sha").alias("text_sha256"), "_hash")
+                      F.col("_sha").alias("text_sha256"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
-    kept = _exact(docs, id_col, text_col, content_hash, BROADCAST_HASHES).where("kept").select(
-        F.col(id_col).alias("_kept_id"), F.col("text_sha256").alias("_kept_text"))
-    mark = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("d"))
-    mark = mark.select("d", F.sha2(normalised(F.col(f"d.`{text_col}`")).cast("binary"), 256).alias("t"))
-    same = F.col("t") == F.col("_kept_text")
-    known = mark.join(kept, F.col(f"d.`{id_col}`").eqNullSafe(F.col("_kept_id")) & same, "left_semi")
-    # rows that repeat both id and text: one of them
-    many = (mark.groupBy(F.col(f"d.`{id_col}`").alias("_i"), F.col("t").alias("_t")).count().where("count > 1"))
-    again = F.col(f"d.`{id_col}`").eqNullSafe(F.col("_i")) & (F.col("t") == F.col("_t"))
-    once = known.join(many, again, "left_anti").select("d.*")
-    first = (known.join(many, again, "left_semi").groupBy(F.col(f"d.`{id_col}`").alias("_i"), F.col("t").alias("_t"))
-             .agg(F.first("d").alias("d")).select("d.*"))
-    return once.union(first)
+    kept = exact_groups(docs, id_col, text_col).where("kept").select(id_col, "text_sha256")
+    return named_rows(docs, [F.col(id_col), F.sha2(normalised(F.col(text_col)).cast("binary"), 256)], kept)

@@ -1,33 +1,34 @@
 """MinHash near-duplicates: Order MinHash sketches, banded alignment.
 
-A text is its lower-case words.  Its k-mers are runs of ``SHINGLE`` words, each
+A text is its lower-case words.  Its k-mers are runs of five words, each
 labelled with how often it came before.  One sketch hashes all labelled
 k-mers, takes the ``KEPT`` smallest and keeps them in text order, so texts
 agree in it the more often the smaller their edit distance is.  Texts that
-agree in one of ``SKETCHES`` sketches are candidates; two are near-duplicates if
+agree in one sketch are candidates; two are near-duplicates if
 the edit distance of their words is at most ``1 - threshold`` of the longer
-one, decided by an alignment inside the band that this allows.
+one, decided by an alignment inside the band that this allows.  One edit breaks
+five k-mers, more than a short text has, so short texts have shorter k-mers
+(``BANDS``); lengths near a bound are sketched by both neighbours' rule.
 
 No bucket of equal sketches is turned into all its pairs:
 
-* texts of equal words are one class (its smallest id);
-* round 1: each class is aligned with the smallest class of its buckets that
-  it shares most buckets with; round 2: with the other smallest ones, if they
-  are not in one component by then;
-* round 3 completes the work: in each bucket that still holds several
-  components, the classes of different ones are compared by length and by
-  hashed counts of words and of pairs of neighbours, which bound the edit
-  distance from below.  Large buckets are cut into parts that meet pairwise.
-  Of the pairs that remain, each class is first aligned with the one of each
-  other component that looks most alike, then with all that are still apart.
-
-Components are recomputed from all links after each round, so no pair of
-candidates stays undecided unless a link path already joins it.
+* texts of equal words are one class (its first row);
+* a bucket hangs on its smallest class, its *centre*; the buckets of a centre
+  are one star, and a class's mask says in which sketches it belongs to it.
+  Two classes of a star are candidates if their masks meet;
+* twice, each class is aligned with the centre that it shares most sketches
+  with and that is not in its component yet: one pair a class and round;
+* stars that still hold several components are completed: their classes go,
+  with their texts, to blocks of bounded rows and words.  Only pairs of
+  different components are compared, so the largest component of a star meets
+  the others and never itself.  A block's task keeps the components as a
+  union-find, skips pairs that are joined by then, takes lower bounds of the
+  edit distance first, and hands on only the links that joined two components.
 
 Defined results: null ids, null texts and texts without a word link with
-nothing and are kept; an id is taken to name one text, and rows that repeat
-it belong together; texts of fewer than five words have one k-mer.  Other
-columns are ignored.
+nothing and are kept; of rows that repeat an id, each text counts by itself; of
+a group, one row is kept (smallest id, then first row).  Texts of fewer than
+four words are similar only to equal ones.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,19 +38,27 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicforge.llm.common import WordCache, scratch_table, slices
+from topicforge.llm.common import WordCache, named_rows, scratch_table, slices
 from topicforge.llm.components import connected
 
-SHINGLE, SKETCHES, KEPT = 5, 24, 2
+KEPT = 2
+#: Sketches of a band at most: bits of a mask.
+BITS = 64
+#: ``(words of a k-mer, from, below, sketches)``: lengths of texts that are
+#: sketched so.  Bands overlap by the difference in length that similar texts
+#: may have; the last one adds sketches to the one before.
+BANDS = [(2, 4, 20, 64), (3, 16, 100, 64), (5, 80, 1 << 62, 64), (5, 80, 1 << 62, 32)]
 COUNTS = 256
-PART = 1024
+#: Classes and words of a part; a block is two parts at most.
+PART, PART_WORDS = 512, 1 << 19
 #: K-mers that are hashed for all sketches at a time.
 STRETCH = 1 << 15
 
-_ODD = np.random.default_rng(41).integers(1 << 62, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = np.random.default_rng(41).integers(1 << 62, 1 << 63, (len(BANDS), BITS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MOST = np.uint64(np.iinfo(np.uint64).max)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -62,9 +71,9 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def labelled_kmers(codes: np.ndarray) -> np.ndarray:
+def labelled_kmers(codes: np.ndarray, k: int) -> np.ndarray:
     """A hash of each k-mer and of how often it came before."""
-    k = min(SHINGLE, len(codes))
+    k = min(k, len(codes))
     value = np.zeros(len(codes) - k + 1, np.uint64)
     for i in range(k):
         value = value * np.uint64(0x100000001B3) + codes[i:i + len(value)]
@@ -77,23 +86,44 @@ def labelled_kmers(codes: np.ndarray) -> np.ndarray:
     return _mixed(value + before * np.uint64(0xD6E8FEB86659FD93))
 
 
-def sketches(codes: np.ndarray) -> np.ndarray:
-    """One number for each sketch: its smallest k-mers in text order."""
-    h = labelled_kmers(codes)
-    best = np.zeros((SKETCHES, 0), np.int64)
+def sketches(codes: np.ndarray, band: int) -> np.ndarray:
+    """One number for each of a band's sketches: its smallest k-mers in text
+    order."""
+    k, _, _, n = BANDS[band]
+    h, odd = labelled_kmers(codes, k), _ODD[band, :n, None]
+    best, rows = np.zeros((n, 0), np.int64), np.arange(n)
     for at in range(0, len(h), STRETCH):
-        some = np.hstack([best, np.tile(np.arange(at, min(at + STRETCH, len(h))), (SKETCHES, 1))]) if best.size else \
-            np.tile(np.arange(at, min(at + STRETCH, len(h))), (SKETCHES, 1))
-        value = _mixed(h[some] * _ODD[:, None])
-        kept = min(KEPT, value.shape[1])
-        least = np.argpartition(value, kept - 1, axis=1)[:, :kept]
-        best = np.sort(np.take_along_axis(some, least, 1), axis=1)
-    out = np.arange(SKETCHES, dtype=np.uint64)
+        stretch = np.arange(at, min(at + STRETCH, len(h)))
+        value = np.hstack([h[best] * odd, h[stretch] * odd])
+        some = np.hstack([best, np.broadcast_to(stretch, (n, len(stretch)))])
+        kept = []
+        for _ in range(min(KEPT, value.shape[1])):
+            least = value.argmin(axis=1)
+            kept.append(some[rows, least])
+            value[rows, least] = _MOST
+        best = np.sort(np.stack(kept, axis=1), axis=1)
+    out = (rows + band * BITS).astype(np.uint64)
     for c in range(best.shape[1]):
         out = _mixed(out * np.uint64(31) + h[best[:, c]])
     return out.view(np.int64)
 
 
+def banded_sketches(codes: np.ndarray) -> np.ndarray:
+    """The sketches of each band that the text's length lies in, in order."""
+    found = [sketches(codes, n) for n, (_, first, below, _) in enumerate(BANDS) if first <= len(codes) < below]
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
+def place_of(size: Column, at: Column) -> Column:
+    """``band * BITS + sketch`` of the ``at``-th of ``banded_sketches``."""
+    place, start = F.lit(None), F.lit(0)
+    for n, (_, first, below, count) in enumerate(BANDS):
+        active = (size >= first) & (size < below)
+        place = F.when(active & (at >= start), n * BITS + at - start).otherwise(place)
+        start = start + F.when(active, count).otherwise(0)
+    return place.cast("int")
+
+
 def counts_of(codes: np.ndarray) -> np.ndarray:
     """Hashed counts of the words, then of the pairs of neighbours; counts
     above 255 stay there, which can only lower the bounds taken from them."""
@@ -176,23 +206,22 @@ def similar(a: list[str], b: list[str], threshold: float) -> bool:
     return edit_distance(a, b, most) <= most
 
 
-def _sketch(kind: pa.DataType):
-    def run(batches):
-        code = WordCache(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")))
-        for part in slices(batches):
-            rows = []
-            for row, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                words = words_of(text)
-                if not words or row is None:
-                    rows.append((row, None, 0, None, None))
-                    continue
-                codes = np.fromiter(map(code.__getitem__, words), np.uint64, len(words))
-                digest = hashlib.blake2b("\x00".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                rows.append((row, digest, len(words), sketches(codes), counts_of(codes).tobytes()))
-            types = [kind, pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)],
-                                             ["id", "digest", "size", "sketches", "counts"])
-    return run
+def _sketch(batches):
+    code = WordCache(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")))
+    for part in slices(batches):
+        rows = []
+        for text in part.column(2).to_pylist():
+            words = words_of(text)
+            if not words:
+                rows.append((None, 0, None))
+                continue
+            codes = np.fromiter(map(code.__getitem__, words), np.uint64, len(words))
+            digest = hashlib.blake2b("\x00".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+            rows.append((digest, len(words), banded_sketches(codes)))
+        types = [pa.binary(), pa.int64(), pa.list_(pa.int64())]
+        yield pa.RecordBatch.from_arrays(
+            [part.column(0), part.column(1), *(pa.array(x, t) for x, t in zip(zip(*rows), types))],
+            ["id", "text_hash", "digest", "size", "sketches"])
 
 
 def _aligned(threshold: float):
@@ -222,113 +251,138 @@ def _groups(batches, names: list[str]):
         yield held
 
 
-def _undecided(threshold: float):
-    """Pairs of different components in a bucket that lengths and counts
-    allow."""
+def joining_links(u: np.ndarray, component: np.ndarray, size: np.ndarray, mask: np.ndarray, side: np.ndarray,
+                  words: list[list], apart: bool, threshold: float) -> list[tuple[int, int]]:
+    """Links between similar rows of a block that join two components, one for
+    each two components that become one; rows ascend by size.  ``words`` are
+    small whole numbers.  With ``apart``, only rows of different sides meet."""
+    label = np.unique(component, return_inverse=True)[1]
+    counts = np.stack([counts_of(_mixed(np.asarray(w, np.uint64) + np.uint64(1))) for w in words]).astype(np.int16)
+    links = []
+    for i in range(1, len(u)):
+        most = int((1 - threshold) * size[i] + 1e-9)
+        other = np.arange(int(np.searchsorted(size[:i], size[i] - most)), i)
+        other = other[(label[other] != label[i]) & ((mask[other] & mask[i]) != 0)]
+        if apart:
+            other = other[side[other] != side[i]]
+        if not len(other):
+            continue
+        bound = least_distance(counts[i], counts[other])
+        for j in other[bound <= most][np.argsort(bound[bound <= most], kind="stable")].tolist():
+            if label[j] != label[i] and similar(words[i], words[j], threshold):
+                links.append((int(u[i]), int(u[j])))
+                label[label == label[j]] = label[i]
+    return links
+
+
+def _complete(threshold: float):
+    keys = ["v", "band", "lo", "hi"]
+
     def run(batches):
-        for g in _groups(batches, ["bucket", "lo", "hi"]):
+        for g in _groups(batches, keys):
             if g.num_rows < 2:
                 continue
             column = lambda n: g.column(g.schema.get_field_index(n))
-            size, side = column("size").to_numpy(), column("side").to_numpy()
-            ids, component = column("u").to_numpy(zero_copy_only=False), column("component").to_numpy(zero_copy_only=False)
-            both = column("lo")[0].as_py() != column("hi")[0].as_py()
-            counts = np.frombuffer(b"".join(column("counts").to_pylist()), np.uint8).reshape(-1, 2 * COUNTS).astype(np.int16)
-            first, second, least = [], [], []
-            for i in range(1, len(size)):  # in ascending size
-                most = int((1 - threshold) * size[i] + 1e-9)
-                start = int(np.searchsorted(size[:i], size[i] - most))
-                other = np.arange(start, i)
-                other = other[component[start:i] != component[i]]
-                if both:
-                    other = other[side[other] != side[i]]
-                if len(other):
-                    bound = least_distance(counts[i], counts[other])
-                    other, bound = other[bound <= most], bound[bound <= most]
-                    first.append(np.minimum(ids[other], ids[i]))
-                    second.append(np.maximum(ids[other], ids[i]))
-                    least.append(bound)
-                if first and (i % 256 == 0 or i + 1 == len(size)):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(first), column("u").type), pa.array(np.concatenate(second), column("u").type),
-                         pa.array(np.concatenate(least).astype(np.int32))], ["u", "v", "bound"])
-                    first, second, least = [], [], []
+            u, component, size, mask, side = (column(n).to_numpy() for n in ("u", "component", "size", "mask", "side"))
+            known: dict = {}
+            words = [[known.setdefault(w, len(known)) for w in words_of(t)] for t in column("text").to_pylist()]
+            apart = column("lo")[0].as_py() != column("hi")[0].as_py()
+            links = joining_links(u, component, size, mask, side, words, apart, threshold)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], ["u", "v"])
     return run
 
 
+def _stars(classes: DataFrame) -> DataFrame:
+    """``(v, band, u, mask, size)``: the sketches in which ``u`` is in a bucket
+    whose smallest class is ``v``.  A class has one bucket a sketch, so two
+    rows of a star share a bucket exactly where their masks meet."""
+    rows = (classes.select("u", "size", F.posexplode("sketches").alias("at", "bucket"))
+            .select("u", "bucket", place_of(F.col("size"), F.col("at")).alias("place")))
+    centres = rows.groupBy("bucket").agg(F.min("u").alias("v"), F.max("u").alias("_last")).where("v <> _last").drop("_last")
+    stars = rows.join(centres, "bucket").groupBy("v", F.floor(F.col("place") / BITS).cast("int").alias("band"), "u").agg(
+        F.bit_or(F.expr(f"shiftleft(1L, place % {BITS})")).alias("mask"))
+    return stars.join(classes.select("u", "size"), "u")
+
+
+def _blocks(stars: DataFrame, component: DataFrame) -> DataFrame:
+    """The classes of stars with several components, dealt to blocks: all but
+    the largest component in parts that meet each other and, one by one, the
+    parts of the largest."""
+    of = component.withColumnRenamed("node", "u")
+    open_ = stars.join(of, "u", "left").withColumn("component", F.coalesce("component", "u"))
+    by = open_.groupBy("v", "band", "component").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+    of_star = by.groupBy("v", "band").agg(
+        F.count("*").alias("components"), F.max(F.struct("n", "component", "words")).alias("top"),
+        F.sum("n").alias("n"), F.sum("words").alias("words")).where("components > 1")
+    parts = lambda n, words: F.greatest(F.ceil(n / PART), F.ceil(words / PART_WORDS), F.lit(1)).cast("int")
+    of_star = of_star.select(
+        "v", "band", F.col("top.component").alias("top"),
+        parts(F.col("n") - F.col("top.n"), F.col("words") - F.col("top.words")).alias("p"),
+        parts(F.col("top.n"), F.col("top.words")).alias("q"))
+    rows = open_.join(of_star, ["v", "band"]).withColumn("in_top", F.col("component") == F.col("top"))
+    part = F.pmod(F.xxhash64("u", F.lit("part")), F.when(F.col("in_top"), F.col("q")).otherwise(F.col("p"))).cast("int")
+    rows = rows.withColumn("own", F.when(F.col("in_top"), F.col("p") + part).otherwise(part)).withColumn(
+        "other", F.explode(F.when(F.col("in_top"), F.sequence(F.lit(0), F.col("p") - 1))
+                           .otherwise(F.sequence(F.lit(0), F.col("p") + F.col("q") - 1))))
+    return rows.select("v", "band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+                       (F.col("own") > F.col("other")).cast("int").alias("side"), "u", "component", "size", "mask")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """``(id, text_hash, class_id, kept)`` for each row."""
+    read = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    name = docs.schema[id_col].dataType.simpleString()
+    sketched = scratch_table(
+        read.mapInArrow(_sketch, f"id {name}, text_hash bigint, digest binary, size bigint, sketches array<bigint>")
+        .withColumn("row", F.monotonically_increasing_id()), "sketches")
+    classes = scratch_table(sketched.where("digest is not null and id is not null").groupBy("digest").agg(
+        F.min(F.struct("row", "id", "text_hash")).alias("first"), F.first("size").alias("size"),
+        F.first("sketches").alias("sketches")).select("digest", F.col("first.row").alias("u"), "first.id", "first.text_hash",
+                                                      "size", "sketches"), "classes")
+    stars = scratch_table(_stars(classes), "stars")
+    wanted = classes.join(stars.select("u").distinct(), "u", "left_semi").select("u", "id", "text_hash")
+    texts = scratch_table(read.join(wanted, ["id", "text_hash"]).groupBy("u").agg(F.first("text").alias("text")), "texts")
+
+    def with_best_centre(component: DataFrame | None) -> DataFrame:
+        """Of each class, the centre of another component that it shares most
+        sketches with; lengths that can't be similar aside."""
+        pairs = stars.where("u <> v")
+        if component is not None:
+            of = lambda c: component.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
+            pairs = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left").where(
+                F.coalesce("_u", "u") != F.coalesce("_v", "v"))
+        best = pairs.groupBy("u").agg(F.max(F.struct(F.bit_count("mask").alias("n"), (-F.col("v")).alias("v"))).alias("best"))
+        both = (best.select("u", (-F.col("best.v")).alias("v")).join(texts.select("u", F.col("text").alias("a")), "u")
+                .join(texts.select(F.col("u").alias("v"), F.col("text").alias("b")), "v").select("u", "v", "a", "b"))
+        return scratch_table(both.mapInArrow(_aligned(threshold), "u bigint, v bigint"), "aligned")
+
+    links = with_best_centre(None)
+    links = scratch_table(links.union(with_best_centre(scratch_table(connected(links), "component"))), "links")
+    component = scratch_table(connected(links), "component")
+    blocks = (_blocks(stars, component).join(texts, "u").repartition("v", "band", "lo", "hi")
+              .sortWithinPartitions("v", "band", "lo", "hi", "size", "u")
+              .select("v", "band", "lo", "hi", "side", "u", "component", "size", "mask", "text"))
+    more = scratch_table(blocks.mapInArrow(_complete(threshold), "u bigint, v bigint"), "joining")
+    component = connected(links.union(more)).withColumnRenamed("node", "u")
+    by_digest = classes.select("digest", "u").join(component, "u", "left").select(
+        "digest", F.coalesce("component", "u").alias("component"))
+    rows = scratch_table(sketched.select(
+        "id", "text_hash", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest"), "row").join(by_digest, "digest", "left"), "grouped")
+    first = rows.where("component is not null").groupBy("component").agg(F.min(F.struct("id", "row")).alias("first"))
+    return rows.join(first, "component", "left").select(
+        "id", "text_hash", F.coalesce("first.id", "id").alias("class_id"),
+        F.coalesce(F.col("row") == F.col("first.row"), F.lit(True)).alias("kept"))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 threshold: float = 0.8) -> DataFrame:
     """``(<id>, class_id, kept)``, one row for each row: the smallest id of its
-    group of near-duplicates, and whether it is that one."""
-    kind = docs.schema[id_col].dataType
-    name = kind.simpleString()
-    from pyspark.sql.pandas.types import to_arrow_type
-    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sketched = scratch_table(read.mapInArrow(
-        _sketch(to_arrow_type(kind)), f"id {name}, digest binary, size bigint, sketches array<bigint>, counts binary"), "sketches")
-    classes = scratch_table(sketched.where("digest is not null").groupBy("digest").agg(
-        F.min("id").alias("u"), F.first("size").alias("size"), F.first("sketches").alias("sketches"),
-        F.first("counts").alias("counts")), "classes")
-    bucket = Window.partitionBy("bucket")
-    buckets = scratch_table(
-        classes.select("u", "size", F.explode("sketches").alias("bucket"))
-        .withColumn("v", F.min("u").over(bucket)).withColumn("n", F.count("*").over(bucket)).where("n > 1"), "buckets")
-    texts = scratch_table(
-        read.join(buckets.select(F.col("u").alias("id")).distinct(), "id").dropDuplicates(["id"]), "texts")
-    sizes = classes.select("u", "size")
-
-    def aligned(pairs: DataFrame) -> DataFrame:
-        both = (pairs.select("u", "v").join(texts.select(F.col("id").alias("u"), F.col("text").alias("a")), "u")
-                .join(texts.select(F.col("id").alias("v"), F.col("text").alias("b")), "v").select("u", "v", "a", "b"))
-        return scratch_table(both.mapInArrow(_aligned(threshold), f"u {name}, v {name}"), "aligned")
-
-    def apart(pairs: DataFrame, component: DataFrame) -> DataFrame:
-        """Pairs that no path of links joins yet."""
-        of = lambda c: component.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
-        return pairs.join(of("u"), "u", "left").join(of("v"), "v", "left").where(
-            F.coalesce("_u", "u") != F.coalesce("_v", "v")).select("u", "v")
-
-    longer = F.greatest("size", "_size")
-    stars = scratch_table(
-        buckets.where("u <> v").groupBy("u", "v").agg(F.first("size").alias("size"), F.count("*").alias("n"))
-        .join(sizes.select(F.col("u").alias("v"), F.col("size").alias("_size")), "v")
-        .where(longer - F.least("size", "_size") <= F.floor((1 - threshold) * longer + 1e-9)).select("u", "v", "n"), "stars")
-    first = stars.groupBy("u").agg(F.max(F.struct("n", "v")).alias("best")).select("u", F.col("best.v").alias("v"))
-    links = aligned(first)
-    links = scratch_table(links.union(aligned(apart(stars.join(first, ["u", "v"], "left_anti"), connected(links)))), "links")
-    component = scratch_table(connected(links), "component")
-    mixed = Window.partitionBy("bucket")
-    open_ = (buckets.select("bucket", "u", "size", "n").join(component.withColumnRenamed("node", "u"), "u", "left")
-             .withColumn("component", F.coalesce("component", "u"))
-             .withColumn("_lo", F.min("component").over(mixed)).withColumn("_hi", F.max("component").over(mixed))
-             .where("_lo <> _hi"))
-    parts = F.ceil(F.col("n") / PART).cast("int")
-    open_ = (open_.join(classes.select("u", "counts"), "u")
-             .withColumn("part", F.pmod(F.xxhash64("u", F.lit("part")), parts).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))))
-    open_ = (open_.withColumn("lo", F.least("part", "other")).withColumn("hi", F.greatest("part", "other"))
-             .withColumn("side", (F.col("part") == F.col("lo")).cast("int"))
-             .repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "size", "u")
-             .select("bucket", "lo", "hi", "side", "u", "component", "size", "counts"))
-    rest = scratch_table(open_.mapInArrow(_undecided(threshold), f"u {name}, v {name}, bound int").distinct()
-                         .join(stars.select(F.col("v").alias("u"), F.col("u").alias("v")), ["u", "v"], "left_anti"), "rest")
-    # of a class and a component, first the pair that looks most alike
-    alike = Window.partitionBy("u", "c").orderBy("bound", "v")
-    ranked = scratch_table(
-        rest.join(component.withColumnRenamed("node", "v"), "v", "left").withColumn("c", F.coalesce("component", "v"))
-        .withColumn("_n", F.row_number().over(alike)).select("u", "v", "_n"), "ranked")
-    links = scratch_table(links.union(aligned(ranked.where("_n = 1"))), "links")
-    links = links.union(aligned(apart(ranked.where("_n > 1"), connected(links))))
-    component = connected(links).withColumnRenamed("node", "u")
-    by_digest = classes.join(component, "u", "left").select("digest", F.coalesce("component", "u").alias("class_id"))
-    return (sketched.select("id", "digest").join(by_digest, "digest", "left")
-            .select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"))
-            .withColumn("kept", F.coalesce(F.col(id_col) == F.col("class_id"), F.lit(True))))
+    group of near-duplicates, and whether this row stays."""
+    return _grouped(docs, id_col, text_col, threshold).select(F.col("id").alias(id_col), "class_id", "kept")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """One document of each group, with all its columns."""
-    kept = near_groups(docs, id_col, text_col, threshold).where("kept").select(F.col(id_col).alias("_kept"))
-    known = docs.where(F.col(id_col).isNotNull())
-    return (known.join(kept, F.col(id_col) == F.col("_kept"), "left_semi").dropDuplicates([id_col])
-            .union(docs.where(F.col(id_col).isNull())))
+    kept = _grouped(docs, id_col, text_col, threshold).where("kept").select("id", "text_hash")
+    return named_rows(docs, [F.col(id_col), F.xxhash64(text_col)], kept)
