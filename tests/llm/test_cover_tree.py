@@ -70,3 +70,13 @@ def test_query(spark, small):
     rows = queries.op6_cover_tree(spark, small).collect()
     table = spark.read.parquet(f"{small}/embeddings.parquet").collect()
     compare(rows, [r.vec_id for r in table], [r.embedding for r in table])
+
+
+def test_each_dimension_and_every_size_takes_part(spark):
+    rows = [(1, [1.0, 0.0, 0.0, 0.0]), (2, [1.0, 0.01, 0.0, 0.0]), (3, [0.0, 0.0, 1.0, 0.0]), (100, [1.0, 2.0]), (101, [1.0, 2.0001]),
+            (102, [2.0, -1.0]), (200, [1e-200, 0.0, 0.0, 0.0]), (201, [2e-200, 0.0, 0.0, 0.0]), (300, [1e200, 0.0, 0.0, 1e200]),
+            (301, [2e200, 0.0, 0.0, 2e200]), (302, [5e-324, 0.0, 0.0, 5e-324]), (400, [3.0]), (401, [-3.0]), (402, [1e308])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in cover_tree.link_near(frame).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 200: (3, 1), 201: (3, 1), 3: (0, 3), 100: (1, 100), 101: (1, 100), 102: (0, 102),
+                   300: (2, 300), 301: (2, 300), 302: (2, 300), 400: (1, 400), 401: (0, 401), 402: (1, 400)}

@@ -65,9 +65,17 @@ def test_edge_rows(spark):
     assert kmeans_tree.search(frame.limit(0), F.col("vec_id") % 100 == 0).collect() == []
 
 
-def test_queries_take_the_dimension_of_the_table(spark):
+def test_each_dimension_and_every_size_takes_part(spark):
     r = np.random.default_rng(5)
     table = [(i, r.normal(size=4).tolist()) for i in range(1, 301)]              # queries 100, 200, 300
-    other = [(100 * i, r.normal(size=3).tolist()) for i in range(4, 12)]         # most rows of the queries' ids
+    other = [(100 * i, r.normal(size=3).tolist()) for i in range(4, 12)]         # all rows ask
     frame = spark.createDataFrame(table + other, "vec_id bigint, embedding array<double>")
-    check(kmeans_tree.search(frame, F.col("vec_id") % 100 == 0).collect(), table, 1.0)
+    got = kmeans_tree.search(frame, F.col("vec_id") % 100 == 0).collect()
+    check([x for x in got if x.query_id < 400], table, 1.0)
+    check([x for x in got if x.query_id >= 400], other, 1.0)
+    odd = [(100, [1e200, 1e200]), (1, [3e200, 1e200]), (2, [1e200, -1e200]), (200, [1e-200, 0.0]), (3, [4e-200, 0.0])]
+    frame = spark.createDataFrame(odd, "vec_id bigint, embedding array<double>")
+    got = {(x.query_id, x.vec_id): x.score for x in kmeans_tree.search(frame, F.col("vec_id") % 100 == 0).collect()}
+    assert len(got) == 8
+    for pair, want in {(100, 1): 2e200, (100, 2): 2e200, (200, 3): 3e-200}.items():
+        assert abs(got[pair] / want - 1) < 1e-12

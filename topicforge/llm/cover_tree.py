@@ -21,9 +21,13 @@ Cosine >= t on unit vectors is Euclidean distance <= r = sqrt(2 - 2 t).
    there and the smallest member of its local component.  Sums of the numbers
    and components of these links give the result.
 
+Vectors are scaled by a power of two first, so that neither very large nor very
+small ones lose their norm; parallel vectors of that scale are one class.  Each
+dimension of a table is searched by itself.
+
 Defined results: a row that takes no part (null, zero, null or non-finite
-component, or not of the table's most frequent dimension) has no link and is
-its own component; a null id has a null component and isn't kept; rows that
+component) has no link and is its own component; vectors of different
+dimensions don't link; a null id has a null component and isn't kept; rows that
 repeat an id are vectors of their own with that id.
 """
 
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 
 from topicforge.llm.common import scratch_table
 from topicforge.llm.components import connected
-from topicforge.llm.vectors import matrix, sampled, takes_part, usable
+from topicforge.llm.vectors import dimensions, matrix, sampled, scaled, takes_part, usable
 
 BLOCK = 4096
 MOST_PIVOTS = 1024
@@ -290,66 +294,69 @@ def _pivots(classes: DataFrame, n: int) -> np.ndarray:
     return x[[g[0] for g in groups[:want]]]
 
 
+def _found(classes: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """``(rep, links, root)`` rows of the linked classes, all of one dimension."""
+    spark, n = classes.sparkSession, classes.count()
+    pivots = _pivots(classes, n)
+    sent = spark.sparkContext.broadcast(pivots)  # MOST_PIVOTS vectors
+
+    def deal(batches):
+        for batch in batches:
+            if batch.num_rows:
+                v = matrix(batch.column(batch.schema.get_field_index("_v")))
+                apart = np.sqrt(np.maximum(2 - 2 * (v / np.linalg.norm(v, axis=1)[:, None]) @ sent.value.T, 0))
+                cell = apart.argmin(1)
+                yield batch.append_column("cell", pa.array(cell, pa.int32())).append_column(
+                    "far", pa.array(apart[np.arange(len(cell)), cell]))
+
+    dealt = scratch_table(classes.mapInArrow(
+        deal, f"_v array<double>, rep {kind}, n bigint, cell int, far double"), "dealt")
+    cells = {c["cell"]: c for c in dealt.groupBy("cell").agg(F.max("far").alias("far"),
+                                                             F.count("*").alias("n")).collect()}
+    r = float(np.sqrt(2 - 2 * threshold))
+    apart = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))
+    parts = {c: -(-x["n"] // BLOCK) for c, x in cells.items()}
+    sizes = spark.createDataFrame(list(parts.items()), "cell int, parts int")
+    block = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("_block")
+    built = scratch_table(
+        dealt.join(F.broadcast(sizes), "cell").select("cell", block, "rep", "n", "_v")
+        .groupBy("cell", "_block").applyInArrow(
+            _build_task, f"cell int, _block int, rep {kind}, n bigint, _v array<double>, path array<int>"), "trees")
+    meet = [(c, d) for c in cells for d in cells
+            if c <= d and apart[c, d] <= cells[c]["far"] + cells[d]["far"] + r + SLACK]
+    sides = ([(c, d, 0, c == d, parts[c], parts[d]) for c, d in meet]
+             + [(d, c, 1, False, parts[d], parts[c]) for c, d in meet if c != d])
+    near = spark.createDataFrame(sides, "cell int, other int, side int, itself boolean, parts int, others int")
+    met = (built.join(F.broadcast(near), "cell")
+           .withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("others") - 1))))
+    mine, theirs = F.struct("cell", F.col("_block").alias("b")), F.struct(F.col("other").alias("cell"), F.col("_o").alias("b"))
+    # within a cell, the lower block is side 0; a block with itself comes once
+    side = F.when(F.col("itself"), F.when(F.col("_block") <= F.col("_o"), 0).otherwise(1)).otherwise(F.col("side"))
+    met = (met.withColumn("side", side)
+           .withColumn("_a", F.when(F.col("side") == 0, mine).otherwise(theirs))
+           .withColumn("_b", F.when(F.col("side") == 0, theirs).otherwise(mine)))
+    return scratch_table(
+        met.select(F.concat_ws(":", "_a.cell", "_a.b").alias("_a"), F.concat_ws(":", "_b.cell", "_b.b").alias("_b"),
+                   "side", "rep", "n", "_v", "path")
+        .groupBy("_a", "_b").applyInArrow(_pair_task(threshold), f"rep {kind}, links bigint, root {kind}"), "links")
+
+
 def link_near(frame: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
               threshold: float = 0.95) -> DataFrame:
     """``(<id>, n_links, component_id, kept)``, one row for each row."""
-    spark = frame.sparkSession
-    rows = usable(frame, id_col, vector_col)
+    rows = usable(frame, id_col, vector_col).select("_id", scaled(F.col("_v")).alias("_v"))
     classes = scratch_table(rows.groupBy("_v").agg(F.min("_id").alias("rep"), F.count("*").alias("n")), "classes")
-    n = classes.count()
     kind = frame.schema[id_col].dataType.simpleString()
-    if n:
-        pivots = _pivots(classes, n)
-        sent = spark.sparkContext.broadcast(pivots)  # MOST_PIVOTS vectors
-
-        def deal(batches):
-            for batch in batches:
-                if batch.num_rows:
-                    v = matrix(batch.column(batch.schema.get_field_index("_v")))
-                    apart = np.sqrt(np.maximum(2 - 2 * (v / np.linalg.norm(v, axis=1)[:, None]) @ sent.value.T, 0))
-                    cell = apart.argmin(1)
-                    yield batch.append_column("cell", pa.array(cell, pa.int32())).append_column(
-                        "far", pa.array(apart[np.arange(len(cell)), cell]))
-
-        dealt = scratch_table(classes.mapInArrow(
-            deal, f"_v array<double>, rep {kind}, n bigint, cell int, far double"), "dealt")
-        cells = {c["cell"]: c for c in dealt.groupBy("cell").agg(F.max("far").alias("far"),
-                                                                 F.count("*").alias("n")).collect()}
-        r = float(np.sqrt(2 - 2 * threshold))
-        apart = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))
-        parts = {c: -(-x["n"] // BLOCK) for c, x in cells.items()}
-        sizes = spark.createDataFrame(list(parts.items()), "cell int, parts int")
-        block = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("_block")
-        built = scratch_table(
-            dealt.join(F.broadcast(sizes), "cell").select("cell", block, "rep", "n", "_v")
-            .groupBy("cell", "_block").applyInArrow(
-                _build_task, f"cell int, _block int, rep {kind}, n bigint, _v array<double>, path array<int>"), "trees")
-        meet = [(c, d) for c in cells for d in cells
-                if c <= d and apart[c, d] <= cells[c]["far"] + cells[d]["far"] + r + SLACK]
-        sides = ([(c, d, 0, c == d, parts[c], parts[d]) for c, d in meet]
-                 + [(d, c, 1, False, parts[d], parts[c]) for c, d in meet if c != d])
-        near = spark.createDataFrame(sides, "cell int, other int, side int, itself boolean, parts int, others int")
-        met = (built.join(F.broadcast(near), "cell")
-               .withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("others") - 1))))
-        mine, theirs = F.struct("cell", F.col("_block").alias("b")), F.struct(F.col("other").alias("cell"), F.col("_o").alias("b"))
-        # within a cell, the lower block is side 0; a block with itself comes once
-        side = F.when(F.col("itself"), F.when(F.col("_block") <= F.col("_o"), 0).otherwise(1)).otherwise(F.col("side"))
-        met = (met.withColumn("side", side)
-               .withColumn("_a", F.when(F.col("side") == 0, mine).otherwise(theirs))
-               .withColumn("_b", F.when(F.col("side") == 0, theirs).otherwise(mine)))
-        found = scratch_table(
-            met.select(F.concat_ws(":", "_a.cell", "_a.b").alias("_a"), F.concat_ws(":", "_b.cell", "_b.b").alias("_b"),
-                       "side", "rep", "n", "_v", "path")
-            .groupBy("_a", "_b").applyInArrow(_pair_task(threshold), f"rep {kind}, links bigint, root {kind}"), "links")
-    else:
-        found = spark.createDataFrame([], f"rep {kind}, links bigint, root {kind}")
+    found = frame.sparkSession.createDataFrame([], f"rep {kind}, links bigint, root {kind}")
+    for d in dimensions(classes):
+        found = found.union(_found(classes.where(F.size("_v") == d), threshold, kind))
     number = found.groupBy("rep").agg(F.sum("links").alias("links"))
     component = connected(found.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     by_class = (classes.join(number, "rep", "left").join(component.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("_v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
                         F.coalesce("component", "rep").alias("component_id")))
     every = frame.select(F.col(id_col).alias("_id"), F.col(vector_col).cast("array<double>").alias("_v"))
-    every = every.withColumn("_v", F.when(F.col("_id").isNotNull() & takes_part(F.col("_v")), F.col("_v")))
+    every = every.withColumn("_v", F.when(F.col("_id").isNotNull() & takes_part(F.col("_v")), scaled(F.col("_v"))))
     return every.join(by_class, "_v", "left").select(
         F.col("_id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         F.coalesce("component_id", "_id").alias("component_id"),

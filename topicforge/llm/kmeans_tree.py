@@ -21,8 +21,8 @@
 Queries with equal vectors are answered once and share the answer.
 
 Defined results: rows that take no part (null id or vector, zero, null or
-non-finite component, not of the most frequent dimension) neither ask nor
-answer; repeated rows count once; a row is never its own neighbour but equal
+non-finite component) neither ask nor answer; a query's candidates are the
+vectors of its dimension, each dimension having its own tree; repeated rows count once; a row is never its own neighbour but equal
 vectors of other ids are, at distance 0; ties go to the smaller id; with fewer
 candidates than ``k`` all are returned.
 """
@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicforge.llm.common import scratch_table
-from topicforge.llm.vectors import matrix, sampled, usable
+from topicforge.llm.vectors import dimensions, matrix, sampled, usable
 
 BRANCHES = 16
 LEAF = 256
@@ -141,6 +141,10 @@ def nearest(queries: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
     for q in queries:
         apart = x - q
         d = np.sqrt((apart * apart).sum(1))
+        large = np.abs(apart).max(1, initial=0)
+        odd = (large > 1e150) | ((large < 1e-150) & (large > 0))  # squares overflow or vanish
+        if odd.any():
+            d[odd] = large[odd] * np.sqrt(((apart[odd] / large[odd, None]) ** 2).sum(1))
         some = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
         some = some[np.lexsort((ids[some], d[some]))][:k]
         yield some, d[some]
@@ -152,7 +156,7 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 
 def _calibrate(tree: Tree, asked: DataFrame, leafed: DataFrame, held: np.ndarray, k: int, recall: float,
-               calibrated: int, n: int) -> int:
+               calibrated: int, n: int, unit: float) -> int:
     """Leaf visits that find the wanted share of true neighbours."""
     spark, kind = asked.sparkSession, asked.schema["asks"].dataType.simpleString()
     chosen = sampled(asked, n, calibrated, "calibrate").orderBy("asks").toPandas()
@@ -178,40 +182,28 @@ def _calibrate(tree: Tree, asked: DataFrame, leafed: DataFrame, held: np.ndarray
         return 1
     depth = []
     for name, q in zip(names, vectors):
-        place = {leaf: i for i, leaf in enumerate(x for x in tree.best_bins(q) if held[x])}
+        place = {leaf: i for i, leaf in enumerate(x for x in tree.best_bins(q * unit) if held[x])}
         depth += [place[leaf] for leaf in truth.loc[truth["asks"] == name, "leaf"]]
     return int(np.quantile(depth, recall, method="higher")) + 1
 
 
-def search(frame: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
-           vector_col: str = "embedding", recall: float = 0.96, calibrated: int = 200) -> DataFrame:
-    """``(query_id, rank, <id>, score)``: each query's ``k`` nearest other rows
-    by Euclidean distance.  ``is_query`` is a condition on the id column."""
-    spark = frame.sparkSession
-    kind = frame.schema[id_col].dataType.simpleString()
-    rows = usable(frame, id_col, vector_col)
-    # no more than k + 1 ids of a vector leave a task
-    smallest = rows.withColumn("_n", F.dense_rank().over(Window.partitionBy("_v").orderBy("_id"))).where(F.col("_n") <= k + 1)
-    classes = scratch_table(smallest.groupBy("_v").agg(F.array_sort(F.collect_set("_id")).alias("ids"))
-                            .withColumn("rep", F.element_at("ids", 1)), "classes")
-    queries = scratch_table(rows.withColumnRenamed("_id", id_col).where(is_query).withColumnRenamed(id_col, "_id").distinct()
-                            .join(classes.select("_v", "rep"), "_v")
-                            .select(F.col("_id").alias("query_id"), F.col("rep").alias("asks"), "_v"), "queries")
-    asked = queries.select("asks", "_v").distinct()
-    n, asks = classes.count(), asked.count()
-    shape = f"query_id {kind}, rank int, `{id_col}` {kind}, score double"
-    if not n or not asks:
-        return spark.createDataFrame([], shape)
+def _found(classes: DataFrame, asked: DataFrame, kind: str, k: int, recall: float, calibrated: int) -> DataFrame:
+    """``(asks, rep, score)``: the nearest classes of each asked vector, all of
+    one dimension."""
+    spark, n, asks = classes.sparkSession, classes.count(), asked.count()
+    # the tree works on values near one, however large or small the vectors are
+    largest = classes.agg(F.max(F.array_max(F.transform("_v", F.abs)))).first()[0]
+    unit = 2.0 ** min(1000.0, -np.floor(np.log2(largest))) if not 1e-100 < largest < 1e100 else 1.0
     sample = matrix(sampled(classes, n, SAMPLE, "tree").orderBy("rep").select("_v").toArrow().column(0).combine_chunks())
     if not len(sample):
         sample = matrix(classes.orderBy("rep").limit(1).select("_v").toArrow().column(0).combine_chunks())
-    tree = Tree(sample, min(MOST_LEAVES, max(1, n // LEAF)))
+    tree = Tree(sample * unit, min(MOST_LEAVES, max(1, n // LEAF)))
     sent = spark.sparkContext.broadcast(tree)  # MOST_LEAVES centres and their parents
 
     def descend(batches):
         for b in batches:
             if b.num_rows:
-                leaf = sent.value.descend(matrix(b.column(b.schema.get_field_index("_v"))))
+                leaf = sent.value.descend(matrix(b.column(b.schema.get_field_index("_v"))) * unit)
                 yield b.append_column("leaf", pa.array(leaf, pa.int32()))
 
     leafed = scratch_table(classes.select("rep", "_v").mapInArrow(
@@ -219,7 +211,7 @@ def search(frame: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_i
     held = np.zeros(len(tree.leaf), np.int64)
     for r in leafed.groupBy("leaf").agg(F.count("*").alias("n")).collect():
         held[r["leaf"]] = r["n"]
-    wide = _calibrate(tree, asked, leafed, held, k, recall, calibrated, asks)
+    wide = _calibrate(tree, asked, leafed, held, k, recall, calibrated, asks, unit)
     parts = np.maximum(1, -(-held // PART))
     plan = spark.sparkContext.broadcast((tree, held, wide, parts))
 
@@ -228,7 +220,7 @@ def search(frame: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_i
         for b in batches:
             asks = b.column(0).to_pylist()
             for at, q in enumerate(matrix(b.column(1))):
-                leaves = visits(tree, q, held, wide, k + 1)
+                leaves = visits(tree, q * unit, held, wide, k + 1)
                 both = [(leaf, p) for leaf in leaves for p in range(parts[leaf])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([asks[at]] * len(both), b.column(0).type), pa.array([q.tolist()] * len(both), pa.list_(pa.float64())),
@@ -249,8 +241,29 @@ def search(frame: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_i
                for i, s in zip(ids[some], d)]
         return pd.DataFrame(got, columns=["asks", "rep", "score"])
 
-    found = _top(parted.groupBy("leaf", "part").cogroup(visited.groupBy("leaf", "part"))
-                 .applyInPandas(match, f"asks {kind}, rep {kind}, score double"), k + 1)
+    return _top(parted.groupBy("leaf", "part").cogroup(visited.groupBy("leaf", "part"))
+                .applyInPandas(match, f"asks {kind}, rep {kind}, score double"), k + 1)
+
+
+def search(frame: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
+           vector_col: str = "embedding", recall: float = 0.96, calibrated: int = 200) -> DataFrame:
+    """``(query_id, rank, <id>, score)``: each query's ``k`` nearest other rows
+    by Euclidean distance.  ``is_query`` is a condition on the id column."""
+    spark = frame.sparkSession
+    kind = frame.schema[id_col].dataType.simpleString()
+    rows = usable(frame, id_col, vector_col)
+    # no more than k + 1 ids of a vector leave a task
+    smallest = rows.withColumn("_n", F.dense_rank().over(Window.partitionBy("_v").orderBy("_id"))).where(F.col("_n") <= k + 1)
+    classes = scratch_table(smallest.groupBy("_v").agg(F.array_sort(F.collect_set("_id")).alias("ids"))
+                            .withColumn("rep", F.element_at("ids", 1)), "classes")
+    queries = scratch_table(rows.withColumnRenamed("_id", id_col).where(is_query).withColumnRenamed(id_col, "_id").distinct()
+                            .join(classes.select("_v", "rep"), "_v")
+                            .select(F.col("_id").alias("query_id"), F.col("rep").alias("asks"), "_v"), "queries")
+    shape = f"asks {kind}, rep {kind}, score double"
+    found = spark.createDataFrame([], shape)
+    for d in dimensions(queries):
+        of = F.size("_v") == d
+        found = found.union(_found(classes.where(of), queries.where(of).select("asks", "_v").distinct(), kind, k, recall, calibrated))
     neighbours = found.join(classes.select("rep", "ids"), "rep").select("asks", "score", F.explode("ids").alias("_id"))
     order = Window.partitionBy("query_id").orderBy("score", "_id")
     return (queries.select("query_id", "asks").join(neighbours, "asks").where(F.col("query_id") != F.col("_id"))

@@ -15,11 +15,22 @@ def takes_part(vector: Column) -> Column:
 
 
 def usable(frame: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``(_id, _v)``: rows that take part, of the most frequent dimension."""
-    rows = frame.select(F.col(id_col).alias("_id"), F.col(vector_col).cast("array<double>").alias("_v")).where(
+    """``(_id, _v)``: rows that take part, whatever their dimension."""
+    return frame.select(F.col(id_col).alias("_id"), F.col(vector_col).cast("array<double>").alias("_v")).where(
         F.col("_id").isNotNull() & takes_part(F.col("_v")))
-    first = rows.groupBy(F.size("_v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("_v") == (first["d"] if first else 0))
+
+
+def dimensions(rows: DataFrame) -> list[int]:
+    """The dimensions of ``_v``, of which a table has few; vectors of different
+    dimensions have nothing to do with each other."""
+    return sorted(r[0] for r in rows.select(F.size("_v")).distinct().collect())
+
+
+def scaled(vector: Column) -> Column:
+    """The vector times the power of two that brings its largest component to
+    about one: exact, and its norm neither overflows nor vanishes."""
+    largest = F.array_max(F.transform(vector, F.abs))
+    return F.transform(vector, lambda x: x / F.pow(F.lit(2.0), F.floor(F.log2(largest))))
 
 
 def matrix(column: pa.Array) -> np.ndarray:
