@@ -139,3 +139,10 @@ def test_toxicity_edges(spark):
     none = toxicity.train(frame, table.limit(0), toxicity.learnable())
     assert {x.score for x in toxicity.score(frame, none).collect()} == {0.0}
     assert toxicity.score(frame.limit(0), model).count() == 0
+
+
+def test_language_columns_may_clash(spark):
+    rows = [(i, t, l, 1, 2, 3) for i, (t, l) in enumerate([("the cat sat on the mat", "en"), ("der hund liegt auf dem boden", "de")] * 20)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, _lang int, _rate int, _first int")
+    model = langid.train(frame, langid.learnable())
+    assert langid.keep_accepted(frame, model).columns == frame.columns

@@ -200,6 +200,8 @@ def train(docs: DataFrame, learnable: Column, text_col: str = "text", lang_col:
     each = min(per_language, max(1, MOST_ROWS // len(counts)))
     rates = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, each / r["n"]), r["first"]) for r in counts],
                                               "_lang string, _rate double, _first double")
+    # only the columns used: others may have any names
+    labelled = labelled.select(*dict.fromkeys([id_col, text_col, lang_col]))
     sample = (labelled.join(F.broadcast(rates), F.col(lang_col) == F.col("_lang"))
               .where((place("sample") < F.col("_rate")) | (place("sample") == F.col("_first")))
               .select(F.col(lang_col).alias("lang"), (place("back") < 0.25).alias("back"), F.col(text_col).alias("text"))
