@@ -13,3 +13,11 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="session")
+def small_tables():
+    path = "/root/testdata/sf0.001"
+    if not os.path.isdir(path):
+        pytest.skip("driver tables not present")
+    return path

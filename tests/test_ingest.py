@@ -126,3 +126,25 @@ def test_rejects_are_counted(spark):
     bad = spark.createDataFrame([(1, "https://www.news.vn/a", '<h3 class="title"><a href="http://[x/">x</a></h3>')],
                                 "page_id long, url string, html string")
     assert [tuple(r) for r in ig.link_rejects(ig.route(bad, SITES), SITES).collect()] == [("parse_error", 1)]
+
+
+def test_cap_matches_a_walk_page_after_page(spark):
+    import random
+    r = random.Random(8)
+    rows, want = [], set()
+    for key, cat, limit in (("s", "a", 3), ("s", "b", 3), ("t", "a", 3)):
+        taken = set()
+        for page in r.sample(range(1000), 40):
+            rows += [(page, key, cat, f"l{r.randrange(60)}", r.randrange(2), pos) for pos in range(r.randrange(9))]
+        for page in sorted({x[0] for x in rows if x[1:3] == (key, cat)}):
+            rank = 0
+            for _, _, _, link, _, _ in sorted((x for x in rows if x[:3] == (page, key, cat)), key=lambda x: x[4:]):
+                if rank < limit and link not in taken:
+                    rank += 1
+                    taken.add(link)
+                    want.add((page, key, cat, link, rank))
+    frame = spark.createDataFrame(rows, "page_id long, site_key string, category string, link string, selector_ix int, pos int")
+    got = ig.cap_links(frame, 3)
+    assert {(x.page_id, x.site_key, x.category, x.link, x.rank) for x in got.collect()} == want
+    assert ig.cap_links(frame.limit(0), 3).count() == 0
+    assert "PythonUDF" not in got._jdf.queryExecution().toString()

@@ -69,3 +69,10 @@ def test_nearest_centroid_is_one_projection(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0])], "id long, v array<double>")
     plan = _plan(vx.assign_nearest(df, "v", [[0.0, 0.0], [2.0, 0.0]]))
     assert "Join" not in plan and "Exchange" not in plan and "Python" not in plan
+
+
+def test_topic_terms_clean_once_and_join_no_documents(spark, small_tables):
+    from topicforge.plans import catalog
+    plan = _plan(catalog.registry()["topic_terms"](spark, small_tables))
+    assert "https?://" not in plan               # the cleaning lies behind the written counts
+    assert not re.search(r"(Join|hashpartitioning)[^\n]*doc_id", plan)

@@ -12,6 +12,18 @@ from topicforge.session import checkpoint_dir
 BROADCAST_ROW_LIMIT = 200_000
 
 
+#: Rows of which a task holds Python objects at a time.
+SLICE_ROWS = 128
+
+
+def slices(batches, rows: int = SLICE_ROWS):
+    """Arrow batches cut to few rows, so that a task holds Python objects of
+    only those, however long their texts are."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
     """Broadcast ``df`` only when its row count has a proven upper bound
     (e.g. a vocabulary capped at ``max_features`` or ``k`` centroids) below

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from topicforge.functions import html as hx
 from topicforge.functions import urls as ux
 from topicforge.functions.text import MISSING_TITLE
+from topicforge.session import checkpoint_dir
 from topicforge.sources.sites import NEWS_SITES
 
 LINK_SCHEMA = ("page_id long, site_key string, category string, selector_ix int, pos int, "
@@ -135,30 +136,26 @@ def cap_links(links: DataFrame, limit: int = 50) -> DataFrame:
     a run stores each page's articles before it turns to the next.  The cap is
     the reference's per-run crawl budget, applied after the exclusion.
 
-    Whether a page takes a link depends on the pages before it, so each
-    category's links are streamed in order through one task, which remembers
-    the links taken (at most ``limit`` a page)."""
-    def part(batches):
-        category, page, taken, rank = None, None, set(), 0
-        for pdf in batches:
-            keep, ranks = [], []
-            for at, (key, cat, pid, link) in enumerate(zip(pdf["site_key"], pdf["category"],
-                                                           pdf["page_id"], pdf["link"])):
-                if (key, cat) != category:
-                    category, page, taken = (key, cat), None, set()
-                if pid != page:
-                    page, rank = pid, 0
-                if rank < limit and link not in taken:
-                    rank += 1
-                    taken.add(link)
-                    keep.append(at)
-                    ranks.append(rank)
-            yield pdf.iloc[keep].assign(rank=ranks)
-
-    schema = ", ".join(f"`{n}` {t}" for n, t in links.dtypes) + ", rank int"
-    return (links.repartition("site_key", "category")
-            .sortWithinPartitions("site_key", "category", "page_id", "selector_ix", "pos")
-            .mapInPandas(part, schema))
+    Whether a page takes a link depends on the pages before it, yet no
+    category is worked off in one task: in rounds, each link is offered to its
+    earliest page that hasn't refused it, each page keeps its first ``limit``
+    offers, and the refused ones move on.  A refusal is final, since a page's
+    offers only get better; when none is left, every page holds the first
+    ``limit`` links that all earlier pages refused.  A round is a partial
+    minimum by link and a window over the offers of one page."""
+    checkpoint_dir(links.sparkSession)
+    link, page = ["site_key", "category", "link"], ["site_key", "category", "page_id"]
+    once = Window.partitionBy(*page, "link").orderBy("selector_ix", "pos")
+    left = links.withColumn("_r", F.row_number().over(once)).where("_r = 1").drop("_r").checkpoint()
+    order = Window.partitionBy(*page).orderBy("selector_ix", "pos", "link")
+    while True:
+        first = left.groupBy(*link).agg(F.min("page_id").alias("page_id"))
+        offers = left.join(first, [*link, "page_id"]).select(*left.columns).withColumn(
+            "rank", F.row_number().over(order)).checkpoint()
+        refused = offers.where(F.col("rank") > limit).select(*link, "page_id")
+        if refused.isEmpty():
+            return offers
+        left = left.join(refused, [*link, "page_id"], "left_anti").select(*left.columns).checkpoint()
 
 
 def extract_articles(article_pages: DataFrame, sites=NEWS_SITES,

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicforge.operators.common import slices
+
 
 @dataclass(frozen=True)
 class PhraseParams:
@@ -72,7 +74,7 @@ def _apply_in_rows(tokens: DataFrame, phrases: set[tuple[str, str]], joiner: str
         return out
 
     def part(batches):
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([joined(t) for t in batch.column(1).to_pylist()], pa.list_(pa.string()))],
                 ["doc_id", "tokens"])

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicforge.functions import text as tx
-from topicforge.operators.common import BROADCAST_ROW_LIMIT, dense_index, keep_where
+from topicforge.operators.common import BROADCAST_ROW_LIMIT, dense_index, keep_where, slices
 from topicforge.session import checkpoint_dir
 
 
@@ -43,23 +43,26 @@ def document_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def count_terms(tokens: DataFrame) -> DataFrame:
     """F2 inside each document: ``(doc_id, terms, tfs)`` with its distinct
-    terms in first-occurrence order and their counts.  A document is one row,
-    so nothing is shuffled."""
+    terms in first-occurrence order and their counts, and whatever other
+    columns ``tokens`` has.  A document is one row, so nothing is shuffled."""
+    kept = [f for f in tokens.schema.fields if f.name != "tokens"]
+    names = [f.name for f in kept] + ["terms", "tfs"]
+
     def part(batches):
-        for batch in batches:
-            counts = [Counter(t) for t in batch.column(1).to_pylist()]
+        for batch in slices(batches):
+            counts = [Counter(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([list(c) for c in counts], pa.list_(pa.string())),
-                 pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))], ["doc_id", "terms", "tfs"])
+                [*batch.columns[1:], pa.array([list(c) for c in counts], pa.list_(pa.string())),
+                 pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))], names)
 
-    kind = tokens.schema["doc_id"].dataType.simpleString()
-    return tokens.select("doc_id", "tokens").mapInArrow(part, f"doc_id {kind}, terms array<string>, tfs array<bigint>")
+    shape = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "terms array<string>", "tfs array<bigint>"])
+    return tokens.select("tokens", *[F.col(f"`{f.name}`") for f in kept]).mapInArrow(part, shape)
 
 
-def term_rows(counted: DataFrame) -> DataFrame:
-    """``(doc_id, term, tf)`` rows of counted documents."""
-    return (counted.select("doc_id", F.explode(F.arrays_zip("terms", "tfs")).alias("_t"))
-            .select("doc_id", F.col("_t.terms").alias("term"), F.col("_t.tfs").alias("tf")))
+def term_rows(counted: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, term, tf)`` rows of counted documents, with ``carry``."""
+    return (counted.select("doc_id", *carry, F.explode(F.arrays_zip("terms", "tfs")).alias("_t"))
+            .select("doc_id", *carry, F.col("_t.terms").alias("term"), F.col("_t.tfs").alias("tf")))
 
 
 def term_counts(tokens: DataFrame) -> DataFrame:
@@ -98,29 +101,30 @@ def fit_vocabulary(counts: DataFrame, n_docs: int, p: VocabParams = VocabParams(
         (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
 
 
-def weigh(counted: DataFrame, vocab: DataFrame, packed: bool = False) -> DataFrame:
+def weigh(counted: DataFrame, vocab: DataFrame, packed: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """F6-F7 (and F8 for unseen documents): unit-L2 TF-IDF rows
     ``(doc_id, idx, term, weight)`` for the vocabulary terms of each document,
     or with ``packed`` one row ``(doc_id, idxs, vals)`` for each document.
+    Columns named in ``carry`` come along from ``counted``.
 
     A vocabulary within the broadcast limit is sent to the tasks, which weigh
     and scale each document where it is; a larger one (no ``max_features``) is
     joined by term and the norms summed by document."""
     known = vocab.select("term", "idx", "idf")
     rows = known.limit(BROADCAST_ROW_LIMIT + 1).collect()
-    kind = counted.schema["doc_id"].dataType.simpleString()
+    own = ["doc_id", *carry]
     if len(rows) > BROADCAST_ROW_LIMIT:
-        raw = term_rows(counted).join(known, "term").withColumn("w", F.col("tf") * F.col("idf"))
+        raw = term_rows(counted, carry).join(known, "term").withColumn("w", F.col("tf") * F.col("idf"))
         norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
-        long = raw.select("doc_id", "idx", "term", (F.col("w") / norm).alias("weight"))
+        long = raw.select(*own, "idx", "term", (F.col("w") / norm).alias("weight"))
         return _pack(counted, long) if packed else long
     sent = counted.sparkSession.sparkContext.broadcast({r["term"]: (r["idx"], r["idf"]) for r in rows})
 
     def part(batches):
         index = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             idxs, names, weights = [], [], []
-            for terms, tfs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for terms, tfs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 hits = [(index[t], t, n) for t, n in zip(terms, tfs) if t in index]
                 w = [n * idf for (_, idf), _, n in hits]
                 norm = math.sqrt(math.fsum(x * x for x in w))
@@ -128,15 +132,16 @@ def weigh(counted: DataFrame, vocab: DataFrame, packed: bool = False) -> DataFra
                 names.append([t for _, t, _ in hits])
                 weights.append([x / norm for x in w])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(idxs, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string())),
-                 pa.array(weights, pa.list_(pa.float64()))], ["doc_id", "idx", "term", "weight"])
+                [*batch.columns[2:], pa.array(idxs, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string())),
+                 pa.array(weights, pa.list_(pa.float64()))], [*own, "idx", "term", "weight"])
 
-    rows = counted.select("doc_id", "terms", "tfs").mapInArrow(
-        part, f"doc_id {kind}, idx array<int>, term array<string>, weight array<double>")
+    shape = ", ".join([*(f"`{c}` {counted.schema[c].dataType.simpleString()}" for c in own),
+                       "idx array<int>", "term array<string>", "weight array<double>"])
+    rows = counted.select("terms", "tfs", *own).mapInArrow(part, shape)
     if packed:
         return rows.select("doc_id", F.col("idx").alias("idxs"), F.col("weight").alias("vals"))
-    return (rows.select("doc_id", F.explode(F.arrays_zip("idx", "term", "weight")).alias("_t"))
-            .select("doc_id", "_t.idx", "_t.term", "_t.weight"))
+    return (rows.select(*own, F.explode(F.arrays_zip("idx", "term", "weight")).alias("_t"))
+            .select(*own, "_t.idx", "_t.term", "_t.weight"))
 
 
 def _pack(counted: DataFrame, long: DataFrame) -> DataFrame:

@@ -30,6 +30,17 @@ def group_centroids(weights: DataFrame, membership: DataFrame,
             .select(group_col, "idx", "term", (F.col("_s") / F.col("_n")).alias("weight")))
 
 
+def carried_centroids(weights: DataFrame, docs: DataFrame, group_col: str) -> DataFrame:
+    """The same from ``weights`` rows that carry their document's group, with
+    the group of every document in ``docs``: no join on the document, one
+    partial sum per group and term."""
+    sizes = docs.groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"))
+    sums = weights.groupBy(group_col, "idx", "term").agg(F.sum("weight").alias("_s"))
+    same = F.col(group_col).eqNullSafe(F.col("_g"))
+    return (sums.join(sizes.withColumnRenamed(group_col, "_g"), same)
+            .select(group_col, "idx", "term", (F.col("_s") / F.col("_n")).alias("weight")))
+
+
 def top_terms(centroids: DataFrame, n: int = 15, group_col: str = "cluster") -> DataFrame:
     """A2/A3: the ``n`` heaviest terms per group with their rank (1-based)
     and the weight relative to the group's largest weight.

@@ -10,7 +10,6 @@ cut at the same row.
 from __future__ import annotations
 
 import uuid
-import warnings
 from collections.abc import Callable
 
 import numpy as np
@@ -84,9 +83,10 @@ def corpus_tfidf(spark: SparkSession, sf_dir: str):
 
 
 def source_topic_terms(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
-    toks, _, weights = corpus_tfidf(spark, sf_dir)
-    members = toks.select("doc_id", F.col("source").alias("cluster"))
-    cents = tp.group_centroids(weights, members, "cluster")
+    toks = corpus_tokens(spark, sf_dir)
+    model, counted = tf.fit_counted(toks.withColumnRenamed("source", "cluster"))
+    weights = tf.weigh(counted, model.vocabulary, carry=("cluster",))
+    cents = tp.carried_centroids(weights, counted, "cluster")
     cents = cents.withColumn("weight", F.round("weight", 10))
     top = tp.top_terms(cents, n, "cluster")
     return top.select(F.col("cluster").alias("source"), "rank", "term",
@@ -336,9 +336,13 @@ N_COMPONENTS = 300     # LSA dimensions
 _FITTED: dict = {}     # fitted driver-side models per corpus (bounded: k x dims)
 
 
-def _key(spark: SparkSession, *parts):
-    """Memo key: one Spark application and one corpus."""
-    return (spark.sparkContext.applicationId,) + parts
+def _key(spark: SparkSession, name: str, sf_dir: str, *parts):
+    """Memo key: one Spark application and one state of the documents' files
+    (path, size and time of change), so that models don't outlive their data."""
+    files = F.struct("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    state = table(spark, sf_dir, "documents").select(F.xxhash64(files).alias("f")).distinct().agg(
+        F.count("*"), F.sum(F.col("f").cast("decimal(38,0)"))).first()
+    return (spark.sparkContext.applicationId, name, sf_dir, *state, *parts)
 
 
 def lsa_stage(spark: SparkSession, sf_dir: str):
@@ -371,8 +375,8 @@ def kmeans_stage(spark: SparkSession, sf_dir: str):
     key = _key(spark, "kmeans", sf_dir, K_TOPICS)
     if key not in _FITTED:
         if model.n_docs < K_TOPICS:
-            warnings.warn(f"K={K_TOPICS} reduced to the number of documents ({model.n_docs})", stacklevel=2)
-        _FITTED[key] = km.fit_kmeans(feats, min(K_TOPICS, model.n_docs), "features", seed=42)
+            raise ValueError(f"K={K_TOPICS} is above the number of documents ({model.n_docs})")
+        _FITTED[key] = km.fit_kmeans(feats, K_TOPICS, "features", seed=42)
     return toks, model, lm, feats, _FITTED[key]
 
 
@@ -548,19 +552,19 @@ def q_capped_links(spark, sf_dir):
     return ig.cap_links(new_links(spark, sf_dir), CAP).select("page_id", "link", "rank")
 
 
-def some_blank(pages: DataFrame) -> DataFrame:
-    """Every fifth page without content."""
-    return pages.withColumn("html", F.when(F.col("page_id") % 5 == 0, "").otherwise(F.col("html")))
+def with_blank(pages: DataFrame) -> DataFrame:
+    """The pages, and beside each a copy without content under an id of its own."""
+    return pages.union(pages.withColumn("page_id", -1 - F.col("page_id")).withColumn("html", F.lit("")))
 
 
 def _articles(spark, sf_dir):
-    return ig.extract_articles(some_blank(routed_pages(spark, sf_dir)), sites.EXAMPLE_SITES)
+    return ig.extract_articles(with_blank(routed_pages(spark, sf_dir)), sites.EXAMPLE_SITES)
 
 
 @query("page_rejects")
 def q_page_rejects(spark, sf_dir):
     """Pages that yield no article, by reason."""
-    return ig.article_rejects(some_blank(routed_pages(spark, sf_dir)), sites.EXAMPLE_SITES)
+    return ig.article_rejects(with_blank(routed_pages(spark, sf_dir)), sites.EXAMPLE_SITES)
 
 
 @query("stored_articles")
@@ -572,7 +576,7 @@ def q_stored_articles(spark, sf_dir):
     routed = routed_pages(spark, sf_dir)
     links = ig.extract_links(routed, sites.EXAMPLE_SITES, first_only=True)
     first = links.groupBy("link").agg(F.min("page_id").alias("page_id"))
-    fetched = (some_blank(pages).select("page_id", "html").join(first, "page_id")
+    fetched = (pages.select("page_id", "html").join(first, "page_id")
                .select("page_id", F.col("link").alias("url"), "html"))
     root = scratch(spark, "articles")
     for _ in range(2):
@@ -616,17 +620,17 @@ def q_null_profile(spark, sf_dir):
 
 @query("blank_filter_stats")
 def q_blank_filter_stats(spark, sf_dir):
-    """Documents before and after dropping blank processed text, where
-    a document without a label row has none."""
-    docs = labelled_text(spark, sf_dir).select(tx.processed_content(F.col("text")).alias("processed_content"))
+    """Documents, and blank ones beside them, before and after dropping
+    blank processed text."""
+    docs = text_and_blanks(spark, sf_dir).select(tx.processed_content(F.col("text")).alias("processed_content"))
     return pf.filter_stats(docs, tx.not_blank(F.col("processed_content")))
 
 
-def labelled_text(spark, sf_dir) -> DataFrame:
-    """Documents whose text is null unless they have a label row."""
+def text_and_blanks(spark, sf_dir) -> DataFrame:
+    """Every document, and for each label row a row without text under an id
+    of its own."""
     docs = table(spark, sf_dir, "documents", spread_key="doc_id").select("doc_id", "text")
-    known = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("known")).distinct()
-    return docs.join(known, "doc_id", "left").select("doc_id", F.when(F.col("known"), F.col("text")).alias("text"))
+    return docs.union(table(spark, sf_dir, "labels").select(-1 - F.col("doc_id"), F.lit(None).cast("string")))
 
 
 @query("processed_table")
@@ -634,7 +638,7 @@ def q_processed_table(spark, sf_dir):
     """The processed table written with its blank rows, re-read with
     the blank filter."""
     path = scratch(spark, "processed")
-    write_table(labelled_text(spark, sf_dir).select(
+    write_table(text_and_blanks(spark, sf_dir).select(
         "doc_id", tx.processed_content(F.col("text")).alias("processed_content")), path)
     return read_processed(spark, path)
 

@@ -358,27 +358,26 @@ def page_oracles() -> dict[str, str]:
     q["capped_links"] = f"""WITH RECURSIVE {r},{_taken('cap1', 'fresh', 3)}
 SELECT page_id, unnest(picks) AS link, CAST(generate_subscripts(picks, 1) AS INTEGER) AS rank FROM cap1
 """
-    q["page_rejects"] = f"WITH {r}\nSELECT 'no_content' AS reason, count(*) AS n_pages FROM routed WHERE page_id % 5 = 0"
+    q["page_rejects"] = f"WITH {r}\nSELECT 'no_content' AS reason, count(*) AS n_pages FROM routed"
     q["site_pages"] = f"""WITH {r}, d(site_key, ord, name) AS (VALUES ('blog', 0, 'Blog pages'),
   ('example.com', 1, 'Example COM'), ('example.net', 2, 'Example NET'), ('example.org', 3, 'Example ORG'))
 SELECT site_key, ord, name, (SELECT count(*) FROM routed s WHERE s.site_key = d.site_key) AS n_pages FROM d
 """
-    # an article has content unless the first page that links it is a fifth one
     q["stored_articles"] = f"""WITH RECURSIVE {r},
 source AS (SELECT link, min(page_id) AS src FROM firsts GROUP BY link),
 links1 AS (SELECT page_id, site_key, category AS language, selector_ix, pos, link FROM firsts),{_taken('run1', 'links1', 3)},
 store1 AS (SELECT DISTINCT site_key, language, link FROM (SELECT site_key, language, unnest(picks) AS link FROM run1)
-           JOIN source USING (link) WHERE src % 5 <> 0),
+           JOIN source USING (link)),
 links2 AS (SELECT * FROM links1 WHERE (site_key, language, link) NOT IN (SELECT site_key, language, link FROM store1)),
 {_taken('run2', 'links2', 3)},
 store2 AS (SELECT DISTINCT site_key, language, link FROM (SELECT site_key, language, unnest(picks) AS link FROM run2)
-           JOIN source USING (link) WHERE src % 5 <> 0)
+           JOIN source USING (link))
 SELECT link AS url, site_key, language AS category FROM (SELECT * FROM store1 UNION ALL SELECT * FROM store2)
 """
     unesc = _unescape("regexp_extract(html, '<article><h1>(.*?)</h1>', 1)")
     ws = WS
     q["page_titles"] = (f"WITH {r}\nSELECT page_id, regexp_replace({unesc}, {_q('^[' + ws + ']+|[' + ws + ']+$')}, '', 'g') "
-                        "AS title FROM routed WHERE page_id % 5 <> 0")
+                        "AS title FROM routed")
     # Element text = its text nodes, each stripped, glued together.
     # On these pages that is: drop tags with the whitespace around them, trim.
     def text_of(e):
@@ -396,7 +395,7 @@ arts AS (
   SELECT page_id, url, site_key, category, {title} AS title,
          CASE WHEN site_key = 'example.com' THEN '' ELSE {desc} END AS description,
          regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS body
-  FROM routed WHERE page_id % 5 <> 0
+  FROM routed
 ),
 pieces AS (
   SELECT page_id, i, parts[i] AS piece, array_to_string(parts[i:], '<p>') AS rest
@@ -450,10 +449,10 @@ proc AS (
     SELECT doc_id, array_to_string({tokens_sql('text')}, ' ') AS processed_content FROM documents
   ) WHERE length(regexp_replace(processed_content, {_q(f'[{WS}]+')}, '', 'g')) > 0
 )"""
-    known = "WHERE doc_id IN (SELECT doc_id FROM labels)"
-    q["blank_filter_stats"] = (f"WITH {proc}\nSELECT (SELECT count(*) FROM documents) AS n_before, "
-                               f"count(*) AS n_after, (SELECT count(*) FROM documents) - count(*) AS n_removed FROM proc {known}")
-    q["processed_table"] = f"WITH {proc}\nSELECT doc_id, processed_content FROM proc {known}"
+    rows = "(SELECT count(*) FROM documents) + (SELECT count(*) FROM labels)"
+    q["blank_filter_stats"] = (f"WITH {proc}\nSELECT {rows} AS n_before, count(*) AS n_after, "
+                               f"{rows} - count(*) AS n_removed FROM proc")
+    q["processed_table"] = f"WITH {proc}\nSELECT doc_id, processed_content FROM proc"
     q["article_csv"] = "SELECT 'https://example.org/' || doc_id AS url, source AS title, text AS content FROM documents"
     q["stopword_file"] = f"""WITH {_corpus(extra='')}
 SELECT term FROM (SELECT term, CAST(sum(tf) AS BIGINT) AS tf FROM counts GROUP BY term) ORDER BY tf DESC, term LIMIT 20
