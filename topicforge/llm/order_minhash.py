@@ -53,7 +53,7 @@ BITS = 64
 BANDS = [(2, 4, 20, 64), (3, 16, 100, 64), (5, 80, 1 << 62, 64), (5, 80, 1 << 62, 32)]
 COUNTS = 256
 #: Classes and words of a part; a block is two parts at most.
-PART, PART_WORDS = 512, 1 << 19
+PART, PART_WORDS = 1024, 1 << 19
 #: K-mers that are hashed for all sketches at a time.
 STRETCH = 1 << 15
 
@@ -286,8 +286,7 @@ def _complete(threshold: float):
             u, component, size, mask, side = (column(n).to_numpy() for n in ("u", "component", "size", "mask", "side"))
             known: dict = {}
             words = [[known.setdefault(w, len(known)) for w in words_of(t)] for t in column("text").to_pylist()]
-            apart = column("lo")[0].as_py() != column("hi")[0].as_py()
-            links = joining_links(u, component, size, mask, side, words, apart, threshold)
+            links = joining_links(u, component, size, mask, side, words, column("apart")[0].as_py(), threshold)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], ["u", "v"])
     return run
@@ -322,10 +321,13 @@ def _blocks(stars: DataFrame, component: DataFrame) -> DataFrame:
         parts(F.col("top.n"), F.col("top.words")).alias("q"))
     rows = open_.join(of_star, ["v", "band"]).withColumn("in_top", F.col("component") == F.col("top"))
     part = F.pmod(F.xxhash64("u", F.lit("part")), F.when(F.col("in_top"), F.col("q")).otherwise(F.col("p"))).cast("int")
-    rows = rows.withColumn("own", F.when(F.col("in_top"), F.col("p") + part).otherwise(part)).withColumn(
-        "other", F.explode(F.when(F.col("in_top"), F.sequence(F.lit(0), F.col("p") - 1))
-                           .otherwise(F.sequence(F.lit(0), F.col("p") + F.col("q") - 1))))
+    own = F.when(F.col("in_top"), F.col("p") + part).otherwise(part)
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(
+        F.when(F.col("in_top"), F.sequence(F.lit(0), F.col("p") - 1))
+        .otherwise(F.filter(F.sequence(F.lit(0), F.col("p") + F.col("q") - 1), lambda x: x != F.col("own")))))
+    # pairs inside a part are left to its block with the largest component's first part
     return rows.select("v", "band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+                       (F.greatest("own", "other") != F.col("p")).alias("apart"),
                        (F.col("own") > F.col("other")).cast("int").alias("side"), "u", "component", "size", "mask")
 
 
@@ -362,7 +364,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> D
     component = scratch_table(connected(links), "component")
     blocks = (_blocks(stars, component).join(texts, "u").repartition("v", "band", "lo", "hi")
               .sortWithinPartitions("v", "band", "lo", "hi", "size", "u")
-              .select("v", "band", "lo", "hi", "side", "u", "component", "size", "mask", "text"))
+              .select("v", "band", "lo", "hi", "apart", "side", "u", "component", "size", "mask", "text"))
     more = scratch_table(blocks.mapInArrow(_complete(threshold), "u bigint, v bigint"), "joining")
     component = connected(links.union(more)).withColumnRenamed("node", "u")
     by_digest = classes.select("digest", "u").join(component, "u", "left").select(
