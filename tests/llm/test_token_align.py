@@ -69,6 +69,8 @@ def texts():
     alphabet = "aaabcdeeéèßñ 中文字  \n\t'stlr0123.,!?-_<|>é😀▁"
     some = ["", None, " ", "the theatre's  they'll\r\n", "<|endoftext|>", "<s> a <unk> </s>", "a\x00b", "ｆｕｌｌ ﬁ", "x" * 3000,
             "word " * 20000, " lead", "trail  ", "a▁b"]
+    odd = "\x1c\x1f\x85\xa0\u180e\u200b\u2028\u3000\ufeff ٣Ⅷ²ªǅʰ\u0301\u0378Ꟁ𝒳ꙮ a1'"
+    some += ["".join(r.choices(odd, k=r.randrange(30))) for _ in range(150)] + ["don't we'll I'd'", "it's 12 34three  x\x85 y"]
     some += ["".join(r.choices(alphabet, k=r.randrange(60))) for _ in range(150)]
     return some + [" ".join(r.choices(["internationalisation", "tokenizers", "größe", "naïve", "2024-01-05", "été"], k=8)) for _ in range(40)]
 

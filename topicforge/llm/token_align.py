@@ -23,15 +23,18 @@ rows, and other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicforge.llm.common import scratch_table, slices
+from topicforge.llm.common import WordCache, scratch_table, slices
 
 #: Rows of pair counts that are broadcast (a pair and two numbers each).
 BROADCAST_PAIRS = 1 << 21
@@ -51,8 +54,22 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
+#: Fixed value: how a byte-level tokenizer cuts a text into words.
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters that every release of Unicode counts as the same kind.
+_SETTLED = re.compile("[\x00-\u024f\u0400-\u0481\u048a-\u0513\u2010-\u2027\u2030-\u205e\u3041-\u3096"
+                      "\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\U0001f300-\U0001f64f]*")
+_WORDS = regex.compile(CUT)
+#: Words that a task remembers.
+REMEMBERED = 300_000
+
+
 class Tokenizers:
-    """Both tokenizers with the bytes of each of their ids."""
+    """Both tokenizers with the bytes of each of their ids.
+
+    The first one's words are tokenised once and remembered, where its file
+    says that it cuts texts into byte-level words and the text has characters
+    that are cut alike everywhere; else it gets the whole text."""
 
     def __init__(self, byte_level_json: str, piece_model: bytes):
         import sentencepiece
@@ -60,12 +77,19 @@ class Tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.first = Tokenizer.from_str(byte_level_json)
         self.first.encode_special_tokens = True
+        self.model = self.first.model
         self.second = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
+        steps = json.loads(byte_level_json)
+        cut = steps["pre_tokenizer"] or {}
+        self.by_word = (steps["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
+                        and not cut["add_prefix_space"])
         letters = byte_letters()
+        self.letter_of = {b: c for c, b in letters.items()}
         entries = {i: entry for entry, i in self.first.get_vocab(with_added_tokens=False).items()}
         self.first_bytes = [bytes(letters[c] for c in entries[i]) if i in entries else b""
                             for i in range(max(entries) + 1)]
         self.second_bytes = [self._piece(i) for i in range(self.second.get_piece_size())]
+        self.ids_of = WordCache(self._word, REMEMBERED)
 
     def _piece(self, i: int) -> bytes:
         piece = self.second.id_to_piece(i)
@@ -73,29 +97,54 @@ class Tokenizers:
             return bytes([int(piece[3:-1], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
+    def _word(self, word: str) -> bytes:
+        """The word's ids, 32 bits each; empty if they don't spell it."""
+        data = word.encode("utf-8", "surrogatepass")
+        ids = [t.id for t in self.model.tokenize(data.decode("latin-1").translate(self.letter_of))]
+        return _packed(ids) if b"".join([self.first_bytes[i] for i in ids]) == data else b""
+
+    def _first_ids(self, text: str) -> bytes:
+        if self.by_word and _SETTLED.fullmatch(text):
+            words = list(map(self.ids_of.__getitem__, _WORDS.findall(text)))
+            return b"".join(words) if all(words) else b""
+        ids = self.first.encode(text, add_special_tokens=False).ids
+        table = self.first_bytes
+        spelt = b"".join([table[i] if i < len(table) else b"" for i in ids])
+        return _packed(ids) if spelt == text.encode("utf-8", "surrogatepass") else b""
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of both tokenizers; none where they don't spell the text."""
-        first = [e.ids for e in self.first.encode_batch_fast([_START + t for t in texts], add_special_tokens=False)]
-        second = self.second.encode(texts, num_threads=1)
-        spell = lambda table, ids: b"".join([table[i] if i < len(table) else b"" for i in ids])
+        table, none = self.second_bytes, np.zeros(0, np.int32)
         out = []
-        for text, a, b in zip(texts, first, second):
-            whole = (_START + text).encode("utf-8", "surrogatepass")
-            fits = spell(self.first_bytes, a) == whole and spell(self.second_bytes, b) == whole
-            out.append((a, b) if fits else ([], []))
+        for text, b in zip(texts, self.second.encode(texts, num_threads=1)):
+            whole = _START + text
+            a = self._first_ids(whole)
+            fits = a and b"".join([table[i] for i in b]) == whole.encode("utf-8", "surrogatepass")
+            out.append((np.frombuffer(a, np.int32), np.asarray(b, np.int32)) if fits else (none, none))
         return out
 
 
+def _packed(ids: list[int]) -> bytes:
+    return np.asarray(ids, np.int32).tobytes()
+
+
+def _last_byte_owner(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each offset: whether a token ends there, and which token holds the
+    byte before it."""
+    is_end = np.zeros(int(ends[-1]) + 1, bool)
+    is_end[ends] = True
+    return is_end, np.r_[0, np.cumsum(is_end[:-1], dtype=np.int32)]
+
+
 def group_labels(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Label of each token of both sides: the number, among the second side's
     tokens, of the last token of its connected piece.  ``ends`` are ascending
     byte offsets; both sides end at the same byte."""
     a, b = len(ends_a), len(ends_b)
-    after_a = np.searchsorted(ends_b, ends_a)          # the second's token over the last byte
-    after_b = np.searchsorted(ends_a, ends_b)          # the first's token over the last byte
-    further = ends_a[after_b] > ends_b if b else np.zeros(0, bool)
+    after_a = _last_byte_owner(ends_b)[1][ends_a]      # the second's token over the last byte
+    after_b = _last_byte_owner(ends_a)[1][ends_b]      # the first's token over the last byte
     # of equal ends the second side's token counts as the farther one
-    follow = np.concatenate([a + after_a, np.where(further, after_b, a + np.arange(b))])
+    follow = np.concatenate([a + after_a, np.where(ends_a[after_b] > ends_b, after_b, a + np.arange(b))])
     while True:
         jump = follow[follow]
         if np.array_equal(jump, follow):
@@ -130,36 +179,39 @@ class Aligner:
         out = [Aligned(0, 0, 0, 0, b"", np.zeros(0, np.int64), np.zeros(0, np.int32)) for _ in texts]
         full = [d for d, t in enumerate(texts) if t]
         coded = self.tokenizers.encode([texts[d] for d in full])
-        some = [(d, *c) for d, c in zip(full, coded) if c[0]]
+        some = [(d, *c) for d, c in zip(full, coded) if len(c[0])]
         if not some:
             return out
         docs = len(some)
-        a = np.concatenate([np.asarray(x, np.int64) for _, x, _ in some])
-        b = np.concatenate([np.asarray(x, np.int64) for _, _, x in some])
-        count_a = np.asarray([len(x) for _, x, _ in some])
-        count_b = np.asarray([len(x) for _, _, x in some])
+        a, b = (np.concatenate([s[side] for s in some]) for side in (1, 2))
+        count_a, count_b = (np.asarray([len(s[side]) for s in some]) for side in (1, 2))
         stop_a, stop_b = np.cumsum(count_a), np.cumsum(count_b)
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         label_a, label_b = group_labels(ends_a, ends_b)
         last_b = label_b == np.arange(len(b))
-        n_groups = np.diff(np.searchsorted(np.flatnonzero(last_b), stop_b), prepend=0)
+        group_b = np.cumsum(last_b) - last_b
+        group_a = group_b[label_a]
+        n_groups = np.diff(group_b[stop_b - 1] + 1, prepend=0)
 
         # both sides' ids in the order of the groups, each with its mark
-        last_a = np.r_[label_a[1:] != label_a[:-1], True]
-        place_a = np.arange(len(a)) + np.searchsorted(label_b, label_a)             # after b of earlier groups
-        place_b = np.arange(len(b)) + np.searchsorted(label_a, label_b, side="right")  # after a up to this group
+        last_a = np.r_[group_a[1:] != group_a[:-1], True]
+        place_a = np.arange(len(a)) + np.r_[0, np.flatnonzero(last_b) + 1][group_a]  # after b of earlier groups
+        place_b = np.arange(len(b)) + (np.flatnonzero(last_a) + 1)[group_b]          # after a up to this group
         row = np.empty(len(a) + len(b), np.int64)
         row[place_a] = a * 3 + 2 * last_a
         row[place_b] = b * 3 + last_b
         text = self.written[row].tolist()
 
         # every stretch between neighbouring ends lies in one token of each side
-        cut = np.union1d(ends_a, ends_b)
-        of_a, of_b = np.searchsorted(ends_a, cut), np.searchsorted(ends_b, cut)
-        doc = np.searchsorted(stop_a, of_a, side="right")
+        (is_a, owner_a), (is_b, owner_b) = _last_byte_owner(ends_a), _last_byte_owner(ends_b)
+        cut = np.flatnonzero(is_a | is_b)
+        of_a, of_b = owner_a[cut], owner_b[cut]
+        doc = np.repeat(np.arange(docs), count_a)[of_a]
         n_links = np.bincount(doc, minlength=docs)
-        code = a[of_a] * SECOND + b[of_b]
-        found, times = np.unique(doc.astype(np.int64) << 40 | code, return_counts=True)
+        code = a[of_a].astype(np.int64) * SECOND + b[of_b]
+        found = np.sort(doc << 40 | code)
+        new = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
+        found, times = found[new], np.diff(new, append=len(found))
         bounds = np.searchsorted(found >> 40, np.arange(docs + 1))
         found &= (1 << 40) - 1
         start = 0
