@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as E
 from topicforge.llm import toxicity
 
-corpus_pipeline = pytest.importorskip("corpus_pipeline") if not E._installed("corpus_pipeline") else __import__("corpus_pipeline")
+corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 
 def test_stages(spark, small, tmp_path):
