@@ -447,6 +447,24 @@ def q_labelled_docs(spark, sf_dir):
     return read_table(spark, path)
 
 
+@query("labelled_audit")
+def q_labelled_audit(spark, sf_dir):
+    """The stored labelled table held against the stored
+    vectors and the fitted centroids: documents, documents with a label, labels
+    that aren't the nearest centroid's, vectors that aren't of unit length (or
+    zero, without a vocabulary term)."""
+    _, _, _, feats, m = kmeans_stage(spark, sf_dir)
+    centers = [[float(x) for x in c] for c in m.clusterCenters()]
+    nearest = vx.assign_nearest(feats, "features", centers, "pos", "dist2")
+    square = F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x)
+    off = (F.abs(square - 1) > 1e-9) & (square != 0)
+    rows = q_labelled_docs(spark, sf_dir).join(nearest.select("doc_id", "pos", off.alias("off")), "doc_id", "left")
+    count = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0))
+    return rows.agg(F.count(F.lit(1)).alias("n_docs"), F.count("cluster").alias("n_labelled"),
+                    count(~F.col("cluster").eqNullSafe(F.col("pos"))).alias("n_misassigned"),
+                    count(F.coalesce("off", F.lit(True))).alias("n_off_unit"))
+
+
 @query("kmeans_sizes")
 def q_kmeans_sizes(spark, sf_dir):
     """Documents per K-Means cluster."""
