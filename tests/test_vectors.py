@@ -81,6 +81,62 @@ def test_dbscan_exact_min_samples_and_all_noise(spark):
     assert {r.cluster for r in got} == {-1}
 
 
+def _clustered(n, k, dims, seed):
+    rng = np.random.default_rng(seed)
+    centers = rng.uniform(-20, 20, size=(k, dims))
+    return centers[np.arange(n) % k] + rng.normal(scale=0.3, size=(n, dims))
+
+
+def test_dbscan_cells_skip_far_pairs(spark):
+    from topicforge.operators.cells import place
+    x = _clustered(1200, 12, 3, 5)
+    got = db.dbscan(_points(spark, x).drop("cluster"), 0.4, 5, block_rows=40)
+    got = dict((r.vec_id, r.cluster) for r in got.collect())
+    assert [got[i] for i in range(len(x))] == list(brute_dbscan(x, 0.4, 5))
+    pts = _points(spark, x).select(F.col("vec_id").alias("pid"), "vec")
+    half = len(x) * (len(x) - 1) // 2
+    cells = place(pts, 0.4, 40)
+    assert cells.compared_pairs() < half / 5
+    assert cells.pairs(cells.placed).count() == cells.shuffled_rows() < len(x) * 30 / 5
+    # nothing to skip: every pair meets exactly once
+    wide = place(pts, 1e3, 40)
+    assert wide.compared_pairs() == half
+    met = wide.pairs(wide.placed.select("pid", "cell", "visits")).groupBy("bi", "bj", "blk").count().collect()
+    sides = {}
+    for r in met:
+        sides.setdefault((r.bi, r.bj), []).append(r["count"])
+    assert half == sum(v[0] * (v[0] - 1) // 2 if bi == bj else v[0] * v[1] if len(v) == 2 else 0
+                       for (bi, bj), v in sides.items())
+
+
+def test_dbscan_cells_lose_no_close_pair(spark):
+    from topicforge.operators.cells import place
+    x = np.concatenate([_clustered(300, 6, 2, 7), np.random.default_rng(8).uniform(-20, 20, (200, 2))])
+    cells = place(_points(spark, x).select(F.col("vec_id").alias("pid"), "vec"), 1.5, 25)
+    met = set()
+    at = cells.pairs(cells.placed.select("pid", "cell", "visits")).toPandas()
+    for (bi, bj), rows in at.groupby(["bi", "bj"]):
+        left, right = rows[rows.blk == bi].pid, rows[rows.blk == bj].pid
+        new = {(min(a, b), max(a, b)) for a in left for b in right if a != b}
+        assert not met & new                     # a pair meets once
+        met |= new
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    close = {(int(i), int(j)) for i, j in zip(*np.nonzero(d <= 1.5)) if i < j}
+    assert close <= met and len(met) < len(x) * (len(x) - 1) // 4
+
+
+def test_dbscan_copies_and_unusable_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [1.0, 1.0]) for i in range(50)] + [(60, [1.1, 1.0]), (61, [9.0, 9.0]), (62, [9.0, 9.0]),
+            (70, None), (71, [nan, 1.0]), (72, [inf, 1.0]), (73, [None, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, vec array<double>")
+    got = {r.vec_id: (r.cluster, r.is_core) for r in db.dbscan(df, 0.2, 3, block_rows=8).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == (0, True) for i in [*range(50), 60])
+    assert all(got[i] == (-1, False) for i in (61, 62, 70, 71, 72, 73))
+    assert db.dbscan(df.limit(0), 0.2, 3).collect() == []
+
+
 @pytest.mark.parametrize("block_rows", [1000, 23])
 def test_silhouette_matches_brute_force(spark, block_rows):
     x = _blobs(1)
