@@ -56,6 +56,24 @@ def test_read_articles_empty_folder(spark, tmp_path):
         ar.read_articles(spark, str(tmp_path))
 
 
+def test_headers_of_any_length_and_order(spark, tmp_path):
+    wide = ",".join(f"column_{i:06d}" for i in range(9_000))          # a header of 120 KB
+    _write(tmp_path / "a.csv", f"content,title,url\nc1,T1,u1\n")
+    _write(tmp_path / "b.csv", f' url , title ,"content"\r\nu2,T2,"x\n\ny"\r\nu3\r\n', bom=False)
+    _write(tmp_path / "c.csv", f"{wide},url,title\n{',' * 9_001}\n")  # no content
+    _write(tmp_path / "d.csv", "")
+    _write(tmp_path / "e.csv", "url,title,content")                  # a header alone
+    (tmp_path / "more").mkdir()
+    _write(tmp_path / "more" / "f.csv", "url,title,content\nu9,T9,c9\n")   # not in the folder itself
+    found = {os.path.basename(r.path): r.cols for r in ar.article_headers(spark, str(tmp_path)).collect()}
+    assert found == {"a.csv": ["content", "title", "url"], "b.csv": ["url", "title", "content"],
+                     "e.csv": ["url", "title", "content"]}
+    rows = {(r.url, r.title, r.content) for r in ar.read_articles(spark, str(tmp_path), False).collect()}
+    assert rows == {("u1", "T1", "c1"), ("u2", "T2", "x\n\ny"), ("u3", None, None)}
+    _write(tmp_path / "c.csv", f"{wide},content,url,title\n{',' * 9_000}c4,u4,T4\n")
+    assert "c.csv" in {os.path.basename(r.path) for r in ar.article_headers(spark, str(tmp_path)).collect()}
+
+
 def test_stopwords(spark, tmp_path):
     p = tmp_path / "sw.txt"
     p.write_text("  và \nthì\n\n và\n", encoding="utf-8")

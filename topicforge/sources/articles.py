@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import csv
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topicforge.operators.common import bounded_broadcast
+from topicforge.session import checkpoint_dir
 from topicforge.sources.tables import path_exists
 
 REQUIRED = ("url", "title", "content")
@@ -24,9 +25,6 @@ RAW_SCHEMA = T.StructType([
     T.StructField("content", T.StringType(), True),
 ])
 
-#: A header line is at most this long.
-HEADER_BYTES = 65_536
-
 _CSV_OPTS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
              "encoding": "UTF-8", "mode": "PERMISSIVE"}
 
@@ -38,70 +36,55 @@ def _csv_reader(spark: SparkSession):
     return r
 
 
-def _list_csv(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of ``*.csv`` files under ``folder`` through the Hadoop file
-    system, so the same code lists local, HDFS or object-store folders."""
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(hconf)
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isFile() and name.endswith(".csv"):
-            out.append(st.getPath().toString())
-    return sorted(out)
-
-
-def valid_article_files(spark: SparkSession, folder: str) -> dict[str, tuple[str, ...]]:
-    """``{path: header}`` of the files whose header has url, title and
-    content.  One job reads the first line of every file; files that can't be
-    decoded or are empty are skipped, as the reference does."""
-    files = _list_csv(spark, folder)
-    if not files:
-        return {}
+def article_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """``(path, cols)`` of the ``*.csv`` files in ``folder`` whose header
+    has url, title and content.
+
+    The files are read as lines, split like any text, so neither their size
+    nor the header's is bounded; of a file's first block the earliest line is
+    kept, one row a file and task.  Empty files have no line and files of
+    another header don't pass: both are left out, as in the reference.
+    """
+    lines = (spark.read.option("pathGlobFilter", "*.csv").text(folder)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+             .where("at = 0").withColumn("at", F.monotonically_increasing_id()))
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
 
-    def headers(batches):
+    def named(batches):
         for pdf in batches:
-            rows = []
-            for path, head in zip(pdf["path"], pdf["head"]):
-                line = bytes(head).decode("utf-8-sig", errors="replace").splitlines()[:1]
-                cols = next(csv.reader(line), [])
-                rows.append((path, [c.strip() for c in cols]))
-            yield pd.DataFrame(rows, columns=["path", "cols"])
+            pdf["cols"] = [[c.strip() for c in next(csv.reader([line.removeprefix("\ufeff")]), [])]
+                           for line in pdf["line"]]
+            yield pdf[["path", "cols"]]
 
-    found = (spark.read.format("binaryFile").load(files)
-             .select("path", F.substring("content", 1, HEADER_BYTES).alias("head"))
-             .mapInPandas(headers, "path string, cols array<string>").collect())
-    return {r["path"]: tuple(r["cols"]) for r in sorted(found) if all(c in r["cols"] for c in REQUIRED)}
+    found = first.mapInPandas(named, "path string, cols array<string>")
+    return found.where(F.size(F.array_intersect("cols", F.array(*map(F.lit, REQUIRED)))) == len(REQUIRED))
 
 
 def read_articles(spark: SparkSession, folder: str, with_source: bool = True) -> DataFrame:
     """Bag union of every valid article CSV in ``folder`` as
     ``url, title, content`` (+ ``source_file``).  Fails when no file is valid.
 
-    Files are grouped by header and each group is one multi-path read with a
-    string schema in that header's column order (usually a single group), so
-    files with or without ``description`` line up; no per-file union chain.
+    One read of the folder, as wide as the widest header, whatever the number
+    of files and headers; each row takes its columns from the places that its
+    file's header gives them.  The headers stay a table: at most
+    ``BROADCAST_ROW_LIMIT`` of them are broadcast, more are joined by shuffle.
     """
-    files = valid_article_files(spark, folder)
+    missing = FileNotFoundError(f"no readable article CSV with {REQUIRED} in {folder!r}")
+    if not path_exists(spark, folder):
+        raise missing
+    checkpoint_dir(spark)
+    headers = article_headers(spark, folder).checkpoint()
+    files, width = headers.agg(F.count(F.lit(1)), F.max(F.size("cols"))).first()
     if not files:
-        raise FileNotFoundError(f"no readable article CSV with {REQUIRED} in {folder!r}")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for p, cols in files.items():
-        groups.setdefault(cols, []).append(p)
-    out = None
-    for cols, paths in sorted(groups.items()):
-        schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(cols))])
-        df = _csv_reader(spark).schema(schema).csv(paths)
-        sel = [F.col(f"_c{cols.index(c)}").alias(c) for c in REQUIRED]
-        if with_source:
-            sel.append(F.input_file_name().alias("source_file"))
-        df = df.select(*sel)
-        out = df if out is None else out.unionByName(df)
-    return out
+        raise missing
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(width)])
+    rows = (_csv_reader(spark).schema(schema).option("pathGlobFilter", "*.csv").csv(folder)
+            .select(F.array(*[f"_c{i}" for i in range(width)]).alias("cells"),
+                    F.col("_metadata.file_path").alias("path")))
+    places = headers.select("path", *[F.array_position("cols", c).cast("int").alias(f"_{c}") for c in REQUIRED])
+    out = rows.join(bounded_broadcast(places, files), "path").select(
+        *[F.element_at("cells", F.col(f"_{c}")).alias(c) for c in REQUIRED], F.col("path").alias("source_file"))
+    return out if with_source else out.drop("source_file")
 
 
 def source_counts(articles: DataFrame, source_col: str = "source_file") -> DataFrame:
