@@ -42,7 +42,7 @@ def _rows(spark, name):
 def test_every_query_is_checked():
     assert set(_ALL) - set(_SQL) == {"lsa_spectrum", "lsa_vectors", "kmeans_labels", "labelled_docs", "kmeans_sizes",
                                      "topic_terms_lsa", "k_sweep", "best_k", "k_sweep_lsa", "best_k_lsa",
-                                     "dbscan_lsa_labels", "dbscan_lsa_summary"}
+                                     "dbscan_lsa_labels", "dbscan_lsa_summary", "word_segments"}
 
 
 def test_lsa_queries(spark, kept_docs):
@@ -67,6 +67,13 @@ def test_kmeans_queries(spark, kept_docs):
     assert all(sorted(r["rank"] for r in terms if r.cluster == c) == list(range(1, 16)) for c in {r.cluster for r in terms})
 
 
+def test_word_segments(spark):
+    plain = {r.doc_id: r.processed_content for r in _rows(spark, "clean_text")}
+    cut = {r.doc_id: r.processed_content for r in _rows(spark, "word_segments")}
+    kept = lambda text: [t for t in text.split(" ") if len(t) >= 2]
+    assert {i: c.replace("_", " ").split(" ") for i, c in cut.items()} == {i: kept(t) for i, t in plain.items()}
+
+
 def test_sweeps(spark):
     for sweep, best in (("k_sweep", "best_k"), ("k_sweep_lsa", "best_k_lsa")):
         rows = sorted(_rows(spark, sweep))

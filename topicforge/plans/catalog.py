@@ -29,6 +29,7 @@ from topicforge.operators import evaluate as ev
 from topicforge.operators import ingest as ig
 from topicforge.operators import profile as pf
 from topicforge.operators import phrases as phr
+from topicforge.operators import segment as seg
 from topicforge.sources import sites
 from topicforge.sources.articles import read_articles, read_stopwords, read_stored_articles, write_articles
 from topicforge.sources.tables import read_processed, read_table, table, write_table
@@ -732,3 +733,20 @@ def q_phrase_apply(spark, sf_dir):
     toks = stored_tokens(spark, sf_dir)
     joined = phr.apply_phrases(toks, phr.score_phrases(toks))
     return joined.select("doc_id", F.array_join("tokens", " ").alias("processed_content"))
+
+
+@query("word_counts")
+def q_word_counts(spark, sf_dir):
+    """Words of up to 4 tokens and their expected counts after one EM step
+    from the counts of all runs."""
+    toks = stored_tokens(spark, sf_dir)
+    out = seg.expected_counts(toks, seg.candidates(toks).checkpoint())
+    return out.select("term", "n_tokens", _rnd(F.col("count")).alias("expected"))
+
+
+@query("word_segments")
+def q_word_segments(spark, sf_dir):
+    """Processed content cut into the likeliest words, joined by '_'."""
+    toks = stored_tokens(spark, sf_dir)
+    joined = seg.segment(toks, seg.fit_words(toks))
+    return joined.select("doc_id", F.array_join("tokens", " ").alias("processed_content"))

@@ -420,6 +420,37 @@ def _unescape(e: str) -> str:
     return e
 
 
+#: Forward and backward sums over the lattice of runs of 1 .. 4 tokens, as
+#: logarithms: lists that grow by one position a step (after three fillers).
+_LATTICE = """
+sizes AS (SELECT doc_id, CAST(len(tokens) AS INT) AS n FROM toks_kept),
+runs AS (
+  SELECT k.doc_id, CAST(s.s AS INT) AS s, l.l, array_to_string(k.tokens[s.s + 1 : s.s + l.l], ' ') AS term
+  FROM toks_kept k, LATERAL (SELECT unnest(range(len(k.tokens))) AS s) s, (VALUES (1), (2), (3), (4)) l(l)
+  WHERE s.s + l.l <= len(k.tokens)
+),
+lex AS (SELECT term, l, count(*) AS c FROM runs GROUP BY term, l HAVING l = 1 OR count(*) >= 5),
+edges AS (
+  SELECT r.doc_id, r.s, r.s + r.l AS t, r.l, r.term, x.c / (SELECT sum(c) FROM lex) AS p
+  FROM runs r JOIN lex x ON x.term = r.term AND x.l = r.l
+),
+""" + ",".join(f"""
+{name}_at AS (
+  SELECT doc_id, {at} AS i, {{'p1': coalesce(max(p) FILTER (l = 1), 0), 'p2': coalesce(max(p) FILTER (l = 2), 0),
+         'p3': coalesce(max(p) FILTER (l = 3), 0), 'p4': coalesce(max(p) FILTER (l = 4), 0),
+         'g': CAST([] AS DOUBLE[])}} AS step
+  FROM edges GROUP BY doc_id, {at}
+),
+{name} AS (
+  SELECT doc_id, list_reduce(
+    list_prepend({{'p1': 0::DOUBLE, 'p2': 0::DOUBLE, 'p3': 0::DOUBLE, 'p4': 0::DOUBLE,
+                  'g': CAST(['-inf', '-inf', '-inf', '0'] AS DOUBLE[])}}, list(step ORDER BY i {order})),
+    lambda x, y: {{'p1': y.p1, 'p2': y.p2, 'p3': y.p3, 'p4': y.p4,
+      'g': list_append(x.g, x.g[-1] + ln(y.p1 + y.p2 * exp(x.g[-2] - x.g[-1]) + y.p3 * exp(x.g[-3] - x.g[-1])
+                                         + y.p4 * exp(x.g[-4] - x.g[-1])))}}).g AS g
+  FROM {name}_at GROUP BY doc_id
+)""" for name, at, order in (("fwd", "t", "ASC"), ("bwd", "s", "DESC")))
+
 _PHRASES = """
 uni AS (SELECT term AS t, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY term),
 nterms AS (SELECT count(*) AS n FROM uni),
@@ -485,6 +516,10 @@ sw AS (SELECT list(term) AS l FROM (
 st AS (SELECT doc_id, list_filter(tokens, lambda x: NOT list_contains(sw.l, x)) AS t FROM toks, sw)
 SELECT doc_id, array_to_string(t, ' ') AS processed_content FROM st WHERE len(t) > 0
 """
+    q["word_counts"] = f"""WITH {_corpus(extra='')},{_LATTICE}
+SELECT e.term, e.l AS n_tokens, round(sum(exp(a.g[e.s + 4] + ln(e.p) + b.g[n.n - e.t + 4] - a.g[n.n + 4])), {R}) AS expected
+FROM edges e JOIN sizes n USING (doc_id) JOIN fwd a USING (doc_id) JOIN bwd b USING (doc_id)
+GROUP BY e.term, e.l"""
     q["phrase_scores"] = f"WITH {_corpus(extra='')},{_PHRASES}\nSELECT a, b, n_ab, round(score, {R}) AS score FROM phr"
     q["phrase_apply"] = f"""WITH {_corpus(extra='')},{_PHRASES},
 starts AS (SELECT adj.doc_id, adj.pos FROM adj JOIN phr ON adj.a = phr.a AND adj.b = phr.b),
