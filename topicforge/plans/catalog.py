@@ -22,6 +22,7 @@ from topicforge.operators.common import keep_where
 from topicforge.operators import topics as tp
 from topicforge.operators import vectors as vx
 from topicforge.operators import silhouette as sil
+from topicforge.operators import silhouette_bounds as sb
 from topicforge.operators import dbscan as db
 from topicforge.operators import lsa
 from topicforge.operators import kmeans as km
@@ -247,6 +248,28 @@ def q_silhouette_sq_euclidean(spark, sf_dir):
         "n_points", F.round(F.lit(score), R).alias("silhouette"))
 
 
+def _bounds(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.select(*keys, "n_points", _rnd(F.col("silhouette_low")).alias("silhouette_low"),
+                       _rnd(F.col("silhouette_high")).alias("silhouette_high"))
+
+
+@query("silhouette_bounds")
+def q_silhouette_bounds(spark, sf_dir):
+    """A5 (linear variant): bounds between which the exact silhouette of the
+    label clustering lies, from the moments of each label."""
+    return _bounds(sb.score_bounds(sb.silhouette_bounds(embedding_points(spark, sf_dir))))
+
+
+@query("silhouette_bounds_by_cluster")
+def q_silhouette_bounds_by_cluster(spark, sf_dir):
+    """A5 (linear variant): the same for each label, whose points are split
+    into cells by the label centroid that is nearest to them."""
+    points = embedding_points(spark, sf_dir)
+    _, centers = vx.collect_centers(vx.group_means(points, "cluster", "vec"), "cluster")
+    points = vx.assign_nearest(points, "vec", centers, "pos", None)
+    return _bounds(sb.score_bounds(sb.silhouette_bounds(points, cell_col="pos"), "cluster"), "cluster")
+
+
 @query("silhouette_sampled")
 def q_silhouette_sampled(spark, sf_dir):
     """A5s: silhouette of a deterministic 300-point sample."""

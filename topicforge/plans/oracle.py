@@ -253,8 +253,51 @@ labels AS (
 )"""
 
 
+def _sil_bounds_sql(cells: str) -> str:
+    """Bounds of the silhouette from all pairs: mean squared and fourth-power
+    distances to the other members of a cell, and the distance to its mean."""
+    return f"""{_EMB},
+cell AS ({cells}),
+f AS (SELECT e.vec_id, e.cluster, cell.cell, e.v FROM e JOIN cell USING (vec_id)),
+fx AS (SELECT cluster, cell, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM f),
+fm AS (
+  SELECT cluster, cell, list(m ORDER BY i) AS c
+  FROM (SELECT cluster, cell, i, avg(x) AS m FROM fx GROUP BY cluster, cell, i) GROUP BY cluster, cell
+),
+fsz AS (SELECT cluster, cell, count(*) AS n FROM f GROUP BY cluster, cell),
+pw AS (
+  SELECT a.vec_id, a.cluster AS own, b.cluster AS other, b.cell, count(*) AS k,
+         avg(power(list_distance(a.v, b.v), 2)) AS e2, avg(power(list_distance(a.v, b.v), 4)) AS e4,
+         any_value(a.v) AS v
+  FROM f a JOIN f b ON a.vec_id <> b.vec_id GROUP BY a.vec_id, a.cluster, b.cluster, b.cell
+),
+pb AS (
+  SELECT vec_id, own, other, sum(k) AS k, sum(k * sqrt(e2)) AS high,
+         sum(k * least(sqrt(e2), greatest(CASE WHEN e4 > 0 THEN e2 * sqrt(e2) / sqrt(e4) ELSE 0 END,
+                                          list_distance(v, c) * n / k))) AS low
+  FROM pw JOIN fm ON fm.cluster = other AND fm.cell = pw.cell JOIN fsz ON fsz.cluster = other AND fsz.cell = pw.cell
+  GROUP BY vec_id, own, other
+),
+ab AS (
+  SELECT vec_id, own AS cluster, max(CASE WHEN other = own THEN low / k END) AS a_low,
+         max(CASE WHEN other = own THEN high / k END) AS a_high,
+         min(CASE WHEN other <> own THEN low / k END) AS b_low, min(CASE WHEN other <> own THEN high / k END) AS b_high
+  FROM pb GROUP BY vec_id, own
+),
+sb AS (
+  SELECT cluster,
+         CASE WHEN a_low IS NOT NULL AND greatest(a_high, b_low) > 0 THEN (b_low - a_high) / greatest(a_high, b_low) ELSE 0.0 END AS s_low,
+         CASE WHEN a_low IS NOT NULL AND greatest(a_low, b_high) > 0 THEN (b_high - a_low) / greatest(a_low, b_high) ELSE 0.0 END AS s_high
+  FROM ab
+)"""
+
+
 def vector_oracles() -> dict[str, str]:
     q: dict[str, str] = {}
+    bounds = f"count(*) AS n_points, round(avg(s_low), {R}) AS silhouette_low, round(avg(s_high), {R}) AS silhouette_high FROM sb"
+    q["silhouette_bounds"] = f"WITH {_sil_bounds_sql('SELECT vec_id, 0 AS cell FROM e')}\nSELECT {bounds}"
+    q["silhouette_bounds_by_cluster"] = (f"WITH {_sil_bounds_sql('SELECT vec_id, cluster AS cell FROM assign')}\n"
+                                         f"SELECT CAST(cluster AS INTEGER) AS cluster, {bounds} GROUP BY cluster")
     q["nearest_centroid"] = f"WITH {_EMB}\nSELECT vec_id, CAST(cluster AS INTEGER) AS cluster FROM assign"
     q["cluster_sizes"] = f"WITH {_EMB}\nSELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n_points FROM assign GROUP BY cluster"
     q["inertia"] = f"WITH {_EMB}\nSELECT count(*) AS n_points, round(sum(dist2), {R}) AS inertia FROM assign"
