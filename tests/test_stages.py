@@ -1,0 +1,97 @@
+"""Text to topic as one stored pipeline."""
+
+import numpy as np
+import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.sql import functions as F
+
+from topicforge.operators import lsa, stages, tfidf
+
+WORDS = [[f"{topic}{c}" for c in "abcdefghijkl"] for topic in ("sea", "hill", "town")]
+
+
+def _docs(spark, n=60):
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(rng.choice(WORDS[i % 3], 20)), f"s{i % 3}", i % 3) for i in range(n)]
+    rows += [(n, None, "s0", None), (n + 1, "  ", "s1", None), (n + 2, " ".join(WORDS[0]) * 40, None, 0)]
+    return spark.createDataFrame(rows, "doc_id long, body string, `a b` string, topic int")
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    vocab = tfidf.VocabParams(2, 0.9, 100)
+    return stages.topic_pipeline("body", ["seaa"], vocab, n_components=4, n_topics=3).fit(_docs(spark))
+
+
+def _labels(model, docs):
+    return {r.doc_id: r for r in model.transform(docs).collect()}
+
+
+def test_loaded_model_gives_the_same_rows(spark, fitted, tmp_path):
+    path = str(tmp_path / "model")
+    fitted.write().save(path)
+    loaded = PipelineModel.load(path)
+    assert [type(s) for s in loaded.stages] == [type(s) for s in fitted.stages]
+    assert [s.uid for s in loaded.stages] == [s.uid for s in fitted.stages]
+    a, b = _labels(fitted, _docs(spark)), _labels(loaded, _docs(spark))
+    assert a.keys() == b.keys()
+    for i in a:
+        assert a[i].cluster == b[i].cluster
+        assert np.allclose(a[i].features.toArray(), b[i].features.toArray(), atol=1e-12)
+
+
+def test_other_columns_stay_and_blank_rows_go(spark, fitted):
+    out = _labels(fitted, _docs(spark))
+    assert sorted(out) == [*range(60), 62]
+    assert all(out[i]["a b"] == f"s{i % 3}" and out[i].topic == i % 3 for i in range(60))
+    assert len({(r.topic, r.cluster) for r in out.values()}) == 3        # one cluster for each topic
+    assert all(abs(np.linalg.norm(r.features.toArray()) - 1) < 1e-9 for r in out.values())
+
+
+def test_unseen_texts(spark, fitted):
+    seen = {r.topic: r.cluster for r in _labels(fitted, _docs(spark)).values()}
+    new = spark.createDataFrame([("x", "hillc hilld never hillc"), ("y", "nothing known"), ("z", "")],
+                                "doc_id string, body string")
+    out = _labels(fitted, new)
+    assert sorted(out) == ["x", "y"]
+    assert out["x"].cluster == seen[1]
+    assert not out["y"].features.toArray().any()
+    assert fitted.transform(new.limit(0)).count() == 0
+
+
+def test_stop_words_leave_the_vocabulary(fitted):
+    terms = {r.term for r in fitted.stages[2].fitted.vocabulary.collect()}
+    assert "seab" in terms and "seaa" not in terms
+
+
+def test_features_are_those_of_the_functions(spark, fitted):
+    toks = tfidf.document_tokens(_docs(spark), "doc_id", "body", ["seaa"])
+    model, counted = tfidf.fit_counted(toks, tfidf.VocabParams(2, 0.9, 100))
+    packed = tfidf.weigh(counted, model.vocabulary, packed=True)
+    lm = lsa.fit_lsa(packed, model.vocabulary.count(), model.n_docs, 4)
+    want = {r.doc_id: r.features for r in lsa.project(packed, None, lm).collect()}
+    got = _labels(fitted, _docs(spark))
+    assert want.keys() == got.keys()
+    for i, v in want.items():
+        assert np.allclose(np.abs(v), np.abs(got[i].features.toArray()), atol=1e-6)
+
+
+def test_unfitted_pipeline_is_stored_too(spark, tmp_path):
+    path = str(tmp_path / "plan")
+    stages.topic_pipeline("body", ["a"], n_components=7, n_topics=2).write().save(path)
+    back = Pipeline.load(path).getStages()
+    assert back[0].getOrDefault("inputCol") == "body" and back[0].getOrDefault("stopWords") == ["a"]
+    assert back[3].getOrDefault("k") == 7 and back[-1].getOrDefault("k") == 2
+
+
+def test_names_in_use_and_too_many_clusters_are_refused(spark, fitted):
+    with pytest.raises(ValueError):
+        fitted.transform(_docs(spark).withColumn("Terms", F.lit(1)))
+    with pytest.raises(ValueError):
+        stages.topic_pipeline("body", vocab=tfidf.VocabParams(2, 0.9, 100), n_components=2, n_topics=99).fit(_docs(spark))
+
+
+def test_large_vocabulary_is_joined(spark, fitted, monkeypatch):
+    want = {i: r.cluster for i, r in _labels(fitted, _docs(spark)).items()}
+    monkeypatch.setattr(tfidf, "BROADCAST_ROW_LIMIT", 5)
+    assert {i: r.cluster for i, r in _labels(fitted, _docs(spark)).items()} == want

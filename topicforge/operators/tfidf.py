@@ -117,7 +117,7 @@ def weigh(counted: DataFrame, vocab: DataFrame, packed: bool = False, carry: tup
         raw = term_rows(counted, carry).join(known, "term").withColumn("w", F.col("tf") * F.col("idf"))
         norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
         long = raw.select(*own, "idx", "term", (F.col("w") / norm).alias("weight"))
-        return _pack(counted, long) if packed else long
+        return _pack(counted, long, own) if packed else long
     sent = counted.sparkSession.sparkContext.broadcast({r["term"]: (r["idx"], r["idf"]) for r in rows})
 
     def part(batches):
@@ -139,17 +139,17 @@ def weigh(counted: DataFrame, vocab: DataFrame, packed: bool = False, carry: tup
                        "idx array<int>", "term array<string>", "weight array<double>"])
     rows = counted.select("terms", "tfs", *own).mapInArrow(part, shape)
     if packed:
-        return rows.select("doc_id", F.col("idx").alias("idxs"), F.col("weight").alias("vals"))
+        return rows.select(*own, F.col("idx").alias("idxs"), F.col("weight").alias("vals"))
     return (rows.select(*own, F.explode(F.arrays_zip("idx", "term", "weight")).alias("_t"))
             .select(*own, "_t.idx", "_t.term", "_t.weight"))
 
 
-def _pack(counted: DataFrame, long: DataFrame) -> DataFrame:
+def _pack(counted: DataFrame, long: DataFrame, own: list[str]) -> DataFrame:
     sparse = long.groupBy("doc_id").agg(F.collect_list(F.struct("idx", "weight")).alias("e")).select(
         "doc_id", F.col("e.idx").alias("idxs"), F.col("e.weight").alias("vals"))
     none = lambda c, t: F.coalesce(c, F.array().cast(t)).alias(c)
-    return counted.select("doc_id").join(sparse, "doc_id", "left").select(
-        "doc_id", none("idxs", "array<int>"), none("vals", "array<double>"))
+    return counted.select(*own).join(sparse, "doc_id", "left").select(
+        *own, none("idxs", "array<int>"), none("vals", "array<double>"))
 
 
 def matrix_shape(weights: DataFrame, n_docs: int) -> DataFrame:

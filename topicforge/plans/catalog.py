@@ -31,6 +31,7 @@ from topicforge.operators import ingest as ig
 from topicforge.operators import profile as pf
 from topicforge.operators import phrases as phr
 from topicforge.operators import segment as seg
+from topicforge.operators import stages as st
 from topicforge.sources import sites
 from topicforge.sources.articles import read_articles, read_stopwords, read_stored_articles, write_articles
 from topicforge.sources.tables import read_processed, read_table, table, write_table
@@ -489,6 +490,34 @@ def q_labelled_audit(spark, sf_dir):
                     count(F.coalesce("off", F.lit(True))).alias("n_off_unit"))
 
 
+@query("stored_pipeline")
+def q_stored_pipeline(spark, sf_dir):
+    """Text to topic as one fitted ``PipelineModel``, stored
+    and loaded.  For the documents and for the unseen ``benchmark`` texts:
+    rows labelled by the loaded model, labels that the model in memory gives
+    otherwise, labels that aren't the nearest centroid's."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+    docs = table(spark, sf_dir, "documents", spread_key="doc_id").select("doc_id", "text")
+    bench = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    fitted = st.topic_pipeline(n_components=N_COMPONENTS, n_topics=K_TOPICS).fit(docs)
+    path = scratch(spark, "topic-pipeline")
+    fitted.write().save(path)
+    loaded = PipelineModel.load(path)
+    centers = loaded.stages[-1].clusterCenters()
+
+    def audit(name: str, rows: DataFrame) -> DataFrame:
+        ours = loaded.transform(rows).select("doc_id", "cluster", vector_to_array("features").alias("vec"))
+        near = vx.assign_nearest(ours, "vec", centers, "pos", None)
+        both = near.join(fitted.transform(rows).select("doc_id", F.col("cluster").alias("other")), "doc_id", "left")
+        count = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0))
+        return both.agg(F.lit(name).alias("input"), F.count("cluster").alias("n_labelled"),
+                        count(~F.col("cluster").eqNullSafe(F.col("other"))).alias("n_changed"),
+                        count(F.col("cluster") != F.col("pos")).alias("n_misassigned"))
+
+    return audit("documents", docs).unionByName(audit("benchmark", bench))
+
+
 @query("kmeans_sizes")
 def q_kmeans_sizes(spark, sf_dir):
     """Documents per K-Means cluster."""

@@ -529,6 +529,9 @@ proc AS (
     q["processed_table"] = f"WITH {proc}\nSELECT doc_id, processed_content FROM proc"
     q["labelled_audit"] = (f"WITH {proc}\nSELECT count(*) AS n_docs, count(*) AS n_labelled, CAST(0 AS BIGINT) AS n_misassigned, "
                            "CAST(0 AS BIGINT) AS n_off_unit FROM proc")
+    q["stored_pipeline"] = "\nUNION ALL\n".join(
+        f"SELECT '{src}' AS input, count(*) AS n_labelled, CAST(0 AS BIGINT) AS n_changed, CAST(0 AS BIGINT) AS n_misassigned "
+        f"FROM (WITH {_corpus(src, key, '')} SELECT doc_id FROM toks_kept)" for src, key in (("documents", "doc_id"), ("benchmark", "item_id")))
     q["article_csv"] = "SELECT 'https://example.org/' || doc_id AS url, source AS title, text AS content FROM documents"
     q["stopword_file"] = f"""WITH {_corpus(extra='')}
 SELECT term FROM (SELECT term, CAST(sum(tf) AS BIGINT) AS tf FROM counts GROUP BY term) ORDER BY tf DESC, term LIMIT 20
