@@ -34,6 +34,21 @@ def test_any_splitters_give_the_same_shards(spark, monkeypatch, sample, overfull
     assert max(share.values()) - min(share.values()) <= 2 * 101
 
 
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    rows = [(i // 900 if i % 3 else 1, i, 1 if i % 10 else 4000) for i in range(6000)]   # many small rows, a hot key
+    frame = spark.createDataFrame(rows, "k bigint, id bigint, size bigint").repartition(4)
+    found, samples = [], []
+    find, draw = sharding.find_splitters, sharding._sample
+    monkeypatch.setattr(sharding, "find_splitters", lambda *a: found.append(find(*a)) or found[-1])
+    monkeypatch.setattr(sharding, "_sample", lambda *a: samples.append(1) or draw(*a))
+    got = sharding.shard_records(frame, ["k", "id"], "size", 2, 2, 16, 2.0, range_rows=100).collect()
+    assert sorted(((r.k, r.id), r.shard, r.slot) for r in got) == sorted(placed([((k, i), s) for k, i, s in rows], 2))
+    cuts = sorted(found[0])
+    per_range = Counter(sum(c <= (k, i) for c in cuts) for k, i, _ in rows)
+    assert max(per_range.values()) <= 2 * 2.0 * 100
+    assert len(samples) <= 1 + sharding.ROUNDS       # one pass a round, however many ranges are subdivided
+
+
 def test_edge_rows(spark):
     rows = [(None, 1, 5, "a"), ("x", 2, None, "b"), ("x", 2, None, "b"), ("", None, 7, None), ("y", 3, 0, "c")]
     frame = spark.createDataFrame(rows, "k string, id bigint, size bigint, shard string")

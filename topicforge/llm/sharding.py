@@ -3,15 +3,16 @@
 Records are put in the order of their key and cut into shards of near equal
 bytes:
 
-1. a size-weighted sample of the keys is drawn by a hash of the key (a row of
-   size s is taken with probability ``s * rate``, so the expected sample is
-   ``sample_size`` rows at any input size);
+1. a size-weighted sample of the keys is drawn by a hash of the key (a row's
+   weight is its size plus the mean size, so ranges are bounded in bytes and in
+   rows; the expected sample is ``SAMPLES_PER_RANGE`` rows a range, at least
+   ``sample_size``);
 2. the sample's quantiles become the splitters of ``n_shards *
-   ranges_per_shard`` ranges, and the bytes of every range are counted over
-   all rows;
-3. a range that holds more than ``overfull`` times its share is subdivided by
-   splitters drawn from that range alone, until none is overfull or what is
-   left is a single key;
+   ranges_per_shard`` ranges, or of one range for each ``range_rows`` rows where
+   that is more, and the weight of every range is counted over all rows;
+3. ranges that hold more than ``overfull`` times their share are subdivided by
+   splitters drawn from each of them, all in one pass over the rows, until none
+   is overfull or what is left is a single key;
 4. inside each range a window sums sizes in key order.  With the ranges'
    totals that gives each record its exact place in the whole order, hence its
    shard (by the middle of its bytes) and its slot.
@@ -39,6 +40,8 @@ from topicforge.llm.common import scratch_table
 
 LAW = "bytes"
 RESULTS = ("law", "shard", "slot", "grown_shard")
+#: Expected sampled keys of a range.
+SAMPLES_PER_RANGE = 16
 #: Subdivision rounds; each multiplies the number of ranges in an overfull one
 #: by up to 64, so eight rounds tell 2**48 keys apart.
 ROUNDS = 8
@@ -70,14 +73,13 @@ def _sample(rows: DataFrame, key: Column, rate: Column) -> DataFrame:
     return rows.where(place < share).withColumn("weight", F.greatest(F.lit(1.0), share))
 
 
-def _quantiles(sample: DataFrame, parts: int) -> list:
-    """Keys at the ``parts``-quantiles of a bounded sample's weight."""
-    total = sample.agg(F.sum("weight")).first()[0]
-    if not total:
-        return []
-    order = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
-    part = F.floor(F.sum("weight").over(order) * parts / F.lit(total))
-    cut = (sample.select("_key", part.alias("part")).groupBy("part")
+def _quantiles(sample: DataFrame, parts: int, *by: str) -> list:
+    """Keys at the ``parts``-quantiles of a bounded sample's weight, of each
+    group of the sample."""
+    whole = Window.partitionBy(*by)
+    order = whole.orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
+    part = F.floor(F.sum("weight").over(order) * parts / F.sum("weight").over(whole))
+    cut = (sample.select(*by, "_key", part.alias("part")).groupBy(*by, "part")
            .agg(F.min("_key").alias("_key")).where(f"part between 1 and {parts - 1}"))
     return [tuple(r["_key"]) for r in cut.collect()]
 
@@ -87,32 +89,33 @@ def _order(key: tuple) -> tuple:
 
 
 def find_splitters(rows: DataFrame, types: list, n_ranges: int, sample_size: int,
-                   overfull: float) -> tuple[list, int]:
-    """Splitters for ``rows(_key, _size)`` and the total of sizes."""
+                   overfull: float) -> list:
+    """Splitters for ``rows(_key, _size)``, sizes above 0."""
     total = rows.agg(F.sum("_size")).first()[0] or 0
     if not total:
-        return [], 0
+        return []
     splitters = sorted(set(_quantiles(_sample(rows, F.col("_key"), F.lit(sample_size / total)), n_ranges)), key=_order)
     for _ in range(ROUNDS):
         ranged = rows.withColumn("_range", _below(splitters, F.col("_key"), types))
-        full = {r["_range"]: r["n"] for r in ranged.groupBy("_range").agg(
+        full = [(r["_range"], 1024.0 / r["n"]) for r in ranged.groupBy("_range").agg(
             F.sum("_size").alias("n"), F.min("_key").alias("lo"), F.max("_key").alias("hi"),
             F.max("_size").alias("largest")).where(
             (F.col("n") > overfull * total / n_ranges) & (F.col("lo") < F.col("hi"))
-            & (F.col("n") > 2 * F.col("largest"))).collect()}
-        new = set()
-        for at, n in full.items():
-            new.update(_quantiles(_sample(ranged.where(F.col("_range") == at), F.col("_key"),
-                                          F.lit(1024.0 / n)), 64))
+            & (F.col("n") > 2 * F.col("largest"))).collect()]
+        if not full:
+            break
+        rates = rows.sparkSession.createDataFrame(full, "_range int, rate double")   # fewer than n_ranges rows
+        drawn = _sample(ranged.join(F.broadcast(rates), "_range"), F.col("_key"), F.col("rate"))
+        new = set(_quantiles(drawn, 64, "_range"))
         if not new - set(splitters):
             break
         splitters = sorted({*splitters, *new}, key=_order)
-    return splitters, total
+    return splitters
 
 
 def shard_records(records: DataFrame, key: list[str], size: str, n_shards: int = 16,
                   ranges_per_shard: int = 32, sample_size: int = 8192,
-                  overfull: float = 3.0) -> DataFrame:
+                  overfull: float = 3.0, range_rows: int = 1 << 20) -> DataFrame:
     """``records`` with ``law``, ``shard``, ``slot`` and ``grown_shard`` (null
     under this law).  ``key``: columns that order the records (numbers or
     strings), a record id last; ``size``: a column of bytes."""
@@ -123,8 +126,11 @@ def shard_records(records: DataFrame, key: list[str], size: str, n_shards: int =
         F.struct(*names).alias("_record"),
         F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(key)]).alias("_key"),
         F.coalesce(F.col(size).cast("bigint"), F.lit(0)).alias("_size")), "records")
-    splitters, total = find_splitters(rows.select("_key", "_size"), types, n_shards * ranges_per_shard,
-                                      sample_size, overfull)
+    n_rows, total = rows.agg(F.count("*"), F.coalesce(F.sum("_size"), F.lit(0))).first()
+    n_ranges = max(n_shards * ranges_per_shard, -(-n_rows // range_rows))
+    mean = total // max(n_rows, 1) + 1
+    splitters = find_splitters(rows.select("_key", (F.col("_size") + mean).alias("_size")), types, n_ranges,
+                               max(sample_size, SAMPLES_PER_RANGE * n_ranges), overfull)
     ranged = rows.withColumn("_range", _below(splitters, F.col("_key"), types))
     # a row for each range: bounded by the number of splitters
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
