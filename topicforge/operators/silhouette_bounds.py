@@ -41,8 +41,8 @@ from topicforge.operators import vectors as vx
 COVARIANCE_CELLS = 1 << 25
 #: Most numbers of means; a model with more is refused.
 MEAN_CELLS = 1 << 25
-#: Parts in which a cell's partial sums are added before they meet.
-REDUCE_PARTS = 32
+#: Tasks whose partial sums of a cell are added before they meet the others.
+REDUCE_TASKS = 32
 
 _BOUNDS = ("a_low", "a_high", "b_low", "b_high", "s_low", "s_high")
 
@@ -111,7 +111,7 @@ def _add_moments(numbered: DataFrame, cells: _Cells, covariances: bool) -> None:
                 [pa.array([c] * len(lists), pa.int32()), pa.array(range(len(lists)), pa.int32()),
                  pa.array(lists, pa.list_(pa.float64()))], ["at", "line", "z"])
 
-    spread = F.pmod(F.spark_partition_id(), F.lit(REDUCE_PARTS)).alias("part")
+    spread = F.floor(F.spark_partition_id() / REDUCE_TASKS).alias("part")
     table = (numbered.select("at", "vec").mapInArrow(part, "at int, line int, z array<double>")
              .select("at", "line", spread, array_to_vector("z").alias("z"))
              .groupBy("at", "line", "part").agg(Summarizer.sum(F.col("z")).alias("z"))
