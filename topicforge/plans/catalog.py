@@ -34,6 +34,7 @@ from topicforge.operators import segment as seg
 from topicforge.operators import stages as st
 from topicforge.sources import sites
 from topicforge.sources.articles import read_articles, read_stopwords, read_stored_articles, write_articles
+from topicforge.sources.known_links import KnownLinks
 from topicforge.sources.tables import read_processed, read_table, table, write_table
 from topicforge.session import checkpoint_dir
 
@@ -613,6 +614,17 @@ def q_new_links(spark, sf_dir):
     return new_links(spark, sf_dir).select("page_id", "link")
 
 
+@query("known_links")
+def q_known_links(spark, sf_dir):
+    """W6 against the bucketed table of stored links, filled by two runs."""
+    links = ig.extract_links(by_language(routed_pages(spark, sf_dir)), sites.EXAMPLE_SITES, first_only=True)
+    path = scratch(spark, "known-links")
+    even = links.where(F.length("link") % 2 == 0)
+    for rest in (0, 2):
+        KnownLinks(spark, path, 16).append(even.where(F.length("link") % 4 == rest))
+    return KnownLinks(spark, path).exclude(links).select("page_id", "link")
+
+
 CAP = 3
 
 

@@ -397,7 +397,7 @@ def page_oracles() -> dict[str, str]:
     q["page_links"] = f"WITH {r}\nSELECT page_id, CAST(selector_ix AS INTEGER) AS selector_ix, pos, href, link FROM rlinks"
     q["page_links_distinct"] = (f"WITH {r}\nSELECT page_id, link, CAST(selector_ix AS INTEGER) AS selector_ix, pos "
                                 "FROM firsts")
-    q["new_links"] = f"WITH {r}\nSELECT page_id, link FROM fresh"
+    q["new_links"] = q["known_links"] = f"WITH {r}\nSELECT page_id, link FROM fresh"
     q["capped_links"] = f"""WITH RECURSIVE {r},{_taken('cap1', 'fresh', 3)}
 SELECT page_id, unnest(picks) AS link, CAST(generate_subscripts(picks, 1) AS INTEGER) AS rank FROM cap1
 """
