@@ -92,3 +92,19 @@ def test_unbroken_runs_take_linear_time(spark):
     assert got[1] == spread_out
     assert (got[2], got[3]) == ("", "y")
     assert got[4].endswith("a a a")
+
+
+def test_short_class_and_link_gate_change_nothing(spark):
+    """The cleaning of every character, and of marks that appear only when a
+    link before them is gone, equals the plain chain of T2-T8."""
+    def plain(c):
+        for pat in (tx.RE_HTTP, tx.RE_WWW, tx.RE_DOMAIN, tx.RE_EMAIL):
+            c = F.regexp_replace(c, pat, "")
+        return F.trim(F.regexp_replace(F.lower(c), rf"[^a-z{_VIET}]+", " "))
+
+    marks = ["a.chttp://x om", "a.comhttp://x", "a.vnwww.b", "a@b", "@b", "a.come b", ".com", "x.comà y.com.", "http://", "www.", "a.b@"]
+    rows = ["b" + chr(i) + "c" for i in range(0x30000) if not 0xD800 <= i < 0xE000] + marks
+    df = spark.createDataFrame([(r,) for r in rows], "text string")
+    assert df.where(~plain(F.col("text")).eqNullSafe(tx.clean_text(F.col("text")))).collect() == []
+    # each member of the class costs time for each character of the corpus
+    assert len(tx.RE_NOT_KEPT) < len(_VIET) / 2
