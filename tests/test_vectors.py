@@ -146,6 +146,44 @@ def test_silhouette_matches_brute_force(spark, block_rows):
     assert got.silhouette == pytest.approx(brute_silhouette(x, lab), abs=1e-9)
 
 
+def test_silhouette_sums_leave_a_task_once(spark):
+    """One row for each point and cluster, however many blocks there are."""
+    from topicforge.operators import pairs as pr
+    x = _blobs(1)
+    pts = _points(spark, x, np.arange(len(x)) % 3).withColumnRenamed("vec_id", "pid")
+    for nb in (1, 9, 2 * pr.RIGHT_BLOCKS):
+        sums = pr.meet(pr.blocks(pts, "pid", nb), nb, sil._cluster_sums, sil._SUMS_SCHEMA).toPandas()
+        assert len(sums) <= len(x) * 3 * -(-nb // pr.RIGHT_BLOCKS)
+        d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
+        got = sums.groupby(["pid", "other"]).dsum.sum()
+        for i in range(len(x)):
+            for c in range(3):
+                assert got[i, c] == pytest.approx(d[i, c::3].sum(), abs=1e-6)
+
+
+def test_silhouette_refuses_null_vectors(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0], 0), (1, None, 1), (2, [3.0, 4.0], 1)],
+                               "vec_id long, vec array<double>, cluster int")
+    with pytest.raises(Exception, match="null or of several dimensions"):
+        sil.silhouette_score(df).collect()
+
+
+def test_lloyd_pass_matches_brute_force(spark):
+    """Counts, costs and sums of two models over more rows than one slice."""
+    from topicforge.operators import evaluate as ev
+    x = np.random.default_rng(11).normal(size=(2 * ev._ROWS + 37, 5))
+    models = [(0, x[:4].copy()), (3, x[4:11].copy())]
+    got = ev._pass(_points(spark, x).select("vec").coalesce(2), models)
+    for m, c in models:
+        d = ((x[:, None, :] - c[None]) ** 2).sum(-1)
+        lab = d.argmin(1)
+        for j in range(len(c)):
+            n, cost, total = got[m, j]
+            assert n == (lab == j).sum()
+            assert cost == pytest.approx(d[lab == j, j].sum(), abs=1e-9)
+            assert total == pytest.approx(x[lab == j].sum(0), abs=1e-9)
+
+
 def test_silhouette_one_cluster_raises(spark):
     x = _blobs(2)
     with pytest.raises(ValueError):

@@ -11,7 +11,7 @@ never pairs.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,27 +20,27 @@ from topicforge.operators import pairs as pr
 _SUMS_SCHEMA = "pid long, other int, dsum double"
 
 
-def _cluster_sums(pdf: pd.DataFrame) -> pd.DataFrame:
-    left, right, same = pr.split_sides(pdf)
-    if len(left) == 0 or len(right) == 0:
-        return pd.DataFrame({"pid": [], "other": [], "dsum": []})
-    d = pr.pair_distances(pr.stack(left["vec"]), pr.stack(right["vec"]))
-    out = []
+def _cluster_sums(batches):
+    """Per point of a block: the distance sums to each cluster's members among
+    the others of the task."""
+    now, ids, x, sums = None, None, None, {}
 
-    def emit(ids, dmat, member_clusters):
-        labs, inv = np.unique(member_clusters, return_inverse=True)
-        onehot = np.zeros((len(member_clusters), len(labs)))
-        onehot[np.arange(len(member_clusters)), inv] = 1.0
-        sums = dmat @ onehot                      # points x clusters present
-        out.append(pd.DataFrame({
-            "pid": np.repeat(ids, len(labs)),
-            "other": np.tile(labs, len(ids)).astype(np.int32),
-            "dsum": sums.reshape(-1)}))
+    def rows():
+        for label, total in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(np.full(len(ids), label, dtype=np.int32)), pa.array(total)], ["pid", "other", "dsum"])
 
-    emit(left["pid"].to_numpy(), d, right["cluster"].to_numpy())
-    if not same:
-        emit(right["pid"].to_numpy(), d.T, left["cluster"].to_numpy())
-    return pd.concat(out, ignore_index=True)
+    for blk, left, right in pr.sides(batches):
+        if blk != now:
+            yield from rows()
+            now, ids, x, sums = blk, left.field("pid"), pr.matrix(left.field("vec")), {}
+        d = pr.pair_distances(x, pr.matrix(right.field("vec")))
+        labs, inv = np.unique(right.field("cluster").to_numpy(zero_copy_only=False), return_inverse=True)
+        onehot = np.zeros((len(inv), len(labs)))
+        onehot[np.arange(len(inv)), inv] = 1.0
+        for label, total in zip(labs.astype(np.int32).tolist(), (d @ onehot).T):
+            sums[label] = sums[label] + total if label in sums else np.ascontiguousarray(total)
+    yield from rows()
 
 
 def silhouette_samples(points: DataFrame, id_col: str = "vec_id", vec_col: str = "vec",
@@ -60,8 +60,7 @@ def silhouette_samples(points: DataFrame, id_col: str = "vec_id", vec_col: str =
     if not 2 <= n_clusters <= n_points - 1:
         raise ValueError(f"silhouette needs 2 <= clusters <= n-1, got {n_clusters} for {n_points}")
     nb = pr.n_blocks(n_points, block_rows)
-    sums = (pr.replicate(pts, "pid", nb)
-            .groupBy("bi", "bj").applyInPandas(_cluster_sums, _SUMS_SCHEMA)
+    sums = (pr.meet(pr.blocks(pts, "pid", nb), nb, _cluster_sums, _SUMS_SCHEMA)
             .groupBy("pid", "other").agg(F.sum("dsum").alias("dsum")))
     means = (sums.join(sizes.withColumnRenamed("cluster", "other"), "other")
              .join(pts.select("pid", "cluster"), "pid"))
