@@ -148,3 +148,19 @@ def test_explained_variance_matches_projection(spark):
     want = proj.var(axis=0)
     assert [r.explained_variance for r in got] == pytest.approx(want, rel=1e-9, abs=1e-12)
     assert [r.explained_variance_ratio for r in got] == pytest.approx(want / a.var(axis=0).sum(), rel=1e-9)
+
+
+def test_gram_passes_send_less_than_the_matrix(spark):
+    """The tasks of a pass follow the non-zeros, not the splits."""
+    rows = [(i, [j % 40 for j in range(i % 7, i % 7 + 6)], [1.0] * 6) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, idxs array<int>, vals array<double>").repartition(16)
+    assert lsa.gram_tasks(df, 40, 200) == 1
+    assert lsa.gram_tasks(df, 40, 20) == 3
+    assert lsa.gram_tasks(df, 2, 2) == spark.sparkContext.defaultParallelism
+    assert lsa.gram_tasks(df.limit(0), 2, 2) == 1
+    q = np.random.default_rng(0).normal(size=(40, 8))
+    a = np.zeros((400, 40))
+    for i, idxs, vals in rows:
+        a[i, idxs] = vals
+    for n in (1, 3):
+        assert np.allclose(lsa._gram_pass(df, q, n), a.T @ (a @ q))
