@@ -146,3 +146,20 @@ def test_language_columns_may_clash(spark):
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, _lang int, _rate int, _first int")
     model = langid.train(frame, langid.learnable())
     assert langid.keep_accepted(frame, model).columns == frame.columns
+
+
+def test_words_are_folded_in_small_groups():
+    """Many new words at once: the subwords of few are held, with the same result."""
+    rng = np.random.default_rng(3)
+    model = langid.Model(["a", "b"], rng.normal(size=(langid.BUCKETS, langid.DIMENSIONS)),
+                         rng.normal(size=(langid.DIMENSIONS, 2)), np.zeros(2))
+    words = ["".join(w) for w in rng.choice(list("abcdefghij"), (3 * langid.LEARNED, 7))]
+    sizes, plain = [], langid.Predictor(model)
+    learn = plain._learn
+    plain._learn = lambda ws: (sizes.append(len(ws)), learn(ws))
+    got = plain.predict([" ".join(words)])
+    assert max(sizes) <= langid.LEARNED and len(sizes) >= 3
+    whole = model.logits(*np.unique(langid.subwords(words)[0], return_counts=True))
+    n = len(langid.subwords(words)[0])
+    p = langid.softmax((whole - model.bias) / n + model.bias)
+    assert got[0][0] == model.languages[int(p.argmax())] and abs(got[0][1] - p.max()) < 1e-9

@@ -38,6 +38,8 @@ MOST_ROWS = 20_000
 UNKNOWN = "und"
 BUCKETS, DIMENSIONS, LONGEST_GRAM = 1 << 15, 16, 5
 REMEMBERED = 200_000
+#: Words whose subwords are held unfolded at a time.
+LEARNED = 1024
 
 
 def words_of(text: str | None) -> list[str]:
@@ -160,8 +162,8 @@ class Predictor:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = list(set(itertools.chain.from_iterable(cut)) - self.known.keys())
-        if new:
-            self._learn(new)
+        for at in range(0, len(new), LEARNED):
+            self._learn(new[at:at + LEARNED])
         out = []
         for words in cut:
             if not any(c.isalpha() for w in words for c in w):
