@@ -148,3 +148,25 @@ def test_cap_matches_a_walk_page_after_page(spark):
     assert {(x.page_id, x.site_key, x.category, x.link, x.rank) for x in got.collect()} == want
     assert ig.cap_links(frame.limit(0), 3).count() == 0
     assert "PythonUDF" not in got._jdf.queryExecution().toString()
+
+
+def test_few_pages_are_python_objects():
+    """However many pages an Arrow batch has, a task turns few into objects."""
+    import pyarrow as pa
+    from topicforge.operators import ingest
+
+    class Pages:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, fn, _):
+            return fn
+
+    n = 10 * ingest.SLICE_PAGES + 3
+    run = ingest._page_rows(Pages(), lambda pid, *_: iter([(pid, None), (pid, "x")][:pid % 3]), "page_id long, error string")
+    batch = pa.RecordBatch.from_pylist([{"page_id": i, "url": "u", "html": None, "site_key": "k", "category": None}
+                                        for i in range(n)])
+    out = list(run([batch]))
+    assert len(out) == 11 and max(b.num_rows for b in out) <= 2 * ingest.SLICE_PAGES
+    want = [(i, v) for i in range(n) for v in [None, "x"][:i % 3]]
+    assert [(r["page_id"], r["error"]) for b in out for r in b.to_pylist()] == want

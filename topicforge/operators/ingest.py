@@ -13,19 +13,20 @@ the fetch is a Spark job:
 Pages that can't be parsed and articles without content are counted by reason
 (``link_rejects``, ``article_rejects``).
 
-Catalyst will not move filters across ``mapInPandas``, so the cheap steps
+Catalyst will not move filters across ``mapInArrow``, so the cheap steps
 (anti-join, cap) are ordered before article extraction by hand.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicforge.functions import html as hx
 from topicforge.functions import urls as ux
 from topicforge.functions.text import MISSING_TITLE
+from topicforge.operators.common import slices
 from topicforge.session import checkpoint_dir
 from topicforge.sources.sites import NEWS_SITES
 
@@ -33,6 +34,8 @@ LINK_SCHEMA = ("page_id long, site_key string, category string, selector_ix int,
                "href string, link string")
 ARTICLE_SCHEMA = ("page_id long, url string, site_key string, category string, title string, "
                   "description string, content string")
+#: Pages that a task holds as Python objects at a time.
+SLICE_PAGES = 16
 #: Reasons for which a page yields nothing.
 PARSE_ERROR, NO_CONTENT = "parse_error", "no_content"
 
@@ -69,31 +72,39 @@ def link_rejects(routed: DataFrame, sites=NEWS_SITES) -> DataFrame:
             .groupBy(F.col("error").alias("reason")).agg(F.count(F.lit(1)).alias("n_pages")))
 
 
+def _page_rows(routed: DataFrame, fields, schema: str) -> DataFrame:
+    """``fields(page_id, url, html, site_key, category)`` of each page: rows of
+    ``schema``.  Few pages at a time are Python objects."""
+    names = [f.split()[0] for f in schema.split(", ")]
+    kinds = [{"long": pa.int64(), "int": pa.int32(), "string": pa.string()}[f.split()[1]] for f in schema.split(", ")]
+
+    def part(batches):
+        for batch in slices(batches, SLICE_PAGES):
+            rows = [row for page in zip(*(c.to_pylist() for c in batch.columns)) for row in fields(*page)]
+            columns = list(zip(*rows)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    return routed.select("page_id", "url", "html", "site_key", "category").mapInArrow(part, schema)
+
+
 def _links(routed: DataFrame, sites, first_only: bool) -> DataFrame:
     link_sel, _ = _site_maps(sites)
 
-    def part(batches):
-        for pdf in batches:
-            rows = []
-            for pid, url, html, key, cat in zip(pdf["page_id"], pdf["url"], pdf["html"],
-                                                pdf["site_key"], pdf["category"]):
-                try:
-                    found = hx.article_links(hx.parse(html), url, link_sel.get(key, []))
-                except (ValueError, AssertionError):  # a bad URL or markup declaration
-                    rows.append((pid, key, cat, -1, -1, None, None, PARSE_ERROR))
+    def fields(pid, url, html, key, cat):
+        try:
+            found = hx.article_links(hx.parse(html), url, link_sel.get(key, []))
+        except (ValueError, AssertionError):  # a bad URL or markup declaration
+            yield pid, key, cat, -1, -1, None, None, PARSE_ERROR
+            return
+        seen = set()
+        for si, pos, href, link in found:
+            if first_only:
+                if link in seen:
                     continue
-                seen = set()
-                for si, pos, href, link in found:
-                    if first_only:
-                        if link in seen:
-                            continue
-                        seen.add(link)
-                    rows.append((pid, key, cat, si, pos, href, link, None))
-            yield pd.DataFrame(rows, columns=["page_id", "site_key", "category", "selector_ix",
-                                              "pos", "href", "link", "error"])
+                seen.add(link)
+            yield pid, key, cat, si, pos, href, link, None
 
-    return (routed.select("page_id", "url", "html", "site_key", "category")
-            .mapInPandas(part, LINK_SCHEMA + ", error string"))
+    return _page_rows(routed, fields, LINK_SCHEMA + ", error string")
 
 
 def first_links(links: DataFrame) -> DataFrame:
@@ -175,24 +186,16 @@ def article_rejects(article_pages: DataFrame, sites=NEWS_SITES) -> DataFrame:
 def _articles(article_pages: DataFrame, sites, missing_title: str, separator: str) -> DataFrame:
     _, art_sel = _site_maps(sites)
 
-    def part(batches):
-        for pdf in batches:
-            rows = []
-            for pid, url, html, key, cat in zip(pdf["page_id"], pdf["url"], pdf["html"],
-                                                pdf["site_key"], pdf["category"]):
-                t_sel, d_sel, c_sel = art_sel[key]
-                try:
-                    title, desc, content = hx.article_fields(hx.parse(html), t_sel, d_sel, c_sel,
-                                                             missing_title, separator)
-                except (ValueError, AssertionError):  # a bad markup declaration
-                    rows.append((pid, url, key, cat, None, None, None, PARSE_ERROR))
-                    continue
-                rows.append((pid, url, key, cat, title, desc, content, None if content else NO_CONTENT))
-            yield pd.DataFrame(rows, columns=["page_id", "url", "site_key", "category", "title",
-                                              "description", "content", "error"])
+    def fields(pid, url, html, key, cat):
+        t_sel, d_sel, c_sel = art_sel[key]
+        try:
+            title, desc, content = hx.article_fields(hx.parse(html), t_sel, d_sel, c_sel, missing_title, separator)
+        except (ValueError, AssertionError):  # a bad markup declaration
+            yield pid, url, key, cat, None, None, None, PARSE_ERROR
+            return
+        yield pid, url, key, cat, title, desc, content, None if content else NO_CONTENT
 
-    return (article_pages.select("page_id", "url", "html", "site_key", "category")
-            .mapInPandas(part, ARTICLE_SCHEMA + ", error string"))
+    return _page_rows(article_pages, fields, ARTICLE_SCHEMA + ", error string")
 
 
 def ingest(category_pages: DataFrame, fetched: DataFrame, stored: DataFrame | None,
