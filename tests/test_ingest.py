@@ -170,3 +170,16 @@ def test_few_pages_are_python_objects():
     assert len(out) == 11 and max(b.num_rows for b in out) <= 2 * ingest.SLICE_PAGES
     want = [(i, v) for i in range(n) for v in [None, "x"][:i % 3]]
     assert [(r["page_id"], r["error"]) for b in out for r in b.to_pylist()] == want
+
+
+def test_a_run_writes_one_file_a_folder(spark, tmp_path):
+    """Articles of a category that come from many tasks share a file."""
+    rows = [(f"u{i}", "t", "d", "c", "s", f"k{i % 5}") for i in range(60)]
+    df = spark.createDataFrame(rows, "url string, title string, description string, content string, "
+                                     "site_key string, category string").repartition(7)
+    root = str(tmp_path / "articles")
+    for run in (1, 2):
+        write_articles(df, root)
+        files = list((tmp_path / "articles").rglob("*.parquet"))
+        assert len(files) == 5 * run
+    assert read_stored_articles(spark, root).count() == 120

@@ -118,8 +118,11 @@ STORED_SCHEMA = ("url string, title string, description string, content string,
 
 def write_articles(df: DataFrame, root: str) -> None:
     """Append-or-create sink per (site_key, category).  Appending to a
-    partitioned Parquet table creates the folder on first write."""
+    partitioned Parquet table creates the folder on first write.  The rows of a
+    folder are brought together first (a very large one is split again): else
+    each task would write a file into each folder that it has a row of."""
     (df.withColumn("category", F.when(F.col("category") == "", EMPTY_CATEGORY).otherwise(F.col("category")))
+     .hint("rebalance", "site_key", "category")
      .write.mode("append").partitionBy("site_key", "category").parquet(root))
 
 
