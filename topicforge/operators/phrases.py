@@ -17,10 +17,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicforge.operators import chunks as ck
 from topicforge.operators.common import slices
 
 
@@ -115,6 +117,32 @@ def apply_phrases(tokens: DataFrame, phrases: DataFrame, p: PhraseParams = Phras
             .select("doc_id", F.transform("_s", lambda s: s["tok"]).alias("tokens")))
 
 
+def join_corpus(tokens: DataFrame, p: PhraseParams = PhraseParams(), joiner: str = "_") -> DataFrame:
+    """``apply_phrases(tokens, score_phrases(tokens))``, whatever the number of
+    phrases: chunks of texts ask for the counts of their distinct tokens and
+    pairs (``chunks.py``), score the pairs and join them, so no pair has a row
+    per place."""
+    corpus = ck.Corpus(tokens, p.min_count)
+    n_terms = float(corpus.count(1).agg(F.sum("words")).first()[0] or 0)
+    corpus.count(2)
+
+    def part(chunk: ck.Chunk, row: dict):
+        pairs, n = chunk.levels[2], chunk.levels[1].count
+        at = pairs.at[pairs.number[pairs.run] >= 0]
+        run = pairs.run[pairs.number[pairs.run] >= 0]
+        score = (pairs.count[run] - p.min_count) * n_terms / (n[chunk.ids[at]] * n[chunk.ids[at + 1]])
+        at = at[score > p.threshold]
+        # runs of consecutive starts: s, s+1, ... -> s, s+2, ...; a text's last
+        # token starts no pair, so no run reaches into the next text
+        new = np.diff(at, prepend=-2) > 1
+        at = at[(np.arange(len(at)) - np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))) % 2 == 0]
+        length = np.ones(len(chunk.ids), dtype=np.int64)
+        length[at], length[at + 1] = 2, 0
+        yield from ck.joined(chunk, row["doc_ids"], length, joiner)
+
+    return corpus.each(part, f"doc_id {corpus.kind}, tokens array<string>")
+
+
 def phrase_stopwords(words: list[str], joiner: str = "_") -> list[str]:
     """Stopword entries written with spaces (multi-word entries) in the form
     joined tokens take once phrases are applied (``a b`` -> ``a_b``);
