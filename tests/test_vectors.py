@@ -277,3 +277,19 @@ def test_sampled_silhouette_paths(spark):
     sw = ev.k_sweep(pts.drop("cluster"), 3, 3, 1, n_init=1, id_col="vec_id", vec_col="vec",
                     silhouette_sample=40).first()
     assert -1.0 <= sw.silhouette <= 1.0 and sw.k == 3
+
+
+def test_dbscan_passes_shuffle_no_vector_twice(spark):
+    from topicforge.operators.cells import place
+    x = np.random.default_rng(3).normal(size=(600, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)                     # no cell can be skipped
+    cells = place(_points(spark, x).select(F.col("vec_id").alias("pid"), "vec", F.lit(1).alias("n")), 0.8, 20)
+    packed = db._packed(cells, cells.placed)
+    passes = [(db._neighbour_counts, "pid long, cnt long"), (db._local_forest, "src long, dst long")]
+    for task, schema in passes:
+        out = db._meet(packed, 0.8, task, schema)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and "Exchange" not in plan
+        assert out.count() <= 2 * len(x) * db.LEAST_RUNS              # 30 blocks: was a row a point and pair
+    got = dict((r.vec_id, r.cluster) for r in db.dbscan(_points(spark, x).drop("cluster"), 0.8, 4, block_rows=20).collect())
+    assert [got[i] for i in range(len(x))] == list(brute_dbscan(x, 0.8, 4))
