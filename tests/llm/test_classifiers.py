@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from topicforge.llm import langid, queries, toxicity
@@ -35,6 +36,20 @@ def test_every_label_is_learned(spark):
     assert few.languages == model.languages
 
 
+def test_language_sample_is_sent_and_held_in_few_bytes():
+    r = random.Random(5)
+    texts = [" ".join("".join(r.choices("abcdefgh", k=6)) for _ in range(400)) for _ in range(5)] + ["ab " * 70_000, "é"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["x"] * 7), pa.array([False] * 7), pa.array(texts)], ["lang", "back", "text"])
+    sent = [row for part in langid._sampled_counts([batch]) for row in part.to_pylist()]
+    plain = [np.unique(langid.subwords(langid.words_of(t))[0], return_counts=True) for t in texts]
+    for row, (bucket, n) in list(zip(sent, plain))[:5]:
+        assert sum(len(x) for x in row.values() if isinstance(x, bytes)) <= 4 * len(bucket)
+    sample = langid.Sample([(row["lang"], row["buckets"], row["counts"]) for row in sent])
+    for (lang, bucket, share), (expected, n) in zip(sample, plain, strict=True):
+        assert lang == "x" and np.array_equal(bucket, expected)
+        assert np.array_equal(share, (n / n.sum()).astype(np.float32).astype(float))
+
+
 def test_language_edges(spark):
     r = random.Random(1)
     a = lambda: " ".join(r.choice(["thon", "edin", "wher", "ing"]) for _ in range(20))

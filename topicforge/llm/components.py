@@ -8,8 +8,19 @@ from pyspark.sql import functions as F
 from topicforge.llm.common import scratch_table
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 40))).first())
+def _ends(edges: DataFrame) -> DataFrame:
+    """``(node, other)``: each edge from both of its ends."""
+    ways = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("other")),
+                   F.struct(F.col("v").alias("node"), F.col("u").alias("other")))
+    return edges.select(F.explode(ways).alias("way")).select("way.*")
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether no node of ``edges(u > v)`` has two smaller neighbours, or one
+    smaller and one larger: then each ``v`` is the smallest of its component."""
+    by = _ends(edges).groupBy("node").agg(F.sum((F.col("other") < F.col("node")).cast("int")).alias("smaller"),
+                                          F.max(F.col("other") > F.col("node")).alias("larger"))
+    return not by.where("smaller > 1 or smaller = 1 and larger").agg(F.count("*")).first()[0]
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -19,26 +30,21 @@ def connected(links: DataFrame) -> DataFrame:
 
     A large-star step hangs the larger neighbours of each node on the smallest
     node around it, a small-star step does so with the smaller ones; the edges
-    shrink to stars in about log(nodes) rounds.  Every step is a partial
-    minimum and a join on the node, which Spark can split where one node has
-    very many links; each round is written out before the next."""
+    shrink to stars in about log(nodes) rounds, and the first stars end it.
+    Every step is a partial minimum and a join on the node, which Spark can
+    split where one node has very many links; each round is written out before
+    the next."""
     links = links.where("u is not null and v is not null")
-    own = links.select(F.col("u").alias("node")).union(links.select(F.col("v").alias("node"))).distinct()
+    own = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     edges = scratch_table(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                           .distinct(), "edges")
-    mark = _mark(edges)
-    while mark[0]:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+    while not _are_stars(edges):
+        least = _ends(edges).groupBy(F.col("node").alias("u")).agg(F.least(F.min("other"), F.first("node")).alias("m"))
+        large = (edges.select(F.col("v").alias("u"), F.col("u").alias("v")).join(least, "u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         edges = scratch_table(small, "edges")
-        new = _mark(edges)
-        if new == mark:
-            break
-        mark = new
     top = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("_top"))
     return own.join(top, "node", "left").select("node", F.coalesce("_top", "node").alias("component"))

@@ -11,7 +11,8 @@ is below what all but ``reject_share`` of the rightly labelled ones reach.
 Bounds: the sample has about ``per_language`` rows for each label and
 ``MOST_ROWS`` in all, drawn by a hash of the id, but at least one row for each
 label, which is fitted; a row sends at most one count for each hash bucket to
-the driver.  Prediction reads whole texts where they are scanned, with no
+the driver, which holds the sample as it was sent (about 3 bytes a count) and
+decodes a row when it is shown.  Prediction reads whole texts where they are scanned, with no
 shuffle; as the model is linear, each distinct word is folded once into one
 vector, whose length doesn't depend on the number of languages.
 
@@ -23,7 +24,7 @@ null id are predicted but not learned from.  Repeated rows repeat.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -87,7 +88,37 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 4, rate: float = 0.5,
+def encoded(text: str | None) -> tuple[bytes, bytes] | None:
+    """Hash buckets of the text's subwords, and their counts in as few bytes
+    as the largest needs; None without a word."""
+    words = words_of(text)
+    if not words:
+        return None
+    bucket, n = np.unique(subwords(words)[0], return_counts=True)
+    return bucket.astype("<u2").tobytes(), n.astype(np.min_scalar_type(n.max())).tobytes()
+
+
+def shares(buckets: bytes, counts: bytes) -> np.ndarray:
+    n = np.frombuffer(counts, f"<u{2 * len(counts) // len(buckets)}").astype(np.int64)
+    return (n / n.sum()).astype(np.float32)
+
+
+class Sample(Sequence):
+    """Encoded rows that are decoded one by one to (language, buckets, share
+    of each bucket)."""
+
+    def __init__(self, rows: list[tuple[str, bytes, bytes]]):
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> tuple[str, np.ndarray, np.ndarray]:
+        lang, buckets, counts = self.rows[i]
+        return lang, np.frombuffer(buckets, "<u2"), shares(buckets, counts).astype(float)
+
+
+def fit(rows: Sequence[tuple[str, np.ndarray, np.ndarray]], epochs: int = 4, rate: float = 0.5,
         seed: int = 7) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Languages, embeddings, weights and bias, by stochastic gradient descent
     over rows of (language, buckets, share of each bucket)."""
@@ -119,7 +150,7 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 4, rate: f
     return languages, embedding, weight, bias
 
 
-def calibrate(model: Model, rows: list[tuple[str, np.ndarray, np.ndarray]], reject_share: float) -> None:
+def calibrate(model: Model, rows: Sequence[tuple[str, np.ndarray, np.ndarray]], reject_share: float) -> None:
     """Temperature of the best likelihood, then the confidence that all but
     ``reject_share`` of the rightly predicted rows reach."""
     if not rows:
@@ -177,16 +208,14 @@ class Predictor:
 
 
 def _sampled_counts(batches):
-    """Language, whether held back, buckets and their shares of each text."""
+    """Language, whether held back, buckets and their counts of each text."""
     for part in slices(batches):
         kept = []
         for lang, back, text in zip(*(part.column(i).to_pylist() for i in range(3))):
-            words = words_of(text)
-            if words:
-                bucket, n = np.unique(subwords(words)[0], return_counts=True)
-                kept.append((lang, back, bucket.astype(np.int32).tobytes(), (n / n.sum()).astype(np.float32).tobytes()))
+            if code := encoded(text):
+                kept.append((lang, back, *code))
         if kept:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*kept)], ["lang", "back", "buckets", "shares"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*kept)], ["lang", "back", "buckets", "counts"])
 
 
 def train(docs: DataFrame, learnable: Column, text_col: str = "text", lang_col: str = "lang",
@@ -207,11 +236,12 @@ def train(docs: DataFrame, learnable: Column, text_col: str = "text", lang_col:
     sample = (labelled.join(F.broadcast(rates), F.col(lang_col) == F.col("_lang"))
               .where((place("sample") < F.col("_rate")) | (place("sample") == F.col("_first")))
               .select(F.col(lang_col).alias("lang"), (place("back") < 0.25).alias("back"), F.col(text_col).alias("text"))
-              .mapInArrow(_sampled_counts, "lang string, back boolean, buckets binary, shares binary").collect())
+              .mapInArrow(_sampled_counts, "lang string, back boolean, buckets binary, counts binary").collect())
     # by content, so that the order of the tasks' answers doesn't matter
-    sample.sort(key=lambda r: (r["lang"], bytes(r["buckets"]), bytes(r["shares"])))
-    rows = [(r["lang"], np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["shares"], np.float32).astype(float),
-             r["back"]) for r in sample]
+    ordered = sorted(((r["lang"], bytes(r["buckets"]), bytes(r["counts"]), r["back"]) for r in sample), key=lambda r: r[:2])
+    rows = [r for _, alike in itertools.groupby(ordered, key=lambda r: r[:2])
+            for r in sorted(alike, key=lambda r: shares(r[1], r[2]).tobytes())]
+    del sample, ordered
     if not rows:
         return None
     # a label with held-back rows only is fitted on its first one
@@ -219,8 +249,8 @@ def train(docs: DataFrame, learnable: Column, text_col: str = "text", lang_col:
     for r in rows:
         (back if r[3] and r[0] in learned else fitted).append(r[:3])
         learned.add(r[0])
-    model = Model(*fit(fitted))
-    calibrate(model, back, reject_share)
+    model = Model(*fit(Sample(fitted)))
+    calibrate(model, Sample(back), reject_share)
     return model
 
 

@@ -359,14 +359,17 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> D
                 .join(texts.select(F.col("u").alias("v"), F.col("text").alias("b")), "v").select("u", "v", "a", "b"))
         return scratch_table(both.mapInArrow(_aligned(threshold), "u bigint, v bigint"), "aligned")
 
-    links = with_best_centre(None)
-    links = scratch_table(links.union(with_best_centre(scratch_table(connected(links), "component"))), "links")
-    component = scratch_table(connected(links), "component")
+    def joined(component: DataFrame, links: DataFrame) -> DataFrame:
+        """The components with more links: known ones are stars already."""
+        return connected(component.select(F.col("node").alias("u"), F.col("component").alias("v")).union(links))
+
+    component = scratch_table(connected(with_best_centre(None)), "component")
+    component = scratch_table(joined(component, with_best_centre(component)), "component")
     blocks = (_blocks(stars, component).join(texts, "u").repartition("v", "band", "lo", "hi")
               .sortWithinPartitions("v", "band", "lo", "hi", "size", "u")
               .select("v", "band", "lo", "hi", "apart", "side", "u", "component", "size", "mask", "text"))
     more = scratch_table(blocks.mapInArrow(_complete(threshold), "u bigint, v bigint"), "joining")
-    component = connected(links.union(more)).withColumnRenamed("node", "u")
+    component = joined(component, more).withColumnRenamed("node", "u")
     by_digest = classes.select("digest", "u").join(component, "u", "left").select(
         "digest", F.coalesce("component", "u").alias("component"))
     rows = scratch_table(sketched.select(
