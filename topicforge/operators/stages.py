@@ -34,11 +34,9 @@ from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, Default
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.functions import text as tx
 from topicforge.operators import kmeans as km
 from topicforge.operators import lsa
 from topicforge.operators import tfidf as tf
-from topicforge.operators.common import keep_where
 from topicforge.session import checkpoint_dir
 
 
@@ -70,9 +68,7 @@ class TermCounts(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         _refuse(df, "tokens", "terms", "tfs")
-        text = F.col(f"`{self.getOrDefault(self.inputCol)}`")
-        tokens = tx.processed_tokens(text, self.getOrDefault(self.stopWords) or None)
-        return tf.count_terms(keep_where(df.withColumn("tokens", tokens), F.size("tokens") > 0))
+        return tf.count_texts(df, self.getOrDefault(self.inputCol), self.getOrDefault(self.stopWords) or None)
 
 
 class Stored(Transformer, DefaultParamsReadable, DefaultParamsWritable):
