@@ -293,3 +293,28 @@ def test_dbscan_passes_shuffle_no_vector_twice(spark):
         assert out.count() <= 2 * len(x) * db.LEAST_RUNS              # 30 blocks: was a row a point and pair
     got = dict((r.vec_id, r.cluster) for r in db.dbscan(_points(spark, x).drop("cluster"), 0.8, 4, block_rows=20).collect())
     assert [got[i] for i in range(len(x))] == list(brute_dbscan(x, 0.8, 4))
+
+
+def test_models_worked_on_alone_move_as_in_passes(spark, monkeypatch):
+    """Duplicate points, empty centroids, ties, a limit of steps and one of shifts."""
+    from topicforge.operators import evaluate as ev
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.standard_normal((300, 6)), rng.standard_normal((200, 6)) * 0.1 + 3, np.zeros((20, 6)), np.ones((20, 6))])
+    pts = spark.createDataFrame([(v.tolist(),) for v in x], "vec array<double>").repartition(3).checkpoint()
+    starts = [x[:k].copy() for k in (1, 2, 5, 9, 20)] + [np.array([[0.0] * 6, [0.0] * 6, [50.0] * 6])]
+    for steps, tol in ((0, 0.0), (1, 0.0), (3, 0.0), (300, 0.0), (300, 0.05)):
+        alone = ev.lloyd(pts, starts, steps, tol)
+        monkeypatch.setattr(ev, "LOCAL_BYTES", 0)
+        passes = ev.lloyd(pts, starts, steps, tol)
+        monkeypatch.undo()
+        for (a, i), (b, j) in zip(alone, passes):
+            assert np.allclose(a, b, rtol=0, atol=1e-12) and i == pytest.approx(j, rel=1e-12)
+
+
+def test_sweep_of_small_points_is_not_a_job_per_step(spark, monkeypatch):
+    from topicforge.operators import evaluate as ev
+    monkeypatch.setattr(ev, "_pass", lambda *a: pytest.fail("one pass a step"))
+    rng = np.random.default_rng(3)
+    pts = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((60, 4)))], "doc_id long, features array<double>")
+    rows = ev.k_sweep(pts, 2, 5).orderBy("k").collect()
+    assert [r.k for r in rows] == [2, 3, 4, 5] and all(r.inertia > s.inertia for r, s in zip(rows, rows[1:]))
