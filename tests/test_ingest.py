@@ -1,5 +1,7 @@
 """Page ingest chain (W1-W10) on invented pages."""
 
+from pyspark.sql import functions as F
+
 from topicforge.functions.text import MISSING_TITLE
 from topicforge.operators import ingest as ig
 from topicforge.sources.articles import read_stored_articles, write_articles
@@ -183,3 +185,29 @@ def test_a_run_writes_one_file_a_folder(spark, tmp_path):
         files = list((tmp_path / "articles").rglob("*.parquet"))
         assert len(files) == 5 * run
     assert read_stored_articles(spark, root).count() == 120
+
+
+def test_many_categories_share_folders(spark, tmp_path, monkeypatch):
+    """A run of many categories adds few folders, beside a store of own ones, and
+    a later run opens only folders that can hold its categories."""
+    from topicforge.sources import articles
+    schema = "url string, title string, description string, content string, site_key string, category string"
+    few = spark.createDataFrame([(f"u{i}", "t", "d", "c", "s", k) for i, k in enumerate(["", "007", "k3", None])], schema)
+    many = spark.createDataFrame([(f"v{i}", "t", None, "c", "s", f"k{i}" if i else "") for i in range(200)], schema).repartition(7)
+    root = str(tmp_path / "articles")
+    write_articles(few, root)
+    monkeypatch.setattr(articles, "MOST_FOLDERS", 20)
+    write_articles(many, root)
+    files = list((tmp_path / "articles").rglob("*.parquet"))
+    assert len(files) <= 4 + articles.SHARED_FOLDERS
+    stored = read_stored_articles(spark, root)
+    want = [tuple(r) for df in (few, many) for r in df.select("url", "site_key", "category").collect()]
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in stored.select("url", "site_key", "category").collect())
+    for most in (0, 10):
+        keys = spark.createDataFrame([("s", "k3"), ("s", ""), ("s", "none")], "site_key string, category string")
+        got = ig.stored_for(stored, keys, max_literal=most)
+        assert sorted(r.url for r in got.collect()) == ["u0", "u2", "v0", "v3"]
+    opened = got.select(F.input_file_name().alias("f")).distinct().count()
+    assert opened <= 4
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [concat_ws" in plan

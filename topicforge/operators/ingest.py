@@ -28,6 +28,7 @@ from topicforge.functions import urls as ux
 from topicforge.functions.text import MISSING_TITLE
 from topicforge.operators.common import slices
 from topicforge.session import checkpoint_dir
+from topicforge.sources.articles import own_folder, shared_folder
 from topicforge.sources.sites import NEWS_SITES
 
 LINK_SCHEMA = ("page_id long, site_key string, category string, selector_ix int, pos int, "
@@ -117,14 +118,18 @@ def stored_for(stored: DataFrame, keys: DataFrame, max_literal: int = 10_000) ->
     """The stored rows of the (site_key, category) pairs named in ``keys``
     only.  Up to ``max_literal`` pairs (counted first) become one hash-set
     ``IN`` on the store's partition columns, which Spark evaluates against
-    the folder names: other (site, category) folders are never opened.  A
+    the folder names: folders that hold none of them are never opened.  A
     larger pair list falls back to a semi-join."""
     pairs = keys.select("site_key", "category").distinct()
-    got = pairs.limit(max_literal + 1).collect()
+    got = pairs.withColumn("own", own_folder(F.col("category"))).withColumn(
+        "shared", shared_folder(F.col("category"))).limit(max_literal + 1).collect()
     if len(got) > max_literal:
         return stored.join(pairs, ["site_key", "category"], "left_semi")
     sep = "\u0001"
     wanted = sorted({f"{r.site_key}{sep}{r.category}" for r in got})
+    if "folder" in stored.columns:
+        folders = sorted({f"{r.site_key}{sep}{f}" for r in got for f in (r.own, r.shared)})
+        stored = stored.where(F.concat_ws(sep, "site_key", "folder").isin(folders))
     return stored.where(F.concat_ws(sep, "site_key", "category").isin(wanted))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topicforge.operators.common import bounded_broadcast
+from topicforge.operators.common import bounded_broadcast, written
 from topicforge.session import checkpoint_dir
 from topicforge.sources.tables import path_exists
 
@@ -112,25 +112,49 @@ def read_stopwords(spark: SparkSession, path: str | None) -> list[str]:
 #: Folder name of the empty category, which a partition folder can't have; no
 #: category holds a slash.
 EMPTY_CATEGORY = "/"
+#: Most (site_key, category) folders that a run writes into, and the folders of a
+#: site that the categories of a run with more share.
+MOST_FOLDERS, SHARED_FOLDERS = 1000, 64
 STORED_SCHEMA = ("url string, title string, description string, content string, page_id long, "
-                 "site_key string, category string")
+                 "own_category string, site_key string, category string")
+
+
+def own_folder(category):
+    """The folder that a category has for itself."""
+    return F.when(category == "", EMPTY_CATEGORY).otherwise(category)
+
+
+def shared_folder(category):
+    """The folder that a category shares with others."""
+    return F.concat(F.lit("/"), F.pmod(F.xxhash64(category), F.lit(SHARED_FOLDERS)).cast("string"))
 
 
 def write_articles(df: DataFrame, root: str) -> None:
     """Append-or-create sink per (site_key, category).  Appending to a
     partitioned Parquet table creates the folder on first write.  The rows of a
     folder are brought together first (a very large one is split again): else
-    each task would write a file into each folder that it has a row of."""
-    (df.withColumn("category", F.when(F.col("category") == "", EMPTY_CATEGORY).otherwise(F.col("category")))
-     .hint("rebalance", "site_key", "category")
-     .write.mode("append").partitionBy("site_key", "category").parquet(root))
+    each task would write a file into each folder that it has a row of.
+
+    Where a run has more than ``MOST_FOLDERS`` categories (each page can be one),
+    they share folders by their hash and the rows keep their category: a folder
+    and a file for a few rows each take longer than the articles."""
+    df = written(df, "new-articles")
+    category = F.col("category")
+    if df.select("site_key", "category").distinct().limit(MOST_FOLDERS + 1).count() > MOST_FOLDERS:
+        df = df.withColumn("own_category", category).withColumn("category", shared_folder(category))
+    else:
+        df = df.withColumn("category", own_folder(category))
+    df.hint("rebalance", "site_key", "category").write.mode("append").partitionBy("site_key", "category").parquet(root)
 
 
 def read_stored_articles(spark: SparkSession, root: str) -> DataFrame | None:
     """Stored article table for incremental loads, or None when absent.  The
     schema is given, so categories stay text (``007``) and a store that no
-    run has added an article to is an empty table."""
+    run has added an article to is an empty table.  ``folder`` is the partition
+    that a row lies in."""
     if not path_exists(spark, root):
         return None
-    return spark.read.schema(STORED_SCHEMA).parquet(root).withColumn(
-        "category", F.when(F.col("category") == EMPTY_CATEGORY, "").otherwise(F.col("category")))
+    rows, folder = spark.read.schema(STORED_SCHEMA).parquet(root), F.col("folder")
+    return (rows.withColumnRenamed("category", "folder")
+            .withColumn("category", F.when(folder == EMPTY_CATEGORY, "").when(folder.startswith("/"), F.col("own_category"))
+                        .otherwise(folder)).drop("own_category"))
